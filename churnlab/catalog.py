@@ -12,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.operators import columns as colops
+from churnlab.operators import prep
 from churnlab.operators import profile as prof
+from churnlab.plans.prepare import PrepOptions, Prepared, prepare
+from churnlab.session import scratch_path
+from churnlab.sources.prepared import read_prepared, save_artifacts, write_prepared
 from churnlab.sources.tables import ROLES, base_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +27,8 @@ RATE_DIMS = ["region", "segment", "n_priorities", "is_active"]
 CROSSTAB_DIMS = ["region", "segment", "has_urgent", "is_active"]
 HIGH_CARD_THRESHOLD = 0.5
 HEAD_N = 5
+TEST_SIZE = 0.2
+SEED = 42
 
 
 def _base(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,10 +75,60 @@ def _projection_queries() -> dict[str, Query]:
     }
 
 
+def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
+    """Comparison view: doubles rounded (engines differ in the last bits of sums)."""
+    return df.select(*[F.round(F.col(f.name), places).alias(f.name) if f.dataType.typeName() == "double"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def _prepared(spark: SparkSession, sf: str) -> Prepared:
+    return prepare(_base(spark, sf), PrepOptions(test_size=TEST_SIZE, seed=SEED))
+
+
+def _write_read(spark: SparkSession, sf: str) -> DataFrame:
+    p = _prepared(spark, sf)
+    path = scratch_path(spark, "prepared")
+    write_prepared(p.data, path)
+    return read_prepared(spark, path, R.target)
+
+
+def _save_artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    p = _prepared(spark, sf)
+    paths = save_artifacts(scratch_path(spark, "artifacts"), encoder=p.encoder, scaler=p.scaler,
+                           metadata=p.metadata())
+    return spark.read.parquet(paths["scaler"])
+
+
+def _prep_queries() -> dict[str, Query]:
+    t = R.target
+    idc = R.id_col
+
+    def split_view(df):
+        return df.select(idc, t, "split")
+
+    return {
+        "stratified_split": lambda s, sf: split_view(prep.stratified_split(_base(s, sf), idc, t, TEST_SIZE, SEED)),
+        "random_split": lambda s, sf: split_view(prep.random_split(_base(s, sf), idc, TEST_SIZE, SEED)),
+        "split_approx": lambda s, sf: prep.split_approx(_base(s, sf), idc, TEST_SIZE, SEED).select(idc, "split"),
+        "encode_fit": lambda s, sf: _prepared(s, sf).encoder,
+        "encode_transform": lambda s, sf: _prepared(s, sf).data.select(idc, *R.categorical, "split"),
+        "scale_fit": lambda s, sf: round_doubles(_prepared(s, sf).scaler),
+        "scale_transform": lambda s, sf: round_doubles(_prepared(s, sf).data),
+        "prepare": lambda s, sf: round_doubles(_prepared(s, sf).data),
+        "metadata": lambda s, sf: _prepared(s, sf).metadata(),
+        "write_prepared": lambda s, sf: round_doubles(_write_read(s, sf)),
+        "read_prepared": lambda s, sf: round_doubles(_write_read(s, sf)),
+        "save_artifacts": lambda s, sf: round_doubles(_save_artifacts(s, sf)),
+        "churn_share_by_split": lambda s, sf: prof.rate_by_split(
+            prep.stratified_split(_base(s, sf), idc, t, TEST_SIZE, SEED), t),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_profile_queries())
     out.update(_projection_queries())
+    out.update(_prep_queries())
     return out
 
 

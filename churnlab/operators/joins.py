@@ -14,11 +14,14 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only when the side is proven small.
 
-    Beyond the bound the frame is returned unhinted, so the planner (and AQE
-    at runtime) falls back to a shuffle join instead of shipping an unbounded
-    table to every executor.
+    The side is first materialised with a reliable ``checkpoint`` (shared
+    folder from ``spark.checkpoint.dir``), so the size check and the join read
+    the same stored rows instead of recomputing the upstream plan, and a lost
+    executor does not force recomputation. Beyond the bound the frame is
+    returned unhinted and the planner (plus AQE at runtime) uses a shuffle join.
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    stored = df.checkpoint(eager=True)
+    return F.broadcast(stored) if row_count_at_most(stored, max_rows) else stored
 
 
 def unpivot(df: DataFrame, ids: list[str], columns: list[str], name: str = "column",

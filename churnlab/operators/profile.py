@@ -239,3 +239,8 @@ def target_corr(df: DataFrame, columns: list[str], target: str) -> DataFrame:
     long = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"))
                                           for i, c in enumerate(cols)])))
     return long.select("feature", _r(F.col("r")).alias("r")).orderBy(F.desc_nulls_last("r"), "feature")
+
+
+def rate_by_split(df: DataFrame, target: str) -> DataFrame:
+    """(split, n, rate): target rate in each part."""
+    return df.groupBy("split").agg(F.count("*").alias("n"), _r(F.avg(F.col(target).cast("double"))).alias("rate"))

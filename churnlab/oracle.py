@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from churnlab.catalog import CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS
+from churnlab.catalog import CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
+from churnlab.functions.hashing import sql_hash, sql_uniform
 from churnlab.sources.tables import BASE_CTE, ROLES
 
 R = ROLES
@@ -12,6 +13,9 @@ BASE_COLUMNS = [
     ("avg_price_cents", "bigint"), ("tenure_years", "bigint"), ("has_urgent", "int"),
     ("is_active", "int"), ("churned", "int"),
 ]
+FEATURES = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_price_cents",
+            "tenure_years", "has_urgent", "is_active"]
+SCALED = [f for f in FEATURES if f not in ROLES.categorical]
 CUSTOMER_COLUMNS = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
                     ("c_acctbal", "double"), ("c_mktsegment", "string")]
 
@@ -172,10 +176,94 @@ def projection_sql() -> dict[str, str]:
     return out
 
 
+def split_cte(name: str, stratify: bool) -> str:
+    """CTE ``name``: base + split, by the plain (single-window) form of the seeded exact split."""
+    t = R.target
+    cls = t if stratify else "0"
+    h = sql_hash(SEED, R.id_col)
+    return f"""{name}_q AS (
+  SELECT cls, n_c, n_c - (fl + CASE WHEN ord <= need THEN 1 ELSE 0 END) AS test_quota FROM (
+    SELECT *, n_train - SUM(fl) OVER () AS need, ROW_NUMBER() OVER (ORDER BY rem DESC, cls) AS ord FROM (
+      SELECT cls, n_c, n_train, FLOOR(n_c / n * n_train) AS fl, n_c / n * n_train - FLOOR(n_c / n * n_train) AS rem
+      FROM (SELECT cls, n_c, SUM(n_c) OVER () AS n,
+                   SUM(n_c) OVER () - CEIL(CAST({TEST_SIZE} AS DOUBLE) * SUM(n_c) OVER ()) AS n_train
+            FROM (SELECT {cls} AS cls, COUNT(*) AS n_c FROM base GROUP BY 1) c0) c1) c2) c3),
+{name} AS (
+  SELECT b.*, CASE WHEN ROW_NUMBER() OVER (PARTITION BY {cls} ORDER BY {h}, b.{R.id_col}) <= q.test_quota
+                   THEN 'test' ELSE 'train' END AS split
+  FROM base b JOIN {name}_q q ON q.cls = {cls})"""
+
+
+def prepared_ctes() -> str:
+    """CTEs s (split), enc (encoder), e (encoded), sc (scaler moments), p (prepared, unrounded)."""
+    enc = _union([
+        f"SELECT '{c}' AS column_name, value, CAST(ROW_NUMBER() OVER (ORDER BY value) - 1 AS INTEGER) AS code "
+        f"FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS value FROM s WHERE split = 'train' AND {c} IS NOT NULL) d"
+        for c in R.categorical])
+    joins = " ".join(f"LEFT JOIN enc j_{c} ON j_{c}.column_name = '{c}' AND j_{c}.value = CAST(s.{c} AS VARCHAR)"
+                     for c in R.categorical)
+    feats = FEATURES
+    sel = []
+    for f in feats:
+        sel.append(f"j_{f}.code AS {f}" if f in R.categorical else f"s.{f}")
+    scaled = SCALED
+    moments = ", ".join(f"AVG(CAST({c} AS DOUBLE)) AS m_{c}, STDDEV_POP(CAST({c} AS DOUBLE)) AS s_{c}" for c in scaled)
+    pcols = []
+    for f in feats:
+        if f in scaled:
+            pcols.append(f"(CAST(e.{f} AS DOUBLE) - sc.m_{f}) / (CASE WHEN sc.s_{f} = 0 OR sc.s_{f} IS NULL "
+                         f"THEN 1.0 ELSE sc.s_{f} END) AS {f}")
+        else:
+            pcols.append(f"e.{f}")
+    return f""", {split_cte('s', True)},
+enc AS ({enc}),
+e AS (SELECT s.{R.id_col}, {', '.join(sel)}, s.{R.target}, s.split FROM s {joins}),
+sc AS (SELECT {moments} FROM e WHERE split = 'train'),
+p AS (SELECT e.{R.id_col}, {', '.join(pcols)}, e.{R.target}, e.split FROM e CROSS JOIN sc)
+"""
+
+
+def _round_cols(cols: list[str], doubles: set[str]) -> str:
+    return ", ".join(f"ROUND({c}, 6) AS {c}" if c in doubles else c for c in cols)
+
+
+def prep_sql() -> dict[str, str]:
+    t = R.target
+    idc = R.id_col
+    pc = [idc] + FEATURES + [t, "split"]
+    prepared = w(prepared_ctes() + f"SELECT {_round_cols(pc, set(SCALED))} FROM p")
+    scaler = _union([f"SELECT '{c}' AS column_name, ROUND(m_{c}, 6) AS mean, "
+                     f"ROUND(CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END, 6) AS scale FROM sc"
+                     for c in SCALED])
+    arr = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]::VARCHAR[]"
+    return {
+        "stratified_split": w(", " + split_cte("s", True) + f"\nSELECT {idc}, {t}, split FROM s"),
+        "random_split": w(", " + split_cte("s", False) + f"\nSELECT {idc}, {t}, split FROM s"),
+        "split_approx": w(f"SELECT {idc}, CASE WHEN {sql_uniform(SEED, idc)} < CAST({TEST_SIZE} AS DOUBLE) "
+                          f"THEN 'test' ELSE 'train' END AS split FROM base"),
+        "encode_fit": w(prepared_ctes() + "SELECT * FROM enc"),
+        "encode_transform": w(prepared_ctes() + f"SELECT {idc}, {', '.join(R.categorical)}, split FROM e"),
+        "scale_fit": w(prepared_ctes() + scaler),
+        "scale_transform": prepared,
+        "prepare": prepared,
+        "metadata": w(", " + split_cte("s", True) + f"""
+SELECT {arr(FEATURES)} AS feature_names, '{t}' AS target_name,
+  COUNT(*) FILTER (WHERE split = 'train') AS n_train, COUNT(*) FILTER (WHERE split = 'test') AS n_test,
+  {arr(R.categorical)} AS categorical_encoded_columns, {arr(SCALED)} AS scaled_numeric_columns,
+  {arr(list(R.drop))} AS dropped_columns FROM s"""),
+        "write_prepared": prepared,
+        "read_prepared": prepared,
+        "save_artifacts": w(prepared_ctes() + scaler),
+        "churn_share_by_split": w(", " + split_cte("s", True) +
+                                  f"\nSELECT split, COUNT(*) AS n, ROUND(AVG(CAST({t} AS DOUBLE)), 6) AS rate FROM s GROUP BY split"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(profile_sql())
     out.update(projection_sql())
+    out.update(prep_sql())
     return out
 
 
