@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlab.operators import columns as colops
+from churnlab.operators import imbalance as imb
+from churnlab.operators import metrics as mt
+from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.operators import prep
 from churnlab.operators import profile as prof
 from churnlab.plans.prepare import PrepOptions, Prepared, prepare
@@ -124,8 +127,51 @@ def _prep_queries() -> dict[str, Query]:
     }
 
 
+# Fixed SQL-expressible stand-in scorers, so metric queries can be checked by an oracle.
+SCORERS = {
+    "rule_activity": "CAST(10 * (1 - is_active) - tenure_years + n_priorities AS DOUBLE) / 10",
+    "rule_orders": "CAST(6 * (1 - is_active) + 2 * has_urgent - n_orders AS DOUBLE) / 10",
+    "rule_balance": "CAST(4 * (1 - is_active) + n_priorities - tenure_years AS DOUBLE) / 10",
+}
+THRESHOLD = 0.0
+
+
+def scored(spark: SparkSession, sf: str, scorer: str = "rule_activity") -> DataFrame:
+    b = _base(spark, sf)
+    sc = F.expr(SCORERS[scorer])
+    return b.select(R.id_col, R.target, sc.alias("score"),
+                    F.when(sc > F.lit(THRESHOLD), 1).otherwise(0).alias("prediction"))
+
+
+def _best_model(spark: SparkSession, sf: str) -> DataFrame:
+    b = _base(spark, sf)
+    names = list(SCORERS)
+    preds = F.array(*[F.struct(F.lit(i).alias("ordinal"), F.lit(n).alias("model"),
+                               F.when(F.expr(SCORERS[n]) > F.lit(THRESHOLD), 1).otherwise(0).alias("prediction"))
+                      for i, n in enumerate(names)])
+    long = b.select(R.target, F.inline(preds))
+    return select_best(metrics_by_model(long, R.target, "prediction"), "f1")
+
+
+def _metric_queries() -> dict[str, Query]:
+    t = R.target
+    return {
+        "confusion": lambda s, sf: mt.confusion(scored(s, sf), t, "prediction"),
+        "metrics": lambda s, sf: round_doubles(mt.classification_metrics(scored(s, sf), t, "prediction")),
+        "roc_auc": lambda s, sf: round_doubles(mt.roc_auc(scored(s, sf), t, "score")),
+        "best_model": lambda s, sf: round_doubles(_best_model(s, sf)),
+        "balanced_weights": lambda s, sf: round_doubles(imb.balanced_weights(_train(s, sf), t)),
+        "scale_pos_weight": lambda s, sf: round_doubles(imb.scale_pos_weight(_train(s, sf), t)),
+    }
+
+
+def _train(spark: SparkSession, sf: str) -> DataFrame:
+    return prep.stratified_split(_base(spark, sf), R.id_col, R.target, TEST_SIZE, SEED).where(F.col("split") == "train")
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_metric_queries())
     out.update(_profile_queries())
     out.update(_projection_queries())
     out.update(_prep_queries())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnlab.catalog import CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
+from churnlab.catalog import SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
 from churnlab.functions.hashing import sql_hash, sql_uniform
 from churnlab.sources.tables import BASE_CTE, ROLES
 
@@ -259,8 +259,48 @@ SELECT {arr(FEATURES)} AS feature_names, '{t}' AS target_name,
     }
 
 
+def metric_sql() -> dict[str, str]:
+    t = R.target
+    sc = SCORERS["rule_activity"]
+    scored = f"SELECT {t} AS y, {sc} AS score, CASE WHEN {sc} > {THRESHOLD} THEN 1 ELSE 0 END AS p FROM base"
+    conf = (f"SELECT COUNT(*) FILTER (WHERE y = 1 AND p = 1) AS tp, COUNT(*) FILTER (WHERE y = 0 AND p = 1) AS fp, "
+            f"COUNT(*) FILTER (WHERE y = 0 AND p = 0) AS tn, COUNT(*) FILTER (WHERE y = 1 AND p = 0) AS fn FROM ({scored}) x")
+    d = lambda a, b: f"COALESCE(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0), 0.0)"
+    mets = (f"ROUND({d('tp + tn', 'tp + fp + tn + fn')}, 6) AS accuracy, ROUND({d('tp', 'tp + fp')}, 6) AS precision, "
+            f"ROUND({d('tp', 'tp + fn')}, 6) AS recall, ROUND({d('2 * tp', '2 * tp + fp + fn')}, 6) AS f1")
+    auc = f"""SELECT ROUND(CASE WHEN COALESCE(SUM(pos), 0) = 0 OR COALESCE(SUM(neg), 0) = 0 THEN 0.5
+    ELSE SUM(pos * (below + neg / 2.0)) / (CAST(SUM(pos) AS DOUBLE) * SUM(neg)) END, 6) AS roc_auc
+FROM (SELECT s, pos, neg, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT score AS s, COUNT(*) FILTER (WHERE y = 1) AS pos, COUNT(*) FILTER (WHERE y = 0) AS neg
+            FROM ({scored}) x WHERE score IS NOT NULL GROUP BY score) g) r"""
+    per_model = _union([
+        f"SELECT {i} AS ordinal, '{n}' AS model, {t} AS y, CASE WHEN {e} > {THRESHOLD} THEN 1 ELSE 0 END AS p FROM base"
+        for i, (n, e) in enumerate(SCORERS.items())])
+    best = f"""SELECT ordinal, model, {mets} FROM (
+  SELECT ordinal, model, COUNT(*) FILTER (WHERE y = 1 AND p = 1) AS tp, COUNT(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+    COUNT(*) FILTER (WHERE y = 0 AND p = 0) AS tn, COUNT(*) FILTER (WHERE y = 1 AND p = 0) AS fn
+  FROM ({per_model}) x GROUP BY ordinal, model) c
+ORDER BY {d('2 * tp', '2 * tp + fp + fn')} DESC, ordinal LIMIT 1"""
+    train = ", " + split_cte("s", True)
+    return {
+        "confusion": w(conf),
+        "metrics": w(f"SELECT {mets} FROM ({conf}) c"),
+        "roc_auc": w(auc),
+        "best_model": w(best),
+        "balanced_weights": w(train + f"""
+SELECT {t} AS label, COUNT(*) AS n_c, ROUND(SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)), 6) AS weight
+FROM s WHERE split = 'train' GROUP BY {t}"""),
+        "scale_pos_weight": w(train + f"""
+SELECT positives, negatives, ROUND(CASE WHEN positives > 0 AND negatives > 0
+  THEN CAST(negatives AS DOUBLE) / positives END, 6) AS scale_pos_weight FROM (
+  SELECT COUNT(*) FILTER (WHERE {t} = 1) AS positives, COUNT(*) FILTER (WHERE {t} = 0) AS negatives
+  FROM s WHERE split = 'train') c"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
+    out.update(metric_sql())
     out.update(profile_sql())
     out.update(projection_sql())
     out.update(prep_sql())
