@@ -32,6 +32,7 @@ HIGH_CARD_THRESHOLD = 0.5
 HEAD_N = 5
 TEST_SIZE = 0.2
 SEED = 42
+SMOTE_K = 5
 
 
 def _base(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,11 +161,20 @@ def _metric_queries() -> dict[str, Query]:
         "metrics": lambda s, sf: round_doubles(mt.classification_metrics(scored(s, sf), t, "prediction")),
         "roc_auc": lambda s, sf: round_doubles(mt.roc_auc(scored(s, sf), t, "score")),
         "best_model": lambda s, sf: round_doubles(_best_model(s, sf)),
+        "smote": _smote,
         "balanced_weights": lambda s, sf: round_doubles(imb.balanced_weights(_train(s, sf), t)),
         "scale_pos_weight": lambda s, sf: round_doubles(imb.scale_pos_weight(_train(s, sf), t)),
     }
 
 
+def _smote(spark: SparkSession, sf: str) -> DataFrame:
+    p = _prepared(spark, sf)
+    # Features rounded to 6 places first so an oracle engine sees the same inputs.
+    train = round_doubles(p.data.where(F.col("split") == "train").drop("split"))
+    out = imb.smote(train, R.id_col, R.target, p.feature_names, int_features=p.encoded_columns, k=SMOTE_K, seed=SEED)
+    return round_doubles(out)
+
+
 def _train(spark: SparkSession, sf: str) -> DataFrame:
     return prep.stratified_split(_base(spark, sf), R.id_col, R.target, TEST_SIZE, SEED).where(F.col("split") == "train")
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.functions.hashing import seeded_hash, seeded_uniform
 from churnlab.operators.joins import row_count_at_most
+from churnlab.operators.knn import exact_knn
+from churnlab.operators.rank import bucketed_rank
 
 MAX_CLASSES = 10_000
 
@@ -52,3 +55,60 @@ def pos_weight_map(df: DataFrame, target: str, current=None, tuned: dict | None
     if r["scale_pos_weight"] is None:
         return None
     return {0: 1.0, 1: float(r["scale_pos_weight"])}
+
+
+def smote(df: DataFrame, id_col: str, target: str, features: list[str], int_features=(), k: int = 5,
+          seed: int = 42, **knn_options) -> DataFrame:
+    """Synthetic minority oversampling: every class below the largest is raised to its count.
+
+    Originals are kept unchanged (``smote_source`` null). For a class with
+    n_c rows and n_new = n_max - n_c new rows, each row makes
+    n_new div n_c samples, and the first n_new mod n_c rows in seeded hash
+    order one more (counts by arithmetic, rows by ``explode(sequence)``).
+    Sample j of row x: neighbour = one of x's k exact nearest same-class rows
+    (drawn by md5(seed|nn|id|j)), gap u = md5(seed|gap|id|j) in [0, 1);
+    value = x + u (nn - x); integer features are truncated back, as the
+    reference library does.
+    """
+    counts = {r[target]: r["count"] for r in df.groupBy(target).count().collect()}
+    if len(counts) > MAX_CLASSES:
+        raise ValueError("too many classes")
+    n_max = max(counts.values()) if counts else 0
+    majority = min(c for c, n in counts.items() if n == n_max) if counts else None
+    base = df.withColumn("smote_source", F.lit(None).cast("long")).withColumn("smote_draw", F.lit(None).cast("int"))
+    parts = [base]
+    ints = set(int_features)
+    for cls, n_c in sorted(counts.items()):
+        if cls == majority or n_c >= n_max:
+            continue
+        if n_c <= k:
+            raise ValueError(f"Expected n_neighbors <= n_samples_fit, but n_samples_fit = {n_c}, n_neighbors = {k + 1}")
+        rows = df.where(F.col(target) == F.lit(cls)).select(id_col, *features)
+        knn = exact_knn(rows, id_col, features, k=k, seed=seed, **knn_options)
+        q, r = divmod(n_max - n_c, n_c)
+        ranked = bucketed_rank(rows.withColumn("_h", seeded_hash(seed, "smote", F.col(id_col))), [], "_h", id_col, "_rk")
+        cnt = F.lit(q) + F.when(F.col("_rk") <= F.lit(r), 1).otherwise(0)
+        draws = (ranked.withColumn("_cnt", cnt).where(F.col("_cnt") > 0)
+                 .withColumn("smote_draw", F.explode(F.sequence(F.lit(1), F.col("_cnt"))))
+                 .withColumn("nn_rank", (F.floor(seeded_uniform(seed, "nn", F.col(id_col), F.col("smote_draw")) * k) + 1)
+                             .cast("int"))
+                 .withColumn("_gap", seeded_uniform(seed, "gap", F.col(id_col), F.col("smote_draw"))))
+        nbrs = knn.select(F.col("a").alias(id_col), F.col("nn_rank").cast("int").alias("nn_rank"), F.col("b").alias("_b"))
+        nb_feats = rows.select(F.col(id_col).cast("long").alias("_b"), *[F.col(c).alias(f"_nb_{c}") for c in features])
+        joined = draws.join(nbrs, [id_col, "nn_rank"]).join(nb_feats, "_b")
+        cols = []
+        for c in df.columns:
+            if c == id_col:
+                cols.append(F.lit(None).cast(df.schema[c].dataType).alias(c))
+            elif c == target:
+                cols.append(F.lit(cls).cast(df.schema[c].dataType).alias(c))
+            elif c in features:
+                v = F.col(c).cast("double") + F.col("_gap") * (F.col(f"_nb_{c}").cast("double") - F.col(c).cast("double"))
+                cols.append((v.cast(df.schema[c].dataType) if c in ints else v.cast(df.schema[c].dataType)).alias(c))
+            else:
+                cols.append(F.lit(None).cast(df.schema[c].dataType).alias(c))
+        parts.append(joined.select(*cols, F.col(id_col).cast("long").alias("smote_source"), "smote_draw"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

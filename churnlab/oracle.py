@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnlab.catalog import SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
+from churnlab.catalog import SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
 from churnlab.functions.hashing import sql_hash, sql_uniform
 from churnlab.sources.tables import BASE_CTE, ROLES
 
@@ -298,8 +298,39 @@ SELECT positives, negatives, ROUND(CASE WHEN positives > 0 AND negatives > 0
     }
 
 
+def smote_sql() -> str:
+    t, idc = R.target, R.id_col
+    feats = FEATURES
+    dist = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in feats)
+    tr_cols = ", ".join(f"ROUND({f}, 6) AS {f}" if f in SCALED else f for f in feats)
+    nn_u = sql_uniform(SEED, "'nn'", f"d.{idc}", "d.smote_draw")
+    gap_u = sql_uniform(SEED, "'gap'", f"d.{idc}", "d.smote_draw")
+    new_cols = []
+    for f in feats:
+        v = f"(CAST(d.{f} AS DOUBLE) + {gap_u} * (CAST(nb.{f} AS DOUBLE) - CAST(d.{f} AS DOUBLE)))"
+        new_cols.append(f"CAST(TRUNC({v}) AS INTEGER) AS {f}" if f in R.categorical else f"ROUND({v}, 6) AS {f}")
+    return w(prepared_ctes() + f""", tr AS (SELECT {idc}, {tr_cols}, {t} FROM p WHERE split = 'train'),
+cnt AS (SELECT {t} AS cls, COUNT(*) AS n_c FROM tr GROUP BY {t}),
+mx AS (SELECT MAX(n_c) AS n_max, MIN(cls) FILTER (WHERE n_c = (SELECT MAX(n_c) FROM cnt)) AS maj FROM cnt),
+mc AS (SELECT cls, n_c, (n_max - n_c) // n_c AS q, (n_max - n_c) % n_c AS r FROM cnt, mx WHERE cls <> maj AND n_c < n_max),
+m AS (SELECT tr.*, mc.q, mc.r FROM tr JOIN mc ON tr.{t} = mc.cls),
+knn AS (SELECT a, b, nn_rank FROM (
+  SELECT a.{idc} AS a, b.{idc} AS b,
+    ROW_NUMBER() OVER (PARTITION BY a.{idc} ORDER BY ROUND(SQRT({dist}), 9), b.{idc}) AS nn_rank
+  FROM m a JOIN m b ON a.{t} = b.{t} AND a.{idc} <> b.{idc}) z WHERE nn_rank <= {SMOTE_K}),
+rk AS (SELECT m.*, ROW_NUMBER() OVER (PARTITION BY {t} ORDER BY {sql_hash(SEED, "'smote'", idc)}, {idc}) AS rnk FROM m),
+d AS (SELECT rk.*, UNNEST(generate_series(1, q + CASE WHEN rnk <= r THEN 1 ELSE 0 END)) AS smote_draw
+      FROM rk WHERE q + CASE WHEN rnk <= r THEN 1 ELSE 0 END > 0),
+syn AS (SELECT CAST(NULL AS BIGINT) AS {idc}, {', '.join(new_cols)}, d.{t}, CAST(d.{idc} AS BIGINT) AS smote_source,
+          CAST(d.smote_draw AS INTEGER) AS smote_draw
+        FROM d JOIN knn ON knn.a = d.{idc} AND knn.nn_rank = CAST(FLOOR({nn_u} * {SMOTE_K}) + 1 AS BIGINT)
+        JOIN m nb ON nb.{idc} = knn.b)
+SELECT {idc}, {', '.join(feats)}, {t}, CAST(NULL AS BIGINT) AS smote_source, CAST(NULL AS INTEGER) AS smote_draw FROM tr
+UNION ALL SELECT * FROM syn""")
+
+
 def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
+    out: dict[str, str] = {"smote": smote_sql()}
     out.update(metric_sql())
     out.update(profile_sql())
     out.update(projection_sql())
