@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlab.operators import columns as colops
 from churnlab.operators import imbalance as imb
@@ -19,8 +20,11 @@ from churnlab.operators import prep
 from churnlab.operators import profile as prof
 from churnlab.plans.prepare import PrepOptions, Prepared, prepare
 from churnlab.session import scratch_path
+from churnlab.functions import scalars as sc
+from churnlab.operators.joins import unpivot
+from churnlab.sources.csv import scan_csv, scan_csv_dir, write_csv
 from churnlab.sources.prepared import read_prepared, save_artifacts, write_prepared
-from churnlab.sources.tables import ROLES, base_table, read_table
+from churnlab.sources.tables import BASE_SCHEMA, ROLES, base_table, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 R = ROLES
@@ -179,8 +183,61 @@ def _train(spark: SparkSession, sf: str) -> DataFrame:
     return prep.stratified_split(_base(spark, sf), R.id_col, R.target, TEST_SIZE, SEED).where(F.col("split") == "train")
 
 
+# ---------------------------------------------------------------- sources, unions, scalar functions
+
+def _base_csv(spark: SparkSession, sf: str) -> str:
+    path = scratch_path(spark, "base-csv")
+    write_csv(_base(spark, sf), path)
+    return path
+
+
+def _scan_csv_dir(spark: SparkSession, sf: str) -> DataFrame:
+    """Two writes into one folder: churned rows with every column, the others without acct_balance."""
+    b = _base(spark, sf)
+    path = scratch_path(spark, "csv-dir")
+    write_csv(b.where(F.col(R.target) == 1), path)
+    write_csv(b.where(F.col(R.target) == 0).drop("acct_balance"), path, mode="append")
+    return scan_csv_dir(spark, path, BASE_SCHEMA)
+
+
+def _coerced(spark: SparkSession, sf: str) -> DataFrame:
+    """Every CSV field read back as text, then typed by literal coercion."""
+    path = _base_csv(spark, sf)
+    text = scan_csv(spark, path + "/*.csv", T.StructType([T.StructField(f.name, T.StringType())
+                                                          for f in BASE_SCHEMA.fields]))
+    cols = [c for c in text.columns if c != R.id_col]
+    long = unpivot(text, [R.id_col], cols, "column_name", "text")
+    return long.select(F.col(R.id_col).cast("bigint").alias(R.id_col), "column_name",
+                       sc.coerce_literal(F.col("text")).alias("v")).select(R.id_col, "column_name", "v.*")
+
+
+def _parse_flags(spark: SparkSession, sf: str) -> DataFrame:
+    path = _base_csv(spark, sf)
+    text = scan_csv(spark, path + "/*.csv", T.StructType([T.StructField(f.name, T.StringType())
+                                                          for f in BASE_SCHEMA.fields]))
+    return text.select(F.col(R.id_col).cast("bigint").alias(R.id_col),
+                       *[sc.parse_bool(F.col(f), default=False).alias(f) for f in list(R.flags) + [R.target]])
+
+
+def _union_all(spark: SparkSession, sf: str) -> DataFrame:
+    b = _base(spark, sf)
+    return b.where(F.col(R.target) == 1).unionByName(
+        b.where(F.col(R.target) == 0).drop("acct_balance"), allowMissingColumns=True)
+
+
+def _source_queries() -> dict[str, Query]:
+    return {
+        "scan_csv": lambda s, sf: scan_csv(s, _base_csv(s, sf) + "/*.csv", BASE_SCHEMA),
+        "scan_csv_dir": _scan_csv_dir,
+        "union_all": _union_all,
+        "coerce_literal": lambda s, sf: round_doubles(_coerced(s, sf)),
+        "parse_bool": _parse_flags,
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_source_queries())
     out.update(_metric_queries())
     out.update(_profile_queries())
     out.update(_projection_queries())

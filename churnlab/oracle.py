@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from churnlab.catalog import SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
 from churnlab.functions.hashing import sql_hash, sql_uniform
+from churnlab.functions.scalars import FLOAT_RE, INT_RE
 from churnlab.sources.tables import BASE_CTE, ROLES
 
 R = ROLES
@@ -329,8 +330,39 @@ SELECT {idc}, {', '.join(feats)}, {t}, CAST(NULL AS BIGINT) AS smote_source, CAS
 UNION ALL SELECT * FROM syn""")
 
 
+def source_sql() -> dict[str, str]:
+    t = R.target
+    cols = [c for c, _ in BASE_COLUMNS]
+    no_bal = ", ".join("CAST(NULL AS DOUBLE) AS acct_balance" if c == "acct_balance" else c for c in cols)
+    union = w(f"SELECT * FROM base WHERE {t} = 1 UNION ALL SELECT {no_bal} FROM base WHERE {t} = 0")
+    parts = []
+    for c, ty in BASE_COLUMNS:
+        if c == R.id_col:
+            continue
+        txt = f"TRIM(CAST({c} AS VARCHAR))"
+        kind = (f"CASE WHEN {c} IS NULL OR lower({txt}) = 'none' THEN 'none' "
+                f"WHEN lower({txt}) IN ('true', 'false') THEN 'bool' "
+                f"WHEN regexp_full_match({txt}, '{INT_RE[1:-1]}') THEN 'int' "
+                f"WHEN regexp_full_match({txt}, '{FLOAT_RE[1:-1]}') THEN 'float' ELSE 'str' END")
+        parts.append(f"""SELECT {R.id_col}, '{c}' AS column_name, kind,
+  CASE WHEN kind = 'int' THEN TRY_CAST({txt} AS BIGINT) END AS as_long,
+  ROUND(CASE WHEN kind IN ('int', 'float') THEN CAST({c} AS DOUBLE) END, 6) AS as_double,
+  CASE WHEN kind = 'bool' THEN lower({txt}) = 'true' END AS as_bool,
+  CASE WHEN kind = 'str' THEN {txt} END AS as_string
+FROM (SELECT *, {kind} AS kind FROM base) x""")
+    flags = ", ".join(f"{f} <> 0 AS {f}" for f in list(R.flags) + [t])
+    return {
+        "scan_csv": w("SELECT * FROM base"),
+        "scan_csv_dir": union,
+        "union_all": union,
+        "coerce_literal": w(_union(parts)),
+        "parse_bool": w(f"SELECT {R.id_col}, {flags} FROM base"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {"smote": smote_sql()}
+    out.update(source_sql())
     out.update(metric_sql())
     out.update(profile_sql())
     out.update(projection_sql())

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlab.operators.joins import bounded_broadcast
 
@@ -45,6 +46,15 @@ class Roles:
 
 ROLES = Roles()
 
+BASE_SCHEMA = T.StructType([
+    T.StructField("customer_id", T.LongType()), T.StructField("name", T.StringType()),
+    T.StructField("region", T.StringType()), T.StructField("segment", T.StringType()),
+    T.StructField("acct_balance", T.DoubleType()), T.StructField("n_orders", T.LongType()),
+    T.StructField("n_priorities", T.LongType()), T.StructField("avg_price_cents", T.LongType()),
+    T.StructField("tenure_years", T.LongType()), T.StructField("has_urgent", T.IntegerType()),
+    T.StructField("is_active", T.IntegerType()), T.StructField("churned", T.IntegerType()),
+])
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
