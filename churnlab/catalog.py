@@ -19,7 +19,12 @@ from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.operators import prep
 from churnlab.operators import profile as prof
 from churnlab.plans.prepare import PrepOptions, Prepared, prepare
-from churnlab.session import scratch_path
+from churnlab.plans.scoring import as_pipeline, parse_requests, requests_from_rows, score_batch, score_requests
+from churnlab.plans.search import TEST_SPACE, SearchConfig, best_trial, export_best, random_search
+from churnlab.plans.train import TrainConfig, load_model, save_model, train_stage, with_probability
+from churnlab.session import ensure_checkpoint_dir, scratch_path
+from churnlab.sources.runs import filter_runs, latest_artifact, register_model
+from churnlab.streaming.score_stream import score_stream
 from churnlab.functions import scalars as sc
 from churnlab.operators.joins import unpivot
 from churnlab.sources.csv import scan_csv, scan_csv_dir, write_csv
@@ -235,8 +240,129 @@ def _source_queries() -> dict[str, Query]:
     }
 
 
+# ---------------------------------------------------------------- models, scoring, search (rows-only checks)
+
+TRAIN_CONFIG = dict(class_weight="balanced", random_state=42)
+# The reference's production training config (fixed values): boosted trees, SMOTE on.
+PROD_TRAIN = dict(models=["xgboost"], class_weight="balanced", random_state=42, use_smote="true",
+                  hyperparameters={
+                      "logreg": {"C": 1.0, "max_iter": 1000, "solver": "lbfgs"},
+                      "rf": {"n_estimators": 100, "max_depth": 6, "min_samples_split": 2, "min_samples_leaf": 1,
+                             "max_features": "sqrt"},
+                      "xgboost": {"n_estimators": 200, "max_depth": 5, "learning_rate": 0.05, "subsample": 1,
+                                  "colsample_bytree": 0.6}})
+REQUEST_GROUP = 4  # rows per JSON request
+
+
+def _train_one(spark: SparkSession, sf: str, model: str, use_smote=False):
+    p = _prepared(spark, sf)
+    cfg = TrainConfig(models=[model], use_smote=use_smote, **TRAIN_CONFIG)
+    res = train_stage(spark, p.data, p.feature_names, R.target, cfg, int_features=p.encoded_columns)
+    return p, res
+
+
+def _test_predictions(p: Prepared, model) -> DataFrame:
+    test = p.data.where(F.col("split") == "test")
+    return with_probability(model.transform(test)).select(R.id_col, R.target, "prediction",
+                                                          F.col("p1").alias("probability"))
+
+
+def _trained_family(model: str) -> Query:
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        p, res = _train_one(spark, sf, model)
+        return _test_predictions(p, res.best_model)
+    return q
+
+
+def _train_stage(spark: SparkSession, sf: str) -> DataFrame:
+    p = _prepared(spark, sf)
+    res = train_stage(spark, p.data, p.feature_names, R.target, TrainConfig(**PROD_TRAIN),
+                      int_features=p.encoded_columns)
+    return res.runs.drop("logged_at")
+
+
+def _all_three(spark: SparkSession, sf: str):
+    p = _prepared(spark, sf)
+    return p, train_stage(spark, p.data, p.feature_names, R.target, TrainConfig(**TRAIN_CONFIG),
+                          int_features=p.encoded_columns)
+
+
+def _serving(spark: SparkSession, sf: str):
+    p, res = _train_one(spark, sf, "logreg")
+    return p, as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+
+
+RAW_FEATURES = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_price_cents", "tenure_years",
+                "has_urgent", "is_active"]
+RAW_TYPES = {f.name: f.dataType.simpleString() for f in BASE_SCHEMA.fields}
+
+
+def _raw_test(spark: SparkSession, sf: str) -> DataFrame:
+    return prep.stratified_split(_base(spark, sf), R.id_col, R.target, TEST_SIZE, SEED).where(F.col("split") == "test")
+
+
+def _save_load(spark: SparkSession, sf: str) -> DataFrame:
+    p, pipe = _serving(spark, sf)
+    path = save_model(pipe, scratch_path(spark, "model"))
+    register_model(spark, MODEL_REGISTRY(spark), "logreg", path, "local")
+    return score_batch(load_model(path), _raw_test(spark, sf), [R.id_col])
+
+
+def _requests(spark: SparkSession, sf: str) -> DataFrame:
+    b = _base(spark, sf).withColumn("_g", F.floor(F.col(R.id_col) / REQUEST_GROUP))
+    return requests_from_rows(b, R.id_col, RAW_FEATURES, "_g")
+
+
+def _score_stream(spark: SparkSession, sf: str) -> DataFrame:
+    _, pipe = _serving(spark, sf)
+    src = scratch_path(spark, "requests")
+    _requests(spark, sf).write.mode("overwrite").json(src)
+    return score_stream(spark, pipe, src, scratch_path(spark, "scored"), scratch_path(spark, "stream-ckpt"),
+                        RAW_FEATURES, RAW_TYPES).drop("batch_id")
+
+
+def _search(spark: SparkSession, sf: str) -> DataFrame:
+    p = _prepared(spark, sf)
+    cfg = SearchConfig(space=TEST_SPACE, max_trials=2, max_concurrent=2, experiment="hpo-test", sweep_name="hpo-test")
+    return random_search(spark, p.data, p.feature_names, R.target, cfg, int_features=p.encoded_columns)
+
+
+def MODEL_REGISTRY(spark: SparkSession) -> str:  # noqa: N802
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/model-registry"
+
+
+def _model_queries() -> dict[str, Query]:
+    return {
+        "train_logreg": _trained_family("logreg"),
+        "train_rf": _trained_family("rf"),
+        "train_gbt": _trained_family("xgboost"),
+        "train_stage": _train_stage,
+        "predict": lambda s, sf: _test_predictions(*(lambda pr: (pr[0], pr[1].best_model))(_all_three(s, sf))),
+        "log_run": lambda s, sf: _all_three(s, sf)[1].runs.drop("logged_at"),
+        "as_pipeline": lambda s, sf: score_batch(_serving(s, sf)[1], _raw_test(s, sf), [R.id_col]),
+        "save_model": _save_load,
+        "load_model": _save_load,
+        "score_batch": _save_load,
+        "latest_artifact": lambda s, sf: (_save_load(s, sf), latest_artifact(
+            s.read.parquet(MODEL_REGISTRY(s)), name_like="logreg%"))[1],
+        "score_requests": lambda s, sf: score_requests(_serving(s, sf)[1], _requests(s, sf), RAW_FEATURES, RAW_TYPES),
+        "score_stream": _score_stream,
+        "random_search": lambda s, sf: _search(s, sf).drop("logged_at"),
+        "best_trial": lambda s, sf: best_trial(_search(s, sf)).drop("logged_at"),
+        "export_best": lambda s, sf: export_best(best_trial(_search(s, sf))),
+        "filter_runs": lambda s, sf: filter_runs(_search(s, sf), ["logreg", "rf", "xgboost"], "hpo-test",
+                                                 "hpo-test").drop("logged_at"),
+    }
+
+
+def _parse_requests_query(spark: SparkSession, sf: str) -> DataFrame:
+    rows, _ = parse_requests(_requests(spark, sf), RAW_FEATURES, RAW_TYPES)
+    return rows
+
+
 def queries() -> dict[str, Query]:
-    out: dict[str, Query] = {}
+    out: dict[str, Query] = {"score_requests_parse": _parse_requests_query}
+    out.update(_model_queries())
     out.update(_source_queries())
     out.update(_metric_queries())
     out.update(_profile_queries())

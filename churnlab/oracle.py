@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from churnlab.catalog import SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
+from churnlab.catalog import RAW_FEATURES, REQUEST_GROUP, SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
 from churnlab.functions.hashing import sql_hash, sql_uniform
 from churnlab.functions.scalars import FLOAT_RE, INT_RE
 from churnlab.sources.tables import BASE_CTE, ROLES
@@ -360,8 +360,14 @@ FROM (SELECT *, {kind} AS kind FROM base) x""")
     }
 
 
+def requests_sql() -> str:
+    cols = ", ".join(RAW_FEATURES)
+    return w(f"SELECT CAST(FLOOR({R.id_col} / {REQUEST_GROUP}) AS BIGINT) AS request_id, {R.id_col} AS index, {cols} "
+             "FROM base")
+
+
 def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {"smote": smote_sql()}
+    out: dict[str, str] = {"smote": smote_sql(), "score_requests_parse": requests_sql()}
     out.update(source_sql())
     out.update(metric_sql())
     out.update(profile_sql())

@@ -175,12 +175,21 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
         test.unpersist()
         for df in cache.values():
             df.unpersist()
-    return spark.createDataFrame(rows, RUNS_SCHEMA)
+    # One sweep (parent) row per model, carrying its best score like the scheduler's sweep job.
+    sweeps = []
+    for m, parent in dict((j[0], j[1]) for j in jobs).items():
+        scores = [r[7].get(config.metric) for r in rows if r[1] == parent and r[7].get(config.metric) is not None]
+        best = (max(scores) if config.mode == "max" else min(scores)) if scores else None
+        sweeps.append(run_row(run_id=parent, parent_run_id=None, experiment=config.experiment,
+                              run_name=f"{config.sweep_name}-{m}", run_type="sweep", model=m,
+                              metrics={"score": best} if best is not None else {},
+                              tags={"primary_metric": config.metric, "mode": config.mode}))
+    return spark.createDataFrame(sweeps + rows, RUNS_SCHEMA)
 
 
 def best_trial(trials: DataFrame, metric: str = "f1", mode: str = "max") -> DataFrame:
     """Best trial per sweep, then the overall winner (mode honoured; first listed wins ties; null scores skipped)."""
-    t = trials.withColumn("score", F.col("metrics")[metric]).withColumn("ordinal", F.col("tags")["trial"].cast("int"))
+    t = trials.where(F.col("run_type") == "trial").withColumn("score", F.col("metrics")[metric]).withColumn("ordinal", F.col("tags")["trial"].cast("int"))
     per_model = select_best(t, "score", mode, "ordinal", ["model"])
     order = F.array_position(F.array(*[F.lit(m) for m in MODEL_PREFIXES]), F.col("model"))
     return select_best(per_model.withColumn("ordinal", order), "score", mode, "ordinal")
