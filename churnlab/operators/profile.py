@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.operators.joins import bounded_broadcast, unpivot
-from churnlab.operators.quantiles import exact_percentiles, percentiles_wide
+from churnlab.operators.quantiles import quantiles_wide
 
 NUMERIC_TYPES = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
 # pandas' dtype-based numeric selection in the reference names exactly these.
@@ -43,25 +43,30 @@ def profile_info(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """count, mean, sample std, min, exact linear quartiles, max per numeric column."""
+    """count, mean, sample std, min, exact linear quartiles, max per numeric column.
+
+    One wide aggregate (read back: one row) gives the moments and the row
+    count that sizes the percentile buckets; the quartiles are exact and
+    distributed (``exact_quantiles``) unless ``approx``.
+    """
     cols = columns or numeric_columns(df)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stats = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"))
-        for c in cols])))
-    long = unpivot(df, [], cols, "column_name", "value", cast="double")
+    row = df.agg(*aggs).first()
+    stats = df.sparkSession.createDataFrame(
+        [(c, row[f"{c}__count"], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"], row[f"{c}__max"]) for c in cols],
+        "column_name string, count bigint, mean double, std double, min double, max double")
+    n = max([row[f"{c}__count"] for c in cols] + [0])
     if approx:
+        long = unpivot(df, [], cols, "column_name", "value", cast="double")
         q = long.groupBy("column_name").agg(
             F.percentile_approx("value", F.array(*[F.lit(p) for p in QUARTILES.values()]), 10_000).alias("_q")
         ).select("column_name", *[F.col("_q")[i].alias(k) for i, k in enumerate(QUARTILES)])
     else:
-        q = percentiles_wide(long, ["column_name"], "value", QUARTILES)
+        q = quantiles_wide(df, cols, QUARTILES, n_rows=n)
     out = stats.join(q, "column_name", "left")
     return out.select("column_name", "count", *[_r(F.col(c)).alias(c) for c in ("mean", "std", "min")],
                       *[_r(F.col(c)).alias(c) for c in QUARTILES], _r(F.col("max")).alias("max"))
@@ -190,17 +195,18 @@ def histogram(df: DataFrame, features: list[str], target: str | None = None, bin
 
 def boxplot_stats(df: DataFrame, features: list[str], target: str, whis: float = 1.5) -> DataFrame:
     """Per (feature, class): quartiles, whiskers (extreme data within whis x IQR), flier count."""
+    q = quantiles_wide(df.select(F.col(target).alias("label"), *features), features,
+                       {"q1": 0.25, "median": 0.5, "q3": 0.75}, group_cols=["label"])
+    q = q.withColumnRenamed("column_name", "feature").withColumn("iqr", F.col("q3") - F.col("q1"))
+    q = q.withColumn("_lo", F.col("q1") - whis * F.col("iqr")).withColumn("_hi", F.col("q3") + whis * F.col("iqr"))
     long = unpivot(df.select(F.col(target).alias("label"), *features), ["label"], features,
                    "feature", "value", cast="double").where(F.col("value").isNotNull())
-    q = percentiles_wide(long, ["feature", "label"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    q = q.withColumn("_lo", F.col("q1") - whis * F.col("iqr")).withColumn("_hi", F.col("q3") + whis * F.col("iqr"))
-    q = bounded_broadcast(q, 100_000)
     v = F.col("value")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    agg = long.join(q.select("feature", "label", "_lo", "_hi"), ["feature", "label"]).groupBy("feature", "label").agg(
-        F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_fliers"), F.count("*").alias("n"))
+    # q has one row per (feature, class).
+    agg = long.join(F.broadcast(q.select("feature", "label", "_lo", "_hi")), ["feature", "label"]).groupBy(
+        "feature", "label").agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
+                                F.count_if(~inside).alias("n_fliers"), F.count("*").alias("n"))
     return q.join(agg, ["feature", "label"]).select(
         "feature", "label", "n", *[_r(F.col(c)).alias(c) for c in ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
         "n_fliers")

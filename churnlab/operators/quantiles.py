@@ -4,79 +4,84 @@ Spark's ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a describe over a 100 TB table would funnel a whole
 column into one reducer. Here:
 
-1. approximate bucket boundaries per group (``percentile_approx``, bounded
-   size: groups x buckets);
-2. distinct values with multiplicity per (group, bucket), map-side combined,
-   so one hot value is one row however many times it occurs;
-3. bucket totals (small) give each bucket's starting rank;
-4. only the buckets holding a wanted rank are sorted, with a window
-   partitioned by (group, bucket) -- about n / buckets values each.
+1. approximate quantiles of each column (``approxQuantile``: a bounded
+   sketch, ``buckets`` cut points per column) become bucket boundaries, and a
+   ``Bucketizer`` (binary search, JVM side) tags every value with its bucket;
+2. distinct values with multiplicity per (group, column, bucket) --
+   map-side combined, so one hot value is one row however often it occurs;
+3. bucket totals (groups x columns x buckets rows) give each bucket's first rank;
+4. only the buckets holding a wanted rank are sorted, by a window partitioned
+   by (group, column, bucket) -- about n / buckets values each.
 
 The result equals NumPy/pandas ``quantile`` (linear) and DuckDB ``quantile_cont``.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.operators.joins import bounded_broadcast
+TARGET_BUCKET_ROWS = 200_000
+MAX_BUCKETS = 65_536
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                      buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
-    """Return (keys..., p double, q double); nulls are skipped, empty groups absent."""
-    data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = data.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(c) for c in cuts]), accuracy).alias("_bounds"),
-        F.count("*").alias("_n"),
-    )
-    bounds = bounded_broadcast(bounds, 50_000)
-    counted = (
-        data.join(bounds.select(*keys, "_bounds"), keys)
-        .withColumn("_b", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))))
-        .groupBy(*keys, "_b", "_v")
-        .agg(F.count("*").alias("_w"))
-    )
-    per_bucket = counted.groupBy(*keys, "_b").agg(F.sum("_w").alias("_bw"))
-    wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("_start", F.coalesce(F.sum("_bw").over(wk), F.lit(0)))
+def choose_buckets(n_rows: int) -> int:
+    return int(min(MAX_BUCKETS, max(1, math.ceil(n_rows / TARGET_BUCKET_ROWS))))
 
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (
-        bounds.select(*keys, "_n", F.explode(prob_arr).alias("p"))
-        .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-        .select(*keys, "p", "_pos",
-                F.explode(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))).alias("_r"))
-        .distinct()
-    )
-    targets = targets.join(per_bucket, keys).where(
-        (F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_bw"))
-    ).select(*keys, "p", "_pos", "_r", "_b", "_start")
-    targets = bounded_broadcast(targets, 200_000)
 
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], group_cols: list[str] | None = None,
+                    buckets: int | None = None, n_rows: int | None = None) -> DataFrame:
+    """Return (group..., column_name, p, q); nulls skipped; empty groups absent."""
+    group_cols = list(group_cols or [])
+    data = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in columns])
+    if buckets is None:
+        buckets = choose_buckets(n_rows if n_rows is not None else data.count())
+    bcols = [f"{c}__bucket" for c in columns]
+    if buckets > 1:
+        cuts = [i / buckets for i in range(1, buckets)]
+        # approxQuantile skips nulls/NaN; one pass, a bounded sketch per column.
+        qs = data.approxQuantile(columns, cuts, 1.0 / (4 * buckets))
+        splits = [[-math.inf] + sorted(set(x for x in q if x is not None and not math.isinf(x))) + [math.inf]
+                  for q in qs]
+        tagged = Bucketizer(splitsArray=splits, inputCols=columns, outputCols=bcols,
+                            handleInvalid="keep").transform(data)
+    else:
+        tagged = data.select("*", *[F.lit(0.0).alias(b) for b in bcols])
+    long = tagged.select(*group_cols, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_v"), F.col(b).cast("int").alias("_b"))
+        for c, b in zip(columns, bcols)]))).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    keys = group_cols + ["column_name"]
+    counted = long.groupBy(*keys, "_b", "_v").agg(F.count("*").alias("_w"))
+    per_bucket = counted.groupBy(*keys, "_b").agg(F.sum("_w").alias("_bw"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(*keys, "_b", "_bw", F.coalesce(F.sum("_bw").over(before), F.lit(0)).alias("_start"),
+                                   F.sum("_bw").over(Window.partitionBy(*keys)).alias("_n"))
+    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
+    # (groups x columns x buckets) rows in, (groups x columns x probs x 2) rows out.
+    targets = (per_bucket.select(*keys, "_b", "_bw", "_start", "_n", F.explode(prob_arr).alias("p"))
+               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+               .withColumn("_r", F.explode(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))))
+               .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_bw")))
+               .select(*keys, "p", "_pos", "_r", "_b", "_start"))
     wanted = targets.select(*keys, "_b").distinct()
     wb = Window.partitionBy(*keys, "_b").orderBy("_v")
-    in_bucket = (
-        counted.join(wanted, keys + ["_b"], "left_semi")
-        .withColumn("_hi_rank", F.sum("_w").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_w"))
-    )
-    at_rank = targets.join(in_bucket, keys + ["_b"]).where(
-        (F.col("_r") - F.col("_start") >= F.col("_lo_rank")) & (F.col("_r") - F.col("_start") < F.col("_hi_rank"))
-    )
-    out = at_rank.groupBy(*keys, "p", "_pos").agg(
-        F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi")
-    )
+    in_bucket = (counted.join(F.broadcast(wanted), keys + ["_b"], "left_semi")
+                 .withColumn("_hi_rank", F.sum("_w").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+                 .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_w")))
+    at_rank = F.broadcast(targets).join(in_bucket, keys + ["_b"]).where(
+        (F.col("_r") - F.col("_start") >= F.col("_lo_rank")) & (F.col("_r") - F.col("_start") < F.col("_hi_rank")))
+    out = at_rank.groupBy(*keys, "p", "_pos").agg(F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi"))
     frac = F.col("_pos") - F.floor("_pos")
     return out.select(*keys, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("q"))
 
 
-def percentiles_wide(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                     **kw) -> DataFrame:
-    """Same as :func:`exact_percentiles`, one column per named probability."""
-    long = exact_percentiles(df, keys, value, list(probs.values()), **kw)
-    return long.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(name) for name, p in probs.items()]
-    )
+def quantiles_wide(df: DataFrame, columns: list[str], probs: dict[str, float], group_cols: list[str] | None = None,
+                   **kw) -> DataFrame:
+    """(group..., column_name, <name>...) with one column per named probability."""
+    group_cols = list(group_cols or [])
+    long = exact_quantiles(df, columns, list(probs.values()), group_cols, **kw)
+    return long.groupBy(*group_cols, "column_name").agg(
+        *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(name) for name, p in probs.items()])
