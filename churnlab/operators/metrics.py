@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.operators.quantiles import choose_buckets
+
 
 def _safe_div(a, b):
     # zero_division=0 semantics, ANSI-safe.
@@ -31,27 +36,32 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     return metrics_from_confusion(confusion(df, label, prediction))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """Exact rank AUC (ties count one half); one class only -> 0.5.
 
     1. group by score: (s, pos, neg) -- one row per distinct score, map-side
        combined, so a score shared by a third of all rows is one row;
-    2. approximate quantiles of s (``buckets`` doubles, a bounded parameter)
-       split the distinct scores into ordered buckets;
+    2. approximate quantiles of s (a bounded sketch) cut the distinct scores
+       into ordered buckets (``Bucketizer``: binary search);
     3. negatives per bucket (<= buckets rows) are prefix-summed;
-    4. inside each bucket a window gives negatives strictly below each score;
+    4. inside each bucket a window gives the negatives strictly below each score;
     AUC = sum(pos * (neg_below + neg / 2)) / (P * N).
     """
     g = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     g = g.checkpoint(eager=True)
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = g.stat.approxQuantile("_s", cuts, 1.0 / (4 * buckets)) if g.take(1) else []
-    bounds = sorted(set(b for b in bounds if b is not None))
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    gb = g.withColumn("_b", F.size(F.filter(arr, lambda b: b < F.col("_s"))))
+    if buckets is None:
+        buckets = choose_buckets(g.count())
+    if buckets > 1:
+        cuts = [i / buckets for i in range(1, buckets)]
+        bounds = g.approxQuantile("_s", cuts, 1.0 / (4 * buckets))
+        splits = [-math.inf] + sorted(set(b for b in bounds if not math.isinf(b))) + [math.inf]
+        gb = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep").transform(g) \
+            .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+    else:
+        gb = g.withColumn("_b", F.lit(0))
     per = gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg"))
-    # At most len(bounds) + 1 rows: ordered prefix sum over the bucket table.
+    # At most ``buckets`` rows: ordered prefix sum over the bucket table.
     off = per.select("_b", F.coalesce(F.sum("_bneg").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     inner = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
