@@ -88,11 +88,15 @@ def _search(probes: DataFrame, members: DataFrame, k: int, dims: int, tile: int,
         "cl", F.ceil(F.col("_m") / tile).cast("int").alias("_S"), F.ceil(F.col("_p") / tile).cast("int").alias("_Q"))
     sizes = bounded_broadcast(sizes, 1_000_000)
     tile_of = lambda n: F.pmod(F.conv(F.substring(seeded_hash(seed, "tile", F.col("pid")), 1, 8), 16, 10)
-                               .cast("bigint"), F.col(n))
+                               .cast("bigint"), F.col(n)).cast("int")
     m = (members.join(sizes, "cl").withColumn("tm", tile_of("_S"))
-         .withColumn("tp", F.explode(F.sequence(F.lit(0), F.col("_Q") - 1))).select("cl", "tm", "tp", "pid", "vec"))
+         .withColumn("tp", F.explode(F.sequence(F.lit(0), F.col("_Q") - 1)))
+         .withColumn("tp", F.col("tp").cast("int"))
+         .select("cl", "tm", "tp", "pid", "vec"))
     p = (probes.join(sizes, "cl").withColumn("tp", tile_of("_Q"))
-         .withColumn("tm", F.explode(F.sequence(F.lit(0), F.col("_S") - 1))).select("cl", "tm", "tp", "pid", "vec"))
+         .withColumn("tm", F.explode(F.sequence(F.lit(0), F.col("_S") - 1)))
+         .withColumn("tm", F.col("tm").cast("int"))
+         .select("cl", "tm", "tp", "pid", "vec"))
     return (p.groupBy("cl", "tm", "tp").cogroup(m.groupBy("cl", "tm", "tp"))
             .applyInPandas(_tile_topk(k, dims), KNN_SCHEMA))
 

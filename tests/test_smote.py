@@ -21,15 +21,18 @@ def _brute(ids, x, k):
     return out
 
 
-@pytest.mark.parametrize("pivots,tile", [(None, 1024), (40, 16)])
-def test_knn_exact_against_brute_force(spark, pivots, tile):
+@pytest.mark.parametrize("pivots,tile,dims,n", [(None, 1024, 4, 300), (40, 16, 4, 300), (30, 64, 9, 1500)])
+def test_knn_exact_against_brute_force(spark, pivots, tile, dims, n):
     rng = np.random.default_rng(11)
-    x = np.concatenate([rng.normal(size=(300, 4)), np.zeros((60, 4)), rng.normal(3, 0.1, size=(40, 4))])
+    x = np.concatenate([rng.normal(size=(n, 4)), np.zeros((60, 4)), rng.normal(3, 0.1, size=(40, 4))])
+    if dims > 4:
+        x = np.concatenate([x, rng.normal(size=(len(x), dims - 4))], axis=1)
     x = np.round(x, 3)
     ids = np.arange(len(x)) * 3 + 5
-    pdf = pd.DataFrame(x, columns=list("abcd"))
+    cols = [f"f{i}" for i in range(x.shape[1])]
+    pdf = pd.DataFrame(x, columns=cols)
     pdf["id"] = ids
-    got = exact_knn(spark.createDataFrame(pdf), "id", list("abcd"), k=5, n_pivots=pivots, tile=tile).collect()
+    got = exact_knn(spark.createDataFrame(pdf), "id", cols, k=5, n_pivots=pivots, tile=tile).collect()
     gmap = {}
     for r in sorted(got, key=lambda r: (r["a"], r["nn_rank"])):
         gmap.setdefault(r["a"], []).append(r["b"])
