@@ -20,7 +20,7 @@ from churnlab.operators import metrics as mt
 from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.operators import prep
 from churnlab.operators import profile as prof
-from churnlab.plans.prepare import PrepOptions, Prepared, prepare
+from churnlab.plans.prepare import PrepOptions, Prepared, load_prepared, prepare
 from churnlab.plans.scoring import as_pipeline, parse_requests, requests_from_rows, score_batch, score_requests
 from churnlab.plans.search import TEST_SPACE, SearchConfig, best_trial, export_best, random_search
 from churnlab.plans.train import TrainConfig, load_model, save_model, train_stage, with_probability
@@ -46,14 +46,32 @@ SEED = 42
 SMOTE_K = 5
 
 
+def _stored_path(spark: SparkSession, name: str, sf: str) -> str:
+    key = hashlib.md5(os.path.abspath(sf).encode()).hexdigest()[:12]
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{key}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018 - listing only
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def _base(spark: SparkSession, sf: str) -> DataFrame:
-    return base_table(spark, sf)
+    """The churn table, derived from the test tables once per input folder and stored in the
+    shared folder (an ETL output); every report reads it like any other table."""
+    path = _stored_path(spark, "base", sf)
+    if not _exists(spark, path):
+        base_table(spark, sf).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _profile_queries() -> dict[str, Query]:
     t = R.target
     return {
-        "scan_parquet": lambda s, sf: _base(s, sf),
+        "scan_parquet": lambda s, sf: base_table(s, sf),
         "profile_info": lambda s, sf: prof.profile_info(_base(s, sf)),
         "describe": lambda s, sf: prof.describe(_base(s, sf)),
         "null_counts": lambda s, sf: prof.null_counts(read_table(s, sf, "customer")),
@@ -100,6 +118,16 @@ def _prepared(spark: SparkSession, sf: str) -> Prepared:
     return prepare(_base(spark, sf), PrepOptions(test_size=TEST_SIZE, seed=SEED))
 
 
+def _prepared_stored(spark: SparkSession, sf: str) -> Prepared:
+    """The preparation stage's output as the training stage reads it: prepared table + artifacts on storage."""
+    path = _stored_path(spark, "prepared", sf)
+    if not _exists(spark, path + "/metadata"):
+        p = _prepared(spark, sf)
+        write_prepared(p.data, path + "/data")
+        save_artifacts(path, encoder=p.encoder, scaler=p.scaler, metadata=p.metadata())
+    return load_prepared(spark, path, PrepOptions(test_size=TEST_SIZE, seed=SEED))
+
+
 def _write_read(spark: SparkSession, sf: str) -> DataFrame:
     p = _prepared(spark, sf)
     path = scratch_path(spark, "prepared")
@@ -179,7 +207,7 @@ def _metric_queries() -> dict[str, Query]:
 
 
 def _smote(spark: SparkSession, sf: str) -> DataFrame:
-    p = _prepared(spark, sf)
+    p = _prepared_stored(spark, sf)
     # Features rounded to 6 places first so an oracle engine sees the same inputs.
     train = round_doubles(p.data.where(F.col("split") == "train").drop("split"))
     out = imb.smote(train, R.id_col, R.target, p.feature_names, int_features=p.encoded_columns, k=SMOTE_K, seed=SEED)
@@ -257,7 +285,7 @@ REQUEST_GROUP = 4  # rows per JSON request
 
 
 def _train_one(spark: SparkSession, sf: str, model: str, use_smote=False):
-    p = _prepared(spark, sf)
+    p = _prepared_stored(spark, sf)
     cfg = TrainConfig(models=[model], use_smote=use_smote, **TRAIN_CONFIG)
     res = train_stage(spark, p.data, p.feature_names, R.target, cfg, int_features=p.encoded_columns)
     return p, res
@@ -277,21 +305,30 @@ def _trained_family(model: str) -> Query:
 
 
 def _train_stage(spark: SparkSession, sf: str) -> DataFrame:
-    p = _prepared(spark, sf)
+    p = _prepared_stored(spark, sf)
     res = train_stage(spark, p.data, p.feature_names, R.target, TrainConfig(**PROD_TRAIN),
                       int_features=p.encoded_columns)
     return res.runs.drop("logged_at")
 
 
 def _all_three(spark: SparkSession, sf: str):
-    p = _prepared(spark, sf)
+    p = _prepared_stored(spark, sf)
     return p, train_stage(spark, p.data, p.feature_names, R.target, TrainConfig(**TRAIN_CONFIG),
                           int_features=p.encoded_columns)
 
 
 def _serving(spark: SparkSession, sf: str):
-    p, res = _train_one(spark, sf, "logreg")
-    return p, as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+    """The deployed pipeline: trained and registered once per input folder, then loaded like an endpoint does."""
+    path = _stored_path(spark, "serving-model", sf)
+    p = _prepared_stored(spark, sf)
+    try:
+        return p, load_model(path)
+    except FileNotFoundError:
+        p, res = _train_one(spark, sf, "logreg")
+        pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+        save_model(pipe, path)
+        register_model(spark, MODEL_REGISTRY(spark), "logreg-serving", path, res.results["logreg"].run_id)
+        return p, load_model(path)
 
 
 RAW_FEATURES = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_price_cents", "tenure_years",
@@ -303,6 +340,12 @@ def _raw_test(spark: SparkSession, sf: str) -> DataFrame:
     return prep.stratified_split(_base(spark, sf), R.id_col, R.target, TEST_SIZE, SEED).where(F.col("split") == "test")
 
 
+def _as_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    p, res = _train_one(spark, sf, "logreg")
+    pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+    return score_batch(pipe, _raw_test(spark, sf), [R.id_col])
+
+
 def _save_load(spark: SparkSession, sf: str) -> DataFrame:
     p, pipe = _serving(spark, sf)
     path = save_model(pipe, scratch_path(spark, "model"))
@@ -324,7 +367,7 @@ def _score_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_search(spark: SparkSession, sf: str) -> DataFrame:
-    p = _prepared(spark, sf)
+    p = _prepared_stored(spark, sf)
     cfg = SearchConfig(space=TEST_SPACE, max_trials=2, max_concurrent=2, experiment="hpo-test", sweep_name="hpo-test")
     return random_search(spark, p.data, p.feature_names, R.target, cfg, int_features=p.encoded_columns)
 
@@ -365,7 +408,7 @@ def _model_queries() -> dict[str, Query]:
         "train_stage": _train_stage,
         "predict": lambda s, sf: _test_predictions(*(lambda pr: (pr[0], pr[1].best_model))(_all_three(s, sf))),
         "log_run": lambda s, sf: _all_three(s, sf)[1].runs.drop("logged_at"),
-        "as_pipeline": lambda s, sf: score_batch(_serving(s, sf)[1], _raw_test(s, sf), [R.id_col]),
+        "as_pipeline": _as_pipeline,
         "save_model": _save_load,
         "load_model": _save_load,
         "score_batch": _save_load,

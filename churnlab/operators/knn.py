@@ -36,8 +36,14 @@ from churnlab.operators.rank import bucketed_rank
 KNN_SCHEMA = "a long, b long, dist double"
 
 
-def _pivot_dist(v: np.ndarray, pivots: np.ndarray, chunk: int = 1024) -> np.ndarray:
+def _row_chunk(n_pivots: int, cells: int = 4_000_000) -> int:
+    """Rows per block so that a rows x pivots block stays around 32 MB."""
+    return max(1, cells // max(1, n_pivots))
+
+
+def _pivot_dist(v: np.ndarray, pivots: np.ndarray, chunk: int | None = None) -> np.ndarray:
     """Distances rows x pivots, accumulated per dimension in row chunks (bounded memory)."""
+    chunk = chunk or _row_chunk(len(pivots))
     out = np.empty((len(v), len(pivots)))
     for s in range(0, len(v), chunk):
         blk = v[s:s + chunk]
@@ -107,7 +113,7 @@ def _top_k(cands: DataFrame, k: int) -> DataFrame:
 
 
 def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, seed: int = 42,
-              n_pivots: int | None = None, tile: int = 1024, max_pivots: int = 2048) -> DataFrame:
+              n_pivots: int | None = None, tile: int = 1024, max_pivots: int = 65_536) -> DataFrame:
     """(a, b, dist, nn_rank): the k nearest other points of every point (Euclidean)."""
     dims = len(features)
     pts = points.select(F.col(id_col).cast("long").alias("pid"),
@@ -120,21 +126,26 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
     # Pivot choice: the n_piv smallest seeded hashes (a sampling step).
     ranked = bucketed_rank(pts.withColumn("_h", seeded_hash(seed, "pivot", F.col("pid"))), [], "_h", "pid", "_r")
     piv_rows = ranked.where(F.col("_r") <= n_piv).select("vec").collect()
-    pivots = np.array([r["vec"] for r in piv_rows], dtype="float64").reshape(-1, dims)
+    # pivots x dims doubles (<= 65,536 x dims): shipped once per executor as a broadcast.
+    pivots_bc = pts.sparkSession.sparkContext.broadcast(
+        np.array([r["vec"] for r in piv_rows], dtype="float64").reshape(-1, dims))
+    n_piv_real = len(piv_rows)
 
     def assign(it):
-        for pdf in it:
-            if not len(pdf):
-                continue
-            v = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), dims)
-            d = _pivot_dist(v, pivots)
-            j = d.argmin(axis=1)
-            yield pd.DataFrame({"pid": pdf["pid"], "vec": pdf["vec"], "cl": j.astype("int32"),
-                                "d0": d[np.arange(len(pdf)), j]})
+        piv = pivots_bc.value
+        step = _row_chunk(len(piv))
+        for batch in it:
+            for s in range(0, len(batch), step):
+                pdf = batch.iloc[s:s + step]
+                v = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), dims)
+                d = _pivot_dist(v, piv)
+                j = d.argmin(axis=1)
+                yield pd.DataFrame({"pid": pdf["pid"].to_numpy(), "vec": pdf["vec"].to_numpy(),
+                                    "cl": j.astype("int32"), "d0": d[np.arange(len(pdf)), j]})
 
     assigned = pts.mapInPandas(assign, "pid long, vec array<double>, cl int, d0 double").checkpoint(eager=True)
     radius = {r["cl"]: r["R"] for r in assigned.groupBy("cl").agg(F.max("d0").alias("R")).collect()}
-    rad = np.array([radius.get(j, -np.inf) for j in range(len(pivots))])
+    rad_bc = pts.sparkSession.sparkContext.broadcast(np.array([radius.get(j, -np.inf) for j in range(n_piv_real)]))
 
     # Phase 1: own cluster.
     own = assigned.select("pid", "vec", "cl")
@@ -144,19 +155,20 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
                          F.when(F.col("_c") >= k, F.col("_r")).otherwise(F.lit(float("inf"))).alias("r_a"))
 
     def candidates(it):
-        for pdf in it:
-            if not len(pdf):
-                continue
-            v = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), dims)
-            d = _pivot_dist(v, pivots)
-            lower = d - rad[None, :]
-            r = pdf["r_a"].fillna(np.inf).to_numpy()
-            ok = lower <= (r[:, None] + 1e-9)
-            ok[np.arange(len(pdf)), pdf["cl"].to_numpy()] = False
-            rows, cls = np.nonzero(ok)
-            if len(rows):
-                yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "vec": pdf["vec"].to_numpy()[rows],
-                                    "cl": cls.astype("int32")})
+        piv, rad = pivots_bc.value, rad_bc.value
+        step = _row_chunk(len(piv))
+        for batch in it:
+            for s in range(0, len(batch), step):
+                pdf = batch.iloc[s:s + step]
+                v = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), dims)
+                lower = _pivot_dist(v, piv) - rad[None, :]
+                r = pdf["r_a"].fillna(np.inf).to_numpy()
+                ok = lower <= (r[:, None] + 1e-9)
+                ok[np.arange(len(pdf)), pdf["cl"].to_numpy()] = False
+                rows, cls = np.nonzero(ok)
+                if len(rows):
+                    yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "vec": pdf["vec"].to_numpy()[rows],
+                                        "cl": cls.astype("int32")})
 
     probe2 = assigned.join(bound, "pid", "left").mapInPandas(candidates, "pid long, vec array<double>, cl int")
     second = _search(probe2, own, k, dims, tile, seed)

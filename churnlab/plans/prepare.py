@@ -86,3 +86,18 @@ def prepare(df: DataFrame, opts: PrepOptions | None = None) -> Prepared:
     data = prep.scale_transform(encoded, params, scaled_cols)
     data = data.select(r.id_col, *features, r.target, "split")
     return Prepared(data, encoder, scaler, features, encoded_cols, scaled_cols, dropped, maps or {}, params, opts)
+
+
+def load_prepared(spark, path: str, opts: PrepOptions | None = None) -> Prepared:
+    """Read a stored preparation (``path``/data partitioned by split, plus encoder, scaler, metadata)."""
+    from churnlab.sources.prepared import load_artifacts, read_prepared
+
+    opts = opts or PrepOptions()
+    art = load_artifacts(spark, path)
+    meta = art["metadata"].first()
+    data = read_prepared(spark, path.rstrip("/") + "/data", meta["target_name"])
+    data = data.select(opts.roles.id_col, *meta["feature_names"], meta["target_name"], "split")
+    return Prepared(data, art["encoder"], art["scaler"], list(meta["feature_names"]),
+                    list(meta["categorical_encoded_columns"]), list(meta["scaled_numeric_columns"]),
+                    list(meta["dropped_columns"]), prep._encoder_maps(art["encoder"]) or {},
+                    prep.scaler_params(art["scaler"]), opts)
