@@ -47,7 +47,9 @@ SMOTE_K = 5
 
 
 def _stored_path(spark: SparkSession, name: str, sf: str) -> str:
-    key = hashlib.md5(os.path.abspath(sf).encode()).hexdigest()[:12]
+    """Per application and input folder: reused by the queries of one session, never across sessions."""
+    app = spark.sparkContext.applicationId
+    key = hashlib.md5(f"{app}|{os.path.abspath(sf)}".encode()).hexdigest()[:16]
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{key}"
 
 
@@ -374,8 +376,7 @@ def _run_search(spark: SparkSession, sf: str) -> DataFrame:
 
 def _search(spark: SparkSession, sf: str) -> DataFrame:
     """The search's runs table, stored once per input folder in the shared folder (like a tracking store)."""
-    key = hashlib.md5(os.path.abspath(sf).encode()).hexdigest()[:12]
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/hpo-runs-{key}"
+    path = _stored_path(spark, "hpo-runs", sf)
     try:
         return read_runs(spark, path).where(F.lit(True))
     except Exception:  # noqa: BLE001 - not searched yet

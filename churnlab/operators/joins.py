@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlab.session import checkpoint
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
@@ -20,7 +22,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     executor does not force recomputation. Beyond the bound the frame is
     returned unhinted and the planner (plus AQE at runtime) uses a shuffle join.
     """
-    stored = df.checkpoint(eager=True)
+    stored = checkpoint(df)
     return F.broadcast(stored) if row_count_at_most(stored, max_rows) else stored
 
 

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.session import checkpoint
+
 from churnlab.functions.hashing import seeded_hash
 from churnlab.operators.joins import bounded_broadcast
 from churnlab.operators.rank import bucketed_rank
@@ -118,7 +120,7 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
     dims = len(features)
     pts = points.select(F.col(id_col).cast("long").alias("pid"),
                         F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
-    pts = pts.checkpoint(eager=True)
+    pts = checkpoint(pts)
     n = pts.count()
     if n <= k:
         raise ValueError(f"Expected n_neighbors <= n_samples: {k + 1} > {n}")
@@ -143,13 +145,13 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
                 yield pd.DataFrame({"pid": pdf["pid"].to_numpy(), "vec": pdf["vec"].to_numpy(),
                                     "cl": j.astype("int32"), "d0": d[np.arange(len(pdf)), j]})
 
-    assigned = pts.mapInPandas(assign, "pid long, vec array<double>, cl int, d0 double").checkpoint(eager=True)
+    assigned = checkpoint(pts.mapInPandas(assign, "pid long, vec array<double>, cl int, d0 double"))
     radius = {r["cl"]: r["R"] for r in assigned.groupBy("cl").agg(F.max("d0").alias("R")).collect()}
     rad_bc = pts.sparkSession.sparkContext.broadcast(np.array([radius.get(j, -np.inf) for j in range(n_piv_real)]))
 
     # Phase 1: own cluster.
     own = assigned.select("pid", "vec", "cl")
-    first = _top_k(_search(own, own, k, dims, tile, seed), k).checkpoint(eager=True)
+    first = checkpoint(_top_k(_search(own, own, k, dims, tile, seed), k))
     bound = first.groupBy("a").agg(F.count("*").alias("_c"), F.max("dist").alias("_r"))
     bound = bound.select(F.col("a").alias("pid"),
                          F.when(F.col("_c") >= k, F.col("_r")).otherwise(F.lit(float("inf"))).alias("r_a"))

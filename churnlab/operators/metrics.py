@@ -8,6 +8,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.session import checkpoint
+
 from churnlab.operators.quantiles import choose_buckets
 
 
@@ -49,7 +51,7 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
     """
     g = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-    g = g.checkpoint(eager=True)
+    g = checkpoint(g)
     if buckets is None:
         buckets = choose_buckets(g.count())
     if buckets > 1:

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlab.session import checkpoint
+
 from churnlab.operators import prep
 from churnlab.operators.columns import numeric_names, remove_columns
 from churnlab.sources.tables import ROLES, Roles
@@ -73,7 +75,7 @@ def prepare(df: DataFrame, opts: PrepOptions | None = None) -> Prepared:
     opts = opts or PrepOptions()
     r = opts.roles
     split, dropped = split_frame(df, opts)
-    split = split.checkpoint(eager=True)
+    split = checkpoint(split)
     features = [c for c in split.columns if c not in (r.id_col, r.target, "split")]
     train = split.where(F.col("split") == "train")
     encoder = prep.encode_fit(train, r.categorical)

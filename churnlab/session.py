@@ -69,3 +69,9 @@ def local_path(path: str) -> str:
 
 def exists_local(path: str) -> bool:
     return os.path.exists(local_path(path))
+
+
+def checkpoint(df):
+    """Reliable checkpoint into the shared folder (never ``localCheckpoint``); cuts lineage, survives executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
