@@ -70,9 +70,10 @@ def smote(df: DataFrame, id_col: str, target: str, features: list[str], int_feat
     value = x + u (nn - x); integer features are truncated back, as the
     reference library does.
     """
-    counts = {r[target]: r["count"] for r in df.groupBy(target).count().collect()}
-    if len(counts) > MAX_CLASSES:
+    rows = df.groupBy(target).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
         raise ValueError("too many classes")
+    counts = {r[target]: r["count"] for r in rows}
     n_max = max(counts.values()) if counts else 0
     majority = min(c for c, n in counts.items() if n == n_max) if counts else None
     base = df.withColumn("smote_source", F.lit(None).cast("long")).withColumn("smote_draw", F.lit(None).cast("int"))

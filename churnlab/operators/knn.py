@@ -33,7 +33,6 @@ from churnlab.session import checkpoint
 
 from churnlab.functions.hashing import seeded_hash
 from churnlab.operators.joins import bounded_broadcast
-from churnlab.operators.rank import bucketed_rank
 
 KNN_SCHEMA = "a long, b long, dist double"
 
@@ -126,8 +125,9 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
         raise ValueError(f"Expected n_neighbors <= n_samples: {k + 1} > {n}")
     n_piv = n_pivots or int(min(max_pivots, max(1, round(np.sqrt(n)))))
     # Pivot choice: the n_piv smallest seeded hashes (a sampling step).
-    ranked = bucketed_rank(pts.withColumn("_h", seeded_hash(seed, "pivot", F.col("pid"))), [], "_h", "pid", "_r")
-    piv_rows = ranked.where(F.col("_r") <= n_piv).select("vec").collect()
+    # A bounded top-n (TakeOrderedAndProject keeps n_piv rows per task), not a global sort.
+    piv_rows = (pts.withColumn("_h", seeded_hash(seed, "pivot", F.col("pid")))
+                .orderBy("_h", "pid").limit(n_piv).select("vec").collect())
     # pivots x dims doubles (<= 65,536 x dims): shipped once per executor as a broadcast.
     pivots_bc = pts.sparkSession.sparkContext.broadcast(
         np.array([r["vec"] for r in piv_rows], dtype="float64").reshape(-1, dims))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
-from churnlab.operators.joins import row_count_at_most, unpivot
+from churnlab.operators.joins import bounded_broadcast, row_count_at_most, unpivot
 from churnlab.operators.rank import bucketed_rank
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
@@ -63,8 +63,8 @@ def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size:
     quotas = split_quotas(df, target, test_size)
     rows = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(seed, F.col(id_col)))
     ranked = bucketed_rank(rows, ["_cls"], "_h", id_col, out="_rank")
-    # quotas: one row per class.
-    out = ranked.join(F.broadcast(quotas.select("_cls", "_test_quota")), "_cls")
+    # quotas: one row per class, broadcast behind a row-count check.
+    out = ranked.join(bounded_broadcast(quotas.select("_cls", "_test_quota"), 100_000), "_cls")
     return out.withColumn(split_col, F.when(F.col("_rank") <= F.col("_test_quota"), "test").otherwise("train")) \
         .drop("_cls", "_h", "_rank", "_test_quota")
 

@@ -203,8 +203,8 @@ def boxplot_stats(df: DataFrame, features: list[str], target: str, whis: float =
                    "feature", "value", cast="double").where(F.col("value").isNotNull())
     v = F.col("value")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    # q has one row per (feature, class).
-    agg = long.join(F.broadcast(q.select("feature", "label", "_lo", "_hi")), ["feature", "label"]).groupBy(
+    # q has one row per (feature, class): AQE broadcasts it once its measured size is known.
+    agg = long.join(q.select("feature", "label", "_lo", "_hi"), ["feature", "label"]).groupBy(
         "feature", "label").agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
                                 F.count_if(~inside).alias("n_fliers"), F.count("*").alias("n"))
     return q.join(agg, ["feature", "label"]).select(

@@ -66,12 +66,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], group
                .withColumn("_r", F.explode(F.array(F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint"))))
                .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_start") + F.col("_bw")))
                .select(*keys, "p", "_pos", "_r", "_b", "_start"))
+    # The small sides below (wanted buckets, target ranks) are left unhinted: AQE measures the
+    # materialised aggregates at runtime and broadcasts them when small, else keeps a shuffle join.
     wanted = targets.select(*keys, "_b").distinct()
     wb = Window.partitionBy(*keys, "_b").orderBy("_v")
-    in_bucket = (counted.join(F.broadcast(wanted), keys + ["_b"], "left_semi")
+    in_bucket = (counted.join(wanted, keys + ["_b"], "left_semi")
                  .withColumn("_hi_rank", F.sum("_w").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
                  .withColumn("_lo_rank", F.col("_hi_rank") - F.col("_w")))
-    at_rank = F.broadcast(targets).join(in_bucket, keys + ["_b"]).where(
+    at_rank = targets.join(in_bucket, keys + ["_b"]).where(
         (F.col("_r") - F.col("_start") >= F.col("_lo_rank")) & (F.col("_r") - F.col("_start") < F.col("_hi_rank")))
     out = at_rank.groupBy(*keys, "p", "_pos").agg(F.min_by("_v", "_r").alias("_vlo"), F.max_by("_v", "_r").alias("_vhi"))
     frac = F.col("_pos") - F.floor("_pos")
