@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +55,7 @@ def scan_csv_dir(spark: SparkSession, directory: str, schema: T.StructType | Non
     if not files:
         raise FileNotFoundError(f"No CSV files found in {directory}")
     groups: dict[tuple, list[str]] = {}
-    for f in files:
-        header = tuple(spark.read.option("header", True).csv(f).columns)
+    for f, header in read_headers(spark, files).items():
         groups.setdefault(header, []).append(f)
     parts = []
     for header, paths in groups.items():
@@ -76,6 +76,40 @@ def scan_csv_dir(spark: SparkSession, directory: str, schema: T.StructType | Non
     return out
 
 
+def _first_lines(it):
+    import pandas as pd
+    import pyarrow.fs as pafs
+
+    for pdf in it:
+        out = []
+        for path in pdf["path"]:
+            fs, p = pafs.FileSystem.from_uri(path)
+            with fs.open_input_stream(p) as s:
+                buf = b""
+                while b"\n" not in buf:
+                    chunk = s.read(65536)
+                    if not chunk:
+                        break
+                    buf += chunk
+            out.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
+        yield pd.DataFrame({"path": pdf["path"], "header": out})
+
+
+def read_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple]:
+    """Header row of every file in ONE distributed job (each task opens its files and reads one line).
+
+    Falls back to a one-line Spark read per file when the filesystem is not reachable from Python.
+    """
+    try:
+        df = spark.createDataFrame([(f,) for f in files], "path string")
+        df = df.repartition(max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism)))
+        rows = df.mapInPandas(_first_lines, "path string, header string").collect()
+        # One short header line per file reaches the driver; parsed with CSV quoting rules.
+        return {r["path"]: tuple(next(csv.reader([r["header"]]))) for r in rows}
+    except Exception:  # noqa: BLE001 - e.g. a scheme pyarrow cannot open
+        return {f: tuple(spark.read.option("header", True).csv(f).columns) for f in files}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("header", True).csv(path)
     return path

@@ -42,3 +42,13 @@ def test_plans_have_no_cartesian_products(spark):
     for k in ("stratified_split", "rate_by_group", "cardinality", "describe"):
         plan = q[k](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, k
+
+
+def test_scans_prune_columns_and_push_filters(spark):
+    q = entry.queries()
+    plan = q["filter_by_class"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(churned), EqualTo(churned,1)]" in plan
+    base = q["scan_parquet"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    # orders is read once, with only the four columns the features need
+    assert base.count("orders.parquet") == 1
+    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in base
