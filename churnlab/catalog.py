@@ -85,7 +85,7 @@ def _profile_queries() -> dict[str, Query]:
         "share_of_total": lambda s, sf: prof.share_of_total(_base(s, sf), t),
         "churn_rate": lambda s, sf: prof.churn_rate(_base(s, sf), t),
         "rate_by_group": lambda s, sf: prof.rate_by_group(_base(s, sf), RATE_DIMS, t),
-        "crosstab": lambda s, sf: prof.crosstab(_base(s, sf), "region", t),
+        "crosstab": lambda s, sf: prof.crosstab(_base(s, sf), CROSSTAB_DIMS, t),
         "class_counts": lambda s, sf: prof.class_counts(_base(s, sf), t),
         "histogram_density": lambda s, sf: prof.histogram(_base(s, sf), list(R.numeric), t, 30, density=True),
         "histogram_count": lambda s, sf: prof.histogram(_base(s, sf), ["tenure_years"], t, 30),
@@ -450,4 +450,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.rate_by_group(_base(spark, sf_dir), RATE_DIMS, R.target)
 
 
-__all__ = ["queries", "flagship", "F"]
+__all__ = ["queries", "flagship"]

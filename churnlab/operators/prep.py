@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
-from churnlab.operators.joins import bounded_broadcast, row_count_at_most, unpivot
+from churnlab.operators.joins import bounded_broadcast, row_count_at_most
 from churnlab.operators.rank import bucketed_rank
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
@@ -199,4 +199,4 @@ def scale_transform(df: DataFrame, params: dict[str, tuple[float, float]], colum
 
 
 __all__ = ["stratified_split", "random_split", "split_approx", "split_quotas", "encode_fit", "encode_transform",
-           "scale_fit", "scale_transform", "scaler_params", "unpivot"]
+           "scale_fit", "scale_transform", "scaler_params"]

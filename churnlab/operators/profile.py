@@ -154,10 +154,17 @@ def rate_by_group(df: DataFrame, dims: list[str], target: str) -> DataFrame:
         _r(F.col("rate") - F.col("overall")).alias("diff"))
 
 
-def crosstab(df: DataFrame, column: str, target: str, classes=(0, 1)) -> DataFrame:
-    """(value, n_<class>...) counts, zero-filled; fixed pivot values avoid a discovery job."""
-    p = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).pivot(target, list(classes)).count()
-    return p.select("value", *[F.coalesce(F.col(str(c)), F.lit(0)).cast("bigint").alias(f"n_{c}") for c in classes])
+def crosstab(df: DataFrame, columns: list[str], target: str, classes=(0, 1)) -> DataFrame:
+    """(dimension, value, n_<class>...) counts for every column in ONE pass, zero-filled.
+
+    Unpivot to (dimension, value, y), then one grouped count with fixed pivot
+    values (no discovery job); null values are dropped as the reference's
+    groupby does.
+    """
+    long = unpivot(df.select(*columns, target), [target], columns, "dimension", "value", cast="string")
+    p = long.where(F.col("value").isNotNull()).groupBy("dimension", "value").pivot(target, list(classes)).count()
+    return p.select("dimension", "value",
+                    *[F.coalesce(F.col(str(c)), F.lit(0)).cast("bigint").alias(f"n_{c}") for c in classes])
 
 
 def _bin_frame(df: DataFrame, features: list[str], target: str | None, bins: int) -> tuple[DataFrame, list[str]]:

@@ -82,8 +82,9 @@ def profile_sql() -> dict[str, str]:
                           f"{_r(f'AVG(CAST({t} AS DOUBLE))')} AS rate FROM base")
     out["rate_by_group"] = w(_rate_sql(RATE_DIMS))
     out["sort_values"] = w(_rate_sql(["region"]) + " ORDER BY rate, value")
-    out["crosstab"] = w(f"SELECT region AS value, COUNT(*) FILTER (WHERE {t} = 0) AS n_0, "
-                        f"COUNT(*) FILTER (WHERE {t} = 1) AS n_1 FROM base WHERE region IS NOT NULL GROUP BY region")
+    out["crosstab"] = w(_union([
+        f"SELECT '{d}' AS dimension, CAST({d} AS VARCHAR) AS value, COUNT(*) FILTER (WHERE {t} = 0) AS n_0, "
+        f"COUNT(*) FILTER (WHERE {t} = 1) AS n_1 FROM base WHERE {d} IS NOT NULL GROUP BY {d}" for d in CROSSTAB_DIMS]))
     out["class_counts"] = w(f"SELECT COUNT(*) FILTER (WHERE {t} = 1) AS positives, "
                             f"COUNT(*) FILTER (WHERE {t} = 0) AS negatives FROM base")
     out["histogram_density"] = w(_hist_sql(num, True))
@@ -376,4 +377,4 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
-__all__ = ["oracle_sql", "CROSSTAB_DIMS"]
+__all__ = ["oracle_sql"]

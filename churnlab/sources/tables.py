@@ -7,7 +7,7 @@ before a cutoff date, the label from whether the customer ordered after it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,6 @@ class Roles:
     categorical: tuple[str, ...] = ("region", "segment")
     flags: tuple[str, ...] = ("has_urgent", "is_active")
     numeric: tuple[str, ...] = ("acct_balance", "n_orders", "n_priorities", "avg_price_cents", "tenure_years")
-    extra: dict = field(default_factory=dict)
 
     @property
     def correlation(self) -> list[str]:

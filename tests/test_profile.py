@@ -80,8 +80,8 @@ def test_boxplot_whiskers(spark):
 
 def test_crosstab_and_value_counts(spark):
     df = spark.createDataFrame([("a", 0), ("a", 1), ("b", 1), (None, 1)], "c string, y int")
-    ct = {r["value"]: (r["n_0"], r["n_1"]) for r in prof.crosstab(df, "c", "y").collect()}
-    assert ct == {"a": (1, 1), "b": (0, 1)}
+    ct = {(r["dimension"], r["value"]): (r["n_0"], r["n_1"]) for r in prof.crosstab(df, ["c"], "y").collect()}
+    assert ct == {("c", "a"): (1, 1), ("c", "b"): (0, 1)}
     assert [tuple(r) for r in prof.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
     assert prof.class_counts(df, "y").first().asDict() == {"positives": 3, "negatives": 1}
     assert F is not None
