@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlab.operators.joins import bounded_broadcast, unpivot
+from churnlab.operators.joins import unpivot
 from churnlab.operators.quantiles import quantiles_wide
 
 NUMERIC_TYPES = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
@@ -180,7 +180,7 @@ def _bin_frame(df: DataFrame, features: list[str], target: str | None, bins: int
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("lo"),
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi"))
     stats = stats.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
-    stats = bounded_broadcast(stats, 100_000)
+    # stats: one row per (feature, class); AQE broadcasts it from its measured size.
     b = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("bigint")
     counted = long.join(stats, keys).groupBy(*keys, b.alias("bin")).agg(F.count("*").alias("count"))
     grid = stats.select(*keys, "n", "lo", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
