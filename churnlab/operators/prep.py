@@ -7,12 +7,14 @@ column) that are applied to both parts as column expressions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
-from churnlab.operators.joins import bounded_broadcast, row_count_at_most
+from churnlab.operators.joins import row_count_at_most
 from churnlab.operators.rank import bucketed_rank
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
@@ -22,25 +24,34 @@ MAX_ENCODER_VALUES = 100_000
 
 # ---------------------------------------------------------------- split
 
-def split_quotas(df: DataFrame, target: str | None, test_size: float) -> DataFrame:
-    """(_cls, n_c, test_quota): exact per-class test sizes.
+MAX_CLASSES = 100_000
 
-    n_test = ceil(test_size * n); train quotas by largest remainder over
-    n_train (ties: smaller class value first), test quota = n_c - train quota.
-    The input of every window here is the per-class count table (k rows).
-    """
+
+def class_sizes(df: DataFrame, target: str | None) -> dict:
+    """Rows per class (one small aggregate; at most MAX_CLASSES rows reach the driver)."""
     cls = F.col(target) if target else F.lit(0)
-    counts = df.groupBy(cls.alias("_cls")).agg(F.count("*").alias("n_c"))
-    all_rows = Window.partitionBy()
-    n = F.sum("n_c").over(all_rows)
-    n_test = F.ceil(F.lit(float(test_size)) * n)
-    q = counts.select("_cls", "n_c", (n - n_test).alias("_n_train"), n.alias("_n"))
-    cont = F.col("n_c") / F.col("_n") * F.col("_n_train")
-    q = q.withColumn("_fl", F.floor(cont)).withColumn("_rem", cont - F.floor(cont))
-    q = q.withColumn("_need", F.col("_n_train") - F.sum("_fl").over(all_rows))
-    q = q.withColumn("_ord", F.row_number().over(Window.orderBy(F.desc("_rem"), "_cls")))
-    train_q = F.col("_fl") + F.when(F.col("_ord") <= F.col("_need"), 1).otherwise(0)
-    return q.select("_cls", "n_c", (F.col("n_c") - train_q).cast("bigint").alias("_test_quota"))
+    rows = df.groupBy(cls.alias("_cls")).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError("too many classes to stratify")
+    sizes = {r["_cls"]: r["count"] for r in rows}
+    if None in sizes:
+        raise ValueError(f"Target column '{target}' has nulls.")
+    return sizes
+
+
+def test_quotas(sizes: dict, test_size: float) -> dict:
+    """Exact per-class test sizes: n_test = ceil(test_size * n); train quotas by largest
+    remainder over n_train (ties: smaller class value first); test quota = n_c - train quota."""
+    n = sum(sizes.values())
+    if n == 0:
+        return {}
+    n_train = n - math.ceil(float(test_size) * n)
+    cont = {c: k / n * n_train for c, k in sizes.items()}
+    floor = {c: math.floor(v) for c, v in cont.items()}
+    need = n_train - sum(floor.values())
+    order = sorted(sizes, key=lambda c: (-(cont[c] - floor[c]), c))
+    extra = {c: (1 if i < need else 0) for i, c in enumerate(order)}
+    return {c: sizes[c] - (floor[c] + extra[c]) for c in sizes}
 
 
 def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size: float = 0.2,
@@ -49,24 +60,22 @@ def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size:
 
     Rows of each class are ordered by md5('seed|id') (ties by id); the first
     quota rows go to test. Deterministic whatever the partitioning; a class
-    with fewer than 2 rows is refused, like the reference's library.
+    with fewer than 2 rows is refused, like the reference's library. The
+    class sizes (k numbers) are one aggregate; the quotas are a literal map.
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must be in (0, 1)")
+    sizes = class_sizes(df, target)
+    if target and sizes and min(sizes.values()) < 2:
+        raise ValueError("The least populated class has fewer than 2 members; cannot stratify.")
+    quotas = test_quotas(sizes, test_size)
     cls = F.col(target) if target else F.lit(0)
-    if target:
-        small = df.groupBy(target).count().where(F.col("count") < 2)
-        if not row_count_at_most(small, 0):
-            raise ValueError("The least populated class has fewer than 2 members; cannot stratify.")
-        if not row_count_at_most(df.where(F.col(target).isNull()).select(target), 0):
-            raise ValueError(f"Target column '{target}' has nulls.")
-    quotas = split_quotas(df, target, test_size)
     rows = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(seed, F.col(id_col)))
     ranked = bucketed_rank(rows, ["_cls"], "_h", id_col, out="_rank")
-    # quotas: one row per class, broadcast behind a row-count check.
-    out = ranked.join(bounded_broadcast(quotas.select("_cls", "_test_quota"), 100_000), "_cls")
-    return out.withColumn(split_col, F.when(F.col("_rank") <= F.col("_test_quota"), "test").otherwise("train")) \
-        .drop("_cls", "_h", "_rank", "_test_quota")
+    quota = F.create_map(*[x for c, q in quotas.items() for x in (F.lit(c), F.lit(q))])[F.col("_cls")] \
+        if quotas else F.lit(0)
+    return ranked.withColumn(split_col, F.when(F.col("_rank") <= quota, "test").otherwise("train")) \
+        .drop("_cls", "_h", "_rank")
 
 
 def random_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42,
@@ -198,5 +207,5 @@ def scale_transform(df: DataFrame, params: dict[str, tuple[float, float]], colum
     return out
 
 
-__all__ = ["stratified_split", "random_split", "split_approx", "split_quotas", "encode_fit", "encode_transform",
+__all__ = ["stratified_split", "random_split", "split_approx", "class_sizes", "test_quotas", "encode_fit", "encode_transform",
            "scale_fit", "scale_transform", "scaler_params"]
