@@ -8,6 +8,7 @@ A self join of the class would emit every pair. Instead:
    ``mapInPandas``); cluster radius R_j = max distance of a member to p_j.
 3. Phase 1: each point's k nearest inside its own cluster give an upper
    bound r_a on its k-th neighbour distance.
+   (Phase 1 also searches the next nearest clusters to tighten r.)
 4. Phase 2: by the triangle inequality a point b of cluster j satisfies
    d(a, b) >= d(a, p_j) - R_j, so only clusters with d(a, p_j) - R_j <= r_a
    can hold a closer neighbour; those are searched as well.
@@ -114,8 +115,14 @@ def _top_k(cands: DataFrame, k: int) -> DataFrame:
 
 
 def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, seed: int = 42,
-              n_pivots: int | None = None, tile: int = 1024, max_pivots: int = 65_536) -> DataFrame:
-    """(a, b, dist, nn_rank): the k nearest other points of every point (Euclidean)."""
+              n_pivots: int | None = None, tile: int = 1024, max_pivots: int = 65_536,
+              first_clusters: int = 4, min_cluster: int = 256) -> DataFrame:
+    """(a, b, dist, nn_rank): the k nearest other points of every point (Euclidean).
+
+    Phase 1 searches each point's ``first_clusters`` nearest clusters (own
+    included) so that the bound r is tight; phase 2 then only visits the
+    clusters the triangle inequality cannot exclude.
+    """
     dims = len(features)
     pts = points.select(F.col(id_col).cast("long").alias("pid"),
                         F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
@@ -123,7 +130,9 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
     n = pts.count()
     if n <= k:
         raise ValueError(f"Expected n_neighbors <= n_samples: {k + 1} > {n}")
-    n_piv = n_pivots or int(min(max_pivots, max(1, round(np.sqrt(n)))))
+    # ~2 sqrt(n) pivots balance assignment (n x P) against search (n x cluster size), but clusters
+    # are kept at >= min_cluster points so small inputs do not pay per-task overhead for pruning.
+    n_piv = n_pivots or int(min(max_pivots, max(1, min(round(4 * np.sqrt(n)), n // min_cluster))))
     # Pivot choice: the n_piv smallest seeded hashes (a sampling step).
     # A bounded top-n (TakeOrderedAndProject keeps n_piv rows per task), not a global sort.
     piv_rows = (pts.withColumn("_h", seeded_hash(seed, "pivot", F.col("pid")))
@@ -141,17 +150,22 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
                 pdf = batch.iloc[s:s + step]
                 v = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), dims)
                 d = _pivot_dist(v, piv)
-                j = d.argmin(axis=1)
+                c = min(first_clusters, d.shape[1])
+                near = np.argsort(d, axis=1, kind="stable")[:, :c]
+                j = near[:, 0]
                 yield pd.DataFrame({"pid": pdf["pid"].to_numpy(), "vec": pdf["vec"].to_numpy(),
-                                    "cl": j.astype("int32"), "d0": d[np.arange(len(pdf)), j]})
+                                    "cl": j.astype("int32"), "d0": d[np.arange(len(pdf)), j],
+                                    "near": list(near.astype("int32"))})
 
-    assigned = checkpoint(pts.mapInPandas(assign, "pid long, vec array<double>, cl int, d0 double"))
+    assigned = checkpoint(pts.mapInPandas(
+        assign, "pid long, vec array<double>, cl int, d0 double, near array<int>"))
     radius = {r["cl"]: r["R"] for r in assigned.groupBy("cl").agg(F.max("d0").alias("R")).collect()}
     rad_bc = pts.sparkSession.sparkContext.broadcast(np.array([radius.get(j, -np.inf) for j in range(n_piv_real)]))
 
-    # Phase 1: own cluster.
+    # Phase 1: the point's nearest clusters (its own first).
     own = assigned.select("pid", "vec", "cl")
-    first = checkpoint(_top_k(_search(own, own, k, dims, tile, seed), k))
+    probe1 = assigned.select("pid", "vec", F.explode("near").alias("cl"))
+    first = checkpoint(_top_k(_search(probe1, own, k, dims, tile, seed), k))
     bound = first.groupBy("a").agg(F.count("*").alias("_c"), F.max("dist").alias("_r"))
     bound = bound.select(F.col("a").alias("pid"),
                          F.when(F.col("_c") >= k, F.col("_r")).otherwise(F.lit(float("inf"))).alias("r_a"))
@@ -166,7 +180,8 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
                 lower = _pivot_dist(v, piv) - rad[None, :]
                 r = pdf["r_a"].fillna(np.inf).to_numpy()
                 ok = lower <= (r[:, None] + 1e-9)
-                ok[np.arange(len(pdf)), pdf["cl"].to_numpy()] = False
+                near = np.stack(pdf["near"].to_numpy())
+                ok[np.arange(len(pdf))[:, None], near] = False  # already searched in phase 1
                 rows, cls = np.nonzero(ok)
                 if len(rows):
                     yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "vec": pdf["vec"].to_numpy()[rows],
