@@ -60,15 +60,17 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
         splits = [-math.inf] + sorted(set(b for b in bounds if not math.isinf(b))) + [math.inf]
         gb = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep").transform(g) \
             .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+        per = gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg"))
+        # At most ``buckets`` rows: ordered prefix sum over the bucket table.
+        off = per.select("_b", F.coalesce(F.sum("_bneg").over(
+            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+        inner = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = gb.join(F.broadcast(off), "_b").withColumn(
+            "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(inner), F.lit(0)))
     else:
-        gb = g.withColumn("_b", F.lit(0))
-    per = gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg"))
-    # At most ``buckets`` rows: ordered prefix sum over the bucket table.
-    off = per.select("_b", F.coalesce(F.sum("_bneg").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = gb.join(F.broadcast(off), "_b").withColumn(
-        "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(inner), F.lit(0)))
+        # One bucket: at most TARGET_BUCKET_ROWS distinct scores, ordered in one window.
+        below = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = g.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
     tot = ranked.agg(F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)).alias("_num"),
                      F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     return tot.select(F.when((F.coalesce(F.col("_P"), F.lit(0)) == 0) | (F.coalesce(F.col("_N"), F.lit(0)) == 0),

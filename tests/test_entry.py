@@ -39,7 +39,8 @@ def test_oracle_agreement_small(spark):
 
 def test_plans_have_no_cartesian_products(spark):
     q = entry.queries()
-    for k in ("stratified_split", "rate_by_group", "cardinality", "describe"):
+    for k in ("stratified_split", "rate_by_group", "cardinality", "describe", "roc_auc", "boxplot_stats",
+              "histogram_density", "crosstab", "best_model", "corr_matrix"):
         plan = q[k](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, k
 
