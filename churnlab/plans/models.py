@@ -56,7 +56,11 @@ class ModelSpec:
                                          numTrees=int(p.get("n_estimators", 100)), maxDepth=depth,
                                          minInstancesPerNode=max(leaf, math.ceil(split / 2)),
                                          featureSubsetStrategy=_subset(p.get("max_features", "sqrt")), seed=seed,
-                                         bootstrap=bool(p.get("bootstrap", True)), maxBins=int(p.get("max_bins", 32)))
+                                         bootstrap=bool(p.get("bootstrap", True)), maxBins=int(p.get("max_bins", 32)),
+                                         # a forest grows many nodes per level: cache each row's node ids
+                                         # (lineage cut every 10 levels via the shared checkpoint folder)
+                                         # and aggregate more nodes per pass.
+                                         cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
         elif self.name == "xgboost":
             depth = min(int(p.get("max_depth", 6)), MAX_TREE_DEPTH)
             est = GBTClassifier(featuresCol=features_col, labelCol=label_col, maxIter=int(p.get("n_estimators", 100)),
