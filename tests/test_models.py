@@ -20,7 +20,7 @@ FEATS = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_p
          "has_urgent", "is_active"]
 
 
-def test_factory_and_hyperparameters():
+def test_factory_and_hyperparameters(spark):
     with pytest.raises(ValueError, match="Choose from"):
         get_model("svm")
     spec, applied = apply_hyperparameters(get_model("rf"), {"min_samples_split": 1, "bogus": 3, "n_estimators": 7})
