@@ -21,7 +21,14 @@ from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.operators import prep
 from churnlab.operators import profile as prof
 from churnlab.plans.prepare import PrepOptions, Prepared, load_prepared, prepare
-from churnlab.plans.scoring import as_pipeline, parse_requests, requests_from_rows, score_batch, score_requests
+from churnlab.plans.scoring import (
+    as_pipeline,
+    parse_requests,
+    requests_from_rows,
+    respond,
+    score_batch,
+    score_requests,
+)
 from churnlab.plans.search import TEST_SPACE, SearchConfig, best_trial, export_best, random_search
 from churnlab.plans.train import TrainConfig, load_model, save_model, train_stage, with_probability
 from churnlab.session import ensure_checkpoint_dir, scratch_path
@@ -415,7 +422,8 @@ def _model_queries() -> dict[str, Query]:
         "score_batch": _save_load,
         "latest_artifact": lambda s, sf: (_save_load(s, sf), latest_artifact(
             s.read.parquet(MODEL_REGISTRY(s)), name_like="logreg%"))[1],
-        "score_requests": lambda s, sf: score_requests(_serving(s, sf)[1], _requests(s, sf), RAW_FEATURES, RAW_TYPES),
+        "score_requests": lambda s, sf: respond(score_requests(_serving(s, sf)[1], _requests(s, sf), RAW_FEATURES,
+                                                               RAW_TYPES)),
         "score_stream": _score_stream,
         "random_search": lambda s, sf: _search(s, sf).drop("logged_at"),
         "best_trial": lambda s, sf: best_trial(_search(s, sf)).drop("logged_at"),

@@ -95,3 +95,12 @@ def parse_requests(requests: DataFrame, required: list[str], types: dict[str, st
 def score_requests(model: PipelineModel, requests: DataFrame, required: list[str], types: dict[str, str]) -> DataFrame:
     rows, _ = parse_requests(requests, required, types)
     return score_batch(model, rows, ["request_id", "index"])
+
+
+def respond(scored: DataFrame) -> DataFrame:
+    """One JSON answer per request: predictions in request index order (a request holds a few rows)."""
+    g = scored.groupBy("request_id").agg(
+        F.sort_array(F.collect_list(F.struct("index", "prediction", "probability"))).alias("_r"))
+    return g.select("request_id", F.to_json(F.struct(
+        F.col("_r.index").alias("index"), F.col("_r.prediction").alias("predictions"),
+        F.col("_r.probability").alias("probabilities"))).alias("response"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from churnlab.operators.metrics import roc_auc
 from churnlab.plans.models import apply_hyperparameters, get_model, models_to_train
 from churnlab.plans.prepare import PrepOptions, prepare
-from churnlab.plans.scoring import as_pipeline, requests_from_rows, score_batch, score_requests
+from churnlab.plans.scoring import as_pipeline, requests_from_rows, respond, score_batch, score_requests
 from churnlab.plans.search import SearchConfig, TEST_SPACE, best_trial, export_best, random_search
 from churnlab.plans.train import TrainConfig, fit_model, load_model, save_model, train_stage, with_probability
 from churnlab.sources.tables import BASE_SCHEMA, base_table
@@ -79,6 +79,10 @@ def test_train_stage_save_load_and_scoring(spark, tmp_dir):
     reqs = requests_from_rows(raw.withColumn("g", F.floor(F.col("customer_id") / 4)), "customer_id", FEATS, "g")
     types = {f.name: f.dataType.simpleString() for f in BASE_SCHEMA.fields}
     via_req = score_requests(pipe, reqs, FEATS, types).select(F.col("index").alias("customer_id"), "prediction")
+    import json
+    answers = {r["request_id"]: json.loads(r["response"]) for r in respond(score_requests(pipe, reqs, FEATS, types)).collect()}
+    assert sum(len(a["predictions"]) for a in answers.values()) == raw.count()
+    assert all(a["index"] == sorted(a["index"]) for a in answers.values())
     assert via_req.exceptAll(a.select("customer_id", "prediction")).count() == 0
     src = os.path.join(tmp_dir, "req")
     reqs.write.json(src)
