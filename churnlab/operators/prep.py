@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
 from churnlab.operators.joins import row_count_at_most
 from churnlab.operators.rank import bucketed_rank
+from churnlab.session import checkpoint
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
 SCALER_SCHEMA = "column_name string, mean double, scale double"
@@ -107,8 +108,13 @@ def encode_fit(train: DataFrame, columns) -> DataFrame:
     for c in cols:
         parts.append(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
                               (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("_num")))
-    long = train.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct()
-    # One window partition per categorical column over its DISTINCT values.
+    long = checkpoint(train.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct())
+    # Label codes are a parameter of every row's projection: refuse an id-like "categorical"
+    # before one window task would have to number its values.
+    if not row_count_at_most(long, MAX_ENCODER_VALUES):
+        raise ValueError(f"more than {MAX_ENCODER_VALUES} distinct categorical values; drop id-like columns first "
+                         "(see drop_high_cardinality)")
+    # One window partition per categorical column over its DISTINCT values (bounded just above).
     w = Window.partitionBy("column_name").orderBy("_num", "value")
     return long.select("column_name", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
 
