@@ -83,7 +83,8 @@ def _profile_queries() -> dict[str, Query]:
         "scan_parquet": lambda s, sf: base_table(s, sf),
         "profile_info": lambda s, sf: prof.profile_info(_base(s, sf)),
         "describe": lambda s, sf: prof.describe(_base(s, sf)),
-        "null_counts": lambda s, sf: prof.null_counts(read_table(s, sf, "customer")),
+        # on the union of parts with different columns: the part without acct_balance yields nulls
+        "null_counts": lambda s, sf: prof.null_counts(_union_all(s, sf)),
         "duplicate_count": lambda s, sf: prof.duplicate_count(_base(s, sf).drop(R.id_col, "name")),
         "cardinality": lambda s, sf: prof.cardinality(_base(s, sf)),
         "drop_high_cardinality": lambda s, sf: prof.drop_high_cardinality(
@@ -111,7 +112,7 @@ def _projection_queries() -> dict[str, Query]:
         "select_numeric": lambda s, sf: colops.select_numeric(_base(s, sf), exclude=[t, R.id_col]),
         "select_columns": lambda s, sf: _base(s, sf).select(*R.correlation),
         "filter_by_class": lambda s, sf: colops.filter_by_class(_base(s, sf), t, 1),
-        "drop_nulls": lambda s, sf: colops.drop_nulls(read_table(s, sf, "customer"), ["c_acctbal", "c_mktsegment"]),
+        "drop_nulls": lambda s, sf: colops.drop_nulls(_union_all(s, sf), ["acct_balance", "segment"]),
         "head": lambda s, sf: colops.head(_base(s, sf), R.id_col, HEAD_N),
         "flag_label": lambda s, sf: colops.with_flag_labels(_base(s, sf), t, "is_active"),
     }

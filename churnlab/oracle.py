@@ -17,8 +17,11 @@ BASE_COLUMNS = [
 FEATURES = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_price_cents",
             "tenure_years", "has_urgent", "is_active"]
 SCALED = [f for f in FEATURES if f not in ROLES.categorical]
-CUSTOMER_COLUMNS = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
-                    ("c_acctbal", "double"), ("c_mktsegment", "string")]
+
+
+UNION_SQL = ("SELECT * FROM base WHERE churned = 1 UNION ALL SELECT " + ", ".join(
+    "CAST(NULL AS DOUBLE) AS acct_balance" if c == "acct_balance" else c for c, _ in BASE_COLUMNS)
+    + " FROM base WHERE churned = 0")
 
 
 def w(sql: str) -> str:
@@ -61,9 +64,9 @@ def profile_sql() -> dict[str, str]:
             f"{_r(f'MIN({x})')} AS min, {_r(f'QUANTILE_CONT({x}, 0.25)')} AS q25, {_r(f'QUANTILE_CONT({x}, 0.5)')} AS q50, "
             f"{_r(f'QUANTILE_CONT({x}, 0.75)')} AS q75, {_r(f'MAX({x})')} AS max FROM base")
     out["describe"] = w(_union(desc))
-    out["null_counts"] = "SELECT * FROM (" + _union([
-        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM customer"
-        for c, _ in CUSTOMER_COLUMNS]) + ") WHERE n_null > 0"
+    out["null_counts"] = w(f", u AS ({UNION_SQL})\nSELECT * FROM (" + _union([
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM u"
+        for c, _ in BASE_COLUMNS]) + ") z WHERE n_null > 0")
     rest = [c for c in cols if c not in (R.id_col, "name")]
     out["duplicate_count"] = w(
         f"SELECT CAST(COALESCE(SUM(cnt - 1), 0) AS BIGINT) AS n_duplicates FROM "
@@ -170,7 +173,7 @@ def projection_sql() -> dict[str, str]:
             c for c, ty in BASE_COLUMNS if ty in ("bigint", "int", "double") and c not in (t, R.id_col)) + " FROM base"),
         "select_columns": w(f"SELECT {', '.join(R.correlation)} FROM base"),
         "filter_by_class": w(f"SELECT * FROM base WHERE {t} = 1"),
-        "drop_nulls": "SELECT * FROM customer WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL",
+        "drop_nulls": w(f", u AS ({UNION_SQL})\nSELECT * FROM u WHERE acct_balance IS NOT NULL AND segment IS NOT NULL"),
         "head": w(f"SELECT * FROM base ORDER BY {R.id_col} LIMIT {HEAD_N}"),
         "flag_label": w(f"SELECT customer_id, CASE WHEN {t} = 1 THEN 'Churned' WHEN {t} = 0 THEN 'Retained' END AS status, "
                         "CASE WHEN is_active = 1 THEN 'Yes' WHEN is_active = 0 THEN 'No' END AS is_active_label FROM base"),
@@ -333,9 +336,7 @@ UNION ALL SELECT * FROM syn""")
 
 def source_sql() -> dict[str, str]:
     t = R.target
-    cols = [c for c, _ in BASE_COLUMNS]
-    no_bal = ", ".join("CAST(NULL AS DOUBLE) AS acct_balance" if c == "acct_balance" else c for c in cols)
-    union = w(f"SELECT * FROM base WHERE {t} = 1 UNION ALL SELECT {no_bal} FROM base WHERE {t} = 0")
+    union = w(UNION_SQL)
     parts = []
     for c, ty in BASE_COLUMNS:
         if c == R.id_col:
