@@ -40,7 +40,7 @@ def class_sizes(df: DataFrame, target: str | None) -> dict:
     return sizes
 
 
-def test_quotas(sizes: dict, test_size: float) -> dict:
+def split_test_quotas(sizes: dict, test_size: float) -> dict:
     """Exact per-class test sizes: n_test = ceil(test_size * n); train quotas by largest
     remainder over n_train (ties: smaller class value first); test quota = n_c - train quota."""
     n = sum(sizes.values())
@@ -69,7 +69,7 @@ def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size:
     sizes = class_sizes(df, target)
     if target and sizes and min(sizes.values()) < 2:
         raise ValueError("The least populated class has fewer than 2 members; cannot stratify.")
-    quotas = test_quotas(sizes, test_size)
+    quotas = split_test_quotas(sizes, test_size)
     cls = F.col(target) if target else F.lit(0)
     rows = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(seed, F.col(id_col)))
     ranked = bucketed_rank(rows, ["_cls"], "_h", id_col, out="_rank")
@@ -213,5 +213,5 @@ def scale_transform(df: DataFrame, params: dict[str, tuple[float, float]], colum
     return out
 
 
-__all__ = ["stratified_split", "random_split", "split_approx", "class_sizes", "test_quotas", "encode_fit", "encode_transform",
+__all__ = ["stratified_split", "random_split", "split_approx", "class_sizes", "split_test_quotas", "encode_fit", "encode_transform",
            "scale_fit", "scale_transform", "scaler_params"]
