@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlab.functions import scalars as sc
 from churnlab.operators import columns as colops
 from churnlab.operators import imbalance as imb
 from churnlab.operators import metrics as mt
-from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.operators import prep
 from churnlab.operators import profile as prof
+from churnlab.operators.joins import unpivot
+from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.plans.prepare import PrepOptions, Prepared, load_prepared, prepare
 from churnlab.plans.scoring import (
     as_pipeline,
@@ -32,13 +34,11 @@ from churnlab.plans.scoring import (
 from churnlab.plans.search import TEST_SPACE, SearchConfig, best_trial, export_best, random_search
 from churnlab.plans.train import TrainConfig, load_model, save_model, train_stage, with_probability
 from churnlab.session import ensure_checkpoint_dir, scratch_path
-from churnlab.sources.runs import filter_runs, latest_artifact, read_runs, register_model
-from churnlab.streaming.score_stream import score_stream
-from churnlab.functions import scalars as sc
-from churnlab.operators.joins import unpivot
 from churnlab.sources.csv import scan_csv, scan_csv_dir, write_csv
 from churnlab.sources.prepared import read_prepared, save_artifacts, write_prepared
-from churnlab.sources.tables import BASE_SCHEMA, ROLES, base_table, read_table
+from churnlab.sources.runs import filter_runs, latest_artifact, read_runs, register_model
+from churnlab.sources.tables import BASE_SCHEMA, ROLES, base_table
+from churnlab.streaming.score_stream import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 R = ROLES
@@ -337,7 +337,7 @@ def _serving(spark: SparkSession, sf: str):
         p, res = _train_one(spark, sf, "logreg")
         pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
         save_model(pipe, path)
-        register_model(spark, MODEL_REGISTRY(spark), "logreg-serving", path, res.results["logreg"].run_id)
+        register_model(spark, _model_registry(spark), "logreg-serving", path, res.results["logreg"].run_id)
         return p, load_model(path)
 
 
@@ -359,7 +359,7 @@ def _as_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 def _save_load(spark: SparkSession, sf: str) -> DataFrame:
     p, pipe = _serving(spark, sf)
     path = save_model(pipe, scratch_path(spark, "model"))
-    register_model(spark, MODEL_REGISTRY(spark), "logreg", path, "local")
+    register_model(spark, _model_registry(spark), "logreg", path, "local")
     return score_batch(load_model(path), _raw_test(spark, sf), [R.id_col])
 
 
@@ -405,7 +405,7 @@ def _overrides(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("run_id", sc.parse_override(text).alias("o")).select("run_id", "o.*")
 
 
-def MODEL_REGISTRY(spark: SparkSession) -> str:  # noqa: N802
+def _model_registry(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/model-registry"
 
 
@@ -422,7 +422,7 @@ def _model_queries() -> dict[str, Query]:
         "load_model": _save_load,
         "score_batch": _save_load,
         "latest_artifact": lambda s, sf: (_save_load(s, sf), latest_artifact(
-            s.read.parquet(MODEL_REGISTRY(s)), name_like="logreg%"))[1],
+            s.read.parquet(_model_registry(s)), name_like="logreg%"))[1],
         "score_requests": lambda s, sf: respond(score_requests(_serving(s, sf)[1], _requests(s, sf), RAW_FEATURES,
                                                                RAW_TYPES)),
         "score_stream": _score_stream,
