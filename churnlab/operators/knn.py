@@ -12,6 +12,8 @@ A self join of the class would emit every pair. Instead:
 4. Phase 2: by the triangle inequality a point b of cluster j satisfies
    d(a, b) >= d(a, p_j) - R_j, so only clusters with d(a, p_j) - R_j <= r_a
    can hold a closer neighbour; those are searched as well.
+   Inside a searched cluster only members with |d(a, p_j) - d(b, p_j)| <= r_a
+   are measured (members sorted by d(b, p_j), one binary search per probe).
 5. Every (probes of j) x (members of j) search is cut into tiles of at most
    ``tile`` probes x ``tile`` members (hash tiles), each evaluated with NumPy
    in a cogrouped ``applyInPandas`` that returns only its top k per probe --
@@ -57,39 +59,75 @@ def _pivot_dist(v: np.ndarray, pivots: np.ndarray, chunk: int | None = None) ->
     return out
 
 
+def _empty_pairs() -> pd.DataFrame:
+    return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
+                         "dist": pd.Series([], dtype="float64")})
+
+
+def _sq_dist(p: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Squared distances, summed left to right over the dimensions (like a SQL sum of squares)."""
+    d2 = np.zeros((len(p), len(m)))
+    for j in range(p.shape[1]):
+        diff = p[:, j][:, None] - m[:, j][None, :]
+        d2 = d2 + diff * diff
+    return d2
+
+
 def _tile_topk(k: int, dims: int):
+    """Top k members per probe within one tile.
+
+    With ring data (probe: distance ``dp`` to the cluster's pivot and bound
+    ``r``; member: distance ``d0`` to the same pivot), members are sorted by
+    d0 and each probe only measures the slice |dp - d0| <= r: by the triangle
+    inequality no other member can be within r.
+    """
     def fn(probes: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         if probes.empty or members.empty:
-            return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
+            return _empty_pairs()
         pa = np.stack(probes["vec"].to_numpy()).reshape(len(probes), dims)
         mb = np.stack(members["vec"].to_numpy()).reshape(len(members), dims)
         aid = probes["pid"].to_numpy()
         bid = members["pid"].to_numpy()
-        d2 = np.zeros((len(pa), len(mb)))
-        for j in range(dims):  # left-to-right, like a SQL sum of squares
-            diff = pa[:, j][:, None] - mb[:, j][None, :]
-            d2 = d2 + diff * diff
-        dist = np.round(np.sqrt(d2), 9)
-        dist[aid[:, None] == bid[None, :]] = np.inf
-        kk = min(k, len(members))
+        r = probes["r"].to_numpy(dtype="float64")
+        ring = np.isfinite(r).any()
+        if ring:
+            order = np.argsort(members["d0"].to_numpy(), kind="stable")
+            d0, mb, bid = members["d0"].to_numpy()[order], mb[order], bid[order]
+            dp = probes["dp"].to_numpy(dtype="float64")
+            lo = np.searchsorted(d0, dp - r - 1e-9, side="left")
+            hi = np.searchsorted(d0, dp + r + 1e-9, side="right")
+            # Per-probe slices pay off only when the ring prunes most pairs; otherwise one
+            # vectorised matrix is cheaper (extra candidates never change an exact top k).
+            ring = (hi - lo).sum() < 0.25 * len(pa) * len(mb)
+        if not ring:
+            full = np.round(np.sqrt(_sq_dist(pa, mb)), 9)
         out_a, out_b, out_d = [], [], []
         for i in range(len(probes)):
-            order = np.lexsort((bid, dist[i]))[:kk]
-            keep = np.isfinite(dist[i][order])
-            out_a.append(np.full(int(keep.sum()), aid[i]))
-            out_b.append(bid[order][keep])
-            out_d.append(dist[i][order][keep])
+            if ring:
+                if hi[i] <= lo[i]:
+                    continue
+                ids = bid[lo[i]:hi[i]]
+                dist = np.round(np.sqrt(_sq_dist(pa[i:i + 1], mb[lo[i]:hi[i]])[0]), 9)
+            else:
+                ids, dist = bid, full[i].copy()
+            dist[ids == aid[i]] = np.inf
+            sel = np.lexsort((ids, dist))[:k]
+            sel = sel[np.isfinite(dist[sel])]
+            out_a.append(np.full(len(sel), aid[i]))
+            out_b.append(ids[sel])
+            out_d.append(dist[sel])
+        if not out_a:
+            return _empty_pairs()
         return pd.DataFrame({"a": np.concatenate(out_a).astype("int64"), "b": np.concatenate(out_b).astype("int64"),
                              "dist": np.concatenate(out_d).astype("float64")})
     return fn
 
 
 def _search(probes: DataFrame, members: DataFrame, k: int, dims: int, tile: int, seed: int) -> DataFrame:
-    """probes(pid, vec, cl) x members(pid, vec, cl) within equal ``cl``, tiled; top k per probe and tile."""
+    """probes(pid, vec, cl, dp, r) x members(pid, vec, cl, d0) within equal ``cl``, tiled; top k per probe and tile."""
     # Fresh attribute ids: probes and members may come from the same frame.
-    probes = probes.select(*[F.col(c).alias(c) for c in ("pid", "vec", "cl")])
-    members = members.select(*[F.col(c).alias(c) for c in ("pid", "vec", "cl")])
+    probes = probes.select(*[F.col(c).alias(c) for c in ("pid", "vec", "cl", "dp", "r")])
+    members = members.select(*[F.col(c).alias(c) for c in ("pid", "vec", "cl", "d0")])
     msize = members.groupBy("cl").agg(F.count("*").alias("_m"))
     psize = probes.groupBy("cl").agg(F.count("*").alias("_p"))
     sizes = msize.join(psize, "cl").select(
@@ -100,11 +138,11 @@ def _search(probes: DataFrame, members: DataFrame, k: int, dims: int, tile: int,
     m = (members.join(sizes, "cl").withColumn("tm", tile_of("_S"))
          .withColumn("tp", F.explode(F.sequence(F.lit(0), F.col("_Q") - 1)))
          .withColumn("tp", F.col("tp").cast("int"))
-         .select("cl", "tm", "tp", "pid", "vec"))
+         .select("cl", "tm", "tp", "pid", "vec", "d0"))
     p = (probes.join(sizes, "cl").withColumn("tp", tile_of("_Q"))
          .withColumn("tm", F.explode(F.sequence(F.lit(0), F.col("_S") - 1)))
          .withColumn("tm", F.col("tm").cast("int"))
-         .select("cl", "tm", "tp", "pid", "vec"))
+         .select("cl", "tm", "tp", "pid", "vec", "dp", "r"))
     return (p.groupBy("cl", "tm", "tp").cogroup(m.groupBy("cl", "tm", "tp"))
             .applyInPandas(_tile_topk(k, dims), KNN_SCHEMA))
 
@@ -163,8 +201,9 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
     rad_bc = pts.sparkSession.sparkContext.broadcast(np.array([radius.get(j, -np.inf) for j in range(n_piv_real)]))
 
     # Phase 1: the point's nearest clusters (its own first).
-    own = assigned.select("pid", "vec", "cl")
-    probe1 = assigned.select("pid", "vec", F.explode("near").alias("cl"))
+    own = assigned.select("pid", "vec", "cl", "d0")
+    probe1 = assigned.select("pid", "vec", F.explode("near").alias("cl"), F.lit(0.0).alias("dp"),
+                             F.lit(float("inf")).alias("r"))
     first = checkpoint(_top_k(_search(probe1, own, k, dims, tile, seed), k))
     bound = first.groupBy("a").agg(F.count("*").alias("_c"), F.max("dist").alias("_r"))
     bound = bound.select(F.col("a").alias("pid"),
@@ -177,7 +216,8 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
             for s in range(0, len(batch), step):
                 pdf = batch.iloc[s:s + step]
                 v = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), dims)
-                lower = _pivot_dist(v, piv) - rad[None, :]
+                dpiv = _pivot_dist(v, piv)
+                lower = dpiv - rad[None, :]
                 r = pdf["r_a"].fillna(np.inf).to_numpy()
                 ok = lower <= (r[:, None] + 1e-9)
                 near = np.stack(pdf["near"].to_numpy())
@@ -185,9 +225,10 @@ def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, s
                 rows, cls = np.nonzero(ok)
                 if len(rows):
                     yield pd.DataFrame({"pid": pdf["pid"].to_numpy()[rows], "vec": pdf["vec"].to_numpy()[rows],
-                                        "cl": cls.astype("int32")})
+                                        "cl": cls.astype("int32"), "dp": dpiv[rows, cls], "r": r[rows]})
 
-    probe2 = assigned.join(bound, "pid", "left").mapInPandas(candidates, "pid long, vec array<double>, cl int")
+    probe2 = assigned.join(bound, "pid", "left").mapInPandas(
+        candidates, "pid long, vec array<double>, cl int, dp double, r double")
     second = _search(probe2, own, k, dims, tile, seed)
     both = first.select("a", "b", "dist").unionByName(second)
     return _top_k(both, k)
