@@ -85,3 +85,23 @@ def test_knn_plan_has_no_cartesian(spark):
     pdf["id"] = range(50)
     plan = exact_knn(spark.createDataFrame(pdf), "id", ["a", "b"], k=3)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_tile_kernel_ring_path_equals_full():
+    """The pruned (ring) path of one tile returns the same top k as the full distance matrix."""
+    from churnlab.operators.knn import _tile_topk
+
+    rng = np.random.default_rng(4)
+    piv = np.zeros(3)
+    members = rng.normal(size=(400, 3)) * np.linspace(0.1, 5, 400)[:, None]
+    probes = rng.normal(size=(50, 3))
+    mdf = pd.DataFrame({"pid": np.arange(400, dtype="int64"), "vec": list(members),
+                        "d0": np.sqrt(((members - piv) ** 2).sum(1))})
+    full = _tile_topk(5, 3)(pd.DataFrame({"pid": np.arange(1000, 1050, dtype="int64"), "vec": list(probes),
+                                           "dp": np.sqrt((probes ** 2).sum(1)), "r": np.inf}), mdf)
+    # a true k-th distance as the bound makes the ring path prune most pairs
+    r = full.groupby("a")["dist"].max().reindex(range(1000, 1050)).to_numpy()
+    ring = _tile_topk(5, 3)(pd.DataFrame({"pid": np.arange(1000, 1050, dtype="int64"), "vec": list(probes),
+                                           "dp": np.sqrt((probes ** 2).sum(1)), "r": r}), mdf)
+    key = lambda d: sorted(zip(d["a"], d["b"], d["dist"]))
+    assert key(full) == key(ring)
