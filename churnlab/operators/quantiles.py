@@ -14,6 +14,8 @@ column into one reducer. Here:
    by (group, column, bucket) -- about n / buckets values each.
 
 The result equals NumPy/pandas ``quantile`` (linear) and DuckDB ``quantile_cont``.
+Inputs of at most TARGET_BUCKET_ROWS rows take Spark's exact ``percentile``
+directly (every group is then bounded).
 """
 
 from __future__ import annotations
@@ -39,6 +41,16 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], group
     data = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in columns])
     if buckets is None:
         buckets = choose_buckets(n_rows if n_rows is not None else data.count())
+    if buckets <= 1:
+        # Small input (<= TARGET_BUCKET_ROWS rows): every group's buffer is bounded, so Spark's
+        # exact ``percentile`` (same linear interpolation) answers in one aggregate.
+        long = data.select(*group_cols, F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_v")) for c in columns])))
+        long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        agg = long.groupBy(*group_cols, "column_name").agg(
+            F.percentile("_v", F.array(*[F.lit(float(x)) for x in probs])).alias("_q"))
+        return agg.select(*group_cols, "column_name", F.inline(F.arrays_zip(
+            F.array(*[F.lit(float(x)) for x in probs]).alias("p"), F.col("_q").alias("q"))))
     bcols = [f"{c}__bucket" for c in columns]
     if buckets > 1:
         cuts = [i / buckets for i in range(1, buckets)]
