@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
 from churnlab.operators.joins import row_count_at_most
 from churnlab.operators.knn import exact_knn
-from churnlab.operators.rank import bucketed_rank
+from churnlab.operators.rank import bucketed_rank, digits_for
 
 MAX_CLASSES = 10_000
 
@@ -87,7 +87,8 @@ def smote(df: DataFrame, id_col: str, target: str, features: list[str], int_feat
         rows = df.where(F.col(target) == F.lit(cls)).select(id_col, *features)
         knn = exact_knn(rows, id_col, features, k=k, seed=seed, **knn_options)
         q, r = divmod(n_max - n_c, n_c)
-        ranked = bucketed_rank(rows.withColumn("_h", seeded_hash(seed, "smote", F.col(id_col))), [], "_h", id_col, "_rk")
+        ranked = bucketed_rank(rows.withColumn("_h", seeded_hash(seed, "smote", F.col(id_col))), [], "_h", id_col,
+                               "_rk", digits=digits_for(n_c))
         cnt = F.lit(q) + F.when(F.col("_rk") <= F.lit(r), 1).otherwise(0)
         draws = (ranked.withColumn("_cnt", cnt).where(F.col("_cnt") > 0)
                  .withColumn("smote_draw", F.explode(F.sequence(F.lit(1), F.col("_cnt"))))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
 from churnlab.operators.joins import row_count_at_most
-from churnlab.operators.rank import bucketed_rank
+from churnlab.operators.rank import bucketed_rank, digits_for
 from churnlab.session import checkpoint
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
@@ -72,7 +72,8 @@ def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size:
     quotas = split_test_quotas(sizes, test_size)
     cls = F.col(target) if target else F.lit(0)
     rows = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(seed, F.col(id_col)))
-    ranked = bucketed_rank(rows, ["_cls"], "_h", id_col, out="_rank")
+    digits = digits_for(max(sizes.values()) if sizes else 0)
+    ranked = bucketed_rank(rows, ["_cls"], "_h", id_col, out="_rank", digits=digits)
     quota = F.create_map(*[x for c, q in quotas.items() for x in (F.lit(c), F.lit(q))])[F.col("_cls")] \
         if quotas else F.lit(0)
     return ranked.withColumn(split_col, F.when(F.col("_rank") <= quota, "test").otherwise("train")) \

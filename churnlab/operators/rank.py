@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 from churnlab.operators.joins import bounded_broadcast
 
 
+def digits_for(max_group_rows: int, rows_per_bucket: int = 50_000, max_digits: int = 5) -> int:
+    """Hex digits so that a (group, bucket) window holds about ``rows_per_bucket`` rows."""
+    d = 1
+    while d < max_digits and max_group_rows / 16 ** d > rows_per_bucket:
+        d += 1
+    return d
+
+
 def bucketed_rank(df: DataFrame, group_cols: list[str], hash_col: str, tie_col: str,
                   out: str = "rank", digits: int = 4) -> DataFrame:
     """Add 1-based ``out``: position of each row within its group ordered by (hash_col, tie_col).
@@ -32,7 +40,7 @@ def bucketed_rank(df: DataFrame, group_cols: list[str], hash_col: str, tie_col:
     before = Window.partitionBy(*group_cols).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "_bkt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     # At most (#groups x 16**digits) rows; checked before broadcasting.
-    offsets = bounded_broadcast(offsets, 2_000_000)
+    offsets = bounded_broadcast(offsets, 4_000_000)
     inner = Window.partitionBy(*group_cols, "_bkt").orderBy(hash_col, tie_col)
     return (rows.join(offsets, group_cols + ["_bkt"])
             .withColumn(out, F.row_number().over(inner) + F.col("_off"))
