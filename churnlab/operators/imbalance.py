@@ -37,6 +37,31 @@ def with_weight_column(df: DataFrame, target: str, weights: dict, out: str = "we
     return df.withColumn(out, F.coalesce(m[F.col(target)], F.lit(1.0)))
 
 
+def class_count_map(df: DataFrame, target: str) -> dict:
+    """Rows per class (one aggregate; at most MAX_CLASSES rows reach the driver)."""
+    rows = df.groupBy(F.col(target).alias("label")).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError("too many classes for class weighting")
+    return {r["label"]: int(r["count"]) for r in rows}
+
+
+def balanced_weight_map(counts: dict) -> dict:
+    """n / (k * n_c) per class, from the class counts."""
+    n, k = sum(counts.values()), len(counts)
+    return {c: n / (k * nc) for c, nc in counts.items() if nc}
+
+
+def pos_weight_from_counts(counts: dict, current=None, tuned: dict | None = None,
+                           class_weight: str | None = "balanced") -> dict | None:
+    """{0: 1, 1: neg/pos} for boosted trees under the reference's conditions (see :func:`pos_weight_map`)."""
+    if class_weight != "balanced" or "scale_pos_weight" in (tuned or {}) or current not in (None, 0, 1):
+        return None
+    pos, neg = counts.get(1, 0), counts.get(0, 0)
+    if pos == 0 or neg == 0:
+        return None
+    return {0: 1.0, 1: neg / pos}
+
+
 def scale_pos_weight(df: DataFrame, target: str) -> DataFrame:
     """One row (positives, negatives, scale_pos_weight = neg/pos, null when a class is absent)."""
     c = df.agg(F.count_if(F.col(target) == 1).alias("positives"), F.count_if(F.col(target) == 0).alias("negatives"))

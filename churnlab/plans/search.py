@@ -142,7 +142,8 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
             t = train0
             if use_smote:
                 t = imb.smote(t, id_col, target, feature_names, int_features=int_features, seed=seed)
-            cache[key] = t.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
+            stored = t.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
+            cache[key] = (stored, imb.class_count_map(stored, target))
         return cache[key]
 
     jobs = []
@@ -162,7 +163,8 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
         use_smote = parse_bool_value(tr.get("use_smote"), default=False)
         seed = int(tr.get("random_state", config.random_state))
         cw = None if use_smote else tr.get("class_weight", config.class_weight)
-        model, _ = fit_model(m, training_set(use_smote, seed), feature_names, target, cw, seed, hp)
+        data, counts = training_set(use_smote, seed)
+        model, _ = fit_model(m, data, feature_names, target, cw, seed, hp, class_counts=counts)
         metrics = evaluate(with_probability(model.transform(test)), target, "prediction", "p1")
         return run_row(run_id=new_run_id(), parent_run_id=parent, experiment=config.experiment,
                        run_name=f"{config.sweep_name}-{m}", run_type="trial", model=m,
@@ -173,7 +175,7 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
             rows = list(pool.map(run, jobs))
     finally:
         test.unpersist()
-        for df in cache.values():
+        for df, _ in cache.values():
             df.unpersist()
     # One sweep (parent) row per model, carrying its best score like the scheduler's sweep job.
     sweeps = []

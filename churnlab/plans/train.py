@@ -65,32 +65,34 @@ def with_probability(pred: DataFrame) -> DataFrame:
 
 
 def fit_model(name: str, train: DataFrame, feature_names: list[str], target: str, class_weight, random_state: int,
-              hyperparams: dict | None) -> tuple[PipelineModel, dict]:
-    """Fit one family (assembler + estimator) with its weighting rule; return (model, logged params)."""
+              hyperparams: dict | None, class_counts: dict | None = None) -> tuple[PipelineModel, dict]:
+    """Fit one family (assembler + estimator) with its weighting rule; return (model, logged params).
+
+    Every weighting rule needs only the per-class row counts (one small
+    aggregate, or ``class_counts`` from the caller), so no extra pass over
+    the training set computes weights or their sum.
+    """
     spec = get_model(name, class_weight=class_weight, random_state=random_state)
     spec, applied = apply_hyperparameters(spec, hyperparams)
+    counts = class_counts if class_counts is not None else imb.class_count_map(train, target)
     extra: dict = {}
     weights = None
     if name in ("logreg", "rf") and spec.class_weight == "balanced":
-        weights = imb.class_weight_map(imb.balanced_weights(train, target))
+        weights = imb.balanced_weight_map(counts)
     elif name == "xgboost":
-        weights = imb.pos_weight_map(train, target, current=spec.params.get("scale_pos_weight"),
-                                     tuned=applied, class_weight=spec.class_weight)
+        weights = imb.pos_weight_from_counts(counts, current=spec.params.get("scale_pos_weight"), tuned=applied,
+                                             class_weight=spec.class_weight)
         if weights:
             extra["scale_pos_weight"] = weights[1]
         elif spec.params.get("scale_pos_weight") not in (None, 0, 1):
             weights = {0: 1.0, 1: float(spec.params["scale_pos_weight"])}
     data = train
     weight_col = None
-    total = None
     if weights:
         data = imb.with_weight_column(train, target, weights, WEIGHT_COL)
         weight_col = WEIGHT_COL
-        if name == "logreg":
-            total = data.agg(F.sum(WEIGHT_COL)).first()[0]
-    if name == "logreg" and total is None:
-        total = float(data.count())
-    est = spec.estimator(FEATURES_COL, target, weight_col, total or 1.0)
+    total = sum(n * (weights.get(c, 1.0) if weights else 1.0) for c, n in counts.items())
+    est = spec.estimator(FEATURES_COL, target, weight_col, float(total) or 1.0)
     model = Pipeline(stages=[assembler(feature_names), est]).fit(data)
     return model, {**applied, **extra}
 
@@ -113,10 +115,12 @@ def train_stage(spark: SparkSession, prepared: DataFrame, feature_names: list[st
     results: dict[str, ModelResult] = {}
     rows = []
     try:
+        counts = imb.class_count_map(train, target)  # once for every family's weighting rule
         for name in config.models:
             try:
                 hp = (config.hyperparameters or {}).get(name, {})
-                model, logged = fit_model(name, train, feature_names, target, class_weight, config.random_state, hp)
+                model, logged = fit_model(name, train, feature_names, target, class_weight, config.random_state, hp,
+                                          class_counts=counts)
                 pred = with_probability(model.transform(test))
                 metrics = evaluate(pred, target, "prediction", "p1")
             except Exception as exc:  # noqa: BLE001
