@@ -31,7 +31,15 @@ from churnlab.plans.scoring import (
     score_batch,
     score_requests,
 )
-from churnlab.plans.search import TEST_SPACE, SearchConfig, best_trial, export_best, random_search
+from churnlab.plans.search import (
+    TEST_SPACE,
+    SearchConfig,
+    best_trial,
+    config_table,
+    export_best,
+    merge_overrides,
+    random_search,
+)
 from churnlab.plans.train import TrainConfig, load_model, save_model, train_stage, with_probability
 from churnlab.session import ensure_checkpoint_dir, scratch_path
 from churnlab.sources.csv import scan_csv, scan_csv_dir, write_csv
@@ -400,9 +408,13 @@ def _renamed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _overrides(spark: SparkSession, sf: str) -> DataFrame:
+    """Each trial's params as 'model.param=value' overrides, parsed and merged over the training config."""
     r = _renamed(spark, sf).where(F.col("override_key").contains("."))
     text = F.concat(F.col("override_key"), F.lit("="), F.col("value"))
-    return r.select("run_id", sc.parse_override(text).alias("o")).select("run_id", "o.*")
+    # A trial's params map holds each key once, so every override has the same ordinal.
+    parsed = r.select("run_id", F.lit(0).alias("ordinal"), sc.parse_override(text).alias("o")).select(
+        "run_id", "ordinal", "o.model", "o.param", "o.value")
+    return merge_overrides(config_table(spark, PROD_TRAIN["hyperparameters"]), parsed)
 
 
 def _model_registry(spark: SparkSession) -> str:

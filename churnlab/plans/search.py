@@ -206,3 +206,23 @@ def export_best(best: DataFrame) -> DataFrame:
     hp = s.select(F.concat(F.lit("hyperparameters."), F.col("model")).alias("section"),
                   F.explode("cfg.hyperparameters").alias("key", "value"))
     return models.unionByName(training).unionByName(hp)
+
+
+def config_table(spark: SparkSession, hyperparameters: dict) -> DataFrame:
+    """Training config hyper-parameters as rows (model, param, value) -- a handful of rows."""
+    rows = [(m, k, None if v is None else str(v)) for m, ps in (hyperparameters or {}).items() for k, v in ps.items()]
+    return spark.createDataFrame(rows, "model string, param string, value string")
+
+
+def merge_overrides(base: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Effective hyper-parameters per run: the last override of a key wins, merged over the base config.
+
+    ``base``: (model, param, value); ``overrides``: (run_id, ordinal, model, param, value).
+    Returns (run_id, model, param, value, source) with source 'override' or 'base'.
+    """
+    last = overrides.groupBy("run_id", "model", "param").agg(F.max_by("value", "ordinal").alias("_ov"))
+    runs = overrides.select("run_id", "model").distinct()
+    base_per_run = runs.join(base.withColumnRenamed("value", "_bv"), "model")
+    merged = base_per_run.join(last, ["run_id", "model", "param"], "full_outer")
+    return merged.select("run_id", "model", "param", F.coalesce("_ov", "_bv").alias("value"),
+                         F.when(F.col("_ov").isNotNull(), "override").otherwise("base").alias("source"))

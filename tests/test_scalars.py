@@ -70,3 +70,14 @@ def test_grid_sizes_and_sampling():
     assert len(param_grid(TEST_SPACE)["logreg"]) == 6
     space = {"use_smote": ["true", None], "logreg": {"C": [None, "none", 1.0]}}
     assert param_grid(space) == {"logreg": [{"use_smote": "true", "logreg_C": 1.0}]}
+
+
+def test_merge_overrides_last_wins(spark):
+    from churnlab.plans.search import config_table, merge_overrides
+    base = config_table(spark, {"rf": {"n_estimators": 100, "max_depth": 6}, "logreg": {"C": 1.0}})
+    ov = spark.createDataFrame([("t1", 0, "rf", "max_depth", "4"), ("t1", 1, "rf", "max_depth", "8"),
+                                ("t1", 2, "rf", "bootstrap", "false"), ("t2", 0, "logreg", "C", "0.1")],
+                               "run_id string, ordinal int, model string, param string, value string")
+    got = {(r["run_id"], r["param"]): (r["value"], r["source"]) for r in merge_overrides(base, ov).collect()}
+    assert got == {("t1", "n_estimators"): ("100", "base"), ("t1", "max_depth"): ("8", "override"),
+                   ("t1", "bootstrap"): ("false", "override"), ("t2", "C"): ("0.1", "override")}
