@@ -70,8 +70,9 @@ def parse_requests(requests: DataFrame, required: list[str], types: dict[str, st
     """JSON split payloads -> (rows, rejects).
 
     rows: (request_id, index, required columns cast to their types), one per data element.
-    rejects: (request_id, reason) for malformed JSON / not an object, or missing required columns;
-    bad requests never fail the job.
+    rejects: (request_id, index, reason). A whole request is rejected (index null) when it is
+    malformed JSON / not an object or lacks a required column; a single row when a value is
+    missing or does not cast to its column type. Bad input never fails the job.
     """
     p = requests.withColumn("_p", F.from_json(F.col(body_col), REQUEST_SCHEMA))
     is_obj = F.trim(F.col(body_col)).startswith("{")
@@ -81,20 +82,48 @@ def parse_requests(requests: DataFrame, required: list[str], types: dict[str, st
               .when(cols.isNull() | F.col("_p.input_data.data").isNull(), F.lit("malformed"))
               .when(F.size(missing) > 0, F.concat(F.lit("missing columns: "), F.array_join(missing, ","))))
     checked = p.withColumn("_reason", reason)
-    rejects = checked.where(F.col("_reason").isNotNull()).select("request_id", F.col("_reason").alias("reason"))
+    bad_requests = checked.where(F.col("_reason").isNotNull()).select(
+        "request_id", F.lit(None).cast("bigint").alias("index"), F.col("_reason").alias("reason"))
     good = checked.where(F.col("_reason").isNull())
     rows = good.select("request_id", "_p.input_data.columns", "_p.input_data.index",
                        F.posexplode("_p.input_data.data").alias("_pos", "_vals"))
     idx = F.coalesce(F.try_element_at(F.col("index"), (F.col("_pos") + 1).cast("int")), F.col("_pos").cast("bigint"))
-    out = rows.select("request_id", idx.alias("index"), *[
-        F.try_element_at(F.col("_vals"), F.array_position(F.col("columns"), c).cast("int")).try_cast(types.get(c, "string"))
-        .alias(c) for c in required])
-    return out, rejects
-
-
-def score_requests(model: PipelineModel, requests: DataFrame, required: list[str], types: dict[str, str]) -> DataFrame:
-    rows, _ = parse_requests(requests, required, types)
-    return score_batch(model, rows, ["request_id", "index"])
+    values = [F.try_element_at(F.col("_vals"), F.array_position(F.col("columns"), c).cast("int"))
+              .try_cast(types.get(c, "string")).alias(c) for c in required]
+    parsed = rows.select("request_id", idx.alias("index"), *values)
+    invalid = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda x: x.isNotNull())
+    parsed = parsed.withColumn("_bad", invalid)
+    bad_rows = parsed.where(F.size("_bad") > 0).select(
+        "request_id", "index", F.concat(F.lit("invalid values: "), F.array_join("_bad", ",")).alias("reason"))
+    out = parsed.where(F.size("_bad") == 0).drop("_bad")
+    return out, bad_requests.unionByName(bad_rows)
+
+
+def category_labels(model: PipelineModel) -> dict[str, list[str]]:
+    """The categories each fitted indexer knows (the encoder's values; a bounded parameter)."""
+    return {s.getInputCol(): list(s.labels) for s in model.stages if isinstance(s, StringIndexerModel)}
+
+
+def split_unseen(model: PipelineModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(scorable rows, rejects for rows with a category the model never saw) -- instead of a failed job."""
+    labels = category_labels(model)
+    if not labels:
+        return rows, rows.limit(0).select("request_id", "index", F.lit("").alias("reason"))
+    unseen = F.filter(F.array(*[F.when(~F.col(c).isin(*v), F.lit(c)) for c, v in labels.items()]),
+                      lambda x: x.isNotNull())
+    tagged = rows.withColumn("_unseen", unseen)
+    rejects = tagged.where(F.size("_unseen") > 0).select(
+        "request_id", "index", F.concat(F.lit("unseen categories: "), F.array_join("_unseen", ",")).alias("reason"))
+    return tagged.where(F.size("_unseen") == 0).drop("_unseen"), rejects
+
+
+def score_requests(model: PipelineModel, requests: DataFrame, required: list[str], types: dict[str, str],
+                   with_rejects: bool = False):
+    """Scored rows (request_id, index, prediction, probability); optionally also every reject."""
+    rows, rejects = parse_requests(requests, required, types)
+    ok, unseen = split_unseen(model, rows)
+    scored = score_batch(model, ok, ["request_id", "index"])
+    return (scored, rejects.unionByName(unseen)) if with_rejects else scored
 
 
 def respond(scored: DataFrame) -> DataFrame:

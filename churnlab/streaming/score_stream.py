@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from churnlab.plans.scoring import parse_requests, score_batch
+from churnlab.plans.scoring import score_requests
 
 REQUEST_FILE_SCHEMA = "request_id long, body string"
 
@@ -26,8 +26,7 @@ def start_score_stream(spark: SparkSession, model: PipelineModel, source_dir: st
     sink = sink_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows, rejects = parse_requests(batch, required, types)
-        scored = score_batch(model, rows, ["request_id", "index"])
+        scored, rejects = score_requests(model, batch, required, types, with_rejects=True)
         scored.write.mode("overwrite").parquet(f"{sink}/scored/batch_id={batch_id}")
         rejects.write.mode("overwrite").parquet(f"{sink}/rejects/batch_id={batch_id}")
 

@@ -125,3 +125,17 @@ def test_stream_restarts_from_checkpoint(spark, tmp_dir):
     second = score_stream(spark, pipe, src + "/*", sink, ck, FEATS, types)
     assert second.count() == raw.count() and n1 < second.count()
     assert second.select("request_id", "index").distinct().count() == second.count()  # no batch scored twice
+
+
+def test_unseen_category_is_rejected_not_fatal(spark):
+    from churnlab.plans.scoring import score_requests as _score
+    p = prepare(base_table(spark, SF_SMALL), PrepOptions())
+    model, _ = fit_model("logreg", p.data.where("split = 'train'"), p.feature_names, "churned", "balanced", 42, {})
+    pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, model)
+    body = ('{"input_data": {"columns": ' + str(FEATS).replace("'", '"') + ', "index": [1, 2], "data": ['
+            '["ATLANTIS", "BUILDING", 1.0, 3, 2, 100, 4, 0, 1], ["ASIA", "BUILDING", 1.0, 3, 2, 100, 4, 0, 1]]}}')
+    reqs = spark.createDataFrame([(9, body)], "request_id long, body string")
+    types = {f.name: f.dataType.simpleString() for f in BASE_SCHEMA.fields}
+    scored, rejects = _score(pipe, reqs, FEATS, types, with_rejects=True)
+    assert [r["index"] for r in scored.collect()] == [2]
+    assert [(r["index"], r["reason"]) for r in rejects.collect()] == [(1, "unseen categories: region")]

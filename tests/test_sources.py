@@ -67,6 +67,11 @@ def test_request_parsing_rejects(spark):
     assert sorted(tuple(r) for r in rows.collect()) == [(1, 7, 1.0, "x"), (1, 8, 2.0, "y")]
     rej = {r["request_id"]: r["reason"] for r in rejects.collect()}
     assert rej[2] == "malformed" and rej[4] == "malformed" and rej[3] == "missing columns: b"
+    short = '{"input_data": {"columns": ["a", "b"], "index": [1, 2], "data": [["x", "y"], ["3"]]}}'
+    rows2, rej2 = parse_requests(spark.createDataFrame([(5, short)], "request_id long, body string"), ["a", "b"],
+                                 {"a": "double", "b": "string"})
+    assert rows2.count() == 0
+    assert sorted((r["index"], r["reason"]) for r in rej2.collect()) == [(1, "invalid values: a"), (2, "invalid values: b")]
 
 
 def test_runs_filter_and_latest(spark, tmp_dir):
