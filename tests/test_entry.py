@@ -53,3 +53,8 @@ def test_scans_prune_columns_and_push_filters(spark):
     # orders is read once, with only the four columns the features need
     assert base.count("orders.parquet") == 1
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in base
+
+
+def test_split_has_no_single_partition_window(spark):
+    plan = entry.queries()["stratified_split"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
