@@ -181,10 +181,20 @@ def _bin_frame(df: DataFrame, features: list[str], target: str | None, bins: int
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi"))
     stats = stats.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
     # stats: one row per (feature, class); AQE broadcasts it from its measured size.
-    b = F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("bigint")
-    counted = long.join(stats, keys).groupBy(*keys, b.alias("bin")).agg(F.count("*").alias("count"))
-    grid = stats.select(*keys, "n", "lo", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    # Bin index exactly as NumPy's uniform-bin histogram: scaled index, then corrected
+    # against the linspace edges (edge i = i * step + lo, the last edge = hi).
+    def edge(i):
+        return F.when(i == F.lit(bins), F.col("hi")).otherwise(i * F.col("width") + F.col("lo"))
+
+    v = F.col("value")
+    i0 = ((v - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))).cast("bigint")
+    i1 = F.when(i0 == F.lit(bins), F.lit(bins - 1)).otherwise(i0)
+    i2 = F.when(v < edge(i1), i1 - 1).otherwise(i1)
+    i3 = F.when((v >= edge(i2 + 1)) & (i2 != F.lit(bins - 1)), i2 + 1).otherwise(i2)
+    counted = long.join(stats, keys).groupBy(*keys, i3.cast("bigint").alias("bin")).agg(F.count("*").alias("count"))
+    grid = stats.select(*keys, "n", "lo", "hi", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     grid = grid.withColumn("bin", F.col("bin").cast("bigint"))
+    grid = grid.withColumn("bin_lo_raw", edge(F.col("bin"))).withColumn("bin_hi_raw", edge(F.col("bin") + 1))
     out = grid.join(counted, keys + ["bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))
     return out, keys
 
@@ -193,10 +203,10 @@ def histogram(df: DataFrame, features: list[str], target: str | None = None, bin
               density: bool = False) -> DataFrame:
     """Equal-width bins over each (feature[, class])'s own min..max; last bin closed."""
     out, keys = _bin_frame(df, features, target, bins)
-    cols = [*keys, "bin", _r(F.col("lo") + F.col("bin") * F.col("width")).alias("bin_lo"),
-            _r(F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_hi"), "count"]
+    cols = [*keys, "bin", _r(F.col("bin_lo_raw")).alias("bin_lo"), _r(F.col("bin_hi_raw")).alias("bin_hi"), "count"]
     if density:
-        cols.append(_r(F.col("count") / (F.col("n") * F.col("width"))).alias("density"))
+        # NumPy: count / (n * width of this bin), widths from the edges.
+        cols.append(_r(F.col("count") / (F.col("n") * (F.col("bin_hi_raw") - F.col("bin_lo_raw")))).alias("density"))
     return out.select(*cols)
 
 

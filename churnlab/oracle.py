@@ -127,22 +127,26 @@ def _long_sql(features: list[str], with_label: bool) -> str:
 def _hist_sql(features: list[str], density: bool) -> str:
     keys = "feature, label"
     long = _long_sql(features, True)
-    dens = ", ROUND(COALESCE(c.count, 0) / (s.n * s.width), 6) AS density" if density else ""
-    return f"""
-SELECT s.feature, s.label, g.bin, ROUND(s.lo + g.bin * s.width, 6) AS bin_lo,
-  ROUND(s.lo + (g.bin + 1) * s.width, 6) AS bin_hi, CAST(COALESCE(c.count, 0) AS BIGINT) AS count{dens}
-FROM (SELECT {keys}, n, lo, hi, (hi - lo) / 30.0 AS width FROM (
+    edge = lambda i: f"(CASE WHEN {i} = 30 THEN s.hi ELSE {i} * s.width + s.lo END)"
+    i0 = "CAST(TRUNC((l.value - s.lo) * (30.0 / (s.hi - s.lo))) AS BIGINT)"
+    i1 = f"(CASE WHEN {i0} = 30 THEN 29 ELSE {i0} END)"
+    i2 = f"(CASE WHEN l.value < {edge(i1)} THEN {i1} - 1 ELSE {i1} END)"
+    i3 = f"(CASE WHEN l.value >= {edge(f'({i2} + 1)')} AND {i2} <> 29 THEN {i2} + 1 ELSE {i2} END)"
+    dens = (f", ROUND(COALESCE(c.count, 0) / (s.n * ({edge('(g.bin + 1)')} - {edge('g.bin')})), 6) AS density"
+            if density else "")
+    stats = f"""(SELECT {keys}, n, lo, hi, (hi - lo) / 30.0 AS width FROM (
     SELECT {keys}, COUNT(*) AS n,
       CASE WHEN MIN(value) = MAX(value) THEN MIN(value) - 0.5 ELSE MIN(value) END AS lo,
       CASE WHEN MIN(value) = MAX(value) THEN MAX(value) + 0.5 ELSE MAX(value) END AS hi
-    FROM ({long}) l GROUP BY {keys})) s
+    FROM ({long}) l0 GROUP BY {keys}) x)"""
+    return f"""
+SELECT s.feature, s.label, g.bin, ROUND({edge('g.bin')}, 6) AS bin_lo, ROUND({edge('(g.bin + 1)')}, 6) AS bin_hi,
+  CAST(COALESCE(c.count, 0) AS BIGINT) AS count{dens}
+FROM {stats} s
 CROSS JOIN (SELECT CAST(range AS BIGINT) AS bin FROM range(30)) g
 LEFT JOIN (
-  SELECT l.feature, l.label, CAST(LEAST(FLOOR((l.value - s2.lo) / s2.width), 29) AS BIGINT) AS bin, COUNT(*) AS count
-  FROM ({long}) l JOIN (SELECT {keys}, lo, (hi - lo) / 30.0 AS width FROM (
-    SELECT {keys}, CASE WHEN MIN(value) = MAX(value) THEN MIN(value) - 0.5 ELSE MIN(value) END AS lo,
-      CASE WHEN MIN(value) = MAX(value) THEN MAX(value) + 0.5 ELSE MAX(value) END AS hi
-    FROM ({long}) l3 GROUP BY {keys})) s2 ON l.feature = s2.feature AND l.label = s2.label
+  SELECT l.feature, l.label, {i3} AS bin, COUNT(*) AS count
+  FROM ({long}) l JOIN {stats} s ON l.feature = s.feature AND l.label = s.label
   GROUP BY 1, 2, 3) c ON c.feature = s.feature AND c.label = s.label AND c.bin = g.bin"""
 
 

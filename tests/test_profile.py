@@ -85,3 +85,18 @@ def test_crosstab_and_value_counts(spark):
     assert [tuple(r) for r in prof.value_counts(df, "c").collect()] == [("a", 2), ("b", 1)]
     assert prof.class_counts(df, "y").first().asDict() == {"positives": 3, "negatives": 1}
     assert F is not None
+
+
+def test_histogram_matches_numpy_on_edge_values(spark):
+    rng = np.random.default_rng(2)
+    groups = {0: rng.integers(0, 9, 500).astype(float), 1: np.round(rng.normal(3, 2, 400), 1)}
+    rows = [(float(v), g) for g, vals in groups.items() for v in vals]
+    df = spark.createDataFrame(rows, "x double, y int")
+    got = prof.histogram(df, ["x"], "y", bins=30, density=True).collect()
+    for g, vals in groups.items():
+        counts, edges = np.histogram(vals, bins=30)
+        dens, _ = np.histogram(vals, bins=30, density=True)
+        mine = sorted((r["bin"], r["count"], r["density"], r["bin_lo"]) for r in got if r["label"] == g)
+        assert [m[1] for m in mine] == counts.tolist()
+        assert all(abs(m[2] - round(d, 6)) < 1e-6 for m, d in zip(mine, dens))
+        assert all(abs(m[3] - round(e, 6)) < 1e-9 for m, e in zip(mine, edges[:-1]))
