@@ -224,7 +224,10 @@ def boxplot_stats(df: DataFrame, features: list[str], target: str, whis: float =
     agg = long.join(q.select("feature", "label", "_lo", "_hi"), ["feature", "label"]).groupBy(
         "feature", "label").agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
                                 F.count_if(~inside).alias("n_fliers"), F.count("*").alias("n"))
-    return q.join(agg, ["feature", "label"]).select(
+    # As the plotting library: a whisker never ends inside the box.
+    out = q.join(agg, ["feature", "label"]).withColumn("whisker_lo", F.least("whisker_lo", "q1")) \
+        .withColumn("whisker_hi", F.greatest("whisker_hi", "q3"))
+    return out.select(
         "feature", "label", "n", *[_r(F.col(c)).alias(c) for c in ("q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi")],
         "n_fliers")
 

@@ -155,8 +155,8 @@ def _box_sql(features: list[str]) -> str:
     return f"""
 SELECT b.feature, b.label, COUNT(*) AS n, ROUND(b.q1, 6) AS q1, ROUND(b.median, 6) AS median, ROUND(b.q3, 6) AS q3,
   ROUND(b.iqr, 6) AS iqr,
-  ROUND(MIN(CASE WHEN l.value >= b.lo AND l.value <= b.hi THEN l.value END), 6) AS whisker_lo,
-  ROUND(MAX(CASE WHEN l.value >= b.lo AND l.value <= b.hi THEN l.value END), 6) AS whisker_hi,
+  ROUND(LEAST(MIN(CASE WHEN l.value >= b.lo AND l.value <= b.hi THEN l.value END), b.q1), 6) AS whisker_lo,
+  ROUND(GREATEST(MAX(CASE WHEN l.value >= b.lo AND l.value <= b.hi THEN l.value END), b.q3), 6) AS whisker_hi,
   COUNT(*) FILTER (WHERE NOT (l.value >= b.lo AND l.value <= b.hi)) AS n_fliers
 FROM ({long}) l JOIN (
   SELECT feature, label, q1, median, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (

@@ -100,3 +100,15 @@ def test_histogram_matches_numpy_on_edge_values(spark):
         assert [m[1] for m in mine] == counts.tolist()
         assert all(abs(m[2] - round(d, 6)) < 1e-6 for m, d in zip(mine, dens))
         assert all(abs(m[3] - round(e, 6)) < 1e-9 for m, e in zip(mine, edges[:-1]))
+
+
+def test_boxplot_whisker_never_inside_box(spark):
+    # q3 interpolates above every non-outlier value: the upper whisker stops at q3
+    vals = [1.0, 1.0, 1.0, 1.0, 2.0, 50.0, 60.0]
+    df = spark.createDataFrame([(v, 0) for v in vals], "x double, y int")
+    r = prof.boxplot_stats(df, ["x"], "y").first()
+    q1, q3 = np.quantile(vals, [0.25, 0.75])
+    hi = q3 + 1.5 * (q3 - q1)
+    inside = [v for v in vals if v <= hi]
+    assert r["whisker_hi"] == round(max(max(inside), q3), 6)
+    assert r["n_fliers"] == sum(1 for v in vals if v > hi or v < q1 - 1.5 * (q3 - q1))
