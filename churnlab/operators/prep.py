@@ -69,6 +69,13 @@ def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size:
     sizes = class_sizes(df, target)
     if target and sizes and min(sizes.values()) < 2:
         raise ValueError("The least populated class has fewer than 2 members; cannot stratify.")
+    if target and sizes:
+        n = sum(sizes.values())
+        n_test = math.ceil(float(test_size) * n)
+        for part, size in (("test", n_test), ("train", n - n_test)):
+            if size < len(sizes):
+                raise ValueError(f"The {part} size {size} should be greater or equal to the number of classes "
+                                 f"{len(sizes)}.")
     quotas = split_test_quotas(sizes, test_size)
     cls = F.col(target) if target else F.lit(0)
     rows = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(seed, F.col(id_col)))

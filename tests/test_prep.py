@@ -44,6 +44,9 @@ def test_split_refuses_singleton_class(spark):
     df = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "id long, y int")
     with pytest.raises(ValueError):
         prep.stratified_split(df, "id", "y", 0.5, 1)
+    three = spark.createDataFrame([(i, i % 3) for i in range(9)], "id long, y int")
+    with pytest.raises(ValueError, match="test size 2"):
+        prep.stratified_split(three, "id", "y", 0.2, 1)
 
 
 def test_encoder_golden_order_and_unseen(spark):
