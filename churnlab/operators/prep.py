@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
-from churnlab.operators.joins import row_count_at_most
+from churnlab.operators.joins import bounded_broadcast, row_count_at_most
 from churnlab.operators.rank import bucketed_rank, digits_for
 from churnlab.session import checkpoint
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
 SCALER_SCHEMA = "column_name string, mean double, scale double"
-MAX_ENCODER_VALUES = 100_000
+MAX_ENCODER_VALUES = 100_000  # refused above this: an id-like column, not a category
+MAX_LITERAL_CODES = 2_000  # up to this many codes become literals in the projection
 
 
 # ---------------------------------------------------------------- split
@@ -127,9 +128,20 @@ def encode_fit(train: DataFrame, columns) -> DataFrame:
     return long.select("column_name", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
 
 
-def _encoder_maps(encoder: DataFrame) -> dict[str, dict[str, int]] | None:
-    """Fitted codes as driver-side parameters, or None when the encoder is too large."""
+def encoder_labels(encoder: DataFrame) -> dict[str, dict[str, int]]:
+    """All fitted codes per column (at most MAX_ENCODER_VALUES, enforced by ``encode_fit``), e.g. for the
+    serving pipeline's indexer labels."""
     if not row_count_at_most(encoder, MAX_ENCODER_VALUES):
+        raise ValueError(f"encoder larger than {MAX_ENCODER_VALUES} values")
+    maps: dict[str, dict[str, int]] = {}
+    for r in encoder.collect():
+        maps.setdefault(r["column_name"], {})[r["value"]] = r["code"]
+    return maps
+
+
+def _encoder_maps(encoder: DataFrame) -> dict[str, dict[str, int]] | None:
+    """Fitted codes as driver-side parameters, or None when too many for literals (then a broadcast join)."""
+    if not row_count_at_most(encoder, MAX_LITERAL_CODES):
         return None
     maps: dict[str, dict[str, int]] = {}
     for r in encoder.collect():
@@ -141,11 +153,12 @@ def encode_transform(df: DataFrame, encoder: DataFrame, columns, handle_invalid:
                      maps: dict[str, dict[str, int]] | None = None) -> DataFrame:
     """Replace each categorical by its code.
 
-    A fitted encoder is a small parameter table (<= MAX_ENCODER_VALUES
-    entries, like a ``StringIndexerModel``'s labels); it becomes a literal
-    map inside a plain projection (no join, stays in whole-stage codegen).
-    A larger encoder is applied by a per-column equi join instead. Unseen
-    values: 'error' fails the job, 'keep' maps them to k, 'skip' drops the row.
+    Up to MAX_LITERAL_CODES codes (like a ``StringIndexerModel``'s labels)
+    become a literal map inside a plain projection (no join, stays in
+    whole-stage codegen). A larger encoder (at most MAX_ENCODER_VALUES,
+    enforced by ``encode_fit``) is applied by a per-column broadcast join,
+    checked against that bound. Unseen values: 'error' fails the job,
+    'keep' maps them to k, 'skip' drops the row.
     """
     cols = [c for c in columns if c in df.columns]
     if not cols:
@@ -161,8 +174,8 @@ def encode_transform(df: DataFrame, encoder: DataFrame, columns, handle_invalid:
             code = F.create_map(*pairs)[F.col(c).cast("string")] if pairs else F.lit(None).cast("int")
             k = len(m)
         else:
-            e = encoder.where(F.col("column_name") == c).select(F.col("value").alias(f"_v_{c}"),
-                                                                 F.col("code").alias(f"_code_{c}"))
+            e = bounded_broadcast(encoder.where(F.col("column_name") == c).select(
+                F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")), MAX_ENCODER_VALUES)
             out = out.join(e, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
             code = F.col(f"_code_{c}")
             k = None

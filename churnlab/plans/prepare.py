@@ -87,7 +87,8 @@ def prepare(df: DataFrame, opts: PrepOptions | None = None) -> Prepared:
     params = prep.scaler_params(scaler)
     data = prep.scale_transform(encoded, params, scaled_cols)
     data = data.select(r.id_col, *features, r.target, "split")
-    return Prepared(data, encoder, scaler, features, encoded_cols, scaled_cols, dropped, maps or {}, params, opts)
+    labels = maps if maps is not None else prep.encoder_labels(encoder)
+    return Prepared(data, encoder, scaler, features, encoded_cols, scaled_cols, dropped, labels, params, opts)
 
 
 def load_prepared(spark, path: str, opts: PrepOptions | None = None) -> Prepared:
@@ -101,5 +102,5 @@ def load_prepared(spark, path: str, opts: PrepOptions | None = None) -> Prepared
     data = data.select(opts.roles.id_col, *meta["feature_names"], meta["target_name"], "split")
     return Prepared(data, art["encoder"], art["scaler"], list(meta["feature_names"]),
                     list(meta["categorical_encoded_columns"]), list(meta["scaled_numeric_columns"]),
-                    list(meta["dropped_columns"]), prep._encoder_maps(art["encoder"]) or {},
+                    list(meta["dropped_columns"]), prep.encoder_labels(art["encoder"]),
                     prep.scaler_params(art["scaler"]), opts)

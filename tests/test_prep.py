@@ -87,3 +87,13 @@ def test_split_approx_is_map_only(spark):
     df = _frame(spark)
     plan = prep.split_approx(df, "id", 0.2)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_large_encoder_uses_join_path(spark, monkeypatch):
+    monkeypatch.setattr(prep, "MAX_LITERAL_CODES", 2)
+    train = spark.createDataFrame([("c",), ("a",), ("b",)], "g string")
+    enc = prep.encode_fit(train, ["g"])
+    out = prep.encode_transform(spark.createDataFrame([("b",), ("a",)], "g string"), enc, ["g"])
+    assert sorted(r["g"] for r in out.collect()) == [0, 1]
+    with pytest.raises(Exception, match="unseen"):
+        prep.encode_transform(spark.createDataFrame([("z",)], "g string"), enc, ["g"]).collect()
