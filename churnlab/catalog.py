@@ -40,7 +40,14 @@ from churnlab.plans.search import (
     merge_overrides,
     random_search,
 )
-from churnlab.plans.train import TrainConfig, load_model, save_model, train_stage, with_probability
+from churnlab.plans.train import (
+    TrainConfig,
+    applied_weights,
+    load_model,
+    save_model,
+    train_stage,
+    with_probability,
+)
 from churnlab.session import ensure_checkpoint_dir, scratch_path
 from churnlab.sources.csv import scan_csv, scan_csv_dir, write_csv
 from churnlab.sources.prepared import read_prepared, save_artifacts, write_prepared
@@ -219,6 +226,7 @@ def _metric_queries() -> dict[str, Query]:
         "roc_auc": lambda s, sf: round_doubles(mt.roc_auc(scored(s, sf), t, "score")),
         "best_model": lambda s, sf: round_doubles(_best_model(s, sf)),
         "smote": _smote,
+        "smote_disables_weights": _smote_weights,
         "balanced_weights": lambda s, sf: round_doubles(imb.balanced_weights(_train(s, sf), t)),
         "scale_pos_weight": lambda s, sf: round_doubles(imb.scale_pos_weight(_train(s, sf), t)),
     }
@@ -232,6 +240,15 @@ def _smote(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(out)
 
 
+def _smote_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Class sizes after SMOTE and the class weights a balanced-weight fit then applies (all 1: switched off)."""
+    p = _prepared_stored(spark, sf)
+    train = p.data.where(F.col("split") == "train").drop("split")
+    balanced = imb.smote(train, R.id_col, R.target, p.feature_names, int_features=p.encoded_columns, k=SMOTE_K,
+                         seed=SEED)
+    return round_doubles(applied_weights(balanced, R.target, "balanced", use_smote=True))
+
+
 def _train(spark: SparkSession, sf: str) -> DataFrame:
     return prep.stratified_split(_base(spark, sf), R.id_col, R.target, TEST_SIZE, SEED).where(F.col("split") == "train")
 

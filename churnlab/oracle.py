@@ -296,6 +296,9 @@ ORDER BY {d('2 * tp', '2 * tp + fp + fn')} DESC, ordinal LIMIT 1"""
         "metrics": w(f"SELECT {mets} FROM ({conf}) c"),
         "roc_auc": w(auc),
         "best_model": w(best),
+        "smote_disables_weights": w(train + f"""
+SELECT CAST({t} AS INTEGER) AS label, MAX(COUNT(*)) OVER () AS n_c, 1.0::DOUBLE AS weight
+FROM s WHERE split = 'train' GROUP BY {t}"""),
         "balanced_weights": w(train + f"""
 SELECT {t} AS label, COUNT(*) AS n_c, ROUND(SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)), 6) AS weight
 FROM s WHERE split = 'train' GROUP BY {t}"""),

@@ -97,18 +97,37 @@ def fit_model(name: str, train: DataFrame, feature_names: list[str], target: str
     return model, {**applied, **extra}
 
 
+def effective_class_weight(class_weight: str | None, use_smote) -> str | None:
+    """SMOTE balances the classes, so it switches class weighting off (the reference's rule)."""
+    return None if parse_bool_value(use_smote, default=False) else class_weight
+
+
+def applied_weights(train: DataFrame, target: str, class_weight: str | None, use_smote,
+                    model: str = "logreg") -> DataFrame:
+    """(label, n_c, weight): the rows per class a fit sees and the weight each class gets."""
+    cw = effective_class_weight(class_weight, use_smote)
+    counts = imb.class_count_map(train, target)
+    if model in ("logreg", "rf") and cw == "balanced":
+        w = imb.balanced_weight_map(counts)
+    elif model == "xgboost":
+        w = imb.pos_weight_from_counts(counts, class_weight=cw) or {}
+    else:
+        w = {}
+    return train.sparkSession.createDataFrame([(int(c), int(n), float(w.get(c, 1.0))) for c, n in sorted(counts.items())],
+                                              "label int, n_c bigint, weight double")
+
+
 def train_stage(spark: SparkSession, prepared: DataFrame, feature_names: list[str], target: str,
                 config: TrainConfig, int_features=(), id_col: str = "customer_id",
                 runs_path: str | None = None) -> TrainResult:
     """The whole stage. Any failure aborts; the best model (F1, first wins ties) is reported."""
     use_smote = parse_bool_value(config.use_smote, default=False)
-    class_weight = config.class_weight
+    class_weight = effective_class_weight(config.class_weight, use_smote)
     train = prepared.where(F.col("split") == "train").drop("split")
     test = prepared.where(F.col("split") == "test").drop("split")
     if use_smote:
         train = imb.smote(train, id_col, target, feature_names, int_features=int_features, k=config.smote_k,
                           seed=config.random_state)
-        class_weight = None  # SMOTE balances the classes, so weighting is switched off.
     train = train.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
     test = test.select(id_col, *feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
     parent = new_run_id()
