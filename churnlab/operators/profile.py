@@ -138,20 +138,22 @@ def churn_rate(df: DataFrame, target: str) -> DataFrame:
 def rate_by_group(df: DataFrame, dims: list[str], target: str) -> DataFrame:
     """(dimension, value, n, rate, overall, diff) for every dimension in ONE aggregate.
 
-    The rows are unpivoted to (dimension, value, y); a rollup yields the
-    (dimension, value) and (dimension) levels, which produce the per-value rates and the
-    overall rate (all rows, null keys included) in the same shuffle. The
-    overall rows are then joined back on ``dimension`` (a few rows).
+    The rows are unpivoted to (dimension, value, y) and counted per
+    (dimension, value) -- null keys included -- in one shuffle. The overall
+    rate (all rows, as the reference's reference line) is a window over that
+    small aggregated table, partitioned by dimension; null keys are then dropped
+    from the per-value rows, as the reference's groupby does.
     """
     long = unpivot(df.select(*dims, target), [target], dims, "dimension", "value", cast="string")
-    grouped = long.select("dimension", "value", F.col(target).cast("double").alias("_y"))
-    agg = (grouped.rollup("dimension", "value")
-           .agg(F.count("*").alias("n"), F.avg("_y").alias("rate"), F.grouping_id().alias("_g")))
-    per_value = agg.where((F.col("_g") == 0) & F.col("value").isNotNull())
-    overall = agg.where(F.col("_g") == 1).select("dimension", F.col("rate").alias("overall"))
-    return per_value.join(F.broadcast(overall), "dimension").select(
-        "dimension", "value", "n", _r(F.col("rate")).alias("rate"), _r(F.col("overall")).alias("overall"),
-        _r(F.col("rate") - F.col("overall")).alias("diff"))
+    agg = long.groupBy("dimension", "value").agg(F.count("*").alias("n"),
+                                                 F.sum(F.col(target).cast("double")).alias("_sy"),
+                                                 F.count(F.col(target)).alias("_ny"))
+    per_dim = Window.partitionBy("dimension")
+    agg = agg.withColumn("_overall", F.sum("_sy").over(per_dim) / F.sum("_ny").over(per_dim))
+    rate = F.col("_sy") / F.col("_ny")
+    return agg.where(F.col("value").isNotNull()).select(
+        "dimension", "value", "n", _r(rate).alias("rate"), _r(F.col("_overall")).alias("overall"),
+        _r(rate - F.col("_overall")).alias("diff"))
 
 
 def crosstab(df: DataFrame, columns: list[str], target: str, classes=(0, 1)) -> DataFrame:
