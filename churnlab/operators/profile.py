@@ -140,16 +140,17 @@ def rate_by_group(df: DataFrame, dims: list[str], target: str) -> DataFrame:
 
     The rows are unpivoted to (dimension, value, y) and counted per
     (dimension, value) -- null keys included -- in one shuffle. The overall
-    rate (all rows, as the reference's reference line) is a window over that
-    small aggregated table, partitioned by dimension; null keys are then dropped
-    from the per-value rows, as the reference's groupby does.
+    rate (all rows, the reference line) is summed from that aggregated table
+    per dimension (one row per listed dimension, broadcast); null keys are then
+    dropped from the per-value rows, as the reference's groupby does.
     """
     long = unpivot(df.select(*dims, target), [target], dims, "dimension", "value", cast="string")
     agg = long.groupBy("dimension", "value").agg(F.count("*").alias("n"),
                                                  F.sum(F.col(target).cast("double")).alias("_sy"),
                                                  F.count(F.col(target)).alias("_ny"))
-    per_dim = Window.partitionBy("dimension")
-    agg = agg.withColumn("_overall", F.sum("_sy").over(per_dim) / F.sum("_ny").over(per_dim))
+    # One row per listed dimension (a bounded, static list), summed from the aggregated table.
+    overall = agg.groupBy("dimension").agg((F.sum("_sy") / F.sum("_ny")).alias("_overall"))
+    agg = agg.join(F.broadcast(overall), "dimension")
     rate = F.col("_sy") / F.col("_ny")
     return agg.where(F.col("value").isNotNull()).select(
         "dimension", "value", "n", _r(rate).alias("rate"), _r(F.col("_overall")).alias("overall"),
