@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from churnlab.operators.joins import unpivot
 from churnlab.operators.quantiles import quantiles_wide
+from churnlab.session import checkpoint
 
 NUMERIC_TYPES = (T.LongType, T.IntegerType, T.DoubleType, T.FloatType, T.ShortType, T.ByteType)
 # pandas' dtype-based numeric selection in the reference names exactly these.
@@ -148,7 +149,9 @@ def rate_by_group(df: DataFrame, dims: list[str], target: str) -> DataFrame:
     agg = long.groupBy("dimension", "value").agg(F.count("*").alias("n"),
                                                  F.sum(F.col(target).cast("double")).alias("_sy"),
                                                  F.count(F.col(target)).alias("_ny"))
-    # One row per listed dimension (a bounded, static list), summed from the aggregated table.
+    # The aggregated table (one row per dimension value) is stored once, so the data is scanned
+    # once; the overall rate is one row per listed dimension (a bounded, static list).
+    agg = checkpoint(agg)
     overall = agg.groupBy("dimension").agg((F.sum("_sy") / F.sum("_ny")).alias("_overall"))
     agg = agg.join(F.broadcast(overall), "dimension")
     rate = F.col("_sy") / F.col("_ny")
