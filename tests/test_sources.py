@@ -84,7 +84,7 @@ def test_runs_filter_and_latest(spark, tmp_dir):
     assert got == {"rf": "r0", "logreg": "r1"}
     got2 = {r["for_model"]: r["run_id"] for r in filter_runs(runs, ["rf"], "hpo", None, explicit={"rf": "x-rf"}).collect()}
     assert got2 == {"rf": "r2"}
-    models = spark.createDataFrame([("a_mlflow", "/p/1", "r", "2024-01-01 00:00:00"), ("b_mlflow", "/p/2", "r",
+    models = spark.createDataFrame([("model_a", "/p/1", "r", "2024-01-01 00:00:00"), ("model_b", "/p/2", "r",
                                     "2024-02-01 00:00:00")], "name string, path string, run_id string, created_at string") \
         .withColumn("created_at", F.to_timestamp("created_at"))
     assert latest_artifact(models).first()["path"] == "/p/2"
