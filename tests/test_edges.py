@@ -31,3 +31,11 @@ def test_one_class_split_and_weights(spark):
     df = spark.createDataFrame([(i, 0) for i in range(10)], "id long, y int")
     s = prep.stratified_split(df, "id", "y", 0.2, 42)
     assert s.where("split = 'test'").count() == 2
+
+
+def test_approx_options_run(spark):
+    df = spark.createDataFrame([(i, float(i % 7)) for i in range(200)], "id long, x double")
+    d = prof.describe(df, ["x"], approx=True).first()
+    assert d["count"] == 200 and 0.0 <= d["q25"] <= d["q50"] <= d["q75"] <= 6.0
+    card = {r["column_name"]: r["unique_count"] for r in prof.cardinality(df, approx=True).collect()}
+    assert card["x"] == 7 and 190 <= card["id"] <= 210
