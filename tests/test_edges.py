@@ -39,3 +39,16 @@ def test_approx_options_run(spark):
     assert d["count"] == 200 and 0.0 <= d["q25"] <= d["q50"] <= d["q75"] <= 6.0
     card = {r["column_name"]: r["unique_count"] for r in prof.cardinality(df, approx=True).collect()}
     assert card["x"] == 7 and 190 <= card["id"] <= 210
+
+
+def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
+    from churnlab.operators.joins import bounded_broadcast, row_count_at_most
+    small = spark.range(5)
+    big = spark.range(50)
+    assert row_count_at_most(small, 5) and not row_count_at_most(big, 5)
+    hinted = spark.range(1000).join(bounded_broadcast(small, 5), "id")
+    plain = spark.range(1000).join(bounded_broadcast(big, 5), "id")
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower() or \
+        "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert "strategy=broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted.count() == 5 and plain.count() == 50
