@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.llm import binary, decontaminate, licenses, linededup, packing, sharding
+import corpus_pipeline
+from churnlab.llm import (
+    binary, decontaminate, langid, licenses, linededup, neardup, packing, rabitq, sharding, toxicity,
+)
 from churnlab.llm.common import documents, new_folder
 from churnlab.llm.licence_texts import EQUIVALENT, KNOWN
 
 SHARDS = 40
 END_ID = 2
+QUERY_EVERY, NEIGHBOURS = 100, 10
 
 
 def _tokenizer(name: str) -> str:
@@ -21,12 +25,40 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_icws_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = neardup.near_duplicates(docs).select("doc_id", "class_id", "stays", "copies")
+    alone = docs.where("text is null").groupBy("doc_id").agg(F.count("*").alias("copies")).select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("stays"), "copies")
+    return found.unionByName(alone)
+
+
+def op2_gbt_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), toxicity.labels_of(spark, sf_dir)).select(
+        "doc_id", "held_out", "score", "predicted", "raw_score")
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-records")
     index = binary.write_token_files(documents(spark, sf_dir), folder, _tokenizer("byte_bpe_50k.json"), END_ID)
     return binary.token_digests(index, folder)
 
 
+def op4_rabitq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, middle = rabitq.build_index(rabitq.embeddings(spark, sf_dir))
+    queries = index.where(F.col("vec_id") % QUERY_EVERY == 0).select("vec_id", "dim", "vector")
+    return rabitq.search_index(index, middle, queries, NEIGHBOURS)
+
+
+def op5_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = langid.held_out(F.col("doc_id"))
+    model = langid.fit_language_model(docs.where(~out))
+    found = langid.predict_language(F.col("text"), model, spark)
+    return docs.select("doc_id", out.alias("held_out"), found.alias("p")).select(
+        "doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
+
+
 def op6_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack_documents(documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), END_ID)
     return placed.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens",
@@ -59,9 +91,10 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (
-        op3_token_records, op6_harmonic_packing, op7_minhash_containment, op8_line_dedup, op9_jump_sharding,
-        op10_license_digests)}
+    found = {q.__name__: q for q in (
+        op1_icws_neardup, op2_gbt_toxicity, op3_token_records, op4_rabitq_search, op5_subword_langid, op6_harmonic_packing,
+        op7_minhash_containment, op8_line_dedup, op9_jump_sharding, op10_license_digests)}
+    return {**found, "pipeline": corpus_pipeline.run}
 
 
 # --- SQL ---------------------------------------------------------------------------------------------------------
