@@ -51,6 +51,11 @@ def spaced_bytes(text: str) -> bytes:
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(document number, 64-bit hash) of every word of every text, in order."""
+    return word_table(texts)[:2]
+
+
+def word_table(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document number, 64-bit hash, first eight bytes, length in bytes) of every word of every text, in order."""
     parts = [spaced_bytes(t) for t in texts]
     buf = b" " + b" ".join(parts) + b" " * 9
     raw = np.frombuffer(buf, np.uint8)
@@ -62,18 +67,19 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     eight = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
     size = ends - starts
     h = size.astype(_U) * _MUL1
-    at, left, live = starts, size, None
+    at, left, live, heads = starts, size, None, np.zeros(0, _U)
     while len(at):
         take = np.minimum(left, 8).astype(_U)
         piece = eight[at] & (~_U(0) >> (_U(64) - take * _U(8)))
         if live is None:
+            heads = piece
             h = mix64(h ^ piece)
         else:
             h[live] = mix64(h[live] ^ piece)
         keep = np.flatnonzero(left > 8)
         live = keep if live is None else live[keep]
         at, left = at[keep] + 8, left[keep] - 8
-    return docs, h
+    return docs, h, heads, size
 
 
 def shingle_hashes(texts: list[str], width: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +142,17 @@ def text_key() -> tuple[Column, Column]:
             F.when(~none, F.xxhash64(F.lit("second"), text)).alias("k2"))
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``docs`` does not have."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder of the shared checkpoint folder and read it again.
 

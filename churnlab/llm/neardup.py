@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import chunks, mix64, shingle_counts, store, text_key
+from churnlab.llm.common import chunks, mix64, shingle_counts, store, text_key, unused
 from churnlab.llm.graph import components
 
 THRESHOLD = 0.8
@@ -227,16 +227,15 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
 
     Null texts stay. Of rows that agree in doc_id and text one stays.
     """
-    found = near_duplicates(docs, threshold)
-    found = store(found, "near-duplicates")
+    found = store(near_duplicates(docs, threshold), "near-duplicates")
+    n1, n2, g0, g1, g2 = unused(docs, "_n1", "_n2", "_g0", "_g1", "_g2")
     k1, k2 = text_key()
-    keyed = docs.withColumns({"_n_1": k1, "_n_2": k2})
+    keyed = docs.withColumns({n1: k1, n2: k2})
 
-    def those(rows: DataFrame, how: str, frame: DataFrame) -> DataFrame:
-        rows = rows.select(F.col("doc_id").alias("_g_id"), F.col("k1").alias("_g_1"), F.col("k2").alias("_g_2"))
-        return frame.join(rows, F.col("doc_id").eqNullSafe(F.col("_g_id")) & (F.col("_n_1") == F.col("_g_1"))
-                          & (F.col("_n_2") == F.col("_g_2")), how)
+    def those(rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.select(F.col("doc_id").alias(g0), F.col("k1").alias(g1), F.col("k2").alias(g2))
+        return keyed.join(rows, F.col("doc_id").eqNullSafe(F.col(g0)) & (F.col(n1) == F.col(g1)) & (F.col(n2) == F.col(g2)), how)
 
-    single = those(found.where("not stays or copies > 1"), "left_anti", keyed)
-    one = those(found.where("stays and copies > 1"), "left_semi", keyed).dropDuplicates(["doc_id", "_n_1", "_n_2"])
+    single = those(found.where("not stays or copies > 1"), "left_anti")
+    one = those(found.where("stays and copies > 1"), "left_semi").dropDuplicates(["doc_id", n1, n2])
     return single.unionByName(one).select(*docs.columns)

@@ -1,6 +1,6 @@
 """Toxicity: gradient-boosted trees over dense text features, with isotonic calibration.
 
-Features of a whole text: densities of a given and of a learned insult lexicon,
+Features of a whole text: densities of a given insult lexicon and of learned words and word stems,
 how near the hits stand to second-person words, capitals, punctuation, and
 obfuscated spellings (symbols inside words, and lexicon words that appear once
 the symbols are undone). The learned lexicon, the trees and the calibration see
@@ -20,11 +20,12 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import chunks, store, word_hashes
+from churnlab.llm.common import chunks, store, word_hashes, word_table
 from churnlab.llm.langid import held_out
 
 MAX_LABELLED_ROWS = 20_000  # bound of the rows that lexicon, trees and calibration learn from
-LEXICON_WORDS = 500  # bound of the learned lexicon
+LEXICON_WORDS = 500  # bound of each learned lexicon
+STEM_BYTES = 6
 MIN_SUPPORT = 6
 NEAR_WORDS = 12
 PREDICT_FROM = 0.3
@@ -42,7 +43,7 @@ _INSIDE = re.compile(r"(?<=[A-Za-z])[@$*#%!|0-9.\-_]{1,3}(?=[A-Za-z])")
 _SHOUT = re.compile(r"(?<![A-Za-z])[A-Z]{3,}(?![A-Za-z])")
 _PLAIN = str.maketrans({"@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "!": "i", "|": "l",
                         "*": None, "#": None, "%": None, ".": None, "-": None, "_": None})
-FEATURES = ("log_words", "given", "learned", "given_any", "learned_any", "near", "second_person", "capitals", "shouted",
+FEATURES = ("log_words", "given", "learned", "given_any", "learned_any", "stems", "stems_any", "near", "second_person", "capitals", "shouted",
             "exclaims", "questions", "symbols", "other_marks", "digits", "obfuscated", "obfuscated_hits")
 
 
@@ -53,7 +54,8 @@ def _hash_set(words: list[str]) -> np.ndarray:
 class Features:
     """Dense features of whole texts; the lexicons are looked up by word hash."""
 
-    def __init__(self, learned: list[str]):
+    def __init__(self, learned: list[str], stems: list[bytes]):
+        self.stems = np.asarray([int.from_bytes(s, "little") for s in sorted(stems)], np.uint64)
         self.given, self.learned, self.second = _hash_set(INSULTS), _hash_set(learned), _hash_set(SECOND_PERSON)
         self.words = set(INSULTS) | set(learned)
 
@@ -70,12 +72,16 @@ class Features:
 
     def table(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(FEATURES)))
-        docs, words = word_hashes(texts)
+        docs, words, heads, sizes = word_table(texts)
         n = np.maximum(np.bincount(docs, minlength=len(texts)), 1)
         kinds = [np.flatnonzero(np.isin(words, s)) for s in (self.given, self.learned, self.second)]
         given, learned, second = (np.bincount(docs[k], minlength=len(texts)) for k in kinds)
         out[:, 0], out[:, 1], out[:, 2], out[:, 3], out[:, 4] = np.log1p(n), given / n, learned / n, given, learned
-        hits = np.union1d(kinds[0], kinds[1])
+        mask = np.uint64((1 << (8 * STEM_BYTES)) - 1)
+        stem = np.flatnonzero(np.isin(heads & mask, self.stems) & (sizes > STEM_BYTES))
+        out[:, 6] = np.bincount(docs[stem], minlength=len(texts))
+        out[:, 5] = out[:, 6] / n
+        hits = np.union1d(np.union1d(kinds[0], kinds[1]), stem)
         if len(hits) and len(kinds[2]):
             right = np.searchsorted(kinds[2], hits)
             best = np.full(len(hits), np.inf)
@@ -83,33 +89,43 @@ class Features:
                 other = kinds[2][side]
                 best = np.minimum(best, np.where(docs[other] == docs[hits], np.abs(other - hits), np.inf))
             near = np.where(best <= NEAR_WORDS, 1 / (1 + best), 0)
-            out[:, 5] = np.bincount(docs[hits], near, len(texts)) / np.maximum(np.bincount(docs[hits], minlength=len(texts)), 1)
-        out[:, 6] = second / n
+            out[:, 7] = np.bincount(docs[hits], near, len(texts)) / np.maximum(np.bincount(docs[hits], minlength=len(texts)), 1)
+        out[:, 8] = second / n
         for i, text in enumerate(texts):
             size = max(1, len(text))
             counts = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)
             marks = list(_INSIDE.finditer(text))
-            out[i, 7:] = (counts[65:91].sum() / size, len(_SHOUT.findall(text)) / n[i], counts[33] / size, counts[63] / size,
+            out[i, 9:] = (counts[65:91].sum() / size, len(_SHOUT.findall(text)) / n[i], counts[33] / size, counts[63] / size,
                           counts[[35, 36, 37, 38, 42, 64, 94, 124, 126]].sum() / size,
                           counts[[34, 39, 40, 41, 44, 45, 46, 58, 59]].sum() / size, counts[48:58].sum() / size,
                           len(marks) / n[i], self.obfuscated_hits(text, marks))
         return out
 
 
-def learned_lexicon(sample: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
-    """Words of ``sample`` (text, label) that mark label 1: lower bound of their precision well above the base rate."""
+def learned_lexicons(sample: DataFrame, size: int = LEXICON_WORDS) -> tuple[list[str], list[bytes]]:
+    """Words, and first bytes of longer words, that mark label 1 in ``sample`` (text, label).
+
+    Those count whose share of label 1 among the documents that hold them has a
+    lower confidence bound well above the base rate; at most ``size`` of each.
+    """
     base = sample.agg(F.avg("label")).first()[0]
     if base is None or not 0 < base < 1:
-        return []
-    each = sample.select("label", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1))).alias("word"))
-    z = 1.96
-    n, hits = F.col("n"), F.col("hits")
-    share = hits / n
-    low = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    rows = (each.groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
-            .where((n >= MIN_SUPPORT) & (low > 0.5 + base / 2)).orderBy(F.desc("hits"), "word").limit(words))
-    return [r["word"] for r in rows.select("word").collect()]
+        return [], []
+    words = sample.select("label", F.array_distinct(
+        F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1)).alias("words"))
+    longer = F.filter("words", lambda w: F.octet_length(w) > STEM_BYTES)
+    stems = F.array_distinct(F.transform(longer, lambda w: F.hex(F.substring(F.encode(w, "utf-8"), 1, STEM_BYTES))))
+
+    def marking(each: DataFrame) -> list[str]:
+        z, n = 1.96, F.col("n")
+        share = F.col("hits") / n
+        low = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        rows = (each.groupBy("mark").agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+                .where((n >= MIN_SUPPORT) & (low > 0.5 + base / 2)).orderBy(F.desc("hits"), "mark").limit(size))
+        return [r["mark"] for r in rows.select("mark").collect()]
+
+    return (marking(words.select("label", F.explode("words").alias("mark"))),
+            [bytes.fromhex(m) for m in marking(words.select("label", F.explode(stems).alias("mark")))])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = MAX_LABELLED_ROWS) -> DataFrame:
@@ -126,9 +142,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = MAX_LABELLED
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", "fold")
 
 
-def feature_table(docs: DataFrame, learned: list[str], columns: list[str]) -> DataFrame:
+def feature_table(docs: DataFrame, lexicons: tuple[list[str], list[bytes]], columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` and ``features`` (array of doubles) of each whole text; null counts as empty."""
-    maker = Features(learned)
+    maker = Features(*lexicons)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*columns).schema.fields)
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,7 +166,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = store(labelled_sample(docs, labels), "toxicity-sample")
     counts = {(r["label"], r["fold"] == 0): r["n"] for r in
               sample.groupBy("label", F.col("fold")).agg(F.count("*").alias("n")).collect()}
-    learned = learned_lexicon(sample)
+    lexicons = learned_lexicons(sample)
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with_out = held_out(F.col("doc_id")).alias("held_out")
     both = all(any(label == want for label, _ in counts) for want in (0.0, 1.0))
@@ -158,7 +174,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         mean = sample.agg(F.avg("label")).first()[0] or 0.0
         return kept.select("doc_id", with_out, F.lit(float(mean)).alias("score"), F.lit(float(mean)).alias("raw_score"),
                            F.lit(int(mean >= PREDICT_FROM)).alias("predicted"))
-    rows = store(feature_table(sample, learned, ["doc_id", "label", "fold"]), "toxicity-train")
+    rows = store(feature_table(sample, lexicons, ["doc_id", "label", "fold"]), "toxicity-train")
     rows = rows.select("label", "fold", array_to_vector("features").alias("features")).coalesce(8).persist()
     split = all(any(label == want and cal for label, cal in counts) and any(label == want and not cal for label, cal in counts)
                 for want in (0.0, 1.0))
@@ -169,7 +185,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = trees.transform(rows.where("fold = 0") if split else rows).select("label", raw.alias("raw"))
     curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(marked)
     rows.unpersist()
-    features = feature_table(kept, learned, ["doc_id"])
+    features = feature_table(kept, lexicons, ["doc_id"])
     scored = trees.transform(features.select("doc_id", array_to_vector("features").alias("features"))).select(
         "doc_id", raw.alias("raw"))
     # the steps of the isotonic curve tie; a thousandth of the trees' score keeps their order
