@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.operators.quantiles import in_ranges
 from churnlab.session import checkpoint
 
-from churnlab.operators.quantiles import choose_buckets
-
 
 def _safe_div(a, b):
     # zero_division=0 semantics, ANSI-safe.
@@ -41,45 +37,42 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
 def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """Exact rank AUC (ties count one half); one class only -> 0.5.
 
-    1. group by score: (s, pos, neg) -- one row per distinct score, map-side
-       combined, so a score shared by a third of all rows is one row;
-    2. approximate quantiles of s (a bounded sketch) cut the distinct scores
-       into ordered buckets (``Bucketizer``: binary search);
-    3. negatives per bucket (<= buckets rows) are prefix-summed;
-    4. inside each bucket a window gives the negatives strictly below each score;
+    Score counts of :func:`score_counts` are dealt into ranges of the score,
+    the negatives per range (one row per range) are prefix-summed, and inside
+    each range a window gives the negatives strictly below each score;
     AUC = sum(pos * (neg_below + neg / 2)) / (P * N).
     """
-    g = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
+    return _auc(score_counts(df, label, score), buckets).select("roc_auc")
+
+
+def score_counts(df: DataFrame, label: str, score: str, *more: str) -> DataFrame:
+    """(_s, more..., _pos, _neg): rows of class 1 and 0 per distinct score, map-side combined."""
+    return df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s"), *more).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-    g = checkpoint(g)
-    if buckets is None:
-        buckets = choose_buckets(g.count())
-    if buckets > 1:
-        cuts = [i / buckets for i in range(1, buckets)]
-        bounds = g.approxQuantile("_s", cuts, 1.0 / (4 * buckets))
-        splits = [-math.inf] + sorted(set(b for b in bounds if not math.isinf(b))) + [math.inf]
-        gb = Bucketizer(splits=splits, inputCol="_s", outputCol="_bd", handleInvalid="keep").transform(g) \
-            .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
-        per = gb.groupBy("_b").agg(F.sum("_neg").alias("_bneg"))
-        # At most ``buckets`` rows: ordered prefix sum over the bucket table.
-        off = per.select("_b", F.coalesce(F.sum("_bneg").over(
-            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-        inner = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = gb.join(F.broadcast(off), "_b").withColumn(
-            "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(inner), F.lit(0)))
-    else:
-        # One bucket: at most TARGET_BUCKET_ROWS distinct scores, ordered in one window.
-        below = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = g.withColumn("_below", F.coalesce(F.sum("_neg").over(below), F.lit(0)))
+
+
+def _auc(counts: DataFrame, ranges: int | None = None) -> DataFrame:
+    ranged = in_ranges(counts, ["_s"], ranges)
+    before = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    below = (ranged.groupBy("_b").agg(F.sum("_neg").alias("_bneg"))
+             .select("_b", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off")))
+    inside = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranged.join(below, "_b").withColumn("_below", F.col("_off") + F.coalesce(F.sum("_neg").over(inside), F.lit(0)))
     tot = ranked.agg(F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)).alias("_num"),
                      F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
-    return tot.select(F.when((F.coalesce(F.col("_P"), F.lit(0)) == 0) | (F.coalesce(F.col("_N"), F.lit(0)) == 0),
-                             F.lit(0.5))
-                      .otherwise(F.col("_num") / (F.col("_P").cast("double") * F.col("_N"))).alias("roc_auc"))
+    one_class = (F.coalesce(F.col("_P"), F.lit(0)) == 0) | (F.coalesce(F.col("_N"), F.lit(0)) == 0)
+    return tot.select(F.when(one_class, F.lit(0.5)).otherwise(
+        F.col("_num") / (F.col("_P").cast("double") * F.col("_N"))).alias("roc_auc"))
 
 
 def evaluate(df: DataFrame, label: str, prediction: str, score: str) -> dict[str, float]:
-    """The five reported metrics (two single-row aggregates, read as scalars)."""
-    m = classification_metrics(df, label, prediction).first().asDict()
-    m["roc_auc"] = roc_auc(df, label, score).first()["roc_auc"]
+    """The five reported metrics. One pass over ``df`` counts rows per (score, prediction); all five come from it."""
+    counted = checkpoint(score_counts(df, label, score, prediction))
+    p = F.col(prediction)
+    total = lambda column, on: F.coalesce(F.sum(F.when(p == on, F.col(column))), F.lit(0))
+    conf = counted.agg(total("_pos", 1).alias("tp"), total("_neg", 1).alias("fp"), total("_neg", 0).alias("tn"),
+                       total("_pos", 0).alias("fn"))
+    m = metrics_from_confusion(conf).first().asDict()
+    per_score = counted.groupBy("_s").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    m["roc_auc"] = _auc(per_score).first()["roc_auc"]
     return {k: float(v) for k, v in m.items()}

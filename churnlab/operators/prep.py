@@ -7,85 +7,98 @@ column) that are applied to both parts as column expressions.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnlab.functions.hashing import seeded_hash, seeded_uniform
-from churnlab.operators.joins import bounded_broadcast, row_count_at_most
-from churnlab.operators.rank import bucketed_rank, digits_for
+from churnlab.operators.rank import digits_for
 from churnlab.session import checkpoint
 
 ENCODER_SCHEMA = "column_name string, value string, code int"
 SCALER_SCHEMA = "column_name string, mean double, scale double"
-MAX_ENCODER_VALUES = 100_000  # refused above this: an id-like column, not a category
-MAX_LITERAL_CODES = 2_000  # up to this many codes become literals in the projection
+VALUES_PER_RANGE = 100_000  # distinct category values that one task numbers
 
 
 # ---------------------------------------------------------------- split
 
-MAX_CLASSES = 100_000
-
+def class_quotas(df: DataFrame, target: str | None, test_size: float) -> DataFrame:
+    """(cls, n_c, n_test_c) per class: exact test quotas from one count per class.
 
-def class_sizes(df: DataFrame, target: str | None) -> dict:
-    """Rows per class (one small aggregate; at most MAX_CLASSES rows reach the driver)."""
+    n_test = ceil(test_size * n); the train quotas follow by largest remainder
+    over n_train (equal remainders: smaller class value first). The windows run
+    over the class table, one row per class.
+    """
     cls = F.col(target) if target else F.lit(0)
-    rows = df.groupBy(cls.alias("_cls")).count().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError("too many classes to stratify")
-    sizes = {r["_cls"]: r["count"] for r in rows}
-    if None in sizes:
-        raise ValueError(f"Target column '{target}' has nulls.")
-    return sizes
-
-
-def split_test_quotas(sizes: dict, test_size: float) -> dict:
-    """Exact per-class test sizes: n_test = ceil(test_size * n); train quotas by largest
-    remainder over n_train (ties: smaller class value first); test quota = n_c - train quota."""
-    n = sum(sizes.values())
-    if n == 0:
-        return {}
-    n_train = n - math.ceil(float(test_size) * n)
-    cont = {c: k / n * n_train for c, k in sizes.items()}
-    floor = {c: math.floor(v) for c, v in cont.items()}
-    need = n_train - sum(floor.values())
-    order = sorted(sizes, key=lambda c: (-(cont[c] - floor[c]), c))
-    extra = {c: (1 if i < need else 0) for i, c in enumerate(order)}
-    return {c: sizes[c] - (floor[c] + extra[c]) for c in sizes}
+    sizes = df.groupBy(cls.alias("cls")).agg(F.count("*").alias("n_c"))
+    everything = Window.partitionBy(F.lit(0))
+    n = F.sum("n_c").over(everything)
+    n_test = F.ceil(F.lit(float(test_size)) * n)
+    quotas = sizes.withColumns({"n": n, "n_test": n_test, "k": F.count("*").over(everything)})
+    quotas = quotas.withColumn("share", F.col("n_c") / F.col("n") * (F.col("n") - F.col("n_test")))
+    quotas = quotas.withColumn("whole", F.floor("share"))
+    place = F.row_number().over(everything.orderBy(F.desc(F.col("share") - F.col("whole")), "cls"))
+    spare = F.col("n") - F.col("n_test") - F.sum("whole").over(everything)
+    train = F.col("whole") + F.when(place <= spare, 1).otherwise(0)
+    return quotas.withColumn("n_test_c", (F.col("n_c") - train).cast("bigint"))
+
+
+def _check_quotas(quotas: DataFrame, target: str) -> None:
+    seen = quotas.agg(F.count_if(F.col("cls").isNull()).alias("nulls"), F.min("n_c").alias("least"), F.max("n").alias("n"),
+                      F.max("n_test").alias("n_test"), F.max("k").alias("k")).first()
+    if seen["nulls"]:
+        raise ValueError(f"Cannot stratify by '{target}': it has nulls.")
+    if seen["k"] and seen["least"] < 2:
+        raise ValueError(f"Cannot stratify by '{target}': a class has fewer than 2 members.")
+    for part, size in (("test", seen["n_test"]), ("train", (seen["n"] or 0) - (seen["n_test"] or 0))):
+        if seen["k"] and size < seen["k"]:
+            raise ValueError(f"Cannot stratify by '{target}': {size} {part} rows for {seen['k']} classes.")
+
+
+def quota_cuts(rows: DataFrame, quotas: DataFrame, digits: int) -> DataFrame:
+    """(cls, cut_h, cut_id): per class the last (hash, id) inside its quota.
+
+    ``rows`` is (cls, h, id), ``quotas`` (cls, quota). Counting by the leading
+    hex digits of the uniform hash finds the one bucket of each class in which
+    the quota ends; only that bucket's rows are ordered.
+    """
+    dealt = rows.withColumn("bucket", F.substring("h", 1, digits))
+    before = Window.partitionBy("cls").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (dealt.groupBy("cls", "bucket").agg(F.count("*").alias("rows"))
+              .withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0))))
+    ending = (counts.join(quotas, "cls").where((F.col("start") < F.col("quota")) & (F.col("quota") <= F.col("start") + F.col("rows")))
+              .select("cls", "bucket", (F.col("quota") - F.col("start")).alias("wanted")))
+    inside = Window.partitionBy("cls", "bucket").orderBy("h", "id")
+    return (dealt.join(ending, ["cls", "bucket"]).withColumn("place", F.row_number().over(inside))
+            .where(F.col("place") == F.col("wanted")).select("cls", F.col("h").alias("cut_h"), F.col("id").alias("cut_id")))
 
 
 def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size: float = 0.2,
-                     seed: int = 42, split_col: str = "split") -> DataFrame:
+                     seed: int = 42, split_col: str = "split", digits: int | None = None) -> DataFrame:
     """Add ``split`` in {'train','test'}: exact class quotas, seeded hash order.
 
     Rows of each class are ordered by md5('seed|id') (ties by id); the first
-    quota rows go to test. Deterministic whatever the partitioning; a class
-    with fewer than 2 rows is refused, like the reference's library. The
-    class sizes (k numbers) are one aggregate; the quotas are a literal map.
+    quota rows go to test. Only (class, hash, id) are read to find one cut per
+    class; the split itself is a comparison of each row with its class's cut,
+    so no feature column is shuffled or stored. Ids must be distinct. A class
+    with fewer than 2 rows is refused, like the reference's library.
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError("test_size must be in (0, 1)")
-    sizes = class_sizes(df, target)
-    if target and sizes and min(sizes.values()) < 2:
-        raise ValueError("The least populated class has fewer than 2 members; cannot stratify.")
-    if target and sizes:
-        n = sum(sizes.values())
-        n_test = math.ceil(float(test_size) * n)
-        for part, size in (("test", n_test), ("train", n - n_test)):
-            if size < len(sizes):
-                raise ValueError(f"The {part} size {size} should be greater or equal to the number of classes "
-                                 f"{len(sizes)}.")
-    quotas = split_test_quotas(sizes, test_size)
+    quotas = checkpoint(class_quotas(df, target, test_size))
+    if target:
+        _check_quotas(quotas, target)
     cls = F.col(target) if target else F.lit(0)
-    rows = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(seed, F.col(id_col)))
-    digits = digits_for(max(sizes.values()) if sizes else 0)
-    ranked = bucketed_rank(rows, ["_cls"], "_h", id_col, out="_rank", digits=digits)
-    quota = F.create_map(*[x for c, q in quotas.items() for x in (F.lit(c), F.lit(q))])[F.col("_cls")] \
-        if quotas else F.lit(0)
-    return ranked.withColumn(split_col, F.when(F.col("_rank") <= quota, "test").otherwise("train")) \
-        .drop("_cls", "_h", "_rank")
+    h = seeded_hash(seed, F.col(id_col))
+    if digits is None:
+        digits = digits_for(quotas.agg(F.max("n_c")).first()[0] or 0)
+    rows = df.select(cls.alias("cls"), h.alias("h"), F.col(id_col).alias("id"))
+    cuts = checkpoint(quota_cuts(rows, quotas.select("cls", F.col("n_test_c").alias("quota")), digits))
+    cuts = cuts.select(F.col("cls").alias("_cls"), F.col("cut_h").alias("_cut_h"), F.col("cut_id").alias("_cut_id"))
+    in_test = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id")))
+    return (df.join(cuts, cls.eqNullSafe(F.col("_cls")), "left")
+            .withColumn(split_col, F.when(in_test, "test").otherwise("train"))
+            .drop("_cls", "_cut_h", "_cut_id"))
 
 
 def random_split(df: DataFrame, id_col: str, test_size: float = 0.2, seed: int = 42,
@@ -117,89 +130,59 @@ def encode_fit(train: DataFrame, columns) -> DataFrame:
     for c in cols:
         parts.append(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
                               (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("_num")))
-    long = checkpoint(train.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct())
-    # Label codes are a parameter of every row's projection: refuse an id-like "categorical"
-    # before one window task would have to number its values.
-    if not row_count_at_most(long, MAX_ENCODER_VALUES):
-        raise ValueError(f"more than {MAX_ENCODER_VALUES} distinct categorical values; drop id-like columns first "
-                         "(see drop_high_cardinality)")
-    # One window partition per categorical column over its DISTINCT values (bounded just above).
-    w = Window.partitionBy("column_name").orderBy("_num", "value")
-    return long.select("column_name", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
+    values = train.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct()
+    order = ["column_name", "_num", "value"]
+    values = checkpoint(values)
+    # Ranges of sorted values, one task each; a value's code is its place in its range plus the ranges before.
+    ranges = max(1, -(-values.count() // VALUES_PER_RANGE))
+    ranged = checkpoint(values.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy("column_name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranged.groupBy("column_name", "_range").agg(F.count("*").alias("_n"))
+              .select("column_name", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    inside = Window.partitionBy("column_name", "_range").orderBy("_num", "value")
+    return ranged.join(starts, ["column_name", "_range"]).select(
+        "column_name", "value", (F.col("_start") + F.row_number().over(inside) - 1).cast("int").alias("code"))
 
 
 def encoder_labels(encoder: DataFrame) -> dict[str, dict[str, int]]:
-    """All fitted codes per column (at most MAX_ENCODER_VALUES, enforced by ``encode_fit``), e.g. for the
-    serving pipeline's indexer labels."""
-    if not row_count_at_most(encoder, MAX_ENCODER_VALUES):
-        raise ValueError(f"encoder larger than {MAX_ENCODER_VALUES} values")
+    """All fitted codes per column on the driver, for a serving model that holds its labels as parameters."""
     maps: dict[str, dict[str, int]] = {}
     for r in encoder.collect():
         maps.setdefault(r["column_name"], {})[r["value"]] = r["code"]
     return maps
 
 
-def _encoder_maps(encoder: DataFrame) -> dict[str, dict[str, int]] | None:
-    """Fitted codes as driver-side parameters, or None when too many for literals (then a broadcast join)."""
-    if not row_count_at_most(encoder, MAX_LITERAL_CODES):
-        return None
-    maps: dict[str, dict[str, int]] = {}
-    for r in encoder.collect():
-        maps.setdefault(r["column_name"], {})[r["value"]] = r["code"]
-    return maps
-
-
-def encode_transform(df: DataFrame, encoder: DataFrame, columns, handle_invalid: str = "error",
-                     maps: dict[str, dict[str, int]] | None = None) -> DataFrame:
-    """Replace each categorical by its code.
+def encode_transform(df: DataFrame, encoder: DataFrame, columns, handle_invalid: str = "error") -> DataFrame:
+    """Replace each categorical by its code: one left join with the encoder's rows per column.
 
-    Up to MAX_LITERAL_CODES codes (like a ``StringIndexerModel``'s labels)
-    become a literal map inside a plain projection (no join, stays in
-    whole-stage codegen). A larger encoder (at most MAX_ENCODER_VALUES,
-    enforced by ``encode_fit``) is applied by a per-column broadcast join,
-    checked against that bound. Unseen values: 'error' fails the job,
-    'keep' maps them to k, 'skip' drops the row.
+    The joins carry no hint, so the planner broadcasts an encoder of a few
+    values and shuffles for a large one. Unseen values: 'error' fails the job,
+    'keep' maps them to k (the number of codes), 'skip' drops the row. Nulls
+    stay null.
     """
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    if maps is None:
-        maps = _encoder_maps(encoder)
-    out = df
-    unseen_any = F.lit(False)
+    sizes = {r["column_name"]: r["k"] for r in encoder.groupBy("column_name").agg(F.count("*").alias("k")).collect()}
+    out, unseen_any = df, F.lit(False)
     for c in cols:
-        if maps is not None:
-            m = maps.get(c, {})
-            pairs = [x for k, v in sorted(m.items(), key=lambda kv: kv[1]) for x in (F.lit(k), F.lit(v))]
-            code = F.create_map(*pairs)[F.col(c).cast("string")] if pairs else F.lit(None).cast("int")
-            k = len(m)
+        codes = encoder.where(F.col("column_name") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}"))
+        out = out.join(codes, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
+        code, unseen = F.col(f"_code_{c}"), F.col(c).isNotNull() & F.col(f"_code_{c}").isNull()
+        if handle_invalid == "error":
+            message = F.concat(F.lit(f"column '{c}' has a value that the encoder was not fitted on: "), F.col(c).cast("string"))
+            code = F.when(unseen, F.raise_error(message)).otherwise(code)
+        elif handle_invalid == "keep":
+            code = F.when(unseen, F.lit(sizes.get(c, 0))).otherwise(code)
         else:
-            e = bounded_broadcast(encoder.where(F.col("column_name") == c).select(
-                F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")), MAX_ENCODER_VALUES)
-            out = out.join(e, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-            code = F.col(f"_code_{c}")
-            k = None
-        if handle_invalid == "skip":
-            out = out.withColumn(f"_unseen_{c}", F.col(c).isNotNull() & code.isNull())
+            out = out.withColumn(f"_unseen_{c}", unseen)
             unseen_any = unseen_any | F.col(f"_unseen_{c}")
-        out = out.withColumn(c, _apply_code(F.col(c), code, c, k, handle_invalid))
-        if maps is None:
-            out = out.drop(f"_code_{c}")
+        out = out.withColumn(c, code.cast("int")).drop(f"_v_{c}", f"_code_{c}")
     if handle_invalid == "skip":
         out = out.where(~unseen_any).drop(*[f"_unseen_{c}" for c in cols])
     return out
 
 
-def _apply_code(value, code, name: str, k: int | None, handle_invalid: str):
-    unseen = value.isNotNull() & code.isNull()
-    if handle_invalid == "error":
-        return F.when(unseen, F.raise_error(F.concat(F.lit(f"y contains previously unseen labels in '{name}': "),
-                                                     value.cast("string")))).otherwise(code).cast("int")
-    if handle_invalid == "keep" and k is not None:
-        return F.when(unseen, F.lit(k)).otherwise(code).cast("int")
-    return code.cast("int")
-
-
 # ---------------------------------------------------------------- scale
 
 def scale_fit(train: DataFrame, columns: list[str]) -> DataFrame:
@@ -234,5 +217,5 @@ def scale_transform(df: DataFrame, params: dict[str, tuple[float, float]], colum
     return out
 
 
-__all__ = ["stratified_split", "random_split", "split_approx", "class_sizes", "split_test_quotas", "encode_fit", "encode_transform",
+__all__ = ["stratified_split", "random_split", "split_approx", "class_quotas", "encode_fit", "encode_transform",
            "scale_fit", "scale_transform", "scaler_params"]

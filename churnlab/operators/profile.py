@@ -46,9 +46,8 @@ def profile_info(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, exact linear quartiles, max per numeric column.
 
-    One wide aggregate (read back: one row) gives the moments and the row
-    count that sizes the percentile buckets; the quartiles are exact and
-    distributed (``exact_quantiles``) unless ``approx``.
+    One wide aggregate (read back: one row) gives the moments; the quartiles
+    are exact and distributed (``exact_quantiles``) unless ``approx``.
     """
     cols = columns or numeric_columns(df)
     aggs = []
@@ -60,14 +59,13 @@ def describe(df: DataFrame, columns: list[str] | None = None, approx: bool = Fal
     stats = df.sparkSession.createDataFrame(
         [(c, row[f"{c}__count"], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"], row[f"{c}__max"]) for c in cols],
         "column_name string, count bigint, mean double, std double, min double, max double")
-    n = max([row[f"{c}__count"] for c in cols] + [0])
     if approx:
         long = unpivot(df, [], cols, "column_name", "value", cast="double")
         q = long.groupBy("column_name").agg(
             F.percentile_approx("value", F.array(*[F.lit(p) for p in QUARTILES.values()]), 10_000).alias("_q")
         ).select("column_name", *[F.col("_q")[i].alias(k) for i, k in enumerate(QUARTILES)])
     else:
-        q = quantiles_wide(df, cols, QUARTILES, n_rows=n)
+        q = quantiles_wide(df, cols, QUARTILES)
     out = stats.join(q, "column_name", "left")
     return out.select("column_name", "count", *[_r(F.col(c)).alias(c) for c in ("mean", "std", "min")],
                       *[_r(F.col(c)).alias(c) for c in QUARTILES], _r(F.col("max")).alias("max"))
@@ -160,17 +158,25 @@ def rate_by_group(df: DataFrame, dims: list[str], target: str) -> DataFrame:
         _r(rate - F.col("_overall")).alias("diff"))
 
 
-def crosstab(df: DataFrame, columns: list[str], target: str, classes=(0, 1)) -> DataFrame:
+def crosstab(df: DataFrame, columns: list[str], target: str, classes=None) -> DataFrame:
     """(dimension, value, n_<class>...) counts for every column in ONE pass, zero-filled.
 
-    Unpivot to (dimension, value, y), then one grouped count with fixed pivot
-    values (no discovery job); null values are dropped as the reference's
-    groupby does.
+    Unpivot to (dimension, value, y), one grouped count, then the pivot of that
+    small table. ``classes`` fixes the columns; without it they are the classes
+    that occur. A class outside a given list is an error, not a silent loss.
+    Null values are dropped as the reference's groupby does.
     """
     long = unpivot(df.select(*columns, target), [target], columns, "dimension", "value", cast="string")
-    p = long.where(F.col("value").isNotNull()).groupBy("dimension", "value").pivot(target, list(classes)).count()
-    return p.select("dimension", "value",
-                    *[F.coalesce(F.col(str(c)), F.lit(0)).cast("bigint").alias(f"n_{c}") for c in classes])
+    counted = checkpoint(long.where(F.col("value").isNotNull() & F.col(target).isNotNull())
+                         .groupBy("dimension", "value", target).count())
+    found = sorted(r[0] for r in counted.select(target).distinct().collect())
+    if classes is None:
+        classes = found
+    elif set(found) - set(classes):
+        raise ValueError(f"'{target}' has classes outside {list(classes)}: {sorted(set(found) - set(classes))}")
+    return counted.groupBy("dimension", "value").agg(*[
+        F.coalesce(F.sum(F.when(F.col(target) == F.lit(c), F.col("count"))), F.lit(0)).cast("bigint").alias(f"n_{c}")
+        for c in classes])
 
 
 def _bin_frame(df: DataFrame, features: list[str], target: str | None, bins: int) -> tuple[DataFrame, list[str]]:
@@ -186,7 +192,8 @@ def _bin_frame(df: DataFrame, features: list[str], target: str | None, bins: int
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("lo"),
         F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi"))
     stats = stats.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
-    # stats: one row per (feature, class); AQE broadcasts it from its measured size.
+    # stats: one row per (listed feature, class) -- as many rows as the report has groups
+    stats = F.broadcast(stats)
     # Bin index exactly as NumPy's uniform-bin histogram: scaled index, then corrected
     # against the linspace edges (edge i = i * step + lo, the last edge = hi).
     def edge(i):
@@ -226,8 +233,8 @@ def boxplot_stats(df: DataFrame, features: list[str], target: str, whis: float =
                    "feature", "value", cast="double").where(F.col("value").isNotNull())
     v = F.col("value")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    # q has one row per (feature, class): AQE broadcasts it once its measured size is known.
-    agg = long.join(q.select("feature", "label", "_lo", "_hi"), ["feature", "label"]).groupBy(
+    # q has one row per (listed feature, class) -- as many rows as the report has groups
+    agg = long.join(F.broadcast(q.select("feature", "label", "_lo", "_hi")), ["feature", "label"]).groupBy(
         "feature", "label").agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
                                 F.count_if(~inside).alias("n_fliers"), F.count("*").alias("n"))
     # As the plotting library: a whisker never ends inside the box.

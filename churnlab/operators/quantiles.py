@@ -2,71 +2,48 @@
 
 Spark's ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a describe over a 100 TB table would funnel a whole
-column into one reducer. Here:
+column into one reducer. Here, for any size:
 
-1. approximate quantiles of each column (``approxQuantile``: a bounded
-   sketch, ``buckets`` cut points per column) become bucket boundaries, and a
-   ``Bucketizer`` (binary search, JVM side) tags every value with its bucket;
-2. distinct values with multiplicity per (group, column, bucket) --
-   map-side combined, so one hot value is one row however often it occurs;
-3. bucket totals (groups x columns x buckets rows) give each bucket's first rank;
-4. only the buckets holding a wanted rank are sorted, by a window partitioned
-   by (group, column, bucket) -- about n / buckets values each.
+1. distinct values with multiplicity per (group, column) -- map-side
+   combined, so one hot value is one row however often it occurs;
+2. these rows are dealt into ranges of (group, column, value), one task each,
+   and stored with the number of their range;
+3. range totals give each range's first rank within its (group, column);
+4. only the ranges holding a wanted rank are ordered, by a window partitioned
+   by (group, column, range) -- about ROWS_PER_RANGE values each.
 
 The result equals NumPy/pandas ``quantile`` (linear) and DuckDB ``quantile_cont``.
-Inputs of at most TARGET_BUCKET_ROWS rows take Spark's exact ``percentile``
-directly (every group is then bounded).
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TARGET_BUCKET_ROWS = 200_000
-MAX_BUCKETS = 65_536
+from churnlab.session import checkpoint
+
+ROWS_PER_RANGE = 200_000
+MIN_RANGES = 4
 
 
-def choose_buckets(n_rows: int) -> int:
-    return int(min(MAX_BUCKETS, max(1, math.ceil(n_rows / TARGET_BUCKET_ROWS))))
+def in_ranges(df: DataFrame, columns: list[str], ranges: int | None = None) -> DataFrame:
+    """``df`` stored in ranges of ``columns``, numbered in order by ``_b``; as many ranges as the rows need."""
+    if ranges is None:
+        df = checkpoint(df)
+        ranges = max(MIN_RANGES, -(-df.count() // ROWS_PER_RANGE))
+    return checkpoint(df.repartitionByRange(ranges, *columns).withColumn("_b", F.spark_partition_id()))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], group_cols: list[str] | None = None,
-                    buckets: int | None = None, n_rows: int | None = None) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Return (group..., column_name, p, q); nulls skipped; empty groups absent."""
     group_cols = list(group_cols or [])
     data = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in columns])
-    if buckets is None:
-        buckets = choose_buckets(n_rows if n_rows is not None else data.count())
-    if buckets <= 1:
-        # Small input (<= TARGET_BUCKET_ROWS rows): every group's buffer is bounded, so Spark's
-        # exact ``percentile`` (same linear interpolation) answers in one aggregate.
-        long = data.select(*group_cols, F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_v")) for c in columns])))
-        long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        agg = long.groupBy(*group_cols, "column_name").agg(
-            F.percentile("_v", F.array(*[F.lit(float(x)) for x in probs])).alias("_q"))
-        return agg.select(*group_cols, "column_name", F.inline(F.arrays_zip(
-            F.array(*[F.lit(float(x)) for x in probs]).alias("p"), F.col("_q").alias("q"))))
-    bcols = [f"{c}__bucket" for c in columns]
-    if buckets > 1:
-        cuts = [i / buckets for i in range(1, buckets)]
-        # approxQuantile skips nulls/NaN; one pass, a bounded sketch per column.
-        qs = data.approxQuantile(columns, cuts, 1.0 / (4 * buckets))
-        splits = [[-math.inf] + sorted(set(x for x in q if x is not None and not math.isinf(x))) + [math.inf]
-                  for q in qs]
-        tagged = Bucketizer(splitsArray=splits, inputCols=columns, outputCols=bcols,
-                            handleInvalid="keep").transform(data)
-    else:
-        tagged = data.select("*", *[F.lit(0.0).alias(b) for b in bcols])
-    long = tagged.select(*group_cols, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_v"), F.col(b).cast("int").alias("_b"))
-        for c, b in zip(columns, bcols)]))).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    long = data.select(*group_cols, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_v")) for c in columns])))
+    long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     keys = group_cols + ["column_name"]
-    counted = long.groupBy(*keys, "_b", "_v").agg(F.count("*").alias("_w"))
+    counted = in_ranges(long.groupBy(*keys, "_v").agg(F.count("*").alias("_w")), [*keys, "_v"], buckets)
     per_bucket = counted.groupBy(*keys, "_b").agg(F.sum("_w").alias("_bw"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(*keys, "_b", "_bw", F.coalesce(F.sum("_bw").over(before), F.lit(0)).alias("_start"),

@@ -36,10 +36,14 @@ class Prepared:
     encoded_columns: list[str]
     scaled_columns: list[str]
     dropped_columns: list[str]
-    encoder_maps: dict
     scaler_params: dict
     options: PrepOptions
 
+    @property
+    def encoder_maps(self) -> dict:
+        """The codes as driver-side labels, for a serving model."""
+        return prep.encoder_labels(self.encoder)
+
     def metadata(self) -> DataFrame:
         """One-row metadata table; counts from one grouped pass over the stored split."""
         r = self.options.roles
@@ -59,36 +63,32 @@ def split_frame(df: DataFrame, opts: PrepOptions) -> tuple[DataFrame, list[str]]
     kept, removed = remove_columns(df, to_drop)
     dropped = removed + ([r.id_col] if r.id_col in r.drop and r.id_col in df.columns else [])
     if r.target not in kept.columns:
-        raise ValueError(f"Target column '{r.target}' not present in data.")
+        raise ValueError(f"the data has no column '{r.target}' to predict")
     target = r.target if opts.stratify else None
     split = prep.stratified_split(kept, r.id_col, target, opts.test_size, opts.seed)
     return split, [c for c in r.drop if c in dropped]
 
 
 def prepare(df: DataFrame, opts: PrepOptions | None = None) -> Prepared:
-    """Fit on train, apply to both parts. Two small fit jobs over one stored split.
+    """Fit on train, apply to both parts.
 
-    The split table is checkpointed to the shared folder (spark.checkpoint.dir):
-    both fits and the final output read it instead of recomputing the
-    upstream joins, and a lost executor does not re-run the rank shuffle.
+    The split is a comparison with one stored cut per class, so both fits and
+    the output read ``df`` itself; no copy of the table is written in between.
     """
     opts = opts or PrepOptions()
     r = opts.roles
     split, dropped = split_frame(df, opts)
-    split = checkpoint(split)
     features = [c for c in split.columns if c not in (r.id_col, r.target, "split")]
     train = split.where(F.col("split") == "train")
-    encoder = prep.encode_fit(train, r.categorical)
-    maps = prep._encoder_maps(encoder)
+    encoder = checkpoint(prep.encode_fit(train, r.categorical))
     encoded_cols = [c for c in r.categorical if c in features]
-    encoded = prep.encode_transform(split, encoder, encoded_cols, maps=maps)
+    encoded = prep.encode_transform(split, encoder, encoded_cols)
     scaled_cols = [c for c in numeric_names(encoded.select(*features)) if c not in encoded_cols]
     scaler = prep.scale_fit(encoded.where(F.col("split") == "train"), scaled_cols)
     params = prep.scaler_params(scaler)
     data = prep.scale_transform(encoded, params, scaled_cols)
     data = data.select(r.id_col, *features, r.target, "split")
-    labels = maps if maps is not None else prep.encoder_labels(encoder)
-    return Prepared(data, encoder, scaler, features, encoded_cols, scaled_cols, dropped, labels, params, opts)
+    return Prepared(data, encoder, scaler, features, encoded_cols, scaled_cols, dropped, params, opts)
 
 
 def load_prepared(spark, path: str, opts: PrepOptions | None = None) -> Prepared:
@@ -102,5 +102,5 @@ def load_prepared(spark, path: str, opts: PrepOptions | None = None) -> Prepared
     data = data.select(opts.roles.id_col, *meta["feature_names"], meta["target_name"], "split")
     return Prepared(data, art["encoder"], art["scaler"], list(meta["feature_names"]),
                     list(meta["categorical_encoded_columns"]), list(meta["scaled_numeric_columns"]),
-                    list(meta["dropped_columns"]), prep.encoder_labels(art["encoder"]),
+                    list(meta["dropped_columns"]),
                     prep.scaler_params(art["scaler"]), opts)

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
@@ -43,16 +43,20 @@ def get_spark(master: str | None = None, app_name: str = "churnlab", **conf: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for checkpoints and intermediate tables, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when the cluster leaves it unset
-    (local tests) is a fresh scratch folder chosen.
+    Only a local session may go without the setting: it gets a fresh scratch
+    folder. On a cluster, where driver and executors have disks of their own, a
+    missing setting is an error. The folder is handed to Spark once a session.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="churnlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -71,7 +75,12 @@ def exists_local(path: str) -> bool:
     return os.path.exists(local_path(path))
 
 
-def checkpoint(df):
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``); cuts lineage, survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    The plan behind it ends here and the files outlive executors; unlike a
+    checkpoint of rows they are columnar, so later reads prune and filter.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

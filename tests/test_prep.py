@@ -45,7 +45,7 @@ def test_split_refuses_singleton_class(spark):
     with pytest.raises(ValueError):
         prep.stratified_split(df, "id", "y", 0.5, 1)
     three = spark.createDataFrame([(i, i % 3) for i in range(9)], "id long, y int")
-    with pytest.raises(ValueError, match="test size 2"):
+    with pytest.raises(ValueError, match="2 test rows for 3 classes"):
         prep.stratified_split(three, "id", "y", 0.2, 1)
 
 
@@ -55,7 +55,7 @@ def test_encoder_golden_order_and_unseen(spark):
     assert enc == {("g", "France"): 0, ("g", "Germany"): 1, ("g", "Spain"): 2, ("s", "Female"): 0, ("s", "Male"): 1}
     test = spark.createDataFrame([("Italy", "Male")], "g string, s string")
     encoder = prep.encode_fit(train, ["g", "s"])
-    with pytest.raises(Exception, match="unseen"):
+    with pytest.raises(Exception, match="not fitted on"):
         prep.encode_transform(test, encoder, ["g", "s"]).collect()
     kept = prep.encode_transform(test, encoder, ["g", "s"], handle_invalid="keep").first()
     assert kept["g"] == 3 and kept["s"] == 1
@@ -89,11 +89,34 @@ def test_split_approx_is_map_only(spark):
     assert "Exchange" not in plan
 
 
-def test_large_encoder_uses_join_path(spark, monkeypatch):
-    monkeypatch.setattr(prep, "MAX_LITERAL_CODES", 2)
-    train = spark.createDataFrame([("c",), ("a",), ("b",)], "g string")
+def test_encoder_has_one_path_for_any_size(spark, monkeypatch):
+    monkeypatch.setattr(prep, "VALUES_PER_RANGE", 500)
+    train = spark.range(3000).select(F.format_string("v%05d", "id").alias("g"), F.col("id").alias("n"))
+    enc = prep.encode_fit(train, ["g", "n", "absent"])
+    codes = {(r["column_name"], r["value"]): r["code"] for r in enc.collect()}
+    assert len(codes) == 6000
+    assert all(codes[("g", f"v{i:05d}")] == i and codes[("n", str(i))] == i for i in range(3000))
+    new = spark.createDataFrame([("v00007", 1), ("zzz", 2), (None, 3)], "g string, i int")
+    kept = {r["i"]: r["g"] for r in prep.encode_transform(new, enc, ["g"], handle_invalid="keep").collect()}
+    assert kept == {1: 7, 2: 3000, 3: None}
+    skipped = {r["i"]: r["g"] for r in prep.encode_transform(new, enc, ["g"], handle_invalid="skip").collect()}
+    assert skipped == {1: 7, 3: None}
+    with pytest.raises(Exception, match="not fitted on"):
+        prep.encode_transform(new, enc, ["g"]).collect()
+
+
+def test_encoder_of_many_values(spark):
+    train = spark.range(120_000).select(F.md5(F.col("id").cast("string")).alias("g"))
     enc = prep.encode_fit(train, ["g"])
-    out = prep.encode_transform(spark.createDataFrame([("b",), ("a",)], "g string"), enc, ["g"])
-    assert sorted(r["g"] for r in out.collect()) == [0, 1]
-    with pytest.raises(Exception, match="unseen"):
-        prep.encode_transform(spark.createDataFrame([("z",)], "g string"), enc, ["g"]).collect()
+    assert enc.agg(F.count("*"), F.min("code"), F.max("code")).first()[:] == (120_000, 0, 119_999)
+    assert prep.encode_transform(train, enc, ["g"]).agg(F.count_distinct("g")).first()[0] == 120_000
+
+
+def test_split_moves_no_feature_column(spark):
+    df = _frame(spark).withColumn("feature", F.col("id") * 2.0)
+    out = prep.stratified_split(df, "id", "y", 0.2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    for digits in (1, 2, 3):
+        same = prep.stratified_split(df, "id", "y", 0.2, digits=digits)
+        assert sorted(map(tuple, same.collect())) == sorted(map(tuple, out.collect()))

@@ -3,25 +3,25 @@
 import math
 
 import numpy as np
-from hypothesis import given, settings
+from hypothesis import given
 from hypothesis import strategies as st
 
-from churnlab.operators.prep import split_test_quotas as quotas_for
+from churnlab.operators.prep import class_quotas
 from churnlab.plans.search import _clean, param_grid
 
 
-@given(st.dictionaries(st.integers(0, 9), st.integers(2, 5000), min_size=1, max_size=6),
-       st.floats(0.05, 0.95))
-@settings(max_examples=200, deadline=None)
-def test_quotas_exact_and_proportional(sizes, test_size):
-    q = quotas_for(sizes, test_size)
-    n = sum(sizes.values())
-    assert sum(q.values()) == math.ceil(test_size * n)
-    n_train = n - math.ceil(test_size * n)
-    for c, k in sizes.items():
-        train_c = k - q[c]
-        assert abs(train_c - k / n * n_train) < 1 + 1e-9
-        assert 0 <= q[c] <= k
+def test_quotas_exact_and_proportional(spark):
+    rng = np.random.default_rng(4)
+    for test_size in (0.05, 0.2, 0.5, 0.93):
+        sizes = {c: int(k) for c, k in enumerate(rng.integers(2, 900, int(rng.integers(1, 7))))}
+        df = spark.createDataFrame([(c,) for c, k in sizes.items() for _ in range(k)], "y int")
+        q = {r["cls"]: r["n_test_c"] for r in class_quotas(df, "y", test_size).collect()}
+        n = sum(sizes.values())
+        assert sum(q.values()) == math.ceil(test_size * n)
+        n_train = n - math.ceil(test_size * n)
+        for c, k in sizes.items():
+            assert abs(k - q[c] - k / n * n_train) < 1 + 1e-9
+            assert 0 <= q[c] <= k
 
 
 @given(st.lists(st.one_of(st.none(), st.sampled_from(["none", "NULL", " ", "", "a", "b"]), st.integers(0, 3)),
