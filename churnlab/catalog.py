@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlab import tracking
 from churnlab.functions import scalars as sc
 from churnlab.operators import columns as colops
 from churnlab.operators import imbalance as imb
@@ -31,15 +32,7 @@ from churnlab.plans.scoring import (
     score_batch,
     score_requests,
 )
-from churnlab.plans.search import (
-    TEST_SPACE,
-    SearchConfig,
-    best_trial,
-    config_table,
-    export_best,
-    merge_overrides,
-    random_search,
-)
+from churnlab.plans.search import TEST_SPACE, SearchConfig, random_search
 from churnlab.plans.train import (
     TrainConfig,
     applied_weights,
@@ -50,8 +43,8 @@ from churnlab.plans.train import (
 )
 from churnlab.session import ensure_checkpoint_dir, scratch_path
 from churnlab.sources.csv import scan_csv, scan_csv_dir, write_csv
-from churnlab.sources.prepared import read_prepared, save_artifacts, write_prepared
-from churnlab.sources.runs import filter_runs, latest_artifact, read_runs, register_model
+from churnlab.sources.prepared import load_artifacts, read_prepared, save_artifacts, write_prepared
+from churnlab.sources.runs import latest_artifact, read_runs, register_model
 from churnlab.sources.tables import BASE_SCHEMA, ROLES, base_table
 from churnlab.streaming.score_stream import score_stream
 
@@ -68,28 +61,44 @@ SEED = 42
 SMOTE_K = 5
 
 
+def _input_state(spark: SparkSession, sf: str) -> str:
+    """Names, sizes and times of the input files of the churn table: changed data gets new stored tables."""
+    state = []
+    for table in ("customer", "orders", "nation", "region"):
+        files = spark.read.format("binaryFile").load(f"{sf.rstrip('/')}/{table}.parquet")
+        row = files.agg(F.count("*"), F.sum("length"), F.sum(F.xxhash64("path", "length", "modificationTime").cast(
+            "decimal(38,0)"))).first()
+        state.append(tuple(row))
+    return repr(state)
+
+
 def _stored_path(spark: SparkSession, name: str, sf: str) -> str:
-    """Per application and input folder: reused by the queries of one session, never across sessions."""
+    """Per application and state of the input files: reused by the queries of one session, never for other data."""
     app = spark.sparkContext.applicationId
-    key = hashlib.md5(f"{app}|{os.path.abspath(sf)}".encode()).hexdigest()[:16]
+    key = hashlib.md5(f"{app}|{sf}|{_input_state(spark, sf)}".encode()).hexdigest()[:16]
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{key}"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - listing only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    """Whether a write to ``path`` was finished; errors other than absence come through."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def _base(spark: SparkSession, sf: str) -> DataFrame:
-    """The churn table, derived from the test tables once per input folder and stored in the
+    """The churn table, derived from the test tables once per state of the input and stored in the
     shared folder (an ETL output); every report reads it like any other table."""
     path = _stored_path(spark, "base", sf)
     if not _exists(spark, path):
         base_table(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(BASE_SCHEMA).parquet(path)
+
+
+def _duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole rows, id and name included; every seventh customer's row stands twice."""
+    b = _base(spark, sf)
+    return prof.duplicate_count(b.unionByName(b.where(F.col(R.id_col) % 7 == 0)))
 
 
 def _profile_queries() -> dict[str, Query]:
@@ -100,7 +109,7 @@ def _profile_queries() -> dict[str, Query]:
         "describe": lambda s, sf: prof.describe(_base(s, sf)),
         # on the union of parts with different columns: the part without acct_balance yields nulls
         "null_counts": lambda s, sf: prof.null_counts(_union_all(s, sf)),
-        "duplicate_count": lambda s, sf: prof.duplicate_count(_base(s, sf).drop(R.id_col, "name")),
+        "duplicate_count": lambda s, sf: _duplicates(s, sf),
         "cardinality": lambda s, sf: prof.cardinality(_base(s, sf)),
         "drop_high_cardinality": lambda s, sf: prof.drop_high_cardinality(
             prof.cardinality(_base(s, sf)), HIGH_CARD_THRESHOLD),
@@ -160,11 +169,30 @@ def _write_read(spark: SparkSession, sf: str) -> DataFrame:
     return read_prepared(spark, path, R.target)
 
 
+def _scaled_only(spark: SparkSession, sf: str) -> DataFrame:
+    """The scaled columns alone, by a scaler read back from storage."""
+    p = _prepared(spark, sf)
+    path = scratch_path(spark, "scaler")
+    p.scaler.write.parquet(path)
+    params = prep.scaler_params(spark.read.parquet(path))
+    raw = _base(spark, sf).select(R.id_col, *p.scaled_columns)
+    return round_doubles(prep.scale_transform(raw, params, p.scaled_columns))
+
+
 def _save_artifacts(spark: SparkSession, sf: str) -> DataFrame:
     p = _prepared(spark, sf)
-    paths = save_artifacts(scratch_path(spark, "artifacts"), encoder=p.encoder, scaler=p.scaler,
-                           metadata=p.metadata())
-    return spark.read.parquet(paths["scaler"])
+    path = scratch_path(spark, "artifacts")
+    save_artifacts(path, encoder=p.encoder, scaler=p.scaler, metadata=p.metadata())
+    got = load_artifacts(spark, path)
+    none = F.lit(None)
+    meta = got["metadata"]
+    return (got["scaler"].select(F.lit("scaler").alias("artifact"), F.col("column_name").alias("name"), none.cast("string").alias("value"),
+                                 none.cast("bigint").alias("n"), "mean", "scale")
+            .unionByName(got["encoder"].select(F.lit("encoder").alias("artifact"), F.col("column_name").alias("name"), "value",
+                                               F.col("code").cast("bigint").alias("n")), allowMissingColumns=True)
+            .unionByName(meta.select(F.lit("metadata").alias("artifact"), F.lit("n_train").alias("name"),
+                                     F.array_join("feature_names", ",").alias("value"), F.col("n_train").alias("n")),
+                         allowMissingColumns=True))
 
 
 def _prep_queries() -> dict[str, Query]:
@@ -181,11 +209,11 @@ def _prep_queries() -> dict[str, Query]:
         "encode_fit": lambda s, sf: _prepared(s, sf).encoder,
         "encode_transform": lambda s, sf: _prepared(s, sf).data.select(idc, *R.categorical, "split"),
         "scale_fit": lambda s, sf: round_doubles(_prepared(s, sf).scaler),
-        "scale_transform": lambda s, sf: round_doubles(_prepared(s, sf).data),
+        "scale_transform": lambda s, sf: _scaled_only(s, sf),
         "prepare": lambda s, sf: round_doubles(_prepared(s, sf).data),
         "metadata": lambda s, sf: _prepared(s, sf).metadata(),
         "write_prepared": lambda s, sf: round_doubles(_write_read(s, sf)),
-        "read_prepared": lambda s, sf: round_doubles(_write_read(s, sf)),
+        "read_prepared": lambda s, sf: _write_read(s, sf).groupBy("split", R.target).agg(F.count("*").alias("n")),
         "save_artifacts": lambda s, sf: round_doubles(_save_artifacts(s, sf)),
         "churn_share_by_split": lambda s, sf: prof.rate_by_split(
             prep.stratified_split(_base(s, sf), idc, t, TEST_SIZE, SEED), t),
@@ -256,8 +284,10 @@ def _train(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- sources, unions, scalar functions
 
 def _base_csv(spark: SparkSession, sf: str) -> str:
+    """The base as CSV, its columns in another order than the schema's."""
     path = scratch_path(spark, "base-csv")
-    write_csv(_base(spark, sf), path)
+    b = _base(spark, sf)
+    write_csv(b.select(*sorted(b.columns, reverse=True)), path)
     return path
 
 
@@ -277,16 +307,29 @@ def _coerced(spark: SparkSession, sf: str) -> DataFrame:
                                                           for f in BASE_SCHEMA.fields]))
     cols = [c for c in text.columns if c != R.id_col]
     long = unpivot(text, [R.id_col], cols, "column_name", "text")
+    kind, n = F.col(R.id_col).cast("bigint") % 12, F.col("n_orders")
+    odd = (F.when(kind == 0, F.concat(F.lit("00"), n)).when(kind == 1, F.concat(n, F.lit("_000")))
+           .when(kind == 2, F.concat(F.lit("'"), "segment", F.lit("'"))).when(kind == 3, "tRue").when(kind == 4, "NONE")
+           .when(kind == 6, F.concat(F.lit("  "), n, F.lit(" "))).when(kind == 7, F.concat(n, F.lit("e3")))
+           .when(kind == 8, F.concat(F.lit("."), n)).when(kind == 9, F.concat(F.lit("it's "), "segment"))
+           .when(kind == 10, F.concat(F.lit("-"), n, F.lit("."))).when(kind == 11, F.concat(F.lit('"'), "region", F.lit('"'))))
+    long = long.unionByName(text.select(R.id_col, F.lit("odd").alias("column_name"), odd.alias("text")))
     return long.select(F.col(R.id_col).cast("bigint").alias(R.id_col), "column_name",
                        sc.coerce_literal(F.col("text")).alias("v")).select(R.id_col, "column_name", "v.*")
 
 
+FLAG_WORDS = [" Yes ", "TRUE", "y", "On", "1", "no ", "False", "N", "oFF", "0", None]
+
+
 def _parse_flags(spark: SparkSession, sf: str) -> DataFrame:
     path = _base_csv(spark, sf)
     text = scan_csv(spark, path + "/*.csv", T.StructType([T.StructField(f.name, T.StringType())
                                                           for f in BASE_SCHEMA.fields]))
-    return text.select(F.col(R.id_col).cast("bigint").alias(R.id_col),
-                       *[sc.parse_bool(F.col(f), default=False).alias(f) for f in list(R.flags) + [R.target]])
+    key = F.col(R.id_col).cast("bigint")
+    word = F.array(*[F.lit(x) for x in FLAG_WORDS])[(key % len(FLAG_WORDS)).cast("int")]
+    return text.select(key.alias(R.id_col), *[sc.parse_bool(F.col(f), default=False).alias(f) for f in list(R.flags) + [R.target]],
+                       sc.parse_bool(word, default=True).alias("word"),
+                       sc.parse_bool(F.col("n_orders").cast("int") - 3, default=False, numeric=True).alias("number"))
 
 
 def _union_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,6 +369,13 @@ def _train_one(spark: SparkSession, sf: str, model: str, use_smote=False):
     return p, res
 
 
+def _facts(scored: DataFrame, *keys: str) -> DataFrame:
+    """What must hold of any scored row, whatever the model: the label follows the probability, which is one."""
+    p = F.col("probability")
+    return scored.select(*keys, p.between(0, 1).alias("is_probability"),
+                         ((F.col("prediction") == 1) == (p > 0.5)).alias("label_follows"))
+
+
 def _test_predictions(p: Prepared, model) -> DataFrame:
     test = p.data.where(F.col("split") == "test")
     return with_probability(model.transform(test)).select(R.id_col, R.target, "prediction",
@@ -335,35 +385,40 @@ def _test_predictions(p: Prepared, model) -> DataFrame:
 def _trained_family(model: str) -> Query:
     def q(spark: SparkSession, sf: str) -> DataFrame:
         p, res = _train_one(spark, sf, model)
-        return _test_predictions(p, res.best_model)
+        return _facts(_test_predictions(p, res.best_model), R.id_col, R.target)
     return q
 
 
 def _train_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The stage's runs as its store holds them, with what it trained and tested on and whether the best model was kept."""
     p = _prepared_stored(spark, sf)
+    runs, kept = scratch_path(spark, "train-runs"), scratch_path(spark, "best-model")
     res = train_stage(spark, p.data, p.feature_names, R.target, TrainConfig(**PROD_TRAIN),
-                      int_features=p.encoded_columns)
-    return res.runs.drop("logged_at")
+                      int_features=p.encoded_columns, runs_path=runs, model_path=kept)
+    sizes = p.data.agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"))
+    loaded = _test_predictions(p, load_model(kept))
+    same = loaded.join(_test_predictions(p, res.best_model).select(R.id_col, F.col("probability").alias("_p")), R.id_col).agg(
+        F.count_if(F.col("probability") == F.col("_p")).alias("n_same_after_load"))
+    rows = read_runs(spark, runs).select("run_type", "model", F.size("metrics").alias("n_metrics"))
+    return rows.join(F.broadcast(sizes), how="cross").join(F.broadcast(same), how="cross")
 
 
-def _all_three(spark: SparkSession, sf: str):
-    p = _prepared_stored(spark, sf)
-    return p, train_stage(spark, p.data, p.feature_names, R.target, TrainConfig(**TRAIN_CONFIG),
-                          int_features=p.encoded_columns)
+def _predict(spark: SparkSession, sf: str) -> DataFrame:
+    """The deployed model's labels and probabilities on the test rows."""
+    p, pipe = _serving(spark, sf)
+    return _facts(score_batch(pipe, _raw_test(spark, sf), [R.id_col, R.target]), R.id_col, R.target)
 
 
 def _serving(spark: SparkSession, sf: str):
-    """The deployed pipeline: trained and registered once per input folder, then loaded like an endpoint does."""
+    """The deployed pipeline: trained and registered once per state of the input, then loaded like an endpoint does."""
     path = _stored_path(spark, "serving-model", sf)
     p = _prepared_stored(spark, sf)
-    try:
-        return p, load_model(path)
-    except FileNotFoundError:
+    if not _exists(spark, path + "/metadata"):
         p, res = _train_one(spark, sf, "logreg")
         pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
         save_model(pipe, path)
-        register_model(spark, _model_registry(spark), "logreg-serving", path, res.results["logreg"].run_id)
-        return p, load_model(path)
+        register_model(spark, _stored_path(spark, "model-registry", sf), "logreg-serving", path, res.results["logreg"].run_id)
+    return p, load_model(path)
 
 
 RAW_FEATURES = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_price_cents", "tenure_years",
@@ -376,16 +431,30 @@ def _raw_test(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _as_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """All raw rows through the pipeline against the prepared rows through the bare model."""
     p, res = _train_one(spark, sf, "logreg")
     pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
-    return score_batch(pipe, _raw_test(spark, sf), [R.id_col])
+    direct = with_probability(res.best_model.transform(p.data)).select(R.id_col, F.col("p1").alias("_p"))
+    both = score_batch(pipe, _base(spark, sf), [R.id_col]).join(direct, R.id_col)
+    return both.select(R.id_col, (F.abs(F.col("probability") - F.col("_p")) < 1e-9).alias("same"))
 
 
 def _save_load(spark: SparkSession, sf: str) -> DataFrame:
-    p, pipe = _serving(spark, sf)
-    path = save_model(pipe, scratch_path(spark, "model"))
-    register_model(spark, _model_registry(spark), "logreg", path, "local")
-    return score_batch(load_model(path), _raw_test(spark, sf), [R.id_col])
+    """All rows scored before the model is saved and after it is loaded."""
+    _, pipe = _serving(spark, sf)
+    again = load_model(save_model(pipe, scratch_path(spark, "model")))
+    before = score_batch(pipe, _base(spark, sf), [R.id_col]).select(R.id_col, F.col("probability").alias("_p"))
+    both = score_batch(again, _base(spark, sf), [R.id_col]).join(before, R.id_col)
+    return both.select(R.id_col, (F.col("probability") == F.col("_p")).alias("same"))
+
+
+def _load(spark: SparkSession, sf: str) -> DataFrame:
+    """The model that the registry names, loaded: labels of all rows against those of the served one."""
+    _, pipe = _serving(spark, sf)
+    newest = latest_artifact(spark.read.parquet(_stored_path(spark, "model-registry", sf)), name_like="logreg%").first()["path"]
+    served = score_batch(pipe, _base(spark, sf), [R.id_col]).select(R.id_col, F.col("prediction").alias("_l"))
+    both = score_batch(load_model(newest), _base(spark, sf), [R.id_col]).join(served, R.id_col)
+    return both.select(R.id_col, (F.col("prediction") == F.col("_l")).alias("same_label"))
 
 
 def _requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,12 +462,34 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
     return requests_from_rows(b, R.id_col, RAW_FEATURES, "_g")
 
 
+def _faulty_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests of which some are broken: by id, a cut-off body, a missing column, a category that no row has."""
+    r, g = _requests(spark, sf), F.col("request_id")
+    body = (F.when(g % 11 == 3, F.substring("body", 1, 30)).when(g % 11 == 5, F.replace("body", F.lit('"region"'), F.lit('"area"')))
+            .when(g % 11 == 7, F.replace("body", F.lit('"BUILDING"'), F.lit('"CASTLES"'))).otherwise(F.col("body")))
+    return r.withColumn("body", body)
+
+
+def _score_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Every request gets an answer: its scored rows, and its rejects with their reasons."""
+    scored, rejects = score_requests(_serving(spark, sf)[1], _faulty_requests(spark, sf), RAW_FEATURES, RAW_TYPES, with_rejects=True)
+    answers = respond(scored, rejects).select("request_id", F.from_json(
+        "response", "index array<long>, predictions array<int>, rejected array<struct<index: long, reason: string>>").alias("a"))
+    return answers.select("request_id", F.size("a.predictions").alias("n_predictions"),
+                          F.array_join("a.index", ",").alias("indexes"),
+                          F.array_join(F.transform("a.rejected", lambda x: F.concat(
+                              F.coalesce(x["index"].cast("string"), F.lit("all")), F.lit(" "), x["reason"])), ";").alias("rejected"))
+
+
 def _score_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream's rows against the batch's: same requests, same probabilities."""
     _, pipe = _serving(spark, sf)
     src = scratch_path(spark, "requests")
     _requests(spark, sf).write.mode("overwrite").json(src)
-    return score_stream(spark, pipe, src, scratch_path(spark, "scored"), scratch_path(spark, "stream-ckpt"),
-                        RAW_FEATURES, RAW_TYPES).drop("batch_id")
+    streamed = score_stream(spark, pipe, src, scratch_path(spark, "scored"), scratch_path(spark, "stream-ckpt"), RAW_FEATURES, RAW_TYPES)
+    batch = score_requests(pipe, _requests(spark, sf), RAW_FEATURES, RAW_TYPES).select(
+        "request_id", "index", F.col("probability").alias("_p"))
+    return streamed.join(batch, ["request_id", "index"]).select("request_id", "index", (F.col("probability") == F.col("_p")).alias("same"))
 
 
 def _run_search(spark: SparkSession, sf: str) -> DataFrame:
@@ -407,35 +498,14 @@ def _run_search(spark: SparkSession, sf: str) -> DataFrame:
     return random_search(spark, p.data, p.feature_names, R.target, cfg, int_features=p.encoded_columns)
 
 
-def _search(spark: SparkSession, sf: str) -> DataFrame:
-    """The search's runs table, stored once per input folder in the shared folder (like a tracking store)."""
-    path = _stored_path(spark, "hpo-runs", sf)
-    try:
-        return read_runs(spark, path).where(F.lit(True))
-    except Exception:  # noqa: BLE001 - not searched yet
-        _run_search(spark, sf).write.mode("overwrite").parquet(path)
-        return read_runs(spark, path)
-
-
-def _renamed(spark: SparkSession, sf: str) -> DataFrame:
-    """Trial params as train-override keys (null / 'none' values dropped)."""
-    t = _search(spark, sf).where(F.col("run_type") == "trial")
-    e = t.select("run_id", F.explode("params").alias("key", "value")).where(~sc.is_null_word(F.col("value")))
-    return e.select("run_id", "key", sc.rename_param(F.col("key")).alias("override_key"), "value")
-
-
-def _overrides(spark: SparkSession, sf: str) -> DataFrame:
-    """Each trial's params as 'model.param=value' overrides, parsed and merged over the training config."""
-    r = _renamed(spark, sf).where(F.col("override_key").contains("."))
-    text = F.concat(F.col("override_key"), F.lit("="), F.col("value"))
-    # A trial's params map holds each key once, so every override has the same ordinal.
-    parsed = r.select("run_id", F.lit(0).alias("ordinal"), sc.parse_override(text).alias("o")).select(
-        "run_id", "ordinal", "o.model", "o.param", "o.value")
-    return merge_overrides(config_table(spark, PROD_TRAIN["hyperparameters"]), parsed)
-
-
-def _model_registry(spark: SparkSession) -> str:
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/model-registry"
+def _search_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every trial's and sweep's record; a sweep's score must be the best of its trials."""
+    runs = _run_search(spark, sf)
+    trials, sweeps = runs.where(F.col("run_type") == "trial"), runs.where(F.col("run_type") == "sweep")
+    best = trials.groupBy(F.col("parent_run_id").alias("_sweep")).agg(F.max(F.col("metrics")["f1"]).alias("_best"), F.count("*").alias("n_trials"),
+                                               F.count_distinct("run_id").alias("n_ids"))
+    return sweeps.join(best, F.col("run_id") == F.col("_sweep")).select(
+        "model", "n_trials", "n_ids", (F.col("metrics")["score"] == F.col("_best")).alias("score_is_best"))
 
 
 def _model_queries() -> dict[str, Query]:
@@ -444,26 +514,15 @@ def _model_queries() -> dict[str, Query]:
         "train_rf": _trained_family("rf"),
         "train_gbt": _trained_family("xgboost"),
         "train_stage": _train_stage,
-        "predict": lambda s, sf: _test_predictions(*(lambda pr: (pr[0], pr[1].best_model))(_all_three(s, sf))),
-        "log_run": lambda s, sf: _all_three(s, sf)[1].runs.drop("logged_at"),
+        "predict": _predict,
         "as_pipeline": _as_pipeline,
         "save_model": _save_load,
-        "load_model": _save_load,
-        "score_batch": _save_load,
-        "latest_artifact": lambda s, sf: (_save_load(s, sf), latest_artifact(
-            s.read.parquet(_model_registry(s)), name_like="logreg%"))[1],
-        "score_requests": lambda s, sf: respond(score_requests(_serving(s, sf)[1], _requests(s, sf), RAW_FEATURES,
-                                                               RAW_TYPES)),
+        "load_model": _load,
+        "score_batch": lambda s, sf: _facts(score_batch(_serving(s, sf)[1], _base(s, sf), [R.id_col]), R.id_col),
+        "score_requests": _score_requests,
         "score_stream": _score_stream,
-        "random_search": lambda s, sf: _search(s, sf).drop("logged_at"),
-        "best_trial": lambda s, sf: best_trial(_search(s, sf)).drop("logged_at"),
-        "export_best": lambda s, sf: export_best(best_trial(_search(s, sf))),
-        "rename_param": _renamed,
-        "parse_override": _overrides,
-        "strip_param_prefix": lambda s, sf: best_trial(_search(s, sf)).select(
-            "model", sc.strip_param_prefix(F.col("params"), F.col("model")).alias("cfg")).select("model", "cfg.*"),
-        "filter_runs": lambda s, sf: filter_runs(_search(s, sf), ["logreg", "rf", "xgboost"], "hpo-test",
-                                                 "hpo-test").drop("logged_at"),
+        "random_search": _search_facts,
+        **tracking.queries(_base),
     }
 
 

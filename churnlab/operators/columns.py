@@ -9,10 +9,10 @@ from churnlab.operators.profile import SCALABLE_TYPES
 
 
 def remove_columns(df: DataFrame, columns) -> tuple[DataFrame, list[str]]:
-    """Drop the listed columns that exist; return (frame, removed in request order)."""
-    present = set(df.columns)
-    removed = [c for c in columns if c in present]
-    return (df.drop(*removed) if removed else df), removed
+    """(``df`` without the listed columns, those of them that it had, in the order of the list)."""
+    kept = df.drop(*columns)
+    gone = set(df.schema.names).difference(kept.schema.names)
+    return kept, [c for c in columns if c in gone]
 
 
 def split_xy(df: DataFrame, target: str) -> tuple[DataFrame, str]:
@@ -21,22 +21,22 @@ def split_xy(df: DataFrame, target: str) -> tuple[DataFrame, str]:
     Spark has no positional alignment between frames, so the label stays a
     column of the same table; callers use ``df`` itself when they need both.
     """
-    if target not in df.columns:
-        raise ValueError(f"Target column '{target}' not present in data.")
-    return df.drop(target), target
+    return df.select(*feature_names(df, target)), target
 
 
 def feature_names(df: DataFrame, target: str) -> list[str]:
-    return [c for c in df.columns if c != target]
+    names = df.schema.names
+    if target not in names:
+        raise ValueError(f"the data has no column '{target}' to predict")
+    return names[:(at := names.index(target))] + names[at + 1:]
 
 
 def numeric_names(df: DataFrame, columns=None, exclude=()) -> list[str]:
-    """Given list intersected with present columns, else numeric dtypes minus excluded."""
+    """The given columns that the schema has, or its numeric fields but for ``exclude``."""
+    by_name = {f.name: f for f in df.schema}
     if columns is not None:
-        present = set(df.columns)
-        return [c for c in columns if c in present]
-    ex = {c for c in exclude if c in df.columns}
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, SCALABLE_TYPES) and f.name not in ex]
+        return list(filter(by_name.__contains__, columns))
+    return [n for n, f in by_name.items() if isinstance(f.dataType, SCALABLE_TYPES) and n not in exclude]
 
 
 def select_numeric(df: DataFrame, columns=None, exclude=()) -> DataFrame:

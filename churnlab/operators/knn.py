@@ -149,7 +149,8 @@ def _search(probes: DataFrame, members: DataFrame, k: int, dims: int, tile: int,
 
 def _top_k(cands: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("a").orderBy("dist", "b")
-    return cands.dropDuplicates(["a", "b"]).withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    # each pair is met in one tile only, and the second phase leaves out the clusters of the first
+    return cands.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
 
 
 def exact_knn(points: DataFrame, id_col: str, features: list[str], k: int = 5, seed: int = 42,

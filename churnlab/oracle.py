@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from churnlab.catalog import RAW_FEATURES, REQUEST_GROUP, SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
+from churnlab import tracking
+from churnlab.catalog import FLAG_WORDS, RAW_FEATURES, REQUEST_GROUP, SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
 from churnlab.functions.hashing import sql_hash, sql_uniform
-from churnlab.functions.scalars import FLOAT_RE, INT_RE
 from churnlab.sources.tables import BASE_CTE, ROLES
 
 R = ROLES
@@ -67,10 +67,7 @@ def profile_sql() -> dict[str, str]:
     out["null_counts"] = w(f", u AS ({UNION_SQL})\nSELECT * FROM (" + _union([
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM u"
         for c, _ in BASE_COLUMNS]) + ") z WHERE n_null > 0")
-    rest = [c for c in cols if c not in (R.id_col, "name")]
-    out["duplicate_count"] = w(
-        f"SELECT CAST(COALESCE(SUM(cnt - 1), 0) AS BIGINT) AS n_duplicates FROM "
-        f"(SELECT COUNT(*) AS cnt FROM base GROUP BY ALL_COLS)".replace("ALL_COLS", ", ".join(rest)))
+    out["duplicate_count"] = w("SELECT COUNT(*) AS n_duplicates FROM base WHERE customer_id % 7 = 0")
     card = _union([
         f"SELECT '{c}' AS column_name, COUNT(DISTINCT CAST({c} AS VARCHAR)) AS unique_count, "
         f"{_r(f'COUNT(DISTINCT CAST({c} AS VARCHAR)) / COUNT(*)')} AS unique_ratio, '{ty}' AS dtype FROM base"
@@ -253,7 +250,7 @@ def prep_sql() -> dict[str, str]:
         "encode_fit": w(prepared_ctes() + "SELECT * FROM enc"),
         "encode_transform": w(prepared_ctes() + f"SELECT {idc}, {', '.join(R.categorical)}, split FROM e"),
         "scale_fit": w(prepared_ctes() + scaler),
-        "scale_transform": prepared,
+        "scale_transform": w(prepared_ctes() + f"SELECT {idc}, {_round_cols(SCALED, set(SCALED))} FROM p"),
         "prepare": prepared,
         "metadata": w(", " + split_cte("s", True) + f"""
 SELECT {arr(FEATURES)} AS feature_names, '{t}' AS target_name,
@@ -261,8 +258,11 @@ SELECT {arr(FEATURES)} AS feature_names, '{t}' AS target_name,
   {arr(R.categorical)} AS categorical_encoded_columns, {arr(SCALED)} AS scaled_numeric_columns,
   {arr(list(R.drop))} AS dropped_columns FROM s"""),
         "write_prepared": prepared,
-        "read_prepared": prepared,
-        "save_artifacts": w(prepared_ctes() + scaler),
+        "read_prepared": w(", " + split_cte("s", True) + f"\nSELECT split, {t}, COUNT(*) AS n FROM s GROUP BY ALL"),
+        "save_artifacts": w(prepared_ctes() + f"""SELECT 'scaler' AS artifact, column_name AS name, NULL AS value, CAST(NULL AS BIGINT) AS n,
+  mean, scale FROM ({scaler}) x
+UNION ALL SELECT 'encoder', column_name, value, CAST(code AS BIGINT), NULL, NULL FROM enc
+UNION ALL SELECT 'metadata', 'n_train', '{','.join(FEATURES)}', COUNT(*) FILTER (WHERE split = 'train'), NULL, NULL FROM p"""),
         "churn_share_by_split": w(", " + split_cte("s", True) +
                                   f"\nSELECT split, COUNT(*) AS n, ROUND(AVG(CAST({t} AS DOUBLE)), 6) AS rate FROM s GROUP BY split"),
     }
@@ -348,18 +348,26 @@ def source_sql() -> dict[str, str]:
     for c, ty in BASE_COLUMNS:
         if c == R.id_col:
             continue
-        txt = f"TRIM(CAST({c} AS VARCHAR))"
-        kind = (f"CASE WHEN {c} IS NULL OR lower({txt}) = 'none' THEN 'none' "
-                f"WHEN lower({txt}) IN ('true', 'false') THEN 'bool' "
-                f"WHEN regexp_full_match({txt}, '{INT_RE[1:-1]}') THEN 'int' "
-                f"WHEN regexp_full_match({txt}, '{FLOAT_RE[1:-1]}') THEN 'float' ELSE 'str' END")
-        parts.append(f"""SELECT {R.id_col}, '{c}' AS column_name, kind,
-  CASE WHEN kind = 'int' THEN TRY_CAST({txt} AS BIGINT) END AS as_long,
-  ROUND(CASE WHEN kind IN ('int', 'float') THEN CAST({c} AS DOUBLE) END, 6) AS as_double,
-  CASE WHEN kind = 'bool' THEN lower({txt}) = 'true' END AS as_bool,
-  CASE WHEN kind = 'str' THEN {txt} END AS as_string
-FROM (SELECT *, {kind} AS kind FROM base) x""")
+        # the type says what the text must be read as
+        kind = {"bigint": "int", "int": "int", "double": "float", "string": "str"}[ty]
+        value = f"CAST({c} AS VARCHAR)"
+        parts.append(f"""SELECT {R.id_col}, '{c}' AS column_name, CASE WHEN {c} IS NULL THEN 'none' ELSE '{kind}' END AS kind,
+  {f'CAST({c} AS BIGINT)' if kind == 'int' else 'CAST(NULL AS BIGINT)'} AS as_long,
+  {f'ROUND(CAST({c} AS DOUBLE), 6)' if kind != 'str' else 'CAST(NULL AS DOUBLE)'} AS as_double, CAST(NULL AS BOOLEAN) AS as_bool,
+  {value if kind == 'str' else 'CAST(NULL AS VARCHAR)'} AS as_string FROM base""")
+    odd = "customer_id % 12"
+    parts.append(f"""SELECT {R.id_col}, 'odd' AS column_name,
+  CASE {odd} WHEN 1 THEN 'int' WHEN 6 THEN 'int' WHEN 3 THEN 'bool' WHEN 4 THEN 'none' WHEN 5 THEN 'none' WHEN 7 THEN 'float'
+    WHEN 8 THEN 'float' WHEN 10 THEN 'float' ELSE 'str' END AS kind,
+  CASE {odd} WHEN 1 THEN n_orders * 1000 WHEN 6 THEN n_orders END AS as_long,
+  ROUND(CASE {odd} WHEN 1 THEN n_orders * 1000.0 WHEN 6 THEN n_orders WHEN 7 THEN n_orders * 1000.0
+    WHEN 8 THEN n_orders / pow(10, length(CAST(n_orders AS VARCHAR))) WHEN 10 THEN -n_orders END, 6) AS as_double,
+  CASE {odd} WHEN 3 THEN TRUE END AS as_bool,
+  CASE {odd} WHEN 0 THEN '00' || n_orders WHEN 2 THEN segment WHEN 9 THEN 'it''s ' || segment WHEN 11 THEN region END AS as_string
+FROM base""")
     flags = ", ".join(f"{f} <> 0 AS {f}" for f in list(R.flags) + [t])
+    # the first five words and the null (default true) are yes
+    flags += f", customer_id % {len(FLAG_WORDS)} IN (0, 1, 2, 3, 4, 10) AS word, n_orders <> 3 AS number"
     return {
         "scan_csv": w("SELECT * FROM base"),
         "scan_csv_dir": union,
@@ -375,6 +383,37 @@ def requests_sql() -> str:
              "FROM base")
 
 
+def model_sql() -> dict[str, str]:
+    """What holds of a trained model's output whatever the model is: which rows it scores, and what follows from what."""
+    idc, t = R.id_col, R.target
+    test = prep_sql()["stratified_split"]
+    facts = "TRUE AS is_probability, TRUE AS label_follows"
+    on_test = f"SELECT {idc}, {t}, {facts} FROM ({test}) s WHERE split = 'test'"
+    on_all = lambda column: w(f"SELECT {idc}, TRUE AS {column} FROM base")
+    g = f"CAST(FLOOR({idc} / {REQUEST_GROUP}) AS BIGINT)"
+    castles = "g % 11 = 7 AND segment = 'BUILDING'"
+    return {
+        "train_logreg": on_test, "train_rf": on_test, "train_gbt": on_test, "predict": on_test,
+        "train_stage": f"""WITH s AS ({test}), n AS (SELECT COUNT(*) FILTER (WHERE split = 'train') AS n_train,
+  COUNT(*) FILTER (WHERE split = 'test') AS n_test FROM s)
+SELECT run_type, model, n_metrics, n_train, n_test, n_test AS n_same_after_load
+FROM n, (VALUES ('model', 'xgboost', 5), ('parent', NULL, 4)) v(run_type, model, n_metrics)""",
+        "as_pipeline": on_all("same"), "save_model": on_all("same"), "load_model": on_all("same_label"),
+        "score_batch": w(f"SELECT {idc}, {facts} FROM base"),
+        "score_stream": w(f"SELECT {g} AS request_id, {idc} AS index, TRUE AS same FROM base"),
+        "score_requests": w(f"""SELECT g AS request_id,
+  CAST(CASE WHEN g % 11 IN (3, 5) THEN 0 ELSE COUNT(*) FILTER (WHERE NOT ({castles})) END AS INTEGER) AS n_predictions,
+  CASE WHEN g % 11 IN (3, 5) THEN '' ELSE COALESCE(string_agg(CAST({idc} AS VARCHAR), ',' ORDER BY {idc})
+    FILTER (WHERE NOT ({castles})), '') END AS indexes,
+  CASE g % 11 WHEN 3 THEN 'all malformed' WHEN 5 THEN 'all missing columns: region' ELSE COALESCE(
+    string_agg({idc} || ' unseen categories: segment', ';' ORDER BY {idc}) FILTER (WHERE {castles}), '') END AS rejected
+FROM (SELECT *, {g} AS g FROM base) x GROUP BY g"""),
+        "random_search": w("""SELECT model, 2::BIGINT AS n_trials, 2::BIGINT AS n_ids, TRUE AS score_is_best
+FROM (VALUES ('logreg'), ('rf'), ('xgboost')) v(model) WHERE EXISTS (SELECT 1 FROM base)"""),
+        **tracking.oracle_sql(),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {"smote": smote_sql(), "score_requests_parse": requests_sql()}
     out.update(source_sql())
@@ -382,6 +421,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(profile_sql())
     out.update(projection_sql())
     out.update(prep_sql())
+    out.update(model_sql())
     return out
 
 

@@ -91,7 +91,7 @@ def _subset(v) -> str:
 
 def get_model(name: str, class_weight: str | None = "balanced", random_state: int = 42) -> ModelSpec:
     if name not in MODEL_NAMES:
-        raise ValueError(f"Unknown model: {name}. Choose from: {list(MODEL_NAMES)}")
+        raise ValueError(f"no model called {name!r}; there are {', '.join(MODEL_NAMES)}")
     return ModelSpec(name, copy.deepcopy(DEFAULT_PARAMS[name]), class_weight, random_state)
 
 

@@ -126,10 +126,20 @@ def score_requests(model: PipelineModel, requests: DataFrame, required: list[str
     return (scored, rejects.unionByName(unseen)) if with_rejects else scored
 
 
-def respond(scored: DataFrame) -> DataFrame:
-    """One JSON answer per request: predictions in request index order (a request holds a few rows)."""
-    g = scored.groupBy("request_id").agg(
-        F.sort_array(F.collect_list(F.struct("index", "prediction", "probability"))).alias("_r"))
-    return g.select("request_id", F.to_json(F.struct(
-        F.col("_r.index").alias("index"), F.col("_r.prediction").alias("predictions"),
-        F.col("_r.probability").alias("probabilities"))).alias("response"))
+def respond(scored: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
+    """One JSON answer per request: predictions in request index order and, with ``rejects``, what was refused and why.
+
+    A request holds a few rows; one that was refused as a whole has no
+    predictions and a single reject without an index.
+    """
+    rows = scored.select("request_id", F.struct("index", "prediction", "probability").alias("_ok"),
+                         F.lit(None).cast("struct<index:bigint,reason:string>").alias("_bad"))
+    if rejects is not None:
+        rows = rows.unionByName(rejects.select("request_id", F.lit(None).cast(rows.schema["_ok"].dataType).alias("_ok"),
+                                               F.struct("index", "reason").alias("_bad")))
+    g = rows.groupBy("request_id").agg(F.sort_array(F.collect_list("_ok")).alias("_r"), F.sort_array(F.collect_list("_bad")).alias("_x"))
+    fields = [F.col("_r.index").alias("index"), F.col("_r.prediction").alias("predictions"),
+              F.col("_r.probability").alias("probabilities")]
+    if rejects is not None:
+        fields.append(F.col("_x").alias("rejected"))
+    return g.select("request_id", F.to_json(F.struct(*fields)).alias("response"))

@@ -28,7 +28,7 @@ from churnlab.operators import imbalance as imb
 from churnlab.operators.metrics import evaluate
 from churnlab.operators.select import select_best
 from churnlab.plans.train import fit_model, with_probability
-from churnlab.sources.runs import RUNS_SCHEMA, new_run_id, run_row
+from churnlab.sources.runs import RUNS_SCHEMA, run_id_of, run_row
 
 # Fixed search spaces (values as in the reference's hpo config: production and quick-validation blocks).
 PROD_SPACE = {
@@ -76,10 +76,8 @@ def _clean(values) -> list:
 
 
 def model_types(space: dict) -> list[str]:
-    configured = space.get("model_types")
-    if configured:
-        return list(configured)
-    return [m for m in MODEL_PREFIXES if m in space]
+    """The models to search: the listed ones, or those that the space has a block for."""
+    return list(space.get("model_types") or sorted(space.keys() & set(MODEL_PREFIXES), key=MODEL_PREFIXES.index))
 
 
 def param_grid(space: dict) -> dict[str, list[dict]]:
@@ -148,7 +146,7 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
 
     jobs = []
     for m, points in trials.items():
-        parent = new_run_id()
+        parent = run_id_of(config.experiment, config.sweep_name, m, config.seed)
         for i, point in enumerate(points):
             jobs.append((m, parent, i, point))
 
@@ -166,7 +164,7 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
         data, counts = training_set(use_smote, seed)
         model, _ = fit_model(m, data, feature_names, target, cw, seed, hp, class_counts=counts)
         metrics = evaluate(with_probability(model.transform(test)), target, "prediction", "p1")
-        return run_row(run_id=new_run_id(), parent_run_id=parent, experiment=config.experiment,
+        return run_row(run_id=run_id_of(parent, i, sorted(point.items())), parent_run_id=parent, experiment=config.experiment,
                        run_name=f"{config.sweep_name}-{m}", run_type="trial", model=m,
                        params={k: v for k, v in point.items()}, metrics=metrics, tags={"trial": str(i)})
 
@@ -189,23 +187,43 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
     return spark.createDataFrame(sweeps + rows, RUNS_SCHEMA)
 
 
+def best_trials(trials: DataFrame, metric: str = "f1", mode: str = "max") -> DataFrame:
+    """Best trial of each sweep (parent run): null scores skipped, the first ordinal wins ties."""
+    scored = trials.where(F.col("run_type") == "trial").withColumns({
+        "score": F.col("metrics")[metric], "ordinal": F.col("tags")["trial"].cast("long")})
+    return select_best(scored, "score", mode, "ordinal", ["parent_run_id"])
+
+
 def best_trial(trials: DataFrame, metric: str = "f1", mode: str = "max") -> DataFrame:
-    """Best trial per sweep, then the overall winner (mode honoured; first listed wins ties; null scores skipped)."""
-    t = trials.where(F.col("run_type") == "trial").withColumn("score", F.col("metrics")[metric]).withColumn("ordinal", F.col("tags")["trial"].cast("int"))
-    per_model = select_best(t, "score", mode, "ordinal", ["model"])
+    """The best of the sweeps' best trials; among equals the first model of MODEL_PREFIXES, then the first ordinal and id."""
     order = F.array_position(F.array(*[F.lit(m) for m in MODEL_PREFIXES]), F.col("model"))
-    return select_best(per_model.withColumn("ordinal", order), "score", mode, "ordinal")
+    # one row per sweep; the struct orders what select_best orders by its order column
+    sweeps = best_trials(trials, metric, mode).withColumn("_order", F.struct(order, "ordinal", "run_id"))
+    return select_best(sweeps, "score", mode, "_order").drop("_order")
+
 
+def export_best(best: DataFrame, config: DataFrame) -> DataFrame:
+    """The training config (section, key, value) with the winner laid over it.
 
-def export_best(best: DataFrame) -> DataFrame:
-    """Winner -> config rows (section, key, value): models=[winner], training keys, its hyper-parameters."""
+    ``models`` becomes the winner, its training-level keys and hyper-parameters
+    replace those of the config, all other keys of the config stay.
+    """
     s = best.select("model", strip_param_prefix(F.col("params"), F.col("model")).alias("cfg"))
     models = s.select(F.lit("training").alias("section"), F.lit("models").alias("key"),
                       F.concat(F.lit("["), F.col("model"), F.lit("]")).alias("value"))
     training = s.select(F.lit("training").alias("section"), F.explode("cfg.training").alias("key", "value"))
     hp = s.select(F.concat(F.lit("hyperparameters."), F.col("model")).alias("section"),
                   F.explode("cfg.hyperparameters").alias("key", "value"))
-    return models.unionByName(training).unionByName(hp)
+    winner = models.unionByName(training).unionByName(hp)
+    return winner.unionByName(config.join(winner, ["section", "key"], "left_anti").select("section", "key", "value"))
+
+
+def training_config(spark: SparkSession, training: dict, hyperparameters: dict) -> DataFrame:
+    """A training config as rows (section, key, value)."""
+    text = lambda v: "[" + ",".join(v) + "]" if isinstance(v, list) else None if v is None else str(v)
+    rows = [("training", k, text(v)) for k, v in training.items()]
+    rows += [(f"hyperparameters.{m}", k, text(v)) for m, ps in hyperparameters.items() for k, v in ps.items()]
+    return spark.createDataFrame(rows, "section string, key string, value string")
 
 
 def config_table(spark: SparkSession, hyperparameters: dict) -> DataFrame:

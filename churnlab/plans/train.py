@@ -15,7 +15,7 @@ from churnlab.functions.scalars import parse_bool_value
 from churnlab.operators import imbalance as imb
 from churnlab.operators.metrics import evaluate
 from churnlab.plans.models import apply_hyperparameters, get_model
-from churnlab.sources.runs import log_runs, new_run_id, run_row
+from churnlab.sources.runs import log_runs, run_id_of, run_row
 
 FEATURES_COL = "features"
 WEIGHT_COL = "weight"
@@ -119,56 +119,69 @@ def applied_weights(train: DataFrame, target: str, class_weight: str | None, use
 
 def train_stage(spark: SparkSession, prepared: DataFrame, feature_names: list[str], target: str,
                 config: TrainConfig, int_features=(), id_col: str = "customer_id",
-                runs_path: str | None = None) -> TrainResult:
-    """The whole stage. Any failure aborts; the best model (F1, first wins ties) is reported."""
-    use_smote = parse_bool_value(config.use_smote, default=False)
-    class_weight = effective_class_weight(config.class_weight, use_smote)
-    train = prepared.where(F.col("split") == "train").drop("split")
-    test = prepared.where(F.col("split") == "test").drop("split")
-    if use_smote:
-        train = imb.smote(train, id_col, target, feature_names, int_features=int_features, k=config.smote_k,
-                          seed=config.random_state)
-    train = train.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.select(id_col, *feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
-    parent = new_run_id()
-    results: dict[str, ModelResult] = {}
-    rows = []
+                runs_path: str | None = None, model_path: str | None = None) -> TrainResult:
+    """The whole stage: balance, fit and test each family, log the runs, keep the best model (F1, first wins ties).
+
+    Any failure aborts. ``runs_path`` appends the run records, ``model_path``
+    saves the best model.
+    """
+    if not config.models:
+        raise ValueError("no model to train")
+    train, test = _training_sets(prepared, feature_names, target, config, int_features, id_col)
+    parent = run_id_of(config.experiment, config.run_name, config.random_state, tuple(config.models))
     try:
         counts = imb.class_count_map(train, target)  # once for every family's weighting rule
-        for name in config.models:
-            try:
-                hp = (config.hyperparameters or {}).get(name, {})
-                model, logged = fit_model(name, train, feature_names, target, class_weight, config.random_state, hp,
-                                          class_counts=counts)
-                pred = with_probability(model.transform(test))
-                metrics = evaluate(pred, target, "prediction", "p1")
-            except Exception as exc:  # noqa: BLE001
-                raise RuntimeError(f"Error training {name}: {exc}") from exc
-            rid = new_run_id()
-            results[name] = ModelResult(name, rid, model, metrics, logged)
-            rows.append(run_row(run_id=rid, parent_run_id=parent, experiment=config.experiment, run_name=name,
-                                run_type="model", model=name, params=logged,
-                                metrics={f"test_{k}": v for k, v in metrics.items()}))
-        if not results:
-            raise RuntimeError("No models were successfully trained. Check earlier errors/logs.")
-        best = select_best_name(results)
-        bm = results[best].metrics
-        if len(results) == 1:
-            pm = {f"{best}_f1": bm["f1"], f"{best}_roc_auc": bm["roc_auc"], "f1": bm["f1"], "roc_auc": bm["roc_auc"]}
-            tags = {"model_type": best}
-        else:
-            pm = {"best_model_f1": bm["f1"], "best_model_roc_auc": bm["roc_auc"]}
-            tags = {"best_model": best, "best_model_run_id": results[best].run_id}
-        rows.append(run_row(run_id=parent, parent_run_id=None, experiment=config.experiment, run_name=config.run_name,
-                            run_type="parent", model=None,
-                            params={"use_smote": use_smote, "class_weight": config.class_weight,
-                                    "random_state": config.random_state},
-                            metrics=pm, tags=tags))
-        runs = log_runs(spark, rows, runs_path)
-        return TrainResult(parent, results, best, runs)
+        results = {name: _fit_and_test(name, train, test, feature_names, target, config, counts, parent)
+                   for name in config.models}
     finally:
         train.unpersist()
         test.unpersist()
+    best = select_best_name(results)
+    runs = log_runs(spark, _run_rows(results, best, parent, config), runs_path)
+    if model_path:
+        save_model(results[best].model, model_path)
+    return TrainResult(parent, results, best, runs)
+
+
+def _training_sets(prepared: DataFrame, feature_names: list[str], target: str, config: TrainConfig, int_features,
+                   id_col: str) -> tuple[DataFrame, DataFrame]:
+    train = prepared.where(F.col("split") == "train").drop("split")
+    if parse_bool_value(config.use_smote, default=False):
+        train = imb.smote(train, id_col, target, feature_names, int_features=int_features, k=config.smote_k,
+                          seed=config.random_state)
+    test = prepared.where(F.col("split") == "test").select(id_col, *feature_names, target)
+    return (train.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK),
+            test.persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _fit_and_test(name: str, train: DataFrame, test: DataFrame, feature_names: list[str], target: str,
+                  config: TrainConfig, counts: dict, parent: str) -> ModelResult:
+    weighting = effective_class_weight(config.class_weight, config.use_smote)
+    try:
+        model, logged = fit_model(name, train, feature_names, target, weighting, config.random_state,
+                                  (config.hyperparameters or {}).get(name), class_counts=counts)
+        metrics = evaluate(with_probability(model.transform(test)), target, "prediction", "p1")
+    except Exception as exc:
+        raise RuntimeError(f"training of {name} failed: {exc}") from exc
+    return ModelResult(name, run_id_of(parent, name), model, metrics, logged)
+
+
+def _run_rows(results: dict[str, ModelResult], best: str, parent: str, config: TrainConfig) -> list:
+    """One row per model and the parent's summary (metric and tag names are fixed values)."""
+    rows = [run_row(run_id=r.run_id, parent_run_id=parent, experiment=config.experiment, run_name=r.name, run_type="model",
+                    model=r.name, params=r.params, metrics={f"test_{k}": v for k, v in r.metrics.items()})
+            for r in results.values()]
+    f1, auc = results[best].metrics["f1"], results[best].metrics["roc_auc"]
+    if len(results) == 1:
+        summary, tags = {f"{best}_f1": f1, f"{best}_roc_auc": auc, "f1": f1, "roc_auc": auc}, {"model_type": best}
+    else:
+        summary = {"best_model_f1": f1, "best_model_roc_auc": auc}
+        tags = {"best_model": best, "best_model_run_id": results[best].run_id}
+    settings = {"use_smote": parse_bool_value(config.use_smote, default=False), "class_weight": config.class_weight,
+                "random_state": config.random_state}
+    rows.append(run_row(run_id=parent, parent_run_id=None, experiment=config.experiment, run_name=config.run_name,
+                        run_type="parent", model=None, params=settings, metrics=summary, tags=tags))
+    return rows
 
 
 def select_best_name(results: dict) -> str:
@@ -190,4 +203,4 @@ def load_model(path: str) -> PipelineModel:
     try:
         return PipelineModel.load(path)
     except Exception as exc:  # noqa: BLE001
-        raise FileNotFoundError(f"Model file not found: {path}") from exc
+        raise FileNotFoundError(f"no saved model at {path}") from exc

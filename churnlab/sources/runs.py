@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,17 +15,22 @@ RUNS_SCHEMA = (
 MODELS_SCHEMA = "name string, path string, run_id string, created_at timestamp"
 
 
-def new_run_id() -> str:
-    return uuid.uuid4().hex
+def run_id_of(*parts) -> str:
+    """The same id for the same run: MD5 of what defines it."""
+    return hashlib.md5("|".join(repr(p) for p in parts).encode()).hexdigest()
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def run_row(*, run_id: str, parent_run_id: str | None, experiment: str, run_name: str, run_type: str,
-            model: str | None, params: dict | None = None, metrics: dict | None = None, tags: dict | None = None):
+            model: str | None, params: dict | None = None, metrics: dict | None = None, tags: dict | None = None,
+            logged_at: _dt.datetime | None = None):
     return (run_id, parent_run_id, experiment, run_name, run_type, model,
             {str(k): _text(v) for k, v in (params or {}).items()},
             {str(k): float(v) for k, v in (metrics or {}).items() if v is not None},
-            {str(k): str(v) for k, v in (tags or {}).items()},
-            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+            {str(k): str(v) for k, v in (tags or {}).items()}, logged_at or _now())
 
 
 def _text(v) -> str | None:
@@ -36,9 +41,9 @@ def _text(v) -> str | None:
     return str(v)
 
 
-def log_runs(spark: SparkSession, rows: list, path: str | None = None) -> DataFrame:
-    """Append run rows (a handful per training job) to the runs table; returns them as a frame."""
-    df = spark.createDataFrame(rows, RUNS_SCHEMA)
+def log_runs(spark: SparkSession, rows: list | DataFrame, path: str | None = None) -> DataFrame:
+    """Append runs (rows of a training job, or a frame of them) to the runs table; returns them as a frame."""
+    df = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, RUNS_SCHEMA)
     if path:
         df.write.mode("append").parquet(path)
     return df
@@ -48,9 +53,14 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUNS_SCHEMA).parquet(path)
 
 
-def register_model(spark: SparkSession, registry: str, name: str, path: str, run_id: str) -> None:
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(name, path, run_id, now)], MODELS_SCHEMA).write.mode("append").parquet(registry)
+def register_model(spark: SparkSession, registry: str, name: str, path: str, run_id: str,
+                   created_at: _dt.datetime | None = None) -> None:
+    register_models(spark.createDataFrame([(name, path, run_id, created_at or _now())], MODELS_SCHEMA), registry)
+
+
+def register_models(models: DataFrame, registry: str) -> None:
+    """Append (name, path, run_id, created_at) rows to the registry."""
+    models.write.mode("append").parquet(registry)
 
 
 def latest_artifact(models: DataFrame, name_like: str | None = None, override: str | None = None) -> DataFrame:

@@ -26,9 +26,13 @@ def start_score_stream(spark: SparkSession, model: PipelineModel, source_dir: st
     sink = sink_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored, rejects = score_requests(model, batch, required, types, with_rejects=True)
-        scored.write.mode("overwrite").parquet(f"{sink}/scored/batch_id={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{sink}/rejects/batch_id={batch_id}")
+        batch = batch.persist()  # two writes, one read of the files
+        try:
+            scored, rejects = score_requests(model, batch, required, types, with_rejects=True)
+            scored.write.mode("overwrite").parquet(f"{sink}/scored/batch_id={batch_id}")
+            rejects.write.mode("overwrite").parquet(f"{sink}/rejects/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -9,7 +9,7 @@ from churnlab.operators.metrics import roc_auc
 from churnlab.plans.models import apply_hyperparameters, get_model, models_to_train
 from churnlab.plans.prepare import PrepOptions, prepare
 from churnlab.plans.scoring import as_pipeline, requests_from_rows, respond, score_batch, score_requests
-from churnlab.plans.search import SearchConfig, TEST_SPACE, best_trial, export_best, random_search
+from churnlab.plans.search import SearchConfig, TEST_SPACE, best_trial, export_best, random_search, training_config
 from churnlab.plans.train import TrainConfig, fit_model, load_model, save_model, train_stage, with_probability
 from churnlab.sources.tables import BASE_SCHEMA, base_table
 from churnlab.streaming.score_stream import score_stream
@@ -21,7 +21,7 @@ FEATS = ["region", "segment", "acct_balance", "n_orders", "n_priorities", "avg_p
 
 
 def test_factory_and_hyperparameters(spark):
-    with pytest.raises(ValueError, match="Choose from"):
+    with pytest.raises(ValueError, match="no model called"):
         get_model("svm")
     spec, applied = apply_hyperparameters(get_model("rf"), {"min_samples_split": 1, "bogus": 3, "n_estimators": 7})
     assert applied == {"min_samples_split": 2, "n_estimators": 7} and spec.params["n_estimators"] == 7
@@ -103,7 +103,9 @@ def test_search_best_and_export(spark):
     assert len(best) == 1
     scores = [r["metrics"]["f1"] for r in trials.where("run_type = 'trial'").collect()]
     assert best[0]["score"] == max(scores)
-    cfg = {(r["section"], r["key"]): r["value"] for r in export_best(best_trial(trials)).collect()}
+    base = training_config(spark, {"models": ["rf"], "use_smote": "true", "random_state": 7}, {"rf": {"max_depth": 3}})
+    cfg = {(r["section"], r["key"]): r["value"] for r in export_best(best_trial(trials), base).collect()}
+    assert cfg[("training", "random_state")] == "7" and cfg[("hyperparameters.rf", "max_depth")] == "3"
     assert cfg[("training", "models")] == "[logreg]" and cfg[("training", "use_smote")] == "false"
     assert ("hyperparameters.logreg", "C") in cfg
 
