@@ -2,34 +2,55 @@
 
 A text is brought to a canonical form (case, punctuation, copyright lines and
 equivalent spellings), and the MD5 of the whole form is looked up among the
-digests of known licences and notices. All of it is Spark's own functions.
+digests of known licences and notices by a hash join.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlab.llm.common import spaced_bytes
 from churnlab.llm.licence_texts import EQUIVALENT, KNOWN
 
-COPYRIGHT_LINE = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright|©|\(c\))[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
-NOT_WORD = r"[^\p{L}\p{N}]+"
 BROADCAST_BYTES = 8_000_000
+# a copyright line: the word, sign or (c) comes first, or the line only reserves all rights
+_NO_WORD = r"(?:[^\w\n]|_)*"
+_COPYRIGHT_LINE = re.compile(rf"(?im)^{_NO_WORD}(?:copyright|©|\(c\))[^\n]*$|^{_NO_WORD}all rights reserved{_NO_WORD}$")
+_COPYRIGHT_SIGNS = ("copyright", "©", "(c)", "all rights reserved")
+# words stand two spaces apart, so that neighbouring spellings do not share one
+_SPELLINGS = [tuple(f" {x.replace(' ', '  ')} ".encode() for x in pair) for pair in EQUIVALENT]
 
 
-def canonical(text: Column) -> Column:
+def canonical(text: str) -> bytes:
     """Copyright lines dropped, lower case, words joined by single spaces, equivalent spellings made one."""
-    words = F.regexp_replace(F.lower(F.regexp_replace(text, COPYRIGHT_LINE, "")), NOT_WORD, " ")
-    padded = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
-    for spelling, standard in EQUIVALENT:
-        padded = F.replace(padded, F.lit(f" {spelling} "), F.lit(f" {standard} "))
-    return F.trim(padded)
+    low = text.lower()
+    if any(sign in low for sign in _COPYRIGHT_SIGNS):
+        text = _COPYRIGHT_LINE.sub("", text)
+    form = b" " + b"  ".join(spaced_bytes(text).split()) + b" "
+    for spelling, standard in _SPELLINGS:
+        if spelling in form:
+            form = form.replace(spelling, standard)
+    return form[1:-1].replace(b"  ", b" ")
+
+
+def text_digest(text: str | None) -> str | None:
+    form = canonical(text) if text else b""
+    return hashlib.md5(form).hexdigest() if form else None
 
 
 def digest(text: Column) -> Column:
     """MD5 of the canonical form; null where the text is null or has no word left."""
-    form = canonical(text)
-    return F.when(form != "", F.md5(form))
+
+    @F.pandas_udf("string")
+    def digests(texts: pd.Series) -> pd.Series:
+        return pd.Series([text_digest(t) for t in texts], dtype=object)
+
+    return digests(text)
 
 
 def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:

@@ -142,11 +142,12 @@ def _quoted(text: str) -> str:
 def _canonical_sql(text: str) -> str:
     lines = (r"(?im)^[^\p{L}\p{N}\n]*(copyright|©|\(c\))[^\n]*$"
              r"|(?im)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$")
-    form = f"regexp_replace(lower(regexp_replace({text}, '{lines}', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    form = f"regexp_replace(lower(regexp_replace({text}, '{lines}', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')"
     form = f"' ' || trim({form}, ' ') || ' '"
     for spelling, standard in EQUIVALENT:
-        form = f"replace({form}, ' {spelling} ', ' {standard} ')"
-    return f"trim({form}, ' ')"
+        a, b = spelling.replace(" ", "  "), standard.replace(" ", "  ")
+        form = f"replace({form}, ' {a} ', ' {b} ')"
+    return f"replace(trim({form}, ' '), '  ', ' ')"
 
 
 def _license_sql() -> str:

@@ -106,6 +106,13 @@ def test_licence_digests_and_spellings(spark):
     assert licenses.scan_texts(docs.limit(0), known).count() == 0
 
 
+def test_canonical_form():
+    assert licenses.canonical("(C) 2020 Me\nThe Licence licence, NON-COMMERCIAL non commercial\n © x\nAll rights reserved.") == (
+        b"the license license noncommercial noncommercial")
+    assert licenses.canonical("No copyright here") == b"no copyright here"
+    assert licenses.canonical("...") == b"" and licenses.text_digest("...") is None is licenses.text_digest(None)
+
+
 def reference_lines(rows, min_sites):
     sites, first = defaultdict(set), {}
     for i, t, s in rows:
