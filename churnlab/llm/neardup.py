@@ -9,10 +9,14 @@ band; texts that share a band are candidates, and candidates are verified by
 their exact weighted Jaccard similarity.
 
 Candidates of a band are compared in two passes. First every member meets its
-band's leader (the smallest document), which joins real groups at a cost linear
-in their size. Then, only in bands whose members are still in different
-classes, members of different classes meet each other. No link between
-different classes is left out, and no group is expanded into all its pairs.
+band's leader, which joins real groups at a cost linear in their size. The
+leader is the most central member, the one that shares most bands with others,
+as the original of many edited copies does. Then, only in bands whose members
+are still in different classes, the members outside the band's largest class
+meet the members of other classes: blocks of bounded size are dealt out, each
+task compares two blocks by a sparse matrix product and gives no more links
+than join their members. No link between different classes is left out, and no
+pair that does not link is ever a row.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ from churnlab.llm.graph import components
 THRESHOLD = 0.8
 BANDS, ROWS = 8, 3
 IDF_BITS = 18
+BLOCK = 256  # documents of a block
+FEATURES_AT_ONCE = 4096  # columns of the dense slices that a pair of blocks is compared by
 _U = np.uint64
 
 
@@ -165,6 +171,93 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: fl
     return both.select("u", "v", "text_u", "text_v").mapInPandas(verify, "u long, v long")
 
 
+def _open_links(still: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """Links (u, v) between classes within the bands of ``still`` (band, node, component).
+
+    Per band, members outside the largest class are dealt into blocks, all
+    members likewise, and a task gets one block of either kind.
+    """
+    sizes = still.groupBy("band", "component").agg(F.count("*").alias("n"))
+    bands = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    bands = bands.select("band", F.col("top.component").alias("largest"),
+                         F.ceil(F.col("all") / BLOCK).cast("int").alias("n_all"),
+                         F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("n_out"))
+    rows = still.join(bands, "band")
+    block = lambda n: F.pmod(F.xxhash64(F.lit("block"), "node"), F.col(n)).cast("int")
+    count = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    out = rows.where("component <> largest").select("band", block("n_out").alias("i"), count("n_all").alias("j"),
+                                                    F.lit(True).alias("out"), "node", "component")
+    every = rows.select("band", count("n_out").alias("i"), block("n_all").alias("j"), F.lit(False).alias("out"), "node", "component")
+    dealt = out.unionByName(every).join(texts, "node")
+    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    sent = texts.sparkSession.sparkContext.broadcast(idf)
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left = None
+        for batch in batches:
+            batch = batch if left is None else pd.concat([left, batch])
+            key = batch[["band", "i", "j"]].to_numpy()
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            if len(cuts):
+                links = [x for a, b in zip(np.append(0, cuts[:-1]), cuts) for x in block_links(batch.iloc[a:b], sent.value, threshold)]
+                yield pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+            left = batch.iloc[cuts[-1]:] if len(cuts) else batch
+        if left is not None and len(left):
+            yield pd.DataFrame(block_links(left, sent.value, threshold), columns=["u", "v"], dtype="int64")
+
+    return dealt.mapInPandas(compare, "u long, v long").distinct()
+
+
+def block_links(rows: pd.DataFrame, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """A spanning set of the links between the classes of one pair of blocks (columns out, node, component, text)."""
+    one = rows.drop_duplicates("node")
+    nodes, texts = one["node"].to_numpy(), one["text"].tolist()
+    place = {n: i for i, n in enumerate(nodes.tolist())}
+    parts, at = [], 0
+    for a, b in chunks(texts):
+        docs, hashes, tf = shingle_counts(texts[a:b])
+        # a shingle that occurs n times is n features of its idf each, so that shared features sum to the smaller weight
+        level = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
+        feature = np.repeat(hashes, tf) ^ (mix64(level.astype(_U)) * (level > 0).astype(_U))
+        parts.append((np.repeat(docs + at, tf), feature, np.repeat(idf[idf_slots(hashes)], tf).astype(np.float64)))
+        at += b - a
+    owner, feature, weight = (np.concatenate(x) for x in zip(*parts))
+    total = np.bincount(owner, weight, len(nodes))
+    distinct, column, times = np.unique(feature, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    owner, column, weight = owner[shared], column[shared], weight[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column, weight = owner[order], column[order], weight[order]
+    mine = np.asarray([place[n] for n in rows.loc[rows["out"], "node"].tolist()], np.int64)
+    theirs = np.asarray([place[n] for n in rows.loc[~rows["out"], "node"].tolist()], np.int64)
+    both = np.zeros((len(mine), len(theirs)))
+    steps = np.flatnonzero(np.diff(column)) + 1
+    for a in range(0, len(steps) + 1, FEATURES_AT_ONCE):
+        low = steps[a - 1] if a else 0
+        high = steps[a + FEATURES_AT_ONCE - 1] if a + FEATURES_AT_ONCE - 1 < len(steps) else len(column)
+        if low == high:
+            continue
+        c = np.cumsum(np.append(0, np.diff(column[low:high]) > 0))
+        dense = np.zeros((len(nodes), c[-1] + 1))
+        dense[owner[low:high], c] = weight[low:high]
+        both += dense[mine] @ (dense[theirs] > 0).T
+    similar = both >= threshold * (total[mine][:, None] + total[theirs][None] - both) - 1e-9
+    component = one["component"].to_numpy()
+    found, root = [], {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in np.argwhere(similar & (component[mine][:, None] != component[theirs][None])):
+        a, b = find(int(component[mine[i]])), find(int(component[theirs[j]]))
+        if a != b:
+            root[a] = b
+            found.append((int(nodes[mine[i]]), int(nodes[theirs[j]])))
+    return found
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, k1, k2, class_id, stays, copies): one row per distinct (doc_id, text); null texts are left out.
 
@@ -183,25 +276,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                   "texts")
     rows = store(nodes.select("node", F.explode("bands").alias("band")), "bands")
 
-    leaders = store(rows.groupBy("band").agg(F.min("node").alias("u"), F.count("*").alias("n")).where("n > 1").select(
-        "band", "u"), "leaders")
-    near_leader = rows.join(leaders, "band").where("node <> u").select("u", F.col("node").alias("v")).distinct()
+    shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = store(rows.join(shared, "band"), "members")
+    central = members.groupBy("node").agg(F.sum("n").alias("met"))
+    leaders = store(members.select("band", "node").join(central, "node").groupBy("band").agg(
+        F.max(F.struct("met", "node"))["node"].alias("u")), "leaders")
+    members = members.select("band", "node")
+    near_leader = members.join(leaders, "band").where("node <> u").select("u", F.col("node").alias("v")).distinct()
     near_leader = store(near_leader, "leader-pairs")
     texts = _candidate_texts(docs, nodes, near_leader)
     links = store(_verified(near_leader, texts, idf, threshold), "leader-links")
 
     # the members of bands that still hold several classes
-    placed = (rows.join(leaders.select("band"), "band", "left_semi").join(components(links), "node", "left")
-              .select("band", "node", F.coalesce("component", "node").alias("component")))
+    placed = members.join(components(links), "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     open_bands = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where(
         "a <> b").select("band")
     still = store(placed.join(open_bands, "band", "left_semi"), "open-bands")
-    a, b = still.alias("a"), still.alias("b")
-    across = (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.node") < F.col("b.node"))
-                     & (F.col("a.component") != F.col("b.component")))
-              .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
-    across = store(across.join(near_leader, ["u", "v"], "left_anti"), "class-pairs")
-    more = store(_verified(across, texts, idf, threshold), "class-links")
+    more = store(_open_links(still, texts, idf, threshold), "class-links")
     joined = store(components(links.unionByName(more)), "classes")
 
     named = (signed.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("copies"))

@@ -107,7 +107,9 @@ def test_sampling_agrees_with_weighted_jaccard():
 
 
 def test_bands_with_several_classes_are_compared_across(spark, monkeypatch):
-    """With one short band nearly everything is a candidate; the second pass must find what leaders do not."""
+    """With one-row bands nearly everything is a candidate; the second pass must find what leaders do not."""
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "FEATURES_AT_ONCE", 7)
     monkeypatch.setattr(neardup, "BANDS", 24)
     monkeypatch.setattr(neardup, "ROWS", 1)
     rng = np.random.default_rng(4)
@@ -166,7 +168,8 @@ def tokenizer(name):
 
 
 ODD = ["", "  a  b\n\n c\t d ", " x", "a b c", "é é ́e", "a\x1cb \x1d", "don't  '  s 'S x'll", "<|endoftext|> a", "\n\n",
-       "ΑΣ ΟΔΟΣ.", "x" * 3000, "日本 語 text\r\n a", "12 3.5 ab12cd ²x", "thoner$$$ to%%%, x", "a\nb\n c \nd"]
+       "ΑΣ ΟΔΟΣ.", "x" * 3000, "日本 語 text\r\n a", "12 3.5 ab12cd ²x", "thoner$$$ to%%%, x", "a\nb\n c \nd", "a\tb  c", "a\n\tb  c d",
+       "IT'S a'S_b", "e\u0301a \u00c9T\u00c9"]
 
 
 @pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
