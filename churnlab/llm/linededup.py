@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import store, text_key
+from churnlab.llm.common import store, text_key, unused
 
 MIN_SITES = 5
 LG_K = 12
@@ -32,20 +32,23 @@ def exploded_lines(docs: DataFrame, site: str) -> DataFrame:
     return rows.where(F.trim("line") != "").select("doc_id", "k1", "k2", "site", "pos", h1.alias("h1"), h2.alias("h2"))
 
 
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "pos")
+
+
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
-    """(h1, h2): lines on at least ``min_sites`` distinct non-null sites."""
+    """(h1, h2, first): lines on at least ``min_sites`` distinct non-null sites, with their first place."""
     error = SIGMAS * 1.04 / 2 ** (lg_k / 2)
-    sketched = (lines.where("site is not null").groupBy("h1", "h2")
-                .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"))
+    sketched = (lines.groupBy("h1", "h2")
+                .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"), F.min(_place()).alias("first"))
                 .where(F.col("sites") >= min_sites * (1 - error) - 1))
     sketched = store(sketched, "line-spread")
     near = F.col("sites") <= min_sites * (1 + error) + 1
-    sure = sketched.where(~near).select("h1", "h2")
     exact = (lines.where("site is not null").join(sketched.where(near).select("h1", "h2"), ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2", "site").agg(F.lit(1).alias("one"))
-             .groupBy("h1", "h2").agg(F.count("*").alias("sites"))
-             .where(F.col("sites") >= min_sites).select("h1", "h2"))
-    return sure.unionByName(exact)
+             .groupBy("h1", "h2").agg(F.count("*").alias("exact")).where(F.col("exact") >= min_sites).select("h1", "h2"))
+    return (sketched.where(~near).select("h1", "h2", "first")
+            .unionByName(sketched.where(near).join(exact, ["h1", "h2"], "left_semi").select("h1", "h2", "first")))
 
 
 def removed_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
@@ -56,10 +59,7 @@ def removed_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SI
     """
     lines = exploded_lines(docs, site)
     spread = store(spread_lines(lines, min_sites, lg_k), "spread-lines")
-    places = lines.drop("site").join(spread, ["h1", "h2"])
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "pos")
-    first = places.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    gone = places.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    gone = lines.drop("site").join(spread, ["h1", "h2"]).where(~_place().eqNullSafe(F.col("first")))
     return gone.groupBy("doc_id", "k1", "k2").agg(F.collect_set("pos").alias("gone"))
 
 
@@ -74,17 +74,18 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     text are treated alike, an empty table gives an empty result. ``n_chars`` is
     brought up to date where there is one; ``counted`` adds ``lines_removed``.
     """
-    gone = removed_lines(docs, site, min_sites, lg_k).select(
-        F.col("doc_id").alias("_g_id"), F.col("k1").alias("_g_1"), F.col("k2").alias("_g_2"), F.col("gone").alias("_gone"))
+    t1, t2, lines, g0, g1, g2, gone = unused(docs, "_t1", "_t2", "_lines", "_g0", "_g1", "_g2", "_gone")
+    removed = removed_lines(docs, site, min_sites, lg_k).select(
+        *[F.col(c).alias(n) for c, n in zip(("doc_id", "k1", "k2", "gone"), (g0, g1, g2, gone))])
     k1, k2 = text_key()
-    keyed = docs.withColumns({"_t_1": k1, "_t_2": k2, "_lines": F.split("text", "\n")}).drop("text")
-    joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(F.col("_g_id")) & (F.col("_t_1") == F.col("_g_1"))
-                        & (F.col("_t_2") == F.col("_g_2")), "left")
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(
-        F.transform(places, lambda i: F.get(F.col("_lines"), i)))
+    # the lines travel instead of the text: they are cut once, before the join
+    keyed = docs.withColumns({t1: k1, t2: k2, lines: F.split("text", "\n")}).drop("text")
+    joined = keyed.join(removed, F.col("doc_id").eqNullSafe(F.col(g0)) & (F.col(t1) == F.col(g1))
+                        & (F.col(t2) == F.col(g2)), "left")
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    kept = F.when(F.col(gone).isNull(), F.col(lines)).otherwise(F.transform(places, lambda i: F.get(F.col(lines), i)))
     out = joined.withColumn("text", F.array_join(kept, "\n"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    extra = [F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("lines_removed")] if counted else []
+    extra = [F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("lines_removed")] if counted else []
     return out.select(*docs.columns, *extra)
