@@ -135,6 +135,32 @@ GROUP BY dg.r, dg.doc_id, qg.item_id, qg.text, n HAVING count(*)::DOUBLE / n >=
 """
 
 
+# CRC-32 bit by bit into a table, then byte by byte; the jump hash advances every key until it has jumped past the shards.
+# Slots follow (doc_id, text_crc32, size) as long as one block holds all rows (800,000).
+_SHARDS = f"""
+WITH RECURSIVE bits AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS tab FROM bits WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, strlen(coalesce(text, '')) + 16 AS size, hex(encode(coalesce(text, ''))) AS x,
+        CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS key FROM documents),
+crc AS (SELECT d.*, xor(list_reduce(list_prepend(4294967295::BIGINT,
+          [CAST('0x' || substr(x, 2 * i - 1, 2) AS BIGINT) FOR i IN range(1, len(x) // 2 + 1)]),
+          lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32 FROM d, crc_table),
+jump AS (
+  SELECT r, shards, CAST(key AS HUGEINT) AS state, CAST(-1 AS BIGINT) AS b, CAST(0 AS BIGINT) AS j
+  FROM d, (VALUES ({SHARDS}), ({SHARDS + 1})) n(shards)
+  UNION ALL
+  SELECT r, shards, next, j, CAST(floor((j + 1) * (2147483648.0::DOUBLE / CAST(next // 8589934592 + 1 AS DOUBLE))) AS BIGINT)
+  FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM jump WHERE j < shards) x),
+s AS (SELECT r, max(b) FILTER (WHERE shards = {SHARDS}) AS shard, max(b) FILTER (WHERE shards = {SHARDS + 1}) AS grown
+      FROM jump WHERE j >= shards GROUP BY r)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM crc JOIN s USING (r)
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -165,5 +191,5 @@ FROM d LEFT JOIN known ON d.form <> '' AND md5(d.form) = known.digest LEFT JOIN
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_minhash_containment": _CONTAINMENT, "op8_line_dedup": _LINE_DEDUP,
+    return {"op7_minhash_containment": _CONTAINMENT, "op8_line_dedup": _LINE_DEDUP, "op9_jump_sharding": _SHARDS,
             "op10_license_digests": _license_sql()}
