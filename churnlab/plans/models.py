@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import copy
 import math
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -18,13 +19,13 @@ DEFAULT_PARAMS = {
     "xgboost": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
                 "colsample_bytree": 0.8},
 }
-# Keys each family accepts (the estimator's settable parameters).
+# Keys with an effect on Spark's estimators; any other key is reported as ignored.
 KNOWN_KEYS = {
-    "logreg": {"C", "max_iter", "solver", "tol", "class_weight", "random_state", "penalty", "fit_intercept"},
+    "logreg": {"C", "max_iter", "tol", "class_weight", "random_state", "fit_intercept"},
     "rf": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "class_weight",
-           "random_state", "bootstrap", "max_bins"},
+           "random_state", "bootstrap", "max_bins", "min_impurity_decrease"},
     "xgboost": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "scale_pos_weight",
-                "random_state", "max_bins"},
+                "random_state", "max_bins", "gamma", "min_child_weight"},
 }
 MAX_TREE_DEPTH = 30  # Spark refuses deeper trees.
 
@@ -56,17 +57,21 @@ class ModelSpec:
                                          numTrees=int(p.get("n_estimators", 100)), maxDepth=depth,
                                          minInstancesPerNode=max(leaf, math.ceil(split / 2)),
                                          featureSubsetStrategy=_subset(p.get("max_features", "sqrt")), seed=seed,
+                                         minInfoGain=float(p.get("min_impurity_decrease") or 0.0),
                                          bootstrap=bool(p.get("bootstrap", True)), maxBins=int(p.get("max_bins", 32)),
                                          # a forest grows many nodes per level: cache each row's node ids
                                          # (lineage cut every 10 levels via the shared checkpoint folder)
                                          # and aggregate more nodes per pass.
                                          cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
         elif self.name == "xgboost":
-            depth = min(int(p.get("max_depth", 6)), MAX_TREE_DEPTH)
+            depth = p.get("max_depth", 6)
+            depth = MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH)
             est = GBTClassifier(featuresCol=features_col, labelCol=label_col, maxIter=int(p.get("n_estimators", 100)),
                                 maxDepth=depth, stepSize=float(p.get("learning_rate", 0.1)),
                                 subsamplingRate=float(p.get("subsample", 1.0)),
                                 featureSubsetStrategy=_subset(p.get("colsample_bytree", 1.0)), seed=seed,
+                                minInfoGain=float(p.get("gamma") or 0.0),
+                                minInstancesPerNode=max(1, math.ceil(float(p.get("min_child_weight") or 1))),
                                 maxBins=int(p.get("max_bins", 32)))
         else:  # pragma: no cover - guarded by get_model
             raise ValueError(self.name)
@@ -112,6 +117,20 @@ def apply_hyperparameters(spec: ModelSpec, hyperparams: dict | None) -> tuple[Mo
     return new, applied
 
 
+def without_effect(spec: ModelSpec, hyperparams: dict | None) -> dict[str, str]:
+    """What a run record must say besides the requested values: keys that Spark ignores and the depth it really uses."""
+    notes = {}
+    ignored = sorted(set(hyperparams or {}) - KNOWN_KEYS[spec.name])
+    if ignored:
+        notes["ignored"] = ",".join(ignored)
+    depth = spec.params.get("max_depth")
+    if spec.name != "logreg" and (depth is None or int(depth) > MAX_TREE_DEPTH):
+        notes["max_depth_used"] = str(MAX_TREE_DEPTH)
+    if notes:
+        warnings.warn(f"{spec.name}: {notes}", stacklevel=2)
+    return notes
+
+
 def models_to_train(model_type: str | None, training_config: dict | None) -> list[str]:
     """One model if given (search mode), else the configured list, else all three."""
     if model_type:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from churnlab.functions.scalars import parse_bool_value
 from churnlab.operators import imbalance as imb
 from churnlab.operators.metrics import evaluate
-from churnlab.plans.models import apply_hyperparameters, get_model
+from churnlab.plans.models import apply_hyperparameters, get_model, without_effect
 from churnlab.sources.runs import log_runs, run_id_of, run_row
 
 FEATURES_COL = "features"
@@ -74,6 +74,7 @@ def fit_model(name: str, train: DataFrame, feature_names: list[str], target: str
     """
     spec = get_model(name, class_weight=class_weight, random_state=random_state)
     spec, applied = apply_hyperparameters(spec, hyperparams)
+    notes = without_effect(spec, hyperparams)
     counts = class_counts if class_counts is not None else imb.class_count_map(train, target)
     extra: dict = {}
     weights = None
@@ -94,7 +95,7 @@ def fit_model(name: str, train: DataFrame, feature_names: list[str], target: str
     total = sum(n * (weights.get(c, 1.0) if weights else 1.0) for c, n in counts.items())
     est = spec.estimator(FEATURES_COL, target, weight_col, float(total) or 1.0)
     model = Pipeline(stages=[assembler(feature_names), est]).fit(data)
-    return model, {**applied, **extra}
+    return model, {**applied, **extra, **notes}
 
 
 def effective_class_weight(class_weight: str | None, use_smote) -> str | None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnlab.operators.metrics import roc_auc
-from churnlab.plans.models import apply_hyperparameters, get_model, models_to_train
+from churnlab.plans.models import apply_hyperparameters, get_model, models_to_train, without_effect
 from churnlab.plans.prepare import PrepOptions, prepare
 from churnlab.plans.scoring import as_pipeline, requests_from_rows, respond, score_batch, score_requests
 from churnlab.plans.search import SearchConfig, TEST_SPACE, best_trial, export_best, random_search, training_config
@@ -29,6 +29,11 @@ def test_factory_and_hyperparameters(spark):
     assert est.getMinInstancesPerNode() == 5 and est.getFeatureSubsetStrategy() == "sqrt"
     deep, _ = apply_hyperparameters(get_model("rf"), {"max_depth": 100})
     assert deep.estimator("f", "y", None).getMaxDepth() == 30
+    assert without_effect(deep, {"max_depth": 100}) == {"max_depth_used": "30"}
+    odd, applied = apply_hyperparameters(get_model("xgboost"), {"gamma": 0.5, "min_child_weight": 3, "reg_lambda": 2})
+    assert applied == {"gamma": 0.5, "min_child_weight": 3}
+    assert odd.estimator("f", "y", None).getMinInfoGain() == 0.5 and odd.estimator("f", "y", None).getMinInstancesPerNode() == 3
+    assert without_effect(odd, {"gamma": 0.5, "reg_lambda": 2}) == {"ignored": "reg_lambda"}
     gbt = get_model("xgboost").estimator("f", "y", None)
     assert gbt.getFeatureSubsetStrategy() == "0.8"
     whole, _ = apply_hyperparameters(get_model("xgboost"), {"colsample_bytree": 1})
