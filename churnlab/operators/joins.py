@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from churnlab.session import checkpoint
 
+MAX_BROADCAST_BYTES = 64 << 20  # of the stored files
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
@@ -14,16 +16,17 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when the side is proven small.
+    """Broadcast hint only when the side is proven small, in bytes and in rows.
 
-    The side is first materialised with a reliable ``checkpoint`` (shared
-    folder from ``spark.checkpoint.dir``), so the size check and the join read
-    the same stored rows instead of recomputing the upstream plan, and a lost
-    executor does not force recomputation. Beyond the bound the frame is
-    returned unhinted and the planner (plus AQE at runtime) uses a shuffle join.
+    The side is first stored in the shared folder, so the size check and the
+    join read the same files instead of recomputing the upstream plan. Beyond
+    either bound the frame is returned unhinted and the planner (plus AQE at
+    runtime) uses a shuffle join.
     """
     stored = checkpoint(df)
-    return F.broadcast(stored) if row_count_at_most(stored, max_rows) else stored
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = size <= MAX_BROADCAST_BYTES and row_count_at_most(stored, max_rows)
+    return F.broadcast(stored) if small else stored
 
 
 def unpivot(df: DataFrame, ids: list[str], columns: list[str], name: str = "column",
