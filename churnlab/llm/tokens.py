@@ -1,23 +1,47 @@
 """Tokenizing whole texts with the tokenizers library, a distinct word at a time.
 
 Both vocabularies in use never merge across a boundary between a non-space
-character and the white space after it, so a text's ids are the ids of its
-(white space + word) pieces in order. Each task encodes every distinct piece
-once with the library and joins the stored ids; texts with control characters
-that the library and Python class differently are encoded in one go.
+character and the white space after it, nor across the end of a run of letters,
+so a text's ids are the ids of such pieces in order. Each worker takes a
+distinct piece through the library's normalizer, pre-tokenizer and model once
+and joins the stored ids; texts with control characters that the library and Python class
+differently are encoded in one go.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-MAX_STORED_PIECES = 400_000  # bound of a worker's memory; past it the store starts anew
+MAX_STORED = 200_000  # pieces that a store of a worker keeps in each of two generations
 _PIECES = re.compile(r"\s*\S+|\s+")
+_RUN = re.compile(r"( ?)([^\W\d_]*)(.*)", re.DOTALL)
+_ASCII = "".join(map(chr, range(33, 127)))
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+class _Stored(dict):
+    """Values made on first use. Past ``keep`` of them the store starts anew and draws on the one before."""
+
+    def __init__(self, make, keep: int):
+        super().__init__()
+        self.make, self.keep, self.before = make, keep, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.keep:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class PieceEncoder:
     """Ids of whole texts as little-endian unsigned 16- or 32-bit integers."""
 
@@ -27,40 +51,61 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = keeps_space
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.stored: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        kind = f"<u{self.width}"
-        return [np.asarray(e.ids, kind).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _pieces(self, text: str) -> list[str] | None:
+        self.kind = "H" if self.width == 2 else "I"
+        self.normalizer, self.model = self.tokenizer.normalizer, self.tokenizer.model
+        self.pre_tokenizer = self.tokenizer.pre_tokenizer
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.alphabet = _Stored(lambda c: byte_level.pre_tokenize_str(c if isinstance(c, str) else chr(c))[0][0], 1 << 21)
+        self.pieces = _Stored(self._piece, MAX_STORED)
+        self.spaced = _Stored(lambda word: self._piece(" " + word), MAX_STORED)
+        # where the normalizer does no more to ASCII than lower its case, str.lower is a shorter way
+        self.lowers = self.normalizer is not None and self.normalizer.normalize_str(_ASCII) == _ASCII.lower()
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.kind, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _word(self, word: str) -> bytes:
+        return self._bytes([t.id for t in self.model.tokenize(word)])
+
+    def _normal(self, piece: str) -> str:
+        if self.normalizer is None:
+            return piece
+        return piece.lower() if self.lowers and piece.isascii() else self.normalizer.normalize_str(piece)
+
+    def _piece(self, piece: str) -> bytes:
+        space, letters, rest = _RUN.match(piece).groups()
+        if letters and rest and rest[0].isascii():
+            return (self.spaced if space else self.pieces)[letters] + self.pieces[rest]
+        word = self._normal(piece)
+        if letters and not rest and word[len(space):].isalpha():
+            # a run of letters is one word of the model, its bytes in the library's own alphabet
+            return self._word((self.alphabet[space] if space else "") + word[len(space):].translate(self.alphabet))
+        return b"".join([self._word(w) for w, _ in self.pre_tokenizer.pre_tokenize_str(word)])
+
+    def _text(self, text: str) -> bytes:
         if any(c in text for c in _ODD_SPACE):
-            return None
-        words = text.split()
+            return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if self.lowers and text.isascii():
+            text = text.lower()
+        words, get = text.split(), self.pieces.__getitem__
         if not self.keeps_space:
-            return words
-        lines = text.split("\n")
-        out: list[str] = []
-        for i, line in enumerate(lines):
-            first, *rest = line.split(" ")
-            out.append("\n" + first if i else first)
-            out += [" " + w for w in rest]
-        # as many pieces as words: every space is a single one between two words
-        return out if len(out) == len(words) else _PIECES.findall(text)
+            return b"".join(map(get, words))
+        lines = [line.split(" ") for line in text.split("\n")]
+        if sum(map(len, lines)) != len(words) or not all(map(all, lines)):
+            return b"".join(map(get, _PIECES.findall(text)))
+        # every white space is a single space or line end between two words
+        out: list[bytes] = []
+        for line in lines:
+            out += (get("\n"), get(line[0]))
+            out += map(self.spaced.__getitem__, line[1:])
+        return b"".join(out[1:])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One bytes object per text; null and empty texts give no ids."""
-        cut = [self._pieces(t) if t else [] for t in texts]
-        new = set().union(*(c for c in cut if c)) - self.stored.keys()
-        if len(self.stored) + len(new) > MAX_STORED_PIECES:
-            self.stored = {}
-            new = set().union(*(c for c in cut if c))
-        fresh = sorted(new)
-        self.stored.update(zip(fresh, self._encode(fresh)))
-        get = self.stored.__getitem__
-        return [self._encode([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        return [self._text(t) if t else b"" for t in texts]
 
 
 _loaded: dict[tuple[str, bool], PieceEncoder] = {}
