@@ -1,4 +1,11 @@
-"""Known licence texts and notices, and spellings that count as equal. Fixed values."""
+"""Known licence texts and notices, and spellings that count as equal. Fixed values.
+
+The full texts of longer licences are in ``licence_files``, one per id, as
+published by their stewards.
+"""
+
+import pkgutil
+import re
 
 # Spellings that public licence-matching guidelines treat as equal (left becomes right).
 EQUIVALENT = [
@@ -128,3 +135,25 @@ KNOWN = [
              "Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
              "original software.\n3. This notice may not be removed or altered from any source distribution."),
 ]
+
+# Licences whose full text is a file of the package.
+FULL_TEXTS = ["Apache-2.0", "Artistic-1.0-Perl", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0",
+              "LGPL-2.1", "LGPL-3.0", "MPL-1.1", "MPL-2.0", "Unlicense"]
+_END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def full_text(license_id: str) -> str:
+    return pkgutil.get_data("churnlab.llm", f"licence_files/{license_id}.txt").decode()
+
+
+def _printings(text: str) -> list[str]:
+    """The text whole and without the appendix on how to apply it, each as it is and with a line per paragraph.
+
+    Line ends matter, as a line that starts with ``copyright`` or ``(c)`` counts as a copyright line.
+    """
+    terms, end, _ = text.partition(_END_OF_TERMS)
+    whole = [text, terms + end, terms] if end else [text]
+    return whole + ["\n".join(" ".join(p.split()) for p in re.split(r"\n\s*\n", t)) for t in whole]
+
+
+KNOWN += [(i, t) for i in FULL_TEXTS for t in _printings(full_text(i))]

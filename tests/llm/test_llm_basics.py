@@ -106,6 +106,23 @@ def test_licence_digests_and_spellings(spark):
     assert licenses.scan_texts(docs.limit(0), known).count() == 0
 
 
+def test_full_licence_texts_are_known(spark):
+    wanted = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0",
+              "CC0-1.0": "CC0-1.0", "Artistic": "Artistic-1.0-Perl", "GFDL-1.3": "GFDL-1.3"}
+    rows, want = [], {}
+    for name, license_id in wanted.items():
+        with open(f"/usr/share/common-licenses/{name}") as f:
+            text = f.read()
+        paragraphs = "\n\n".join(" ".join(p.split()) for p in re.split(r"\n\s*\n", text))
+        for t in (text, paragraphs, text.upper(), text.split("END OF TERMS AND CONDITIONS")[0], "Copyright 2020 A. Body\n" + text):
+            want[len(rows)] = license_id
+            rows.append((len(rows), t, "a"))
+    want[len(rows)] = None
+    rows.append((len(rows), text + " and more", "a"))
+    got = licenses.scan_texts(make(spark, rows), licenses.known_licenses(spark)).collect()
+    assert {r["doc_id"]: r["license_id"] for r in got} == want
+
+
 def test_canonical_form():
     assert licenses.canonical("(C) 2020 Me\nThe Licence licence, NON-COMMERCIAL non commercial\n © x\nAll rights reserved.") == (
         b"the license license noncommercial noncommercial")
