@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlab.llm.common import store
+
 ROWS_PER_BLOCK = 100_000
 NULL_KEY = "null"
 
@@ -55,20 +57,22 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id") -> DataFram
 
 
 def slots(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``slot``: gapless numbers from 0 within each ``shard``.
-
-    A shard is numbered in blocks of about ``ROWS_PER_BLOCK`` rows that a hash
-    of ``order`` deals out, so no task holds a whole shard: count the blocks,
-    add up the counts before each, number within the block. Equal rows fall
-    into one block and take neighbouring slots.
+    """Add ``slot``: gapless numbers from 0 within each ``shard`` along ``order``, nulls last.
+
+    The rows are dealt into ranges of ``order`` of about ``ROWS_PER_BLOCK`` rows,
+    so no task holds a whole shard and the numbers are those of one sort at any
+    size: count the blocks, add up the counts before each, number within the
+    block. Blocks are stored, so both steps see the same ones. A hot value of
+    the first columns is split by the later ones; rows that are equal in all of
+    ``order`` fall into one block and take neighbouring slots.
     """
-    n = rows.count()
-    blocks = max(1, -(-n // (ROWS_PER_BLOCK * 8)))
-    dealt = rows.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
+    along = [F.col(c).asc_nulls_last() for c in order]
+    blocks = max(1, -(-rows.count() // ROWS_PER_BLOCK))
+    dealt = store(rows.repartitionByRange(blocks, *along).withColumn("_block", F.spark_partition_id()), "blocks")
     before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (dealt.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
               .select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    inner = Window.partitionBy("shard", "_block").orderBy(*order)
+    inner = Window.partitionBy("shard", "_block").orderBy(*along)
     return (dealt.join(starts, ["shard", "_block"])
             .withColumn("slot", F.col("_start") + F.row_number().over(inner) - 1)
             .drop("_block", "_start"))

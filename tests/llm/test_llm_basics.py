@@ -80,6 +80,27 @@ def test_shards_and_slots(spark):
     assert sharding.slots(sharding.assign_shards(rows.limit(0), 8), ["doc_id"]).count() == 0
 
 
+def test_slots_follow_the_order_at_any_number_of_blocks(spark, monkeypatch):
+    """The order of the registered SQL: ORDER BY doc_id, text_crc32, size, nulls last."""
+    rng = np.random.default_rng(6)
+    rows = [(int(i), int(c), int(n)) for i, c, n in zip(rng.integers(0, 200, 1500), rng.integers(0, 1 << 32, 1500), rng.integers(0, 99, 1500))]
+    rows += [(77, int(c), 5) for c in rng.integers(0, 1 << 32, 700)] + [(None, 3, 1), (None, 1, 1), rows[0], rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text_crc32 long, size long")
+    for per_block in (25, 300, 100_000):
+        # the old rule took 8 * ROWS_PER_BLOCK rows for a block
+        monkeypatch.setattr(sharding, "ROWS_PER_BLOCK", per_block)
+        got = sharding.slots(sharding.assign_shards(docs, 4), ["doc_id", "text_crc32", "size"]).collect()
+        by = defaultdict(list)
+        for r in got:
+            by[r["shard"]].append((r["slot"], r["doc_id"], r["text_crc32"], r["size"]))
+        assert sum(map(len, by.values())) == len(rows)
+        for numbered in by.values():
+            numbered.sort()
+            assert [x[0] for x in numbered] == list(range(len(numbered)))
+            keys = [(x[1] is None, x[1] or 0, x[2], x[3]) for x in numbered]
+            assert keys == sorted(keys)
+
+
 def test_write_shards_round_trip(spark, tmp_dir):
     rows = make(spark, [(i, "t", "a") for i in range(100)])
     sharding.write_shards(rows, f"{tmp_dir}/s", 5, rows_per_file=10)
