@@ -4,8 +4,9 @@ Both vocabularies in use never merge across a boundary between a non-space
 character and the white space after it, nor across the end of a run of letters,
 so a text's ids are the ids of such pieces in order. Each worker takes a
 distinct piece through the library's normalizer, pre-tokenizer and model once
-and joins the stored ids; texts with control characters that the library and Python class
-differently are encoded in one go.
+and joins the stored ids. Texts with control characters that the library and Python class
+differently, and texts that hold the literal of an added token such as
+``<|endoftext|>``, are encoded in one go by the library.
 """
 
 from __future__ import annotations
@@ -48,7 +49,11 @@ class PieceEncoder:
     def __init__(self, path: str, keeps_space: bool):
         """``keeps_space``: white space has ids of its own (byte-level), else it only separates words."""
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.normalized for t in added):
+            raise ValueError("added tokens that are looked up in normalized text are not supported")
+        # what the library may treat otherwise than a piece of a text
+        self.whole = [t.content for t in added] + list(_ODD_SPACE)
         self.keeps_space = keeps_space
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
@@ -86,7 +91,7 @@ class PieceEncoder:
         return b"".join([self._word(w) for w, _ in self.pre_tokenizer.pre_tokenize_str(word)])
 
     def _text(self, text: str) -> bytes:
-        if any(c in text for c in _ODD_SPACE):
+        if any(c in text for c in self.whole):
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if self.lowers and text.isascii():
             text = text.lower()

@@ -181,6 +181,19 @@ def test_pieces_give_the_ids_of_whole_texts(spark, name, keeps):
     assert enc.encode([None]) == [b""]
 
 
+@pytest.mark.parametrize("name, keeps", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_added_tokens_in_texts_get_the_ids_of_the_library(name, keeps):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer(name))
+    enc = tokens.PieceEncoder(tokenizer(name), keeps)
+    texts = ODD + ["a <|endoftext|> b", "<|endoftext|>", "x<|startoftext|>y\n<|endoftext|><|endoftext|>", "<|ENDOFTEXT|> a", "<|endoftext"]
+    for t, ids in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(t, add_special_tokens=False).ids, t
+    end = library.token_to_id("<|endoftext|>")
+    assert np.frombuffer(enc.encode(["a <|endoftext|> b"])[0], "<u2").tolist().count(end) == 1
+
+
 def test_token_records_round_trip(spark, tmp_dir):
     rows = [(i * 7 % 50, t, "en", "s") for i, t in enumerate(ODD * 3)] + [(None, "first", "en", "s"), (60, None, "en", "s")]
     docs = make(spark, rows)
