@@ -32,7 +32,7 @@ from churnlab.llm.common import chunks, mix64, shingle_counts, store, text_key,
 from churnlab.llm.graph import components
 
 THRESHOLD = 0.8
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 20, 3  # a pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 3) ** 20 = 6e-7
 IDF_BITS = 18
 BLOCK = 256  # documents of a block
 FEATURES_AT_ONCE = 4096  # columns of the dense slices that a pair of blocks is compared by
