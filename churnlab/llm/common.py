@@ -170,3 +170,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+HOT_GROUPS = 4096
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` inner-joined with ``groups`` (one row per key), large groups apart from the others.
+
+    ``groups`` tells in ``size`` how many of the ``total`` rows a key has. Keys
+    with at least 1/4096 of all rows, so no more than 4,096 of them, are
+    broadcast and their rows stay where they are; the others meet by a shuffle
+    in which no key is large. Null keys match nothing.
+    """
+    least = max(1, -(-total // HOT_GROUPS))
+    hot, rest = groups.where(F.col(size) >= least), groups.where(F.col(size) < least)
+    near = rows.join(F.broadcast(hot), on)
+    far = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(rest, on)
+    return near.unionByName(far)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from churnlab.llm import (
-    binary, decontaminate, langid, licenses, linededup, neardup, packing, rabitq, sharding, toxicity,
+    binary, decontaminate, digestindex, langid, licenses, linededup, neardup, packing, prefixtrie, rabitq, sharding, spelling,
+    toxicity,
 )
-from churnlab.llm.common import documents, new_folder
+from churnlab.llm.common import documents, new_folder, store
 from churnlab.llm.licence_texts import EQUIVALENT, KNOWN
 
 SHARDS = 40
@@ -90,10 +91,29 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.join(notices, texts["doc_id"].eqNullSafe(notices["_id"]), "left").drop("_id")
 
 
+def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents go into a fresh index in two deliveries (by the sign of a hash of doc_id), so the second meets the first."""
+    rows = store(digestindex.digest_rows(documents(spark, sf_dir)), "digest-rows")
+    index = digestindex.DigestIndex(spark, new_folder(spark, "digest-index"))
+    side = F.xxhash64("doc_id")
+    index.add(rows.where(side < 0))
+    index.add(rows.where(side >= 0))
+    return digestindex.memberships(rows, index.groups())
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {q.__name__: q for q in (
         op1_icws_neardup, op2_gbt_toxicity, op3_token_records, op4_rabitq_search, op5_subword_langid, op6_harmonic_packing,
-        op7_minhash_containment, op8_line_dedup, op9_jump_sharding, op10_license_digests)}
+        op7_minhash_containment, op8_line_dedup, op9_jump_sharding, op10_license_digests,
+        op11_digest_index, op12_prefix_trie, op13_spelling_variants)}
     return {**found, "pipeline": corpus_pipeline.run}
 
 
@@ -161,6 +181,50 @@ FROM crc JOIN s USING (r)
 """
 
 
+_DIGESTS = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256,
+                  length(coalesce(text, '')) AS chars FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST) AS nth FROM d)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY nth) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size, nth = 1 AS kept, text_sha256
+FROM placed
+"""
+
+# Each prefix by the MD5 of its turns' MD5s; a node's subtree is every deeper prefix of its members.
+_TRIE = f"""
+WITH RECURSIVE bits AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS tab FROM bits WHERE k = 8),
+ids AS (SELECT DISTINCT conv_id, hex(encode(CAST(conv_id AS VARCHAR))) AS x FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT,
+           [CAST('0x' || substr(x, 2 * i - 1, 2) AS BIGINT) FOR i IN range(1, len(x) // 2 + 1)]),
+           lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h FROM ids, crc_table),
+keyed AS (SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+                 md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark
+          FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) - 1 AS pos FROM keyed),
+n AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1),
+rebuilt AS (
+  SELECT c.conv_id, t.pos, t.mark, t.chars FROM conv c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(n.n, 0)), t.mark, t.chars
+  FROM conv c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h LEFT JOIN n ON n.conv_id = c.conv_id - c.conv_id % 100),
+path AS (SELECT conv_id, pos + 1 AS depth, chars, md5(string_agg(mark, '') OVER (PARTITION BY conv_id ORDER BY pos)) AS node FROM rebuilt),
+member AS (SELECT conv_id, 0 AS depth, 0 AS chars, 'root' AS node FROM conv UNION ALL SELECT * FROM path),
+up AS (SELECT *, lag(node) OVER w AS above, lead(node) OVER w IS NULL AS ends FROM member WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+node AS (SELECT node, min(conv_id) AS conv_id, max(depth) AS depth, max(above) AS above, count(*) AS n_convs, max(chars) AS chars,
+                sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM up GROUP BY 1),
+kids AS (SELECT above AS node, count(*) AS n_children FROM node WHERE above IS NOT NULL GROUP BY 1),
+below AS (SELECT DISTINCT a.node, b.node AS deeper FROM up a JOIN up b ON a.conv_id = b.conv_id AND b.depth >= a.depth),
+sums AS (SELECT below.node, count(*) FILTER (kids.node IS NULL) AS n_leaves, sum((m.n_convs - 1) * m.chars) AS saved
+         FROM below JOIN node m ON m.node = below.deeper LEFT JOIN kids ON kids.node = below.deeper GROUP BY 1)
+SELECT node.conv_id, node.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, node.n_convs,
+       coalesce(kids.n_children, 0) AS n_children, sums.n_leaves, sums.saved::BIGINT AS saved_tokens, node.ends_sha256
+FROM node JOIN sums USING (node) LEFT JOIN kids USING (node) LEFT JOIN node p ON p.node = node.above
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -192,4 +256,4 @@ FROM d LEFT JOIN known ON d.form <> '' AND md5(d.form) = known.digest LEFT JOIN
 
 def oracle_sql() -> dict[str, str]:
     return {"op7_minhash_containment": _CONTAINMENT, "op8_line_dedup": _LINE_DEDUP, "op9_jump_sharding": _SHARDS,
-            "op10_license_digests": _license_sql()}
+            "op10_license_digests": _license_sql(), "op11_digest_index": _DIGESTS, "op12_prefix_trie": _TRIE}
