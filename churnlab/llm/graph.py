@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from churnlab.llm.common import store
@@ -33,8 +33,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     nodes = edges.select(F.col("u").alias("node")).unionByName(edges.select(F.col("v").alias("node"))).distinct()
     now, before = store(edges.where("u <> v").distinct(), "links"), None
     for _ in range(max_rounds):
-        now = store(_small_star(_large_star(now)), "links")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        seen = Observation()  # counted while it is written, so a round is one job
+        now = store(_small_star(_large_star(now)).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "links")
+        mark = seen.get
         if mark == before:
             break
         before = mark

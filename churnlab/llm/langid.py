@@ -171,13 +171,15 @@ def fit_language_model(labelled: DataFrame, key: str = "doc_id", rows_per_langua
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [bag(text) for text in batch["text"]]
-            yield pd.DataFrame({"k": batch["k"], "lang": batch["lang"], "at": [o[0] for o in out], "share": [o[1] for o in out]})
+            yield pd.DataFrame({"k": batch["k"], "lang": batch["lang"], "at": [o[0].astype("<i4").tobytes() for o in out],
+                                "share": [o[1].astype("<f4").tobytes() for o in out]})
 
-    got = sample.mapInPandas(bags, "k string, lang string, at array<int>, share array<float>").toPandas()
+    # packed: as arrays each number would be an object of its own on the driver
+    got = sample.mapInPandas(bags, "k string, lang string, at binary, share binary").toPandas()
     got = got[got["at"].map(len) > 0].sort_values(["k", "lang"]).reset_index(drop=True)
     if not len(got):
         return None
-    pairs = [(np.asarray(a, np.int32), np.asarray(s, np.float32)) for a, s in zip(got["at"], got["share"])]
+    pairs = [(np.frombuffer(a, "<i4"), np.frombuffer(s, "<f4")) for a, s in zip(got.pop("at"), got.pop("share"))]
     labels = np.searchsorted(languages, got["lang"].to_numpy())
     calibration = np.random.default_rng(11).random(len(got)) < CALIBRATION_SHARE
     if calibration.all():

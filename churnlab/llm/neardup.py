@@ -46,28 +46,46 @@ def idf_slots(hashes: np.ndarray) -> np.ndarray:
 def idf_table(docs: DataFrame) -> np.ndarray:
     """idf per slot of the hashed frequency table: 1 + ln(N / df) / ln(2 ** IDF_BITS), 1 to 2.
 
-    df of a slot is the number of documents with a shingle in it; every task
-    sends one count per slot that it has seen, the driver gets one per slot.
+    df of a slot is the number of documents with a shingle in it. Every task
+    sends its counts in packed chunks, equal chunks are added up on the way, and
+    the driver gets one packed row per chunk.
     """
+    size, chunk = 1 << IDF_BITS, 1 << 12
+
+    def packed(at: int, counts: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"chunk": [at], "counts": [counts.astype("<i8").tobytes()]})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, n = np.zeros(1 << IDF_BITS, np.int64), 0
+        seen, n = np.zeros(size, np.int64), 0
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in chunks(texts):
                 docs, hashes, _ = shingle_counts(texts[a:b])
                 keys = np.unique((docs << IDF_BITS) | idf_slots(hashes))
-                seen += np.bincount(keys & ((1 << IDF_BITS) - 1), minlength=1 << IDF_BITS)
+                seen += np.bincount(keys & (size - 1), minlength=size)
             n += len(texts)
-        slots = np.flatnonzero(seen)
-        yield pd.DataFrame({"slot": np.append(slots, -1), "n": np.append(seen[slots], n)})
-
-    sums = docs.where("text is not null").select("text").mapInPandas(count, "slot long, n long").groupBy("slot").agg(
-        F.sum("n").alias("n")).toPandas()
-    total = int(sums.loc[sums["slot"] < 0, "n"].sum())
-    df = np.ones(1 << IDF_BITS)
-    real = sums[sums["slot"] >= 0]
-    df[real["slot"].to_numpy()] = real["n"].to_numpy()
+        parts = seen.reshape(-1, chunk)
+        for at in np.flatnonzero(parts.any(axis=1)).tolist():
+            yield packed(at, parts[at])
+        yield packed(-1, np.asarray([n]))
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, counts in batch.itertuples(index=False):
+                sums[at] = sums.get(at, 0) + np.frombuffer(counts, "<i8")
+        for at, counts in sums.items():
+            yield packed(at, counts)
+
+    kind = "chunk int, counts binary"
+    counted = docs.where("text is not null").select("text").mapInPandas(count, kind).repartition("chunk").mapInPandas(add, kind)
+    total, df = 0, np.ones(size)
+    for at, counts in counted.collect():
+        counts = np.frombuffer(counts, "<i8")
+        if at < 0:
+            total = int(counts[0])
+        else:
+            df[at * chunk:(at + 1) * chunk] = np.maximum(counts, 1)
     return (1 + np.log(np.maximum(total / df, 1)) / np.log(2.0 ** IDF_BITS)).astype(np.float32)
 
 

@@ -14,14 +14,16 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from itertools import chain
 
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-MAX_STORED = 200_000  # pieces that a store of a worker keeps in each of two generations
+MAX_STORED = 300_000  # pieces that a store of a worker keeps in each of two generations
 _PIECES = re.compile(r"\s*\S+|\s+")
 _RUN = re.compile(r"( ?)([^\W\d_]*)(.*)", re.DOTALL)
 _ASCII = "".join(map(chr, range(33, 127)))
+_BIG_ENDIAN = sys.byteorder == "big"
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
@@ -62,13 +64,14 @@ class PieceEncoder:
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.alphabet = _Stored(lambda c: byte_level.pre_tokenize_str(c if isinstance(c, str) else chr(c))[0][0], 1 << 21)
         self.pieces = _Stored(self._piece, MAX_STORED)
-        self.spaced = _Stored(lambda word: self._piece(" " + word), MAX_STORED)
+        self.spaced = _Stored(self._spaced, MAX_STORED)
+        self.space = self.alphabet[" "]
         # where the normalizer does no more to ASCII than lower its case, str.lower is a shorter way
         self.lowers = self.normalizer is not None and self.normalizer.normalize_str(_ASCII) == _ASCII.lower()
 
     def _bytes(self, ids: list[int]) -> bytes:
         out = array(self.kind, ids)
-        if sys.byteorder == "big":
+        if _BIG_ENDIAN:
             out.byteswap()
         return out.tobytes()
 
@@ -81,14 +84,32 @@ class PieceEncoder:
         return piece.lower() if self.lowers and piece.isascii() else self.normalizer.normalize_str(piece)
 
     def _piece(self, piece: str) -> bytes:
+        if piece.isalpha():
+            return self._letters(piece, False)
         space, letters, rest = _RUN.match(piece).groups()
-        if letters and rest and rest[0].isascii():
+        # İ, for one, ends in a mark when lowered, which belongs to the word after it
+        if letters and rest and rest[0].isascii() and self._normal(letters).isalpha():
             return (self.spaced if space else self.pieces)[letters] + self.pieces[rest]
-        word = self._normal(piece)
-        if letters and not rest and word[len(space):].isalpha():
-            # a run of letters is one word of the model, its bytes in the library's own alphabet
-            return self._word((self.alphabet[space] if space else "") + word[len(space):].translate(self.alphabet))
-        return b"".join([self._word(w) for w, _ in self.pre_tokenizer.pre_tokenize_str(word)])
+        if letters and not rest:
+            return self._letters(letters, bool(space))
+        return self._pre_tokenized(piece)
+
+    def _spaced(self, word: str) -> bytes:
+        return self._letters(word, True) if word.isalpha() else self._piece(" " + word)
+
+    def _letters(self, letters: str, space: bool) -> bytes:
+        """A run of letters, which is one word of the model if it still is one when normalized."""
+        word = self._normal(letters)
+        if not word.isascii():
+            if not word.isalpha():
+                return self._pre_tokenized(" " + letters if space else letters)
+            word = word.translate(self.alphabet)  # its bytes in the library's own alphabet; ASCII letters stand for themselves
+        elif not word.isalpha():
+            return self._pre_tokenized(" " + letters if space else letters)
+        return self._word(self.space + word if space else word)
+
+    def _pre_tokenized(self, piece: str) -> bytes:
+        return b"".join([self._word(w) for w, _ in self.pre_tokenizer.pre_tokenize_str(self._normal(piece))])
 
     def _text(self, text: str) -> bytes:
         if any(c in text for c in self.whole):
@@ -99,7 +120,7 @@ class PieceEncoder:
         if not self.keeps_space:
             return b"".join(map(get, words))
         lines = [line.split(" ") for line in text.split("\n")]
-        if sum(map(len, lines)) != len(words) or not all(map(all, lines)):
+        if list(chain.from_iterable(lines)) != words:
             return b"".join(map(get, _PIECES.findall(text)))
         # every white space is a single space or line end between two words
         out: list[bytes] = []
