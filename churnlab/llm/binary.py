@@ -13,7 +13,6 @@ and length of every record.
 
 from __future__ import annotations
 
-import os
 import struct
 import uuid
 import zlib
@@ -58,8 +57,15 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark itself would read it under, so that tasks do not take it for their own disk."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{os.path.abspath(uri)}" if ":" not in uri else uri)
+    """``uri`` is qualified; Hadoop writes local ones with a single slash."""
+    return fs.FileSystem.from_uri(f"file://{uri[5:]}" if uri.startswith("file:/") and "://" not in uri else uri)
 
 
 def file_name(file_no: int) -> str:
@@ -67,22 +73,24 @@ def file_name(file_no: int) -> str:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, keeps_space: bool = True,
-                      docs_per_file: int = 100_000) -> DataFrame:
+                      docs_per_file: int = 100_000, bytes_per_file: int = 256_000_000) -> DataFrame:
     """Encode every whole text, append ``end_id`` and write framed records in ascending ``doc_id`` order.
 
-    ``folder`` is a URI that all executors reach. One range of ``doc_id`` makes
-    one file; a task writes under a name of its own and renames at the end, so
+    ``folder`` is a path or URI that all executors reach. One range of ``doc_id``
+    makes one file, as many as rows and bytes of text call for; a task writes under a name of its own and renames at the end, so
     a repeated task replaces the file by equal bytes. The index is written to
     ``folder/index`` and returned. Null doc_ids come first, null texts count as
-    empty, repeated doc_ids follow each other in the order of their texts, an
-    empty table makes an index without rows. Other columns of ``docs`` are not
+    empty, repeated doc_ids follow each other in the order of their texts,
+    an empty table makes an index without rows. Other columns of ``docs`` are not
     read.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n = rows.count()
-    parts = max(1, -(-n // docs_per_file), min(n, spark.sparkContext.defaultParallelism * 2))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    parts = max(1, -(-n // docs_per_file), -(-(size or 0) // bytes_per_file), min(n, spark.sparkContext.defaultParallelism * 2))
+    # a hot or null doc_id is split by its texts, by their beginnings so that the ranges are found without whole texts
+    ordered = rows.repartitionByRange(parts, "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer_path, keeps_space)
@@ -148,6 +156,8 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
     Every frame is checked on the way; a damaged one fails the read.
     """
 
+    folder = qualified(index.sparkSession, folder)
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, ids in _payloads(batches, folder):
             yield batch[["doc_id", "file_no", "token_start", "n_tokens"]].assign(
@@ -165,6 +175,7 @@ def file_starts(index: DataFrame) -> DataFrame:
 
 def token_digests(index: DataFrame, folder: str) -> DataFrame:
     """Per record: doc_id, start (ids of all records before it), n_tokens, ids_crc32 over its u32 ids, as read back."""
+    folder = qualified(index.sparkSession, folder)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, ids in _payloads(batches, folder):

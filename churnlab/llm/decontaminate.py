@@ -9,6 +9,10 @@ documents are partitioned by size (powers of two of the shingle count): a class
 has its own K and its own least number of matches, and documents too small to
 hold 0.8 of an item's shingles are never compared with it. Candidates are
 verified by exact containment over the shingles' words.
+
+An item of one to four words is a size class of its own per number of words: it
+is one shingle of all its words, and documents are cut into shingles of that
+many words to look for it.
 """
 
 from __future__ import annotations
@@ -29,11 +33,11 @@ ITEM_BLOCK_BYTES = 32_000_000
 MATCH_SCHEMA = "doc_id long, k1 long, k2 long, item_id long, containment double, n_shingles int"
 
 
-def shingle_set(text: str) -> set[tuple[str, ...]]:
+def shingle_set(text: str, width: int = SHINGLE_WORDS) -> set[tuple[str, ...]]:
     w = words_of(text)
     if not w:
         return set()
-    return {tuple(w[i:i + SHINGLE_WORDS]) for i in range(max(1, len(w) - SHINGLE_WORDS + 1))}
+    return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))}
 
 
 def signature_size(size_class: int) -> int:
@@ -53,35 +57,32 @@ def least_matches(k: int, threshold: float = THRESHOLD, miss: float = MISS) -> i
 
 
 class ItemBlock:
-    """Signatures and shingles of a block of items, made once on the driver and sent to the tasks."""
+    """Signatures and texts of a block of items of ``width`` words a shingle, made once on the driver and sent to the tasks."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float):
-        self.threshold = threshold
-        self.ids, self.shingles, entries, owners, counts = [], [], [], [], []
-        self.classes, self.least = [], []
+    def __init__(self, items: list[tuple[int, str]], threshold: float, width: int = SHINGLE_WORDS):
+        self.threshold, self.width = threshold, width
+        self.ids, self.texts, entries, owners, counts = [], [], [], [], []
+        size, least = [], []
         for item_id, text in items:
-            grams = shingle_set(text)
-            if not grams:
+            _, hashes, _ = shingle_counts([text], width)
+            if not len(hashes):
                 continue
-            _, hashes, _ = shingle_counts([text])
-            size_class = int(math.log2(len(hashes)))
-            k = signature_size(size_class)
+            k = signature_size(int(math.log2(len(hashes))))
             smallest = [hashes[np.argmin(mix64(hashes ^ np.uint64(0xA5A5 + 7919 * j)))] for j in range(k)]
             entry, times = np.unique(np.asarray(smallest, np.uint64), return_counts=True)
             entries.append(entry)
             counts.append(times)
             owners.append(np.full(len(entry), len(self.ids)))
             self.ids.append(item_id)
-            self.shingles.append(grams)
-            self.classes.append(size_class)
-            self.least.append(least_matches(k, threshold))
+            self.texts.append(text)
+            size.append(len(hashes))
+            least.append(least_matches(k, threshold))
         self.entries = np.concatenate(entries) if entries else np.zeros(0, np.uint64)
         self.owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
         self.times = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         order = np.argsort(self.entries, kind="stable")
         self.entries, self.owners, self.times = self.entries[order], self.owners[order], self.times[order]
-        self.size = np.asarray([len(s) for s in self.shingles], np.int64)
-        self.least = np.asarray(self.least, np.int64)
+        self.size, self.least = np.asarray(size, np.int64), np.asarray(least, np.int64)
         bits = 1 << max(16, int(math.log2(len(self.entries) + 1)) + 6)
         self.mask = np.uint64(bits - 1)
         self.seen = np.zeros(bits, bool)
@@ -89,7 +90,7 @@ class ItemBlock:
 
     def candidates(self, texts: list[str]) -> list[tuple[int, int]]:
         """(document number, item number) with enough matches of the item's signature."""
-        docs, hashes, _ = shingle_counts(texts)
+        docs, hashes, _ = shingle_counts(texts, self.width)
         sizes = np.bincount(docs, minlength=len(texts))
         at = np.flatnonzero(self.seen[hashes & self.mask])
         low = np.searchsorted(self.entries, hashes[at], "left")
@@ -106,24 +107,36 @@ class ItemBlock:
         enough = matches >= self.least[item]
         return list(zip(doc[enough].tolist(), item[enough].tolist()))
 
+    def found(self, texts: list[str]) -> Iterator[tuple[int, int, float, int]]:
+        """(document number, item_id, containment, shingles of the item) by the words themselves, of the candidates."""
+        last, grams = -1, set()
+        for doc, item in self.candidates(texts):
+            if doc != last:
+                last, grams = doc, shingle_set(texts[doc], self.width)
+            wanted = shingle_set(self.texts[item], self.width)
+            share = len(wanted & grams) / len(wanted)
+            if share >= self.threshold:
+                yield doc, self.ids[item], share, len(wanted)
+
+
+def item_blocks(items: list[tuple[int, str]], threshold: float) -> list[ItemBlock]:
+    """A block per number of words a shingle: items of five words and more, and those of four, three, two and one."""
+    by_width: dict[int, list[tuple[int, str]]] = {}
+    for item_id, text in items:
+        words = len(words_of(text))
+        if words:
+            by_width.setdefault(min(words, SHINGLE_WORDS), []).append((item_id, text))
+    return [ItemBlock(part, threshold, width) for width, part in sorted(by_width.items())]
+
 
 def _search(docs: DataFrame, items: list[tuple[int, str]], threshold: float) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(ItemBlock(items, threshold))
+    sent = docs.sparkSession.sparkContext.broadcast(item_blocks(items, threshold))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = sent.value
         for batch in batches:
-            texts, found = batch["text"].tolist(), []
-            for a, b in chunks(texts):
-                last, grams = -1, set()
-                for doc, item in block.candidates(texts[a:b]) if block.ids else []:
-                    if doc != last:
-                        last, grams = doc, shingle_set(texts[a + doc])
-                    share = len(block.shingles[item] & grams) / len(block.shingles[item])
-                    if share >= block.threshold:
-                        found.append((a + doc, block.ids[item], share, len(block.shingles[item])))
-            rows = [f[0] for f in found]
-            out = batch[["doc_id", "k1", "k2"]].iloc[rows].reset_index(drop=True).astype("Int64")
+            texts = batch["text"].tolist()
+            found = [(a + doc, *rest) for a, b in chunks(texts) for block in sent.value for doc, *rest in block.found(texts[a:b])]
+            out = batch[["doc_id", "k1", "k2"]].iloc[[f[0] for f in found]].reset_index(drop=True).astype("Int64")
             out["item_id"] = pd.array([f[1] for f in found], "Int64")
             out["containment"] = [f[2] for f in found]
             out["n_shingles"] = [f[3] for f in found]
@@ -138,9 +151,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     k1 and k2 stand for the document's text (``text_key``). Items pass in blocks
     of at most ``ITEM_BLOCK_BYTES`` of text, each block against all documents in
     one map-only pass. Null and word-free texts match nothing; an item of fewer
-    than five words is one shingle, which only a text of just these words holds;
-    repeated documents are reported each; empty tables give an empty result;
-    other columns are not read.
+    than five words is found wherever its words stand in a row, even inside a
+    long document; texts of any length are searched whole; repeated documents are
+    reported each; empty tables give an empty result; other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.where("text is not null").select("doc_id", "text", *text_key())

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from churnlab.llm.common import spaced_bytes
 from churnlab.llm.licence_texts import EQUIVALENT, KNOWN
 
+LINES_HELD = 20_000  # distinct lines of a batch whose digests are kept
 BROADCAST_BYTES = 8_000_000
 # a copyright line: the word, sign or (c) comes first, or the line only reserves all rights
 _NO_WORD = r"(?:[^\w\n]|_)*"
@@ -82,13 +83,46 @@ def scan_texts(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFr
         key, "digest", "license_id")
 
 
-def scan_notices(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per key with at least one line that is a known licence or notice in whole: sorted ``notice_ids``.
+def scan_rows(docs: DataFrame, known: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Per row of ``docs``: key, ``digest``, ``license_id`` of its whole text and sorted ``notice_ids`` of its lines.
 
-    Lines take part by the same canonical digest; the digests of hot lines are
-    aggregated per document only after the lookup has thinned them out.
+    A line counts if it is a known licence or notice in whole, by the same
+    canonical digest; without one ``notice_ids`` is null. Text and lines are made
+    canonical in one pass, where the lines are looked up; the known digests go to
+    the tasks in parts of bounded size. Rows stand for themselves, so null and
+    repeated keys do no harm; texts of any length are scanned whole; null texts
+    have neither digest nor notices; an empty table gives an empty result.
     """
-    table = _small(license_digests(known))
-    lines = docs.select(F.col(key), F.explode(F.split("text", "\n")).alias("_line"))
-    hits = lines.select(key, digest(F.col("_line")).alias("digest")).join(table, "digest")
-    return hits.groupBy(key).agg(F.sort_array(F.collect_set("license_id")).alias("notice_ids"))
+    digests = license_digests(known)
+    size = digests.agg(F.sum(F.length("digest") + F.length("license_id") + 64)).first()[0] or 0
+    parts = max(1, -(-size // BROADCAST_BYTES))
+    notices = []
+    for part in range(parts):
+        rows = digests.where(F.pmod(F.xxhash64("digest"), F.lit(parts)) == part).collect()
+        notices.append(_notices({r["digest"]: r["license_id"] for r in rows}, docs.sparkSession)(F.col("text")))
+    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*notices))))
+    rows = docs.select(F.col(key), digest(F.col("text")).alias("digest"), F.when(F.size(ids) > 0, ids).alias("notice_ids"))
+    return rows.join(_small(digests), "digest", "left").select(key, "digest", "license_id", "notice_ids")
+
+
+def _notices(known: dict[str, str], spark: SparkSession):
+    """A UDF: licence ids of the lines of a text whose digest is in ``known``."""
+    sent = spark.sparkContext.broadcast(known)
+
+    @F.pandas_udf("array<string>")
+    def notices(texts: pd.Series) -> pd.Series:
+        ids, seen = sent.value, {}
+        out = []
+        for text in texts:
+            found = []
+            for line in (text or "").split("\n"):
+                if line not in seen:
+                    if len(seen) >= LINES_HELD:
+                        seen.clear()
+                    seen[line] = ids.get(text_digest(line))
+                if seen[line] is not None:
+                    found.append(seen[line])
+            out.append(found)
+        return pd.Series(out, dtype=object)
+
+    return notices

@@ -24,6 +24,7 @@ from churnlab.llm.tokens import encoder
 CAPACITY = 4096
 WHOLE_FROM = 16
 PIECES_PER_WORKER = 500_000
+MERGED, LAST_LEVEL = 64, 7  # workers whose leftovers meet on the next level; the number of the first-fit level
 PIECE_SCHEMA = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
 
 
@@ -109,7 +110,7 @@ def _last_bins(pieces: DataFrame, capacity: int) -> DataFrame:
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
     placed = pieces.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(fit, f"{schema}, _bin long, offset long")
-    return placed.select(*columns, F.struct(F.lit(2).alias("level"), F.lit(0).alias("_w"), F.lit(0).alias("_k"),
+    return placed.select(*columns, F.struct(F.lit(LAST_LEVEL).alias("level"), F.lit(0).alias("_w"), F.lit(0).alias("_k"),
                                             "_bin").alias("_seq"), "offset")
 
 
@@ -117,19 +118,25 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Every piece with ``sequence_id`` and ``offset`` (gapless from 0 in each sequence).
 
     Workers are hashes of (doc_id, start), as many as hold ``PIECES_PER_WORKER``
-    pieces each. What their classes leave is filled again per class over all
-    workers, and the rest of that (a number of pieces that depends on
-    ``capacity`` alone) by first-fit decreasing. Lengths must be 1 to
+    pieces each. What the classes of 64 workers leave goes to one worker of the
+    next level, until one is left, and the rest of that (a number of pieces that
+    depends on ``capacity`` alone) is packed by first-fit decreasing. No worker of
+    a later level gets more than 64 times k - 1 pieces of class k. Lengths must be 1 to
     ``capacity``; repeated rows are packed each; an empty table gives no rows.
     """
     workers = max(1, -(-pieces.count() // PIECES_PER_WORKER))
-    hashed = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers)).cast("int")
-    first, left = _fill(pieces, hashed, 0, capacity)
-    second, rest = _fill(left, F.lit(0), 1, capacity)
-    placed = first.unionByName(second).unionByName(_last_bins(rest, capacity))
-    # level, worker, class and bin side by side in one number: 2 + 20 + 13 + 28 bits
+    hashed = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(workers))
+    placed, left, level = None, pieces, 0
+    while True:
+        filled, left = _fill(left, F.floor(hashed / MERGED ** level).cast("int"), level, capacity)
+        placed = filled if placed is None else placed.unionByName(filled)
+        if workers <= MERGED ** level:
+            break
+        left, level = store(left, "left-pieces"), level + 1
+    placed = placed.unionByName(_last_bins(left, capacity))
+    # level, worker, class and bin side by side in one number: 3 + 20 + 13 + 27 bits
     seq = [F.col(f"_seq.{c}").cast("long") for c in ("level", "_w", "_k", "_bin")]
-    number = ((seq[0] * (1 << 20) + seq[1]) * (1 << 13) + seq[2]) * (1 << 28) + seq[3]
+    number = ((seq[0] * (1 << 20) + seq[1]) * (1 << 13) + seq[2]) * (1 << 27) + seq[3]
     return placed.withColumn("sequence_id", number).drop("_seq")
 
 

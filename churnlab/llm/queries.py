@@ -47,7 +47,7 @@ def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_rabitq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, middle = rabitq.build_index(rabitq.embeddings(spark, sf_dir))
-    queries = index.where(F.col("vec_id") % QUERY_EVERY == 0).select("vec_id", "dim", "vector")
+    queries = index.where(F.col("vec_id") % QUERY_EVERY == 0).select("vec_id", "row", "dim", "vector")
     return rabitq.search_index(index, middle, queries, NEIGHBOURS)
 
 
@@ -85,10 +85,8 @@ def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, known = documents(spark, sf_dir), licenses.known_licenses(spark)
-    texts, notices = licenses.scan_texts(docs, known), licenses.scan_notices(docs, known)
-    notices = notices.select(F.col("doc_id").alias("_id"), F.array_join("notice_ids", ",").alias("notice_ids"))
-    return texts.join(notices, texts["doc_id"].eqNullSafe(notices["_id"]), "left").drop("_id")
+    found = licenses.scan_rows(documents(spark, sf_dir), licenses.known_licenses(spark))
+    return found.withColumn("notice_ids", F.array_join("notice_ids", ","))
 
 
 def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,16 +139,19 @@ FROM numbered n LEFT JOIN kept ON kept.r = n.r
 """
 
 _WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
-_GRAMS = """list_distinct([array_to_string(w[i : i + 4], ' ') for i in generate_series(1, greatest(1, len(w) - 4))])"""
+_GRAMS = "list_distinct([array_to_string(w[i : i + k - 1], ' ') for i in generate_series(1, len(w) - k + 1)])"
+# k words a shingle: five, or all words of an item that has fewer.
 _CONTAINMENT = f"""
-WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
-dg AS (SELECT DISTINCT r, doc_id, unnest({_GRAMS}) AS g FROM d WHERE len(w) > 0),
-q AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
-qw AS (SELECT item_id, text, {_WORDS} AS w FROM q),
-qg AS (SELECT item_id, text, unnest({_GRAMS}) AS g FROM qw WHERE len(w) > 0),
-size AS (SELECT item_id, text, count(*) AS n FROM qg GROUP BY 1, 2)
+WITH q AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+qw AS (SELECT *, least(5, len(w)) AS k FROM (SELECT item_id, text, {_WORDS} AS w FROM q) WHERE len(w) > 0),
+qg AS (SELECT item_id, text, k, unnest({_GRAMS}) AS g FROM qw),
+size AS (SELECT item_id, text, count(*) AS n FROM qg GROUP BY 1, 2),
+widths AS (SELECT DISTINCT k FROM qw),
+d AS (SELECT * FROM (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents WHERE text IS NOT NULL)
+      JOIN widths ON len(w) >= k),
+dg AS (SELECT DISTINCT r, doc_id, k, unnest({_GRAMS}) AS g FROM d)
 SELECT dg.doc_id, qg.item_id, round(count(*)::DOUBLE / n, 9) AS containment, n::INT AS n_shingles
-FROM dg JOIN qg USING (g) JOIN size ON size.item_id = qg.item_id AND size.text = qg.text
+FROM dg JOIN qg USING (g, k) JOIN size ON size.item_id IS NOT DISTINCT FROM qg.item_id AND size.text = qg.text
 GROUP BY dg.r, dg.doc_id, qg.item_id, qg.text, n HAVING count(*)::DOUBLE / n >= {decontaminate.THRESHOLD}
 """
 
@@ -244,13 +245,12 @@ def _license_sql() -> str:
     values = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)
     return f"""
 WITH known AS (SELECT md5({_canonical_sql('t')}) AS digest, min(i) AS license_id FROM (VALUES {values}) v(i, t) GROUP BY 1),
-d AS (SELECT doc_id, text, {_canonical_sql('text')} AS form FROM documents),
-l AS (SELECT doc_id, {_canonical_sql('line')} AS form
-      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
-n AS (SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids
+d AS (SELECT row_number() OVER () AS r, doc_id, text, {_canonical_sql('text')} AS form FROM documents),
+l AS (SELECT r, {_canonical_sql('line')} AS form FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
+n AS (SELECT r, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids
       FROM l JOIN known ON md5(l.form) = known.digest WHERE l.form <> '' GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.form <> '' THEN md5(d.form) END AS digest, known.license_id, n.notice_ids
-FROM d LEFT JOIN known ON d.form <> '' AND md5(d.form) = known.digest LEFT JOIN n ON n.doc_id IS NOT DISTINCT FROM d.doc_id
+FROM d LEFT JOIN known ON d.form <> '' AND md5(d.form) = known.digest LEFT JOIN n USING (r)
 """
 
 

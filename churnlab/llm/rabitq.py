@@ -26,7 +26,9 @@ EPSILON = 3.0  # width of the error bound in standard deviations
 PLANES = 6  # bits of a quantized query component
 QUERY_BLOCK = 4096  # queries that one pass over the index answers
 ROTATION_SEED = 20240521
-INDEX_SCHEMA = "vec_id long, dim int, code binary, radius double, fit double, vector array<double>"
+INDEX_SCHEMA = "vec_id long, row long, dim int, code binary, radius double, fit double, vector array<double>"
+
+ANSWER_SCHEMA = "query_id long, query_row long, vec_id long, score double"
 
 
 def rotation(dim: int, seed: int = ROTATION_SEED) -> np.ndarray:
@@ -72,10 +74,12 @@ def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[n
 def build_index(vectors: DataFrame, vector: str = "embedding", folder: str | None = None) -> tuple[DataFrame, dict[int, np.ndarray]]:
     """Codes and vectors of all usable rows, written to the shared folder, and the centres they refer to.
 
-    Vectors of different dimension are coded and searched apart.
+    Vectors of different dimension are coded and searched apart. ``row`` numbers
+    the rows of the index, so that repeated vec_ids stay apart.
     """
     rows = usable(vectors, vector)
     middle = centres(rows)
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     folder = folder or new_folder(vectors.sparkSession, "rabitq-index")
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,7 +87,7 @@ def build_index(vectors: DataFrame, vector: str = "embedding", folder: str | Non
             for dim, part in batch.groupby("dim"):
                 v = np.stack(part["vector"].to_numpy())
                 codes, radius, fit = encode(v, middle[dim], rotation(dim))
-                yield part[["vec_id", "dim"]].assign(code=[c.tobytes() for c in codes], radius=radius, fit=fit,
+                yield part[["vec_id", "row", "dim"]].assign(code=[c.tobytes() for c in codes], radius=radius, fit=fit,
                                                      vector=part["vector"])
 
     rows.mapInPandas(code, INDEX_SCHEMA).write.parquet(folder)
@@ -93,8 +97,8 @@ def build_index(vectors: DataFrame, vector: str = "embedding", folder: str | Non
 class QueryBlock:
     """Rotated, quantized queries of one dimension."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, centre: np.ndarray):
-        self.ids, self.vectors, dim = ids, vectors, len(centre)
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, centre: np.ndarray):
+        self.ids, self.rows, self.vectors, dim = ids, rows, vectors, len(centre)
         self.dim = dim
         moved = vectors - centre
         self.radius = np.linalg.norm(moved, axis=1)
@@ -122,13 +126,13 @@ class QueryBlock:
         return radius ** 2 + self.radius[q] ** 2 - 2 * radius * self.radius[q] * inner
 
 
-def nearest(ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, radius: np.ndarray, fit: np.ndarray,
+def nearest(ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, codes: np.ndarray, radius: np.ndarray, fit: np.ndarray,
             block: QueryBlock, best: list[tuple[np.ndarray, np.ndarray]], k: int) -> None:
     """Bring each query's (distances, ids) in ``best`` up to date with a batch of coded vectors."""
     ones = np.bitwise_count(codes).sum(axis=1).astype(np.float64)
     for q in range(len(block.ids)):
         low = block.lower_bounds(q, codes, ones, radius, fit)
-        low[ids == block.ids[q]] = np.inf
+        low[rows == block.rows[q]] = np.inf
         dist, found = best[q]
         # a first few by lower bound give a k-th distance to beat; then all that might beat it
         todo = np.argpartition(low, min(k, len(low) - 1))[:k + 1] if len(dist) < k else np.zeros(0, np.int64)
@@ -157,37 +161,37 @@ def _answers(index: DataFrame, blocks: list[QueryBlock], k: int) -> DataFrame:
                 part = batch[batch["dim"] == block.dim]
                 if len(part):
                     codes = np.frombuffer(b"".join(part["code"]), "<u8").reshape(len(part), -1)
-                    nearest(part["vec_id"].to_numpy(), np.stack(part["vector"].to_numpy()), codes, part["radius"].to_numpy(),
+                    nearest(part["vec_id"].to_numpy(), part["row"].to_numpy(), np.stack(part["vector"].to_numpy()), codes, part["radius"].to_numpy(),
                             part["fit"].to_numpy(), block, found, k)
         for block, found in zip(sent.value, best):
             sizes = [len(d) for d, _ in found]
             if sum(sizes):
-                yield pd.DataFrame({"query_id": np.repeat(block.ids, sizes), "vec_id": np.concatenate([f for _, f in found]),
+                yield pd.DataFrame({"query_id": np.repeat(block.ids, sizes), "query_row": np.repeat(block.rows, sizes), "vec_id": np.concatenate([f for _, f in found]),
                                     "score": np.concatenate([d for d, _ in found])})
 
-    return index.mapInPandas(search, "query_id long, vec_id long, score double")
+    return index.mapInPandas(search, ANSWER_SCHEMA)
 
 
 def search_index(index: DataFrame, middle: dict[int, np.ndarray], queries: DataFrame, k: int = 10,
                  query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row of ``queries`` (vec_id, dim, vector).
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row of ``queries`` (vec_id, row, dim, vector).
 
     Queries pass in blocks of about ``query_block``; each block is one map-only
     pass over the index in which every task keeps its ``k`` best per query.
-    Equal distances go to the smaller vec_id; a query's own row takes no part;
-    repeated vec_ids of candidates count each; repeated queries count once.
+    Equal distances go to the smaller vec_id. ``row`` is the query's own row of
+    the index, which takes no part; rows that repeat its vec_id are candidates
+    like all others, and every row of ``queries`` gets an answer of its own.
     """
     spark = index.sparkSession
-    queries = queries.dropDuplicates(["vec_id"])
     n = queries.count()
     blocks = -(-n // query_block)
-    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    found = spark.createDataFrame([], ANSWER_SCHEMA)
     for b in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").toPandas()
-        made = [QueryBlock(part["vec_id"].to_numpy(), np.stack(part["vector"].to_numpy()), middle[dim])
+        rows = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).orderBy("row").toPandas()
+        made = [QueryBlock(part["vec_id"].to_numpy(), part["row"].to_numpy(), np.stack(part["vector"].to_numpy()), middle[dim])
                 for dim, part in rows.groupby("dim")]
         found = found.unionByName(_answers(index, made, k))
-    rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    rank = Window.partitionBy("query_row").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
 

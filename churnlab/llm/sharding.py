@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlab.llm.common import store
+from churnlab.llm.common import store, unused
 
 ROWS_PER_BLOCK = 100_000
 NULL_KEY = "null"
@@ -64,18 +64,20 @@ def slots(rows: DataFrame, order: list[str]) -> DataFrame:
     size: count the blocks, add up the counts before each, number within the
     block. Blocks are stored, so both steps see the same ones. A hot value of
     the first columns is split by the later ones; rows that are equal in all of
-    ``order`` fall into one block and take neighbouring slots.
+    ``order`` fall into one block and take neighbouring slots. A
+    column of ``rows`` called ``slot`` is replaced, all others stay.
     """
     along = [F.col(c).asc_nulls_last() for c in order]
+    block, start, n = unused(rows, "_block", "_start", "_n")
     blocks = max(1, -(-rows.count() // ROWS_PER_BLOCK))
-    dealt = store(rows.repartitionByRange(blocks, *along).withColumn("_block", F.spark_partition_id()), "blocks")
-    before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (dealt.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
-              .select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
-    inner = Window.partitionBy("shard", "_block").orderBy(*along)
-    return (dealt.join(starts, ["shard", "_block"])
-            .withColumn("slot", F.col("_start") + F.row_number().over(inner) - 1)
-            .drop("_block", "_start"))
+    dealt = store(rows.repartitionByRange(blocks, *along).withColumn(block, F.spark_partition_id()), "blocks")
+    before = Window.partitionBy("shard").orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (dealt.groupBy("shard", block).agg(F.count("*").alias(n))
+              .select("shard", block, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start)))
+    inner = Window.partitionBy("shard", block).orderBy(*along)
+    return (dealt.join(starts, ["shard", block])
+            .withColumn("slot", F.col(start) + F.row_number().over(inner) - 1)
+            .drop(block, start))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, key: str = "doc_id", rows_per_file: int = 1_000_000) -> None:

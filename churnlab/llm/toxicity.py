@@ -161,12 +161,17 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Null texts count as empty and get a score too, repeated rows the same score.
     Without labels of both kinds the score is the mean label (0 where there is
-    none). An empty table gives an empty result; other columns are not read.
+    none). Equal features give equal scores, and those on one step of the
+    calibration curve keep the trees' order. Texts of any length are read whole.
+    An empty table gives an empty result; other columns are not read.
     """
     sample = store(labelled_sample(docs, labels), "toxicity-sample")
     counts = {(r["label"], r["fold"] == 0): r["n"] for r in
               sample.groupBy("label", F.col("fold")).agg(F.count("*").alias("n")).collect()}
-    lexicons = learned_lexicons(sample)
+    split = all(any(label == want and cal for label, cal in counts) and any(label == want and not cal for label, cal in counts)
+                for want in (0.0, 1.0))
+    # what calibrates has not been seen by the lexicons either
+    lexicons = learned_lexicons(sample.where("fold <> 0") if split else sample)
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with_out = held_out(F.col("doc_id")).alias("held_out")
     both = all(any(label == want for label, _ in counts) for want in (0.0, 1.0))
@@ -176,8 +181,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
                            F.lit(int(mean >= PREDICT_FROM)).alias("predicted"))
     rows = store(feature_table(sample, lexicons, ["doc_id", "label", "fold"]), "toxicity-train")
     rows = rows.select("label", "fold", array_to_vector("features").alias("features")).coalesce(8).persist()
-    split = all(any(label == want and cal for label, cal in counts) and any(label == want and not cal for label, cal in counts)
-                for want in (0.0, 1.0))
     fit = rows.where("fold <> 0") if split else rows
     trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, subsamplingRate=0.8, minInstancesPerNode=5, seed=SEED,
                           maxMemoryInMB=64).fit(fit)

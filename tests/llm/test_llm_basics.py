@@ -101,6 +101,12 @@ def test_slots_follow_the_order_at_any_number_of_blocks(spark, monkeypatch):
             assert keys == sorted(keys)
 
 
+def test_slots_leave_the_callers_columns_alone(spark):
+    rows = spark.createDataFrame([(i, i % 2, 7, 8, 9, 5) for i in range(20)], "doc_id long, shard int, _block int, _start int, _n int, slot int")
+    got = sharding.slots(rows, ["doc_id"]).orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in ("_block", "_start", "_n", "slot")) for r in got] == [(7, 8, 9, i // 2) for i in range(20)]
+
+
 def test_write_shards_round_trip(spark, tmp_dir):
     rows = make(spark, [(i, "t", "a") for i in range(100)])
     sharding.write_shards(rows, f"{tmp_dir}/s", 5, rows_per_file=10)
@@ -110,7 +116,7 @@ def test_write_shards_round_trip(spark, tmp_dir):
         "shard <> want").count() == 0
 
 
-def test_licence_digests_and_spellings(spark):
+def test_licence_digests_and_spellings(spark, monkeypatch):
     mit = dict(licenses.KNOWN[::-1])["MIT"]
     rows = [(1, "Copyright (c) 2020 A. Body\n" + mit.upper().replace("LICENSE", "LICENCE"), "a"),
             (2, mit + " more", "a"), (3, None, "a"), (4, "", "a"), (5, "...", "a"),
@@ -122,8 +128,19 @@ def test_licence_digests_and_spellings(spark):
     ids = {r["doc_id"]: r["license_id"] for r in got}
     assert ids[1] == "MIT" and ids[None] == "CC-BY-NC-4.0" and ids[2] is ids[3] is ids[7] is None
     assert {r["doc_id"] for r in got if r["digest"] is None} == {3, 4, 5}
-    notices = {r["doc_id"]: r["notice_ids"] for r in licenses.scan_notices(docs, known).collect()}
-    assert notices[6] == ["MIT"] and 7 not in notices
+    scanned = licenses.scan_rows(docs, known).collect()
+    assert sorted(((r["doc_id"], r["digest"], r["license_id"]) for r in scanned), key=str) == sorted(
+        ((r["doc_id"], r["digest"], r["license_id"]) for r in got), key=str)
+    notices = {r["doc_id"]: r["notice_ids"] for r in scanned}
+    assert notices[6] == ["MIT"] and notices[None] == ["CC-BY-NC-4.0"] and notices[7] is notices[3] is notices[2] is None
+    # rows that share a doc_id keep notices of their own, also where the digests go out in parts
+    rows = [(1, mit, "a"), (1, "quite another text", "a"), (None, "so\nLicensed under CC BY-NC 4.0\nreleased under the MIT license", "a"),
+            (None, "nothing", "a")]
+    for bound in (licenses.BROADCAST_BYTES, 1000):
+        monkeypatch.setattr(licenses, "BROADCAST_BYTES", bound)
+        found = {r["digest"]: r["notice_ids"] for r in licenses.scan_rows(make(spark, rows), known).collect()}
+        assert found[licenses.text_digest("quite another text")] is None and found[licenses.text_digest("nothing")] is None
+        assert found[licenses.text_digest(rows[2][1])] == ["CC-BY-NC-4.0", "MIT"]
     assert licenses.scan_texts(docs.limit(0), known).count() == 0
 
 

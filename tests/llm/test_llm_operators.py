@@ -215,16 +215,26 @@ def test_added_tokens_in_texts_get_the_ids_of_the_library(name, keeps):
     assert np.frombuffer(enc.encode(["a <|endoftext|> b"])[0], "<u2").tolist().count(end) == 1
 
 
+def library_ids(name, text):
+    from tokenizers import Tokenizer
+
+    if name not in LIBRARY:
+        LIBRARY[name] = Tokenizer.from_file(tokenizer(name))
+    return np.asarray(LIBRARY[name].encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
+LIBRARY = {}
+
+
 def test_token_records_round_trip(spark, tmp_dir):
     rows = [(i * 7 % 50, t, "en", "s") for i, t in enumerate(ODD * 3)] + [(None, "first", "en", "s"), (60, None, "en", "s")]
     docs = make(spark, rows)
-    enc = tokens.PieceEncoder(tokenizer("byte_bpe_50k.json"), True)
     folder = f"file://{tmp_dir}/records"
     index = binary.write_token_files(docs, folder, tokenizer("byte_bpe_50k.json"), 2, docs_per_file=20)
     order = sorted([(i, t or "") for i, t, _, _ in rows], key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
     at, want = 0, []
     for i, t in order:
-        ids = np.append(np.frombuffer(enc.encode([t])[0], "<u2"), 2).astype("<u4")
+        ids = np.append(library_ids("byte_bpe_50k.json", t), 2).astype("<u4")
         want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     got = [tuple(r) for r in binary.token_digests(index, folder).orderBy("start").collect()]
@@ -258,14 +268,19 @@ def test_cut_lengths_fill_their_class():
 
 
 def test_packing_places_every_id_once(spark, monkeypatch):
-    monkeypatch.setattr(packing, "PIECES_PER_WORKER", 100)
+    monkeypatch.setattr(packing, "PIECES_PER_WORKER", 20)
+    monkeypatch.setattr(packing, "MERGED", 3)
     rng = np.random.default_rng(2)
     rows = [(i, prose(rng, int(rng.integers(1, 2500))), "en", "s") for i in range(80)]
     rows += [(200, None, "en", "s"), (201, "", "en", "s"), (None, "a b", "en", "s"), rows[0], rows[0]]
     docs = make(spark, rows)
     got = packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), 2, with_ids=True).toPandas()
-    enc = tokens.PieceEncoder(tokenizer("word_bpe_49k.json"), False)
-    want = sum(len(enc.encode([t])[0]) // 2 + 1 for _, t, _, _ in rows)
+    want = sum(len(library_ids("word_bpe_49k.json", t)) + 1 for _, t, _, _ in rows)
+    pieces = got[got["doc_id"].isin([3, 200])].sort_values(["doc_id", "start"]).groupby("doc_id")["ids"].agg(b"".join)
+    assert pieces[3] == np.append(library_ids("word_bpe_49k.json", rows[3][1]), 2).astype("<u4").tobytes()
+    assert pieces[200] == np.asarray([2], "<u4").tobytes()
+    levels = got["sequence_id"].to_numpy() >> 60
+    assert got["sequence_id"].min() >= 0 and {0, 1, packing.LAST_LEVEL} <= set(levels)
     assert got["length"].sum() == want
     assert (got["ids"].map(len) == 4 * got["length"]).all()
     assert (got["ids"].map(zlib.crc32) == got["ids_crc32"]).all()
@@ -287,7 +302,7 @@ def test_search_recall_ties_and_unusable_vectors(spark):
                  (1400, [float("inf")] + [1.0] * (dim - 1), 0), (None, [1.0] * dim, 0), (1500, [1.0, 2.0], 0), (1600, [1.0, 3.0], 0)]
         table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, code int")
         index, middle = rabitq.build_index(table)
-        got = rabitq.search_index(index, middle, index.where("vec_id % 100 = 0").select("vec_id", "dim", "vector"), 10, query_block=4)
+        got = rabitq.search_index(index, middle, index.where("vec_id % 100 = 0").select("vec_id", "row", "dim", "vector"), 10, query_block=4)
         found = defaultdict(list)
         for r in got.orderBy("query_id", "rank").collect():
             found[r["query_id"]].append((r["score"], r["vec_id"]))
@@ -305,8 +320,41 @@ def test_search_recall_ties_and_unusable_vectors(spark):
         assert found[1500] == [(1.0, 1600)]
     empty = table.limit(0)
     index, middle = rabitq.build_index(empty)
-    assert rabitq.search_index(index, middle, index.select("vec_id", "dim", "vector")).count() == 0
+    assert rabitq.search_index(index, middle, index.select("vec_id", "row", "dim", "vector")).count() == 0
+
 
+def test_search_with_repeated_ids_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 16))
+    ids = [i // 3 * 100 if i < 30 else i for i in range(300)]
+    vectors[1] = vectors[0]
+    index, middle = rabitq.build_index(spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors)], "vec_id long, embedding array<double>"))
+    queries = index.where("vec_id % 100 = 0")
+    got = rabitq.search_index(index, middle, queries.select("vec_id", "row", "dim", "vector"), 10, query_block=7).collect()
+    want = []
+    for q in range(300):
+        if ids[q] % 100 == 0:
+            d = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+            others = sorted((round(d[j], 9), ids[j]) for j in range(300) if j != q)[:10]
+            want += [(ids[q], rank, i, s) for rank, (s, i) in enumerate(others, 1)]
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted(want)
+
+
+def test_items_of_one_to_four_words_are_found_inside_documents(spark):
+    docs = make(spark, [(1, "what is the Capital of Peru, is it Lima or not", "en", "a"), (2, "capital of peru", "en", "a"),
+                        (3, "of the capital Peru is", "en", "a"), (3, "lima", "en", "a"), (4, None, "en", "a"),
+                        (5, "word " * 30_000 + "capital of Peru is", "en", "a")])
+    items = spark.createDataFrame([(1, "Capital of Peru is"), (2, "capital of Peru"), (3, "LIMA"), (4, "is it"), (5, "..."), (6, None),
+                                   (7, "one two three four five"), (None, "peru is")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.containment, r.n_shingles) for r in decontaminate.find_items(docs, items).collect()}
+    words = {(r.doc_id, r.text): decontaminate.words_of(r.text or "") for r in docs.collect()}
+    want = set()
+    for (doc_id, _), w in words.items():
+        for r in items.collect():
+            item = decontaminate.words_of(r.text or "")
+            if 0 < len(item) < 5 and any(w[i:i + len(item)] == item for i in range(len(w))):
+                want.add((doc_id, r.item_id, 1.0, 1))
+    assert got == want and (5, 1, 1.0, 1) in got and (1, 2, 1.0, 1) in got
 
 def test_language_model_held_out_accuracy_and_rejection(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -381,7 +429,22 @@ def test_pipeline_stages_against_brute_force(spark):
     dirty = {d for d, t in zip(near["doc_id"], near["text"])
              if any(q and len(q & decontaminate.shingle_set(t)) / len(q) >= 0.8 for q in items)}
     assert set(clean["doc_id"]) == set(near["doc_id"]) - dirty
-    enc = tokens.PieceEncoder(tokenizer("word_bpe_49k.json"), False)
     packed = corpus_pipeline.run(spark, folder).toPandas()
     totals = packed.groupby("doc_id")["length"].sum().to_dict()
-    assert totals == {d: len(enc.encode([t])[0]) // 2 + 1 for d, t in zip(clean["doc_id"], clean["text"])}
+    assert totals == {d: len(library_ids("word_bpe_49k.json", t)) + 1 for d, t in zip(clean["doc_id"], clean["text"])}
+
+
+ALPHABET = [*"aabcdeXYZ  \n\t,.'’0²½Ⅷ-_!<|>", " ", " ", "　", "\u0085", "​", "İ", "ı", "ß", "Σ", "ς", "é", "é", "́",
+            "̇", "\r", "\r\n", "\x0b", "\x0c", "日本", "한", "가", "ﬁ", "Å", "Å", "😀", "'s", "'LL", " \n", "  ", "  ",
+            "ª", "ʰ", "\x1c", "\x00", "ا", "ِ", "क", "्", "<|endoftext|>"]
+
+
+@pytest.mark.parametrize("name,keeps_space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_ids_of_random_texts_equal_a_fresh_library_instance(name, keeps_space):
+    from tokenizers import Tokenizer
+
+    fresh, enc = Tokenizer.from_file(tokenizer(name)), tokens.PieceEncoder(tokenizer(name), keeps_space)
+    rng = np.random.default_rng(5)
+    texts = ["a b\n ", "a\tb\n ", "İ, a", "T.C. İ.", *["".join(rng.choice(ALPHABET, rng.integers(1, 15))) for _ in range(40_000)]]
+    for text, ids in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(ids, f"<u{enc.width}").tolist() == fresh.encode(text, add_special_tokens=False).ids, ascii(text)
