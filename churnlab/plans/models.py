@@ -1,4 +1,4 @@
-"""Model factory: the reference's three families re-expressed as ``pyspark.ml`` estimators."""
+"""Model factory: the reference's three families as ``pyspark.ml`` estimators, Spark's own and those of this package."""
 
 from __future__ import annotations
 
@@ -7,7 +7,12 @@ import math
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+
+from churnlab.operators.boosting import BoostParams
+from churnlab.operators.logistic import LogisticParams
+from churnlab.plans.boosted import NewtonBooster
+from churnlab.plans.linear import LogisticNewton
 
 MODEL_NAMES = ("logreg", "rf", "xgboost")
 
@@ -19,15 +24,17 @@ DEFAULT_PARAMS = {
     "xgboost": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
                 "colsample_bytree": 0.8},
 }
-# Keys with an effect on Spark's estimators; any other key is reported as ignored.
+# Keys with an effect on the estimators; any other key is reported as ignored.
 KNOWN_KEYS = {
-    "logreg": {"C", "max_iter", "tol", "class_weight", "random_state", "fit_intercept"},
+    "logreg": {"C", "max_iter", "tol", "class_weight", "random_state", "fit_intercept", "solver"},
     "rf": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "class_weight",
            "random_state", "bootstrap", "max_bins", "min_impurity_decrease"},
     "xgboost": {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "scale_pos_weight",
-                "random_state", "max_bins", "gamma", "min_child_weight"},
+                "random_state", "max_bins", "gamma", "min_child_weight", "reg_lambda", "reg_alpha"},
 }
-MAX_TREE_DEPTH = 30  # Spark refuses deeper trees.
+SOLVERS = ("lbfgs", "liblinear")
+MAX_TREE_DEPTH = 30  # Spark's forests refuse deeper trees.
+MAX_BINS = 64
 
 
 @dataclass
@@ -37,9 +44,37 @@ class ModelSpec:
     class_weight: str | None = "balanced"
     random_state: int = 42
 
-    def estimator(self, features_col: str, label_col: str, weight_col: str | None, total_weight: float = 1.0):
+    @property
+    def seed(self) -> int:
+        return int(self.params.get("random_state", self.random_state))
+
+    def boost_params(self) -> BoostParams:
         p = self.params
-        seed = int(p.get("random_state", self.random_state))
+        number = lambda key, default: float(default if p.get(key) is None else p[key])
+        return BoostParams(
+            n_estimators=int(number("n_estimators", 100)), max_depth=int(number("max_depth", 6)),
+            learning_rate=number("learning_rate", 0.3), reg_lambda=number("reg_lambda", 1.0), reg_alpha=number("reg_alpha", 0.0),
+            gamma=number("gamma", 0.0), min_child_weight=number("min_child_weight", 1.0), subsample=number("subsample", 1.0),
+            colsample_bytree=number("colsample_bytree", 1.0), pos_weight=number("scale_pos_weight", 1.0), seed=self.seed)
+
+    def logistic_params(self, class_weights: dict | None = None) -> LogisticParams:
+        """The objective of either solver; ``liblinear`` shrinks the intercept like a coefficient."""
+        p, w = self.params, class_weights or {}
+        if p.get("solver", "lbfgs") not in SOLVERS:
+            raise ValueError(f"solver {p['solver']!r} is none of {', '.join(SOLVERS)}")
+        return LogisticParams(C=float(p.get("C", 1.0)), max_iter=int(p.get("max_iter", 1000)),
+                              fit_intercept=bool(p.get("fit_intercept", True)),
+                              penalise_intercept=p.get("solver") == "liblinear",
+                              class_weights=(float(w.get(0, 1.0)), float(w.get(1, 1.0))))
+
+    def estimator(self, features_col: str, label_col: str, weight_col: str | None, total_weight: float = 1.0,
+                  class_weights: dict | None = None):
+        """``class_weights`` are those of ``weight_col``, for the estimators that take them as numbers."""
+        p, seed = self.params, self.seed
+        if self.name == "logreg" and self.logistic_params().penalise_intercept:
+            return LogisticNewton(self.logistic_params(class_weights), features_col, label_col)
+        if self.name == "xgboost":
+            return NewtonBooster(self.boost_params(), features_col, label_col, int(p.get("max_bins") or MAX_BINS))
         if self.name == "logreg":
             c = float(p.get("C", 1.0))
             # scikit-learn minimises C * sum(w * loss) + ||b||^2 / 2; Spark minimises
@@ -63,16 +98,6 @@ class ModelSpec:
                                          # (lineage cut every 10 levels via the shared checkpoint folder)
                                          # and aggregate more nodes per pass.
                                          cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
-        elif self.name == "xgboost":
-            depth = p.get("max_depth", 6)
-            depth = MAX_TREE_DEPTH if depth is None else min(int(depth), MAX_TREE_DEPTH)
-            est = GBTClassifier(featuresCol=features_col, labelCol=label_col, maxIter=int(p.get("n_estimators", 100)),
-                                maxDepth=depth, stepSize=float(p.get("learning_rate", 0.1)),
-                                subsamplingRate=float(p.get("subsample", 1.0)),
-                                featureSubsetStrategy=_subset(p.get("colsample_bytree", 1.0)), seed=seed,
-                                minInfoGain=float(p.get("gamma") or 0.0),
-                                minInstancesPerNode=max(1, math.ceil(float(p.get("min_child_weight") or 1))),
-                                maxBins=int(p.get("max_bins", 32)))
         else:  # pragma: no cover - guarded by get_model
             raise ValueError(self.name)
         if weight_col:
@@ -118,13 +143,13 @@ def apply_hyperparameters(spec: ModelSpec, hyperparams: dict | None) -> tuple[Mo
 
 
 def without_effect(spec: ModelSpec, hyperparams: dict | None) -> dict[str, str]:
-    """What a run record must say besides the requested values: keys that Spark ignores and the depth it really uses."""
+    """What a run record must say besides the requested values: keys that are ignored and the depth that a forest really uses."""
     notes = {}
     ignored = sorted(set(hyperparams or {}) - KNOWN_KEYS[spec.name])
     if ignored:
         notes["ignored"] = ",".join(ignored)
     depth = spec.params.get("max_depth")
-    if spec.name != "logreg" and (depth is None or int(depth) > MAX_TREE_DEPTH):
+    if spec.name == "rf" and (depth is None or int(depth) > MAX_TREE_DEPTH):
         notes["max_depth_used"] = str(MAX_TREE_DEPTH)
     if notes:
         warnings.warn(f"{spec.name}: {notes}", stacklevel=2)

@@ -42,7 +42,7 @@ def as_pipeline(encoder_maps: dict[str, dict[str, int]], scaler_params: dict[str
             exprs.append(f"CAST(`{f}` AS DOUBLE) AS `{f}{PREP_SUFFIX}`")
     stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(exprs) + " FROM __THIS__"))
     stages.append(VectorAssembler(inputCols=[f + PREP_SUFFIX for f in feature_names], outputCol="features",
-                                  handleInvalid="error"))
+                                  handleInvalid=trained.stages[0].getHandleInvalid()))
     stages.append(trained.stages[-1])
     return PipelineModel(stages=stages)
 

@@ -1,9 +1,10 @@
 """Hyper-parameter search as Spark jobs: grid, seeded sampling, concurrent trials, best trial, export.
 
 The search space is configuration (a few lists), so the grid is expanded on
-the driver; every trial is a distributed fit over one persisted training
-set, and trials run ``max_concurrent`` at a time from a thread pool (Spark
-schedules their jobs side by side).
+the driver. All boosted trials of a training set grow in the same passes over
+its blocks, and so do all logistic ones; forests are fits of their own,
+``max_concurrent`` at a time from a thread pool (Spark schedules their jobs side
+by side).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ from churnlab.functions.scalars import (
 from churnlab.operators import imbalance as imb
 from churnlab.operators.metrics import evaluate
 from churnlab.operators.select import select_best
-from churnlab.plans.train import fit_model, with_probability
+from churnlab.plans.train import fit_model, fit_together, plan_fit, with_probability
 from churnlab.sources.runs import RUNS_SCHEMA, run_id_of, run_row
 
 # Fixed search spaces (values as in the reference's hpo config: production and quick-validation blocks).
@@ -155,22 +157,42 @@ def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[
         tr, _ = trial_hyperparams(m, point)
         training_set(parse_bool_value(tr.get("use_smote"), default=False), int(tr.get("random_state", config.random_state)))
 
-    def run(job):
-        m, parent, i, point = job
+    def settings(job) -> tuple:
+        """(hyper-parameters, use SMOTE, seed, class weighting) of a trial."""
+        m, _, _, point = job
         tr, hp = trial_hyperparams(m, point)
         use_smote = parse_bool_value(tr.get("use_smote"), default=False)
-        seed = int(tr.get("random_state", config.random_state))
         cw = None if use_smote else tr.get("class_weight", config.class_weight)
-        data, counts = training_set(use_smote, seed)
-        model, _ = fit_model(m, data, feature_names, target, cw, seed, hp, class_counts=counts)
-        metrics = evaluate(with_probability(model.transform(test)), target, "prediction", "p1")
-        return run_row(run_id=run_id_of(parent, i, sorted(point.items())), parent_run_id=parent, experiment=config.experiment,
+        return hp, use_smote, int(tr.get("random_state", config.random_state)), cw
+
+    def fit(part: list) -> list[PipelineModel]:
+        """Trials of one family on one training set: forests one by one, the others in shared passes."""
+        m = jobs[part[0]][0]
+        data, counts = training_set(*settings(jobs[part[0]])[1:3])
+        plans = [(hp, cw, seed) for hp, _, seed, cw in (settings(jobs[i]) for i in part)]
+        if m == "rf":
+            return [fit_model(m, data, feature_names, target, cw, seed, hp, class_counts=counts)[0] for hp, cw, seed in plans]
+        return fit_together(m, data, feature_names, target, [plan_fit(m, counts, cw, seed, hp) for hp, cw, seed in plans])
+
+    def score(i: int):
+        m, parent, nth, point = jobs[i]
+        metrics = evaluate(with_probability(models[i].transform(test)), target, "prediction", "p1")
+        return run_row(run_id=run_id_of(parent, nth, sorted(point.items())), parent_run_id=parent, experiment=config.experiment,
                        run_name=f"{config.sweep_name}-{m}", run_type="trial", model=m,
-                       params={k: v for k, v in point.items()}, metrics=metrics, tags={"trial": str(i)})
+                       params={k: v for k, v in point.items()}, metrics=metrics, tags={"trial": str(nth)})
 
+    parts: dict[tuple, list[int]] = {}
+    for i, job in enumerate(jobs):
+        key = (job[0], i) if job[0] == "rf" else (job[0], *settings(job)[1:3])
+        parts.setdefault(key, []).append(i)
+    models: dict[int, PipelineModel] = {}
     try:
         with ThreadPoolExecutor(max_workers=max(1, config.max_concurrent)) as pool:
-            rows = list(pool.map(run, jobs))
+            # the shared passes are the longest, so they start first
+            ordered = sorted(parts.values(), key=lambda p: jobs[p[0]][0] == "rf")
+            for part, fitted in zip(ordered, pool.map(fit, ordered)):
+                models.update(zip(part, fitted))
+            rows = list(pool.map(score, range(len(jobs))))
     finally:
         test.unpersist()
         for df, _ in cache.values():

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from churnlab.functions.scalars import parse_bool_value
 from churnlab.operators import imbalance as imb
 from churnlab.operators.metrics import evaluate
-from churnlab.plans.models import apply_hyperparameters, get_model, without_effect
+from churnlab.plans import boosted, linear
+from churnlab.plans.models import MAX_BINS, ModelSpec, apply_hyperparameters, get_model, without_effect
 from churnlab.sources.runs import log_runs, run_id_of, run_row
 
 FEATURES_COL = "features"
@@ -54,8 +55,10 @@ class TrainResult:
         return self.results[self.best].model
 
 
-def assembler(feature_names: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=feature_names, outputCol=FEATURES_COL, handleInvalid="error")
+def assembler(feature_names: list[str], model: str = "logreg") -> VectorAssembler:
+    """Boosted trees take missing values as they are; for the other families a null is an error."""
+    return VectorAssembler(inputCols=feature_names, outputCol=FEATURES_COL,
+                           handleInvalid="keep" if model == "xgboost" else "error")
 
 
 def with_probability(pred: DataFrame) -> DataFrame:
@@ -64,38 +67,51 @@ def with_probability(pred: DataFrame) -> DataFrame:
         "prediction", F.col("prediction").cast("int"))
 
 
-def fit_model(name: str, train: DataFrame, feature_names: list[str], target: str, class_weight, random_state: int,
-              hyperparams: dict | None, class_counts: dict | None = None) -> tuple[PipelineModel, dict]:
-    """Fit one family (assembler + estimator) with its weighting rule; return (model, logged params).
+def plan_fit(name: str, counts: dict, class_weight, random_state: int,
+             hyperparams: dict | None) -> tuple[ModelSpec, dict | None, dict]:
+    """(spec, weight per class or None, what the run logs) of one fit on rows with these class counts.
 
-    Every weighting rule needs only the per-class row counts (one small
-    aggregate, or ``class_counts`` from the caller), so no extra pass over
-    the training set computes weights or their sum.
+    Every weighting rule needs only the rows per class, so no extra pass over
+    the training set computes weights or their sum. Boosted trees carry their
+    positive weight as a parameter.
     """
-    spec = get_model(name, class_weight=class_weight, random_state=random_state)
-    spec, applied = apply_hyperparameters(spec, hyperparams)
-    notes = without_effect(spec, hyperparams)
-    counts = class_counts if class_counts is not None else imb.class_count_map(train, target)
-    extra: dict = {}
-    weights = None
-    if name in ("logreg", "rf") and spec.class_weight == "balanced":
-        weights = imb.balanced_weight_map(counts)
-    elif name == "xgboost":
-        weights = imb.pos_weight_from_counts(counts, current=spec.params.get("scale_pos_weight"), tuned=applied,
-                                             class_weight=spec.class_weight)
-        if weights:
-            extra["scale_pos_weight"] = weights[1]
-        elif spec.params.get("scale_pos_weight") not in (None, 0, 1):
-            weights = {0: 1.0, 1: float(spec.params["scale_pos_weight"])}
-    data = train
-    weight_col = None
+    spec, applied = apply_hyperparameters(get_model(name, class_weight=class_weight, random_state=random_state), hyperparams)
+    logged = {**applied, **without_effect(spec, hyperparams)}
+    if name != "xgboost":
+        return spec, imb.balanced_weight_map(counts) if spec.class_weight == "balanced" else None, logged
+    weights = imb.pos_weight_from_counts(counts, current=spec.params.get("scale_pos_weight"), tuned=applied,
+                                         class_weight=spec.class_weight)
     if weights:
-        data = imb.with_weight_column(train, target, weights, WEIGHT_COL)
-        weight_col = WEIGHT_COL
+        spec.params["scale_pos_weight"] = logged["scale_pos_weight"] = weights[1]
+    return spec, None, logged
+
+
+def fit_model(name: str, train: DataFrame, feature_names: list[str], target: str, class_weight, random_state: int,
+              hyperparams: dict | None, class_counts: dict | None = None) -> tuple[PipelineModel, dict]:
+    """Fit one family (assembler + estimator) with its weighting rule; return (model, logged params)."""
+    counts = class_counts if class_counts is not None else imb.class_count_map(train, target)
+    spec, weights, logged = plan_fit(name, counts, class_weight, random_state, hyperparams)
+    data = imb.with_weight_column(train, target, weights, WEIGHT_COL) if weights else train
     total = sum(n * (weights.get(c, 1.0) if weights else 1.0) for c, n in counts.items())
-    est = spec.estimator(FEATURES_COL, target, weight_col, float(total) or 1.0)
-    model = Pipeline(stages=[assembler(feature_names), est]).fit(data)
-    return model, {**applied, **extra, **notes}
+    est = spec.estimator(FEATURES_COL, target, WEIGHT_COL if weights else None, float(total) or 1.0, weights)
+    return Pipeline(stages=[assembler(feature_names, name), est]).fit(data), logged
+
+
+def fit_together(name: str, train: DataFrame, feature_names: list[str], target: str, plans: list[tuple]) -> list[PipelineModel]:
+    """One model per plan of ``plan_fit``, all fitted in the same passes over ``train`` (families ``logreg`` and ``xgboost``)."""
+    front = assembler(feature_names, name)
+    data = front.transform(train).select(FEATURES_COL, target)
+    if name == "logreg":
+        models = linear.fit_many(data, [spec.logistic_params(weights) for spec, weights, _ in plans], FEATURES_COL, target)
+        return [PipelineModel(stages=[front, m]) for m in models]
+    out: list = [None] * len(plans)
+    bins = [int(spec.params.get("max_bins") or MAX_BINS) for spec, _, _ in plans]
+    for size in sorted(set(bins)):  # fits share their blocks only where they share their bins
+        these = [i for i, b in enumerate(bins) if b == size]
+        models = boosted.fit_many(data, [plans[i][0].boost_params() for i in these], FEATURES_COL, target, size)
+        for i, m in zip(these, models):
+            out[i] = PipelineModel(stages=[front, m])
+    return out
 
 
 def effective_class_weight(class_weight: str | None, use_smote) -> str | None:

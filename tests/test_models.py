@@ -30,14 +30,13 @@ def test_factory_and_hyperparameters(spark):
     deep, _ = apply_hyperparameters(get_model("rf"), {"max_depth": 100})
     assert deep.estimator("f", "y", None).getMaxDepth() == 30
     assert without_effect(deep, {"max_depth": 100}) == {"max_depth_used": "30"}
-    odd, applied = apply_hyperparameters(get_model("xgboost"), {"gamma": 0.5, "min_child_weight": 3, "reg_lambda": 2})
-    assert applied == {"gamma": 0.5, "min_child_weight": 3}
-    assert odd.estimator("f", "y", None).getMinInfoGain() == 0.5 and odd.estimator("f", "y", None).getMinInstancesPerNode() == 3
-    assert without_effect(odd, {"gamma": 0.5, "reg_lambda": 2}) == {"ignored": "reg_lambda"}
-    gbt = get_model("xgboost").estimator("f", "y", None)
-    assert gbt.getFeatureSubsetStrategy() == "0.8"
-    whole, _ = apply_hyperparameters(get_model("xgboost"), {"colsample_bytree": 1})
-    assert whole.estimator("f", "y", None).getFeatureSubsetStrategy() == "all"
+    odd, applied = apply_hyperparameters(get_model("xgboost"), {"gamma": 0.5, "min_child_weight": 3, "reg_lambda": 2, "tree_method": "hist"})
+    assert applied == {"gamma": 0.5, "min_child_weight": 3, "reg_lambda": 2}
+    boost = odd.estimator("f", "y", None).boost
+    assert (boost.gamma, boost.min_child_weight, boost.reg_lambda, boost.colsample_bytree) == (0.5, 3.0, 2.0, 0.8)
+    assert without_effect(odd, {"gamma": 0.5, "tree_method": "hist"}) == {"ignored": "tree_method"}
+    whole, _ = apply_hyperparameters(get_model("xgboost"), {"colsample_bytree": 1, "max_depth": 40})
+    assert whole.boost_params().colsample_bytree == 1.0 and without_effect(whole, {"max_depth": 40}) == {}
     assert models_to_train("rf", {"models": ["logreg"]}) == ["rf"]
     assert models_to_train(None, {"models": ["logreg"]}) == ["logreg"]
     assert models_to_train(None, {}) == ["logreg", "rf", "xgboost"]
