@@ -91,15 +91,30 @@ class Tree:
 
 # ---------------------------------------------------------------- binned blocks
 
-def column_cuts(rows: DataFrame, vector: Column, width: int, max_bins: int) -> list[np.ndarray]:
-    """Per column the ascending cuts between bins: of at most ``max_bins`` quantiles all but the smallest."""
+def column_cuts(rows: DataFrame, vector: Column, width: int, max_bins: int) -> tuple[list[np.ndarray], int]:
+    """Per column the ascending cuts between bins, and the row count.
+
+    A column of at most ``max_bins`` distinct values has a bin for each, others
+    are cut at as many quantiles. A cut is the smallest value of its bin.
+    """
     shares = F.array(*[F.lit(i / max_bins) for i in range(max_bins + 1)])
     values = [F.when(~F.isnan(vector[i]), vector[i]) for i in range(width)]
-    found = rows.agg(*[F.percentile_approx(v, shares, 10_000).alias(f"q{i}") for i, v in enumerate(values)]).first()
-    return [np.unique(np.asarray(q if q is not None else [], np.float64))[1:] for q in found]
-
-
-def binned_blocks(rows: DataFrame, vector: Column, label: Column, weight: Column, cuts: list[np.ndarray]) -> DataFrame:
+    found = rows.agg(F.count("*"), *[F.approx_count_distinct(v) for v in values],
+                     *[F.percentile_approx(v, shares, 10_000) for v in values]).first()
+    n, distinct, quantiles = found[0], found[1:width + 1], found[width + 1:]
+    # the estimate of a small count is nearly exact; values of the columns that may have few are listed, then counted
+    few = [i for i in range(width) if distinct[i] <= 1.2 * max_bins]
+    listed: dict[int, list[float]] = {i: [] for i in few}
+    if few:
+        each = F.inline(F.array(*[F.struct(F.lit(i).alias("column"), values[i].alias("value")) for i in few]))
+        for r in rows.select(each).where("value is not null").distinct().collect():
+            listed[r["column"]].append(r["value"])
+    bins = [listed[i] if len(listed.get(i, ())) <= max_bins and i in listed else quantiles[i] for i in range(width)]
+    return [np.unique(np.asarray(q if q is not None else [], np.float64))[1:] for q in bins], n
+
+
+def binned_blocks(rows: DataFrame, vector: Column, label: Column, weight: Column, cuts: list[np.ndarray],
+                  n: int) -> DataFrame:
     """(block, n, bins, y, w): up to ``BLOCK_ROWS`` rows each, column by column, stored in the shared folder."""
     missing = missing_bin(cuts)
 
@@ -128,7 +143,7 @@ def binned_blocks(rows: DataFrame, vector: Column, label: Column, weight: Column
             yield block(*(np.concatenate(c) for c in zip(*held)))
 
     picked = rows.select(vector.alias("x"), label.cast("int").alias("y"), weight.cast("double").alias("w"))
-    return checkpoint(picked.mapInPandas(pack, BLOCK_SCHEMA))
+    return checkpoint(picked.coalesce(max(1, -(-n // BLOCK_ROWS))).mapInPandas(pack, BLOCK_SCHEMA))
 
 
 def missing_bin(cuts: list[np.ndarray]) -> int:
@@ -261,9 +276,9 @@ def fit_boosted(rows: DataFrame, vector: Column, width: int, label: Column, weig
     if not 2 <= max_bins <= 254:
         raise ValueError(f"max_bins must lie between 2 and 254, not {max_bins}")
     ensure_checkpoint_dir(rows.sparkSession)
-    cuts = column_cuts(rows, vector, width, max_bins)
+    cuts, n = column_cuts(rows, vector, width, max_bins)
     missing = missing_bin(cuts)
-    blocks = binned_blocks(rows, vector, label, weight, cuts)
+    blocks = binned_blocks(rows, vector, label, weight, cuts, n)
     state = blocks.rdd.map(_Open(width, len(fits))).persist(StorageLevel.MEMORY_AND_DISK)
     forests: list[list[Tree]] = [[] for _ in fits]
     try:

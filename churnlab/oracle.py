@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from churnlab import tracking
-from churnlab.catalog import FLAG_WORDS, RAW_FEATURES, REQUEST_GROUP, SMOTE_K, SCORERS, THRESHOLD, CROSSTAB_DIMS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, SEED, TEST_SIZE
+from churnlab.catalog import (
+    CROSSTAB_DIMS, FLAG_WORDS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, RAW_FEATURES, REQUEST_GROUP, SCORERS, SEED, SMOTE_K, STUMP,
+    STUMP_FEATURES, TEST_SIZE, THRESHOLD,
+)
 from churnlab.functions.hashing import sql_hash, sql_uniform
+from churnlab.plans.search import PROD_SPACE
 from churnlab.sources.tables import BASE_CTE, ROLES
 
 R = ROLES
@@ -387,13 +391,31 @@ def model_sql() -> dict[str, str]:
     """What holds of a trained model's output whatever the model is: which rows it scores, and what follows from what."""
     idc, t = R.id_col, R.target
     test = prep_sql()["stratified_split"]
-    facts = "TRUE AS is_probability, TRUE AS label_follows"
+    facts = "TRUE AS is_probability, TRUE AS label_follows, TRUE AS beats_constant"
     on_test = f"SELECT {idc}, {t}, {facts} FROM ({test}) s WHERE split = 'test'"
+    long = ", ".join(f"({i}, '{c}')" for i, c in enumerate(STUMP_FEATURES))
+    pick = "CASE f.ord " + " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(STUMP_FEATURES)) + " END"
+    stump = f"""WITH s AS ({test}), tr AS (SELECT * FROM s WHERE split = 'train'),
+f(ord, name) AS (VALUES {long}),
+pw AS (SELECT CAST(COUNT(*) FILTER ({t} = 0) AS DOUBLE) / COUNT(*) FILTER ({t} = 1) AS w FROM tr),
+sums AS (SELECT f.ord, {pick} AS v, SUM(CASE WHEN {t} = 1 THEN -0.5 * pw.w ELSE 0.5 END) AS g,
+  SUM(CASE WHEN {t} = 1 THEN 0.25 * pw.w ELSE 0.25 END) AS h FROM tr, f, pw GROUP BY 1, 2),
+cum AS (SELECT ord, LEAD(v) OVER w AS cut, SUM(g) OVER w AS lg, SUM(h) OVER w AS lh,
+  SUM(g) OVER (PARTITION BY ord) AS g, SUM(h) OVER (PARTITION BY ord) AS h FROM sums WINDOW w AS (PARTITION BY ord ORDER BY v)),
+best AS (SELECT ord, cut, -{STUMP.learning_rate} * lg / (lh + {STUMP.reg_lambda}) AS wl,
+  -{STUMP.learning_rate} * (g - lg) / (h - lh + {STUMP.reg_lambda}) AS wr FROM cum
+  WHERE cut IS NOT NULL AND lh >= {STUMP.min_child_weight} AND h - lh >= {STUMP.min_child_weight}
+  ORDER BY ROUND(lg * lg / (lh + {STUMP.reg_lambda}) + (g - lg) * (g - lg) / (h - lh + {STUMP.reg_lambda})
+    - g * g / (h + {STUMP.reg_lambda}), 9) DESC, ord, cut LIMIT 1),
+p AS (SELECT {idc}, 1 / (1 + EXP(-CASE WHEN {pick.replace("f.ord", "best.ord")} < cut THEN wl ELSE wr END)) AS p
+  FROM s, best WHERE split = 'test')
+SELECT {idc}, ROUND(p, 9) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction FROM p"""
     on_all = lambda column: w(f"SELECT {idc}, TRUE AS {column} FROM base")
+    grids = ", ".join(f"('{m}', {' * '.join(str(len(v)) for v in PROD_SPACE[m].values())})" for m in PROD_SPACE["model_types"])
     g = f"CAST(FLOOR({idc} / {REQUEST_GROUP}) AS BIGINT)"
     castles = "g % 11 = 7 AND segment = 'BUILDING'"
     return {
-        "train_logreg": on_test, "train_rf": on_test, "train_gbt": on_test, "predict": on_test,
+        "train_logreg": on_test.replace(facts, facts + ", TRUE AS at_optimum"), "boosted_stump": stump, "train_rf": on_test, "train_gbt": on_test, "predict": on_test,
         "train_stage": f"""WITH s AS ({test}), n AS (SELECT COUNT(*) FILTER (WHERE split = 'train') AS n_train,
   COUNT(*) FILTER (WHERE split = 'test') AS n_test FROM s)
 SELECT run_type, model, n_metrics, n_train, n_test, n_test AS n_same_after_load
@@ -408,8 +430,9 @@ FROM n, (VALUES ('model', 'xgboost', 5), ('parent', NULL, 4)) v(run_type, model,
   CASE g % 11 WHEN 3 THEN 'all malformed' WHEN 5 THEN 'all missing columns: region' ELSE COALESCE(
     string_agg({idc} || ' unseen categories: segment', ';' ORDER BY {idc}) FILTER (WHERE {castles}), '') END AS rejected
 FROM (SELECT *, {g} AS g FROM base) x GROUP BY g"""),
-        "random_search": w("""SELECT model, 2::BIGINT AS n_trials, 2::BIGINT AS n_ids, TRUE AS score_is_best
-FROM (VALUES ('logreg'), ('rf'), ('xgboost')) v(model) WHERE EXISTS (SELECT 1 FROM base)"""),
+        # a sweep tries its whole grid, or as many points of it as the budget has
+        "random_search": w(f"""SELECT model, LEAST(points, 30)::BIGINT AS n_trials, LEAST(points, 30)::BIGINT AS n_ids, TRUE AS score_is_best
+FROM (VALUES {grids}) v(model, points) WHERE EXISTS (SELECT 1 FROM base)"""),
         **tracking.oracle_sql(),
     }
 
