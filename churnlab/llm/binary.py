@@ -87,8 +87,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     spark = docs.sparkSession
     folder = qualified(spark, folder)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    parts = max(1, -(-n // docs_per_file), -(-(size or 0) // bytes_per_file), min(n, spark.sparkContext.defaultParallelism * 2))
+    n = rows.count()
+    # Spark's own estimate of the bytes decides on the number of files only, a thousand documents each at least
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    by_bytes = min(-(-size // bytes_per_file), -(-n // 1000))
+    parts = max(1, -(-n // docs_per_file), by_bytes, min(n, spark.sparkContext.defaultParallelism * 2))
     # a hot or null doc_id is split by its texts, by their beginnings so that the ranges are found without whole texts
     ordered = rows.repartitionByRange(parts, "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
 

@@ -12,8 +12,10 @@ differently, and texts that hold the literal of an added token such as
 from __future__ import annotations
 
 import re
+import struct
 import sys
 from array import array
+from codecs import charmap_decode
 from itertools import chain
 
 from tokenizers import Tokenizer
@@ -24,9 +26,22 @@ _PIECES = re.compile(r"\s*\S+|\s+")
 _RUN = re.compile(r"( ?)([^\W\d_]*)(.*)", re.DOTALL)
 _ASCII = "".join(map(chr, range(33, 127)))
 _BIG_ENDIAN = sys.byteorder == "big"
+_RARE_SPACE = "\t\r\x0b\x0c\x85\xa0"  # with space, line end and what is odd, all white space of Latin-1
+_DOUBLE_SPACE = ("  ", " \n", "\n ", "\n\n")
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+def _single_spaced(text: str) -> bool:
+    """Whether all white space is single spaces and line ends between words; texts beyond Latin-1 are compared in full."""
+    if any(c in text for c in _RARE_SPACE):
+        return False
+    try:
+        text.isascii() or text.encode("latin-1")
+    except UnicodeEncodeError:
+        return list(chain.from_iterable(line.split(" ") for line in text.split("\n"))) == text.split()
+    return not (any(c in text for c in _DOUBLE_SPACE) or text[0] in " \n" or text[-1] in " \n")
+
+
 class _Stored(dict):
     """Values made on first use. Past ``keep`` of them the store starts anew and draws on the one before."""
 
@@ -62,10 +77,16 @@ class PieceEncoder:
         self.normalizer, self.model = self.tokenizer.normalizer, self.tokenizer.model
         self.pre_tokenizer = self.tokenizer.pre_tokenizer
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.alphabet = _Stored(lambda c: byte_level.pre_tokenize_str(c if isinstance(c, str) else chr(c))[0][0], 1 << 21)
+        # the library's letter for each byte, from characters that hold all bytes of UTF-8 (the others never occur)
+        letters = {}
+        for c in map(chr, (*range(0x800), *range(0x800, 0xD800, 0x800), *range(0xE000, 0x110000, 0x1000))):
+            letters.update(zip(c.encode(), byte_level.pre_tokenize_str(c)[0][0]))
+        self.byte_letters = "".join(letters.get(b, "\ufffe") for b in range(256))
         self.pieces = _Stored(self._piece, MAX_STORED)
         self.spaced = _Stored(self._spaced, MAX_STORED)
-        self.space = self.alphabet[" "]
+        self.space = letters[32]
+        self.tokenize = self.model.tokenize
+        self.packers = [struct.Struct(f"<{n}{self.kind}").pack for n in range(12)]
         # where the normalizer does no more to ASCII than lower its case, str.lower is a shorter way
         self.lowers = self.normalizer is not None and self.normalizer.normalize_str(_ASCII) == _ASCII.lower()
 
@@ -76,7 +97,9 @@ class PieceEncoder:
         return out.tobytes()
 
     def _word(self, word: str) -> bytes:
-        return self._bytes([t.id for t in self.model.tokenize(word)])
+        ids = [t.id for t in self.tokenize(word)]
+        n = len(ids)
+        return self.packers[n](*ids) if n < len(self.packers) else self._bytes(ids)
 
     def _normal(self, piece: str) -> str:
         if self.normalizer is None:
@@ -95,15 +118,19 @@ class PieceEncoder:
         return self._pre_tokenized(piece)
 
     def _spaced(self, word: str) -> bytes:
+        """A word behind a space, or with the line end that stands before it."""
+        if word[0] == "\n":
+            return self.pieces["\n"] + self.pieces[word[1:]]
         return self._letters(word, True) if word.isalpha() else self._piece(" " + word)
 
     def _letters(self, letters: str, space: bool) -> bytes:
         """A run of letters, which is one word of the model if it still is one when normalized."""
-        word = self._normal(letters)
+        word = letters if self.normalizer is None else self._normal(letters)
         if not word.isascii():
-            if not word.isalpha():
+            if self.normalizer is not None and not word.isalpha():
                 return self._pre_tokenized(" " + letters if space else letters)
-            word = word.translate(self.alphabet)  # its bytes in the library's own alphabet; ASCII letters stand for themselves
+            # its bytes in the library's own alphabet; ASCII letters stand for themselves
+            word = charmap_decode(word.encode(), "strict", self.byte_letters)[0]
         elif not word.isalpha():
             return self._pre_tokenized(" " + letters if space else letters)
         return self._word(self.space + word if space else word)
@@ -116,18 +143,13 @@ class PieceEncoder:
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if self.lowers and text.isascii():
             text = text.lower()
-        words, get = text.split(), self.pieces.__getitem__
         if not self.keeps_space:
-            return b"".join(map(get, words))
-        lines = [line.split(" ") for line in text.split("\n")]
-        if list(chain.from_iterable(lines)) != words:
-            return b"".join(map(get, _PIECES.findall(text)))
-        # every white space is a single space or line end between two words
-        out: list[bytes] = []
-        for line in lines:
-            out += (get("\n"), get(line[0]))
-            out += map(self.spaced.__getitem__, line[1:])
-        return b"".join(out[1:])
+            return b"".join(map(self.pieces.__getitem__, text.split()))
+        if not _single_spaced(text):
+            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text)))
+        # every white space is a single space or line end between two words: a word goes with the one before it
+        first, *words = text.replace("\n", " \n").split(" ")
+        return self.pieces[first] + b"".join(map(self.spaced.__getitem__, words))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One bytes object per text; null and empty texts give no ids."""

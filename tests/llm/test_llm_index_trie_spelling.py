@@ -75,7 +75,10 @@ def test_digest_index_is_read_again_and_ignores_unfinished_deliveries(spark):
     assert sorted((r.doc_id or 0, r.text) for r in new.collect()) == [(0, "four"), (5, "three")]
     assert digestindex.keep_new(second.limit(0), again).count() == 0
     sizes = {r.group_size for r in again.groups().collect()}
+    again.close()
     assert sizes == {3, 1}
+    # closed, the files are still there for the next one
+    assert digestindex.DigestIndex(spark, folder).groups().count() == 4
 
 
 def test_digest_index_joins_in_buckets_without_python(spark):

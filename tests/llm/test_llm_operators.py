@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from churnlab.llm import binary, decontaminate, langid, neardup, packing, rabitq, tokens, toxicity
+from churnlab.llm import common
 from churnlab.llm.common import new_folder
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, k1 string, node int, _n1 int, u int, bands int, "
@@ -79,6 +80,16 @@ def reference_classes(rows, idf, threshold=0.8):
     return out, close
 
 
+def test_texts_that_share_half_their_key_stay_apart(spark, monkeypatch):
+    """With 5 bits for the first half of the key nearly all texts share it."""
+    few = lambda: tuple((F.pmod(k, F.lit(32)) if i == 0 else k).alias(f"k{i + 1}") for i, k in enumerate(common.text_key()))
+    monkeypatch.setattr(neardup, "text_key", few)
+    rows = corpus(np.random.default_rng(8))
+    docs = make(spark, rows)
+    got = {(r["doc_id"], r["class_id"]) for r in neardup.near_duplicates(docs).collect()}
+    assert got == reference_classes(rows, neardup.idf_table(docs))[0]
+
+
 def test_near_duplicates_against_brute_force(spark):
     rows = corpus(np.random.default_rng(3))
     docs = make(spark, rows)
@@ -157,10 +168,12 @@ def test_containment_against_brute_force(spark):
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, doc_id int")
     want = []
     for i, t, _, _ in rows:
-        grams = decontaminate.shingle_set(t or "")
+        # an item of fewer than five words is looked for among shingles of as many words
+        grams = [decontaminate.shingle_set(t or "", width) for width in range(1, 6)]
         for j, q in items:
-            own = decontaminate.shingle_set(q or "")
-            if own and len(own & grams) / len(own) >= 0.8:
+            width = min(5, len(decontaminate.words_of(q or "")))
+            own, grams_of_width = decontaminate.shingle_set(q or "", max(1, width)), grams[width - 1]
+            if own and len(own & grams_of_width) / len(own) >= 0.8:
                 want.append((i, j))
     got = [(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(docs, bench).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
