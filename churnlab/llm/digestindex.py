@@ -97,6 +97,11 @@ class DigestIndex:
         return self._read("entries").join(again.hint("merge"), "digest", "left").select(
             "digest", (F.col("n") + F.coalesce("more", F.lit(0))).alias("group_size"), F.least("best", "other").alias("best"))
 
+    def close(self) -> None:
+        """Take the session's names for the files out of its catalog; the files stay."""
+        for table in self.tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
 
 def memberships(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256): one row per row of ``rows``.

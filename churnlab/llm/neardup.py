@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,9 +147,8 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return both / total if total else 0.0
 
 
-def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(doc_id, k1, k2, bands) of all non-null texts, map-only; texts without a shingle have no bands."""
-    sent = docs.sparkSession.sparkContext.broadcast(idf)
+def signatures(docs: DataFrame, sent: Broadcast) -> DataFrame:
+    """(doc_id, k1, k2, bands) of all non-null texts, map-only; texts without a shingle have no bands. ``sent`` is the idf table."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -164,9 +164,8 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
         sign, "doc_id long, k1 long, k2 long, bands array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, sent: Broadcast, threshold: float) -> DataFrame:
     """The rows of ``pairs`` (u, v) whose texts are at least ``threshold`` similar."""
-    sent = texts.sparkSession.sparkContext.broadcast(idf)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,8 +188,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: fl
     return both.select("u", "v", "text_u", "text_v").mapInPandas(verify, "u long, v long")
 
 
-def _open_links(still: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
-    """Links (u, v) between classes within the bands of ``still`` (band, node, component).
+def _open_links(still: DataFrame, texts: DataFrame, sent: Broadcast, threshold: float) -> DataFrame:
+    """Links (u, v) of classes, by their names, within the bands of ``still`` (band, node, component).
 
     Per band, members outside the largest class are dealt into blocks, all
     members likewise, and a task gets one block of either kind.
@@ -208,7 +207,6 @@ def _open_links(still: DataFrame, texts: DataFrame, idf: np.ndarray, threshold:
     every = rows.select("band", count("n_out").alias("i"), block("n_all").alias("j"), F.lit(False).alias("out"), "node", "component")
     dealt = out.unionByName(every).join(texts, "node")
     dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    sent = texts.sparkSession.sparkContext.broadcast(idf)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = None
@@ -227,7 +225,7 @@ def _open_links(still: DataFrame, texts: DataFrame, idf: np.ndarray, threshold:
 
 
 def block_links(rows: pd.DataFrame, idf: np.ndarray, threshold: float) -> list[tuple[int, int]]:
-    """A spanning set of the links between the classes of one pair of blocks (columns out, node, component, text)."""
+    """A spanning set of the linked pairs of classes in one pair of blocks (columns out, node, component, text)."""
     one = rows.drop_duplicates("node")
     nodes, texts = one["node"].to_numpy(), one["text"].tolist()
     place = {n: i for i, n in enumerate(nodes.tolist())}
@@ -272,26 +270,24 @@ def block_links(rows: pd.DataFrame, idf: np.ndarray, threshold: float) -> list[t
         a, b = find(int(component[mine[i]])), find(int(component[theirs[j]]))
         if a != b:
             root[a] = b
-            found.append((int(nodes[mine[i]]), int(nodes[theirs[j]])))
+            found.append((int(component[mine[i]]), int(component[theirs[j]])))
     return found
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, k1, k2, class_id, stays, copies): one row per distinct (doc_id, text); null texts are left out.
 
-    Texts are the nodes, each under 64 bits of its hash, so null and repeated
-    doc_ids do no harm. ``class_id`` is the smallest doc_id (null if all are)
+    Texts are the nodes, so null and repeated doc_ids do no harm; texts of any
+    length are compared whole. ``class_id`` is the smallest doc_id (null if all are)
     among the texts linked to this one, directly or over others; ``stays`` marks
     one row of each class, that of the smallest doc_id and text key; ``copies``
     counts the rows with this doc_id and text. Texts without a word link only to
     equal texts. An empty table gives an empty result; other columns are not
     read.
     """
-    idf = idf_table(docs)
-    signed = store(signatures(docs, idf), "signatures")
-    # every copy has its text's bands; one row per text goes on
-    nodes = store(signed.groupBy(F.col("k1").alias("node")).agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands")),
-                  "texts")
+    sent = docs.sparkSession.sparkContext.broadcast(idf_table(docs))
+    signed = store(signatures(docs, sent), "signatures")
+    signed, nodes = _nodes(signed)
     rows = store(nodes.select("node", F.explode("bands").alias("band")), "bands")
 
     shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
@@ -303,31 +299,62 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     near_leader = members.join(leaders, "band").where("node <> u").select("u", F.col("node").alias("v")).distinct()
     near_leader = store(near_leader, "leader-pairs")
     texts = _candidate_texts(docs, nodes, near_leader)
-    links = store(_verified(near_leader, texts, idf, threshold), "leader-links")
+    links = store(_verified(near_leader, texts, sent, threshold), "leader-links")
 
     # the members of bands that still hold several classes
-    placed = members.join(components(links), "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+    classes = store(components(links), "classes")
+    placed = members.join(classes, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     open_bands = placed.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where(
         "a <> b").select("band")
     still = store(placed.join(open_bands, "band", "left_semi"), "open-bands")
-    more = store(_open_links(still, texts, idf, threshold), "class-links")
-    joined = store(components(links.unionByName(more)), "classes")
-
-    named = (signed.groupBy("doc_id", "k1", "k2").agg(F.count("*").alias("copies"))
-             .join(joined, F.col("k1") == F.col("node"), "left")
-             .select("doc_id", "k1", "k2", "copies", F.coalesce("component", "k1").alias("component")))
+    more = store(_open_links(still, texts, sent, threshold), "class-links")
+    sent.destroy()
+    joined = classes
+    if not more.isEmpty():
+        # links between classes merge whole classes, so only the classes' names go through another run
+        merged = store(components(more), "merged-classes").select(F.col("node").alias("name"), F.col("component").alias("whole"))
+        known = classes.join(merged, F.col("component") == F.col("name"), "left").select(
+            "node", F.coalesce("whole", "component").alias("component"))
+        alone = merged.join(classes, F.col("name") == F.col("node"), "left_anti").select(
+            F.col("name").alias("node"), F.col("whole").alias("component"))
+        joined = store(known.unionByName(alone), "joined-classes")
+
+    named = (signed.groupBy("doc_id", "k1", "k2", "node").agg(F.count("*").alias("copies"))
+             .join(joined, "node", "left")
+             .select("doc_id", "k1", "k2", "copies", F.coalesce("component", "node").alias("component")))
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
     first = named.groupBy("component").agg(F.min(row).alias("first"))
     return named.join(first, "component").select(
         "doc_id", "k1", "k2", F.col("first.doc_id").alias("class_id"), row.eqNullSafe(F.col("first")).alias("stays"), "copies")
 
 
+def _nodes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``signed`` with ``node``, and one row per text (node, k1, k2, rep, bands); every copy has its text's bands.
+
+    A text's node is the first 64 bits of its key. Where different texts share
+    these, which their other 64 bits show, all but one get another node.
+    """
+    signed = signed.withColumn("node", F.col("k1"))
+
+    def of(signed: DataFrame, k2) -> DataFrame:
+        return signed.groupBy("node").agg(F.min("k1").alias("k1"), F.min("k2").alias("k2"), k2.alias("last"), F.min("doc_id").alias("rep"),
+                                          F.min("bands").alias("bands"))
+
+    nodes = store(of(signed, F.max("k2")), "texts")
+    shared = nodes.where("k2 <> last").select(F.col("k1").alias("s1"), F.col("k2").alias("s2"))
+    if not shared.isEmpty():
+        signed = signed.join(shared, F.col("k1") == F.col("s1"), "left").withColumn("node", F.when(
+            F.col("k2") != F.col("s2"), F.xxhash64(F.lit("another"), "k1", "k2")).otherwise(F.col("k1"))).drop("s1", "s2")
+        nodes = store(of(signed, F.max("k2")), "texts")
+    return signed, nodes
+
+
 def _candidate_texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, text) of the texts that have a candidate: one row per text, stored."""
     wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    keys = nodes.join(wanted, "node", "left_semi").select("node", "rep")
-    own = docs.where("text is not null").select("doc_id", "text", text_key()[0])
-    found = own.join(keys, (F.col("k1") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    keys = nodes.join(wanted, "node", "left_semi").select("node", F.col("k1").alias("n1"), F.col("k2").alias("n2"), "rep")
+    own = docs.where("text is not null").select("doc_id", "text", *text_key())
+    found = own.join(keys, (F.col("k1") == F.col("n1")) & (F.col("k2") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     return store(found.groupBy("node").agg(F.first("text").alias("text")), "candidate-texts")
 
 

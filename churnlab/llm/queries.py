@@ -96,7 +96,9 @@ def op11_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     side = F.xxhash64("doc_id")
     index.add(rows.where(side < 0))
     index.add(rows.where(side >= 0))
-    return digestindex.memberships(rows, index.groups())
+    found = digestindex.memberships(rows, index.groups())
+    index.close()
+    return found
 
 
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
