@@ -10,6 +10,7 @@ import hashlib
 import math
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from churnlab.operators import prep
 from churnlab.operators import profile as prof
 from churnlab.operators.boosting import BoostParams
 from churnlab.operators.joins import unpivot
+from churnlab.operators.profilestore import add_parts, merged_profile, profile_parts, read_parts
 from churnlab.operators.select import metrics_by_model, select_best
 from churnlab.plans.prepare import PrepOptions, Prepared, load_prepared, prepare
 from churnlab.plans.scoring import (
@@ -34,7 +36,7 @@ from churnlab.plans.scoring import (
     score_batch,
     score_requests,
 )
-from churnlab.plans.search import PROD_SPACE, SearchConfig, random_search
+from churnlab.plans.search import PROD_SPACE, SearchConfig, fold_of, random_search
 from churnlab.plans import boosted
 from churnlab.plans.train import (
     TrainConfig,
@@ -66,14 +68,11 @@ SMOTE_K = 5
 
 
 def _input_state(spark: SparkSession, sf: str) -> str:
-    """Names, sizes and times of the input files of the churn table: changed data gets new stored tables."""
-    state = []
-    for table in ("customer", "orders", "nation", "region"):
-        files = spark.read.format("binaryFile").load(f"{sf.rstrip('/')}/{table}.parquet")
-        row = files.agg(F.count("*"), F.sum("length"), F.sum(F.xxhash64("path", "length", "modificationTime").cast(
-            "decimal(38,0)"))).first()
-        state.append(tuple(row))
-    return repr(state)
+    """Names, sizes and times of the input files of the churn table, by one job: changed data gets new stored tables."""
+    paths = [f"{sf.rstrip('/')}/{table}.parquet" for table in ("customer", "orders", "nation", "region")]
+    files = spark.read.format("binaryFile").load(paths)
+    mark = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return repr(tuple(files.agg(F.count("*"), F.sum("length"), F.sum(mark)).first()))
 
 
 def _stored_path(spark: SparkSession, name: str, sf: str) -> str:
@@ -105,10 +104,31 @@ def _duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return prof.duplicate_count(b.unionByName(b.where(F.col(R.id_col) % 7 == 0)))
 
 
+def _merged_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile by region, the last region added to the store later, merged: exact figures, and whether the sketches hold.
+
+    A quartile holds if its rank is within 2 % of the wanted share, a distinct
+    count if it is within 5 % of the exact one.
+    """
+    b, path = _base(spark, sf), scratch_path(spark, "profile-store")
+    late = F.col("region") == "EUROPE"
+    add_parts(profile_parts(b.where(~late), list(R.numeric), "region"), path)
+    add_parts(profile_parts(b.where(late), list(R.numeric), "region"), path)
+    merged = merged_profile(read_parts(spark, path))
+    long = unpivot(b, [], list(R.numeric), "column_name", "value", cast="double").join(merged, "column_name")
+    shares = [F.avg((F.col("value") <= F.col(q)).cast("double")) >= p - 0.02 for q, p in prof.QUARTILES.items()]
+    shares += [F.avg((F.col("value") < F.col(q)).cast("double")) <= p + 0.02 for q, p in prof.QUARTILES.items()]
+    held = long.groupBy("column_name").agg(
+        reduce(lambda a, c: a & c, shares).alias("quartiles_hold"),
+        (F.abs(F.count_distinct("value") - F.max("unique_count")) <= 0.05 * F.count_distinct("value") + 1).alias("distinct_holds"))
+    return round_doubles(merged.select("column_name", "n_rows", "n", "mean", "std", "min", "max"), 6).join(held, "column_name")
+
+
 def _profile_queries() -> dict[str, Query]:
     t = R.target
     return {
         "scan_parquet": lambda s, sf: base_table(s, sf),
+        "merged_profile": _merged_profile,
         "profile_info": lambda s, sf: prof.profile_info(_base(s, sf)),
         "describe": lambda s, sf: prof.describe(_base(s, sf)),
         # on the union of parts with different columns: the part without acct_balance yields nulls
@@ -470,7 +490,7 @@ def _serving(spark: SparkSession, sf: str):
     p = _prepared_stored(spark, sf)
     if not _exists(spark, path + "/metadata"):
         p, res = _train_one(spark, sf, "logreg")
-        pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+        pipe = as_pipeline(p.encoder, p.scaler_params, p.feature_names, res.best_model)
         save_model(pipe, path)
         register_model(spark, _stored_path(spark, "model-registry", sf), "logreg-serving", path, res.results["logreg"].run_id)
     return p, load_model(path)
@@ -488,7 +508,7 @@ def _raw_test(spark: SparkSession, sf: str) -> DataFrame:
 def _as_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """All raw rows through the pipeline against the prepared rows through the bare model."""
     p, res = _train_one(spark, sf, "logreg")
-    pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+    pipe = as_pipeline(p.encoder, p.scaler_params, p.feature_names, res.best_model)
     direct = with_probability(res.best_model.transform(p.data)).select(R.id_col, F.col("p1").alias("_p"))
     both = score_batch(pipe, _base(spark, sf), [R.id_col]).join(direct, R.id_col)
     return both.select(R.id_col, (F.abs(F.col("probability") - F.col("_p")) < 1e-9).alias("same"))
@@ -563,6 +583,26 @@ def _search_facts(spark: SparkSession, sf: str) -> DataFrame:
         "model", "n_trials", "n_ids", (F.col("metrics")["score"] == F.col("_best")).alias("score_is_best"))
 
 
+OOF_FOLDS = 3
+OOF_SPACE = {"model_types": ["logreg", "xgboost"], "use_smote": ["false"], "logreg": PROD_SPACE["logreg"],
+             "xgboost": {"n_estimators": [10, 20], "max_depth": [3], "learning_rate": [0.1], "reg_lambda": [1.0, 10.0]}}
+
+
+def _search_out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Trials chosen without the test rows: those are left out of the input, so a trial that asked for one would fail."""
+    p = _prepared_stored(spark, sf)
+    train = p.data.where(F.col("split") == "train")
+    cfg = SearchConfig(space=OOF_SPACE, max_trials=30, max_concurrent=4, experiment="oof", sweep_name="oof", folds=OOF_FOLDS)
+    runs = random_search(spark, train, p.feature_names, R.target, cfg, int_features=p.encoded_columns)
+    folds = train.select(fold_of(R.id_col, cfg.seed, OOF_FOLDS).alias("fold")).groupBy().agg(
+        *[F.count_if(F.col("fold") == f).alias(f"fold_{f}") for f in range(OOF_FOLDS)]).first()
+    trials = runs.where(F.col("run_type") == "trial")
+    return trials.groupBy("model").agg(
+        F.count("*").alias("n_trials"), F.min(F.col("tags")["scored_rows"].cast("long")).alias("scored_rows"),
+        F.min(F.col("metrics")["roc_auc"].between(0, 1)).alias("scores_hold")).withColumns(
+        {f"fold_{f}": F.lit(folds[f]) for f in range(OOF_FOLDS)})
+
+
 def _model_queries() -> dict[str, Query]:
     return {
         "train_logreg": _trained_family("logreg"),
@@ -578,6 +618,7 @@ def _model_queries() -> dict[str, Query]:
         "score_requests": _score_requests,
         "score_stream": _score_stream,
         "random_search": _search_facts,
+        "search_out_of_fold": _search_out_of_fold,
         **tracking.queries(_base),
     }
 

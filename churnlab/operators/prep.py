@@ -30,7 +30,11 @@ def class_quotas(df: DataFrame, target: str | None, test_size: float) -> DataFra
     over the class table, one row per class.
     """
     cls = F.col(target) if target else F.lit(0)
-    sizes = df.groupBy(cls.alias("cls")).agg(F.count("*").alias("n_c"))
+    return quotas_of(df.groupBy(cls.alias("cls")).agg(F.count("*").alias("n_c")), test_size)
+
+
+def quotas_of(sizes: DataFrame, test_size: float) -> DataFrame:
+    """``class_quotas`` from the class sizes (cls, n_c)."""
     everything = Window.partitionBy(F.lit(0))
     n = F.sum("n_c").over(everything)
     n_test = F.ceil(F.lit(float(test_size)) * n)
@@ -94,6 +98,12 @@ def stratified_split(df: DataFrame, id_col: str, target: str | None, test_size:
         digits = digits_for(quotas.agg(F.max("n_c")).first()[0] or 0)
     rows = df.select(cls.alias("cls"), h.alias("h"), F.col(id_col).alias("id"))
     cuts = checkpoint(quota_cuts(rows, quotas.select("cls", F.col("n_test_c").alias("quota")), digits))
+    return split_by_cuts(df, id_col, target, cuts, seed, split_col)
+
+
+def split_by_cuts(df: DataFrame, id_col: str, target: str | None, cuts: DataFrame, seed: int, split_col: str = "split") -> DataFrame:
+    """Add ``split`` by comparing each row's (hash, id) with its class's cut; ``cuts`` has one row per class."""
+    cls, h = F.col(target) if target else F.lit(0), seeded_hash(seed, F.col(id_col))
     cuts = cuts.select(F.col("cls").alias("_cls"), F.col("cut_h").alias("_cut_h"), F.col("cut_id").alias("_cut_id"))
     in_test = (h < F.col("_cut_h")) | ((h == F.col("_cut_h")) & (F.col(id_col) <= F.col("_cut_id")))
     return (df.join(cuts, cls.eqNullSafe(F.col("_cls")), "left")
@@ -130,7 +140,11 @@ def encode_fit(train: DataFrame, columns) -> DataFrame:
     for c in cols:
         parts.append(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
                               (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("_num")))
-    values = train.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct()
+    return number_values(train.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct())
+
+
+def number_values(values: DataFrame) -> DataFrame:
+    """The encoder table of distinct values (column_name, value, _num)."""
     order = ["column_name", "_num", "value"]
     values = checkpoint(values)
     # Ranges of sorted values, one task each; a value's code is its place in its range plus the ranges before.
@@ -144,14 +158,6 @@ def encode_fit(train: DataFrame, columns) -> DataFrame:
         "column_name", "value", (F.col("_start") + F.row_number().over(inside) - 1).cast("int").alias("code"))
 
 
-def encoder_labels(encoder: DataFrame) -> dict[str, dict[str, int]]:
-    """All fitted codes per column on the driver, for a serving model that holds its labels as parameters."""
-    maps: dict[str, dict[str, int]] = {}
-    for r in encoder.collect():
-        maps.setdefault(r["column_name"], {})[r["value"]] = r["code"]
-    return maps
-
-
 def encode_transform(df: DataFrame, encoder: DataFrame, columns, handle_invalid: str = "error") -> DataFrame:
     """Replace each categorical by its code: one left join with the encoder's rows per column.
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlab.operators.corr import correlations
 from churnlab.operators.joins import unpivot
 from churnlab.operators.quantiles import quantiles_wide
 from churnlab.session import checkpoint
@@ -258,17 +259,10 @@ def _pair_r(a: str, b: str):
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson, pairwise-complete; (a, b, r), all ordered pairs; constant column -> null.
 
-    One aggregate over the upper triangle (p(p+1)/2 correlations) and a
-    mirror; no ``corr`` (it raises on constant columns under ANSI).
+    One job for any number of columns (``operators/corr.py``); no ``corr`` (it
+    raises on constant columns under ANSI).
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[_pair_r(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"r{i}").alias("r")))
-    return wide.select(F.inline(F.array(*structs))).select("a", "b", _r(F.col("r")).alias("r"))
+    return correlations(df, columns).select("a", "b", _r(F.col("r")).alias("r"))
 
 
 def target_corr(df: DataFrame, columns: list[str], target: str) -> DataFrame:

@@ -10,7 +10,7 @@ column into one reducer. Here, for any size:
    and stored with the number of their range;
 3. range totals give each range's first rank within its (group, column);
 4. only the ranges holding a wanted rank are ordered, by a window partitioned
-   by (group, column, range) -- about ROWS_PER_RANGE values each.
+   by (group, column, range).
 
 The result equals NumPy/pandas ``quantile`` (linear) and DuckDB ``quantile_cont``.
 """
@@ -22,16 +22,15 @@ from pyspark.sql import functions as F
 
 from churnlab.session import checkpoint
 
-ROWS_PER_RANGE = 200_000
-MIN_RANGES = 4
-
 
 def in_ranges(df: DataFrame, columns: list[str], ranges: int | None = None) -> DataFrame:
-    """``df`` stored in ranges of ``columns``, numbered in order by ``_b``; as many ranges as the rows need."""
-    if ranges is None:
-        df = checkpoint(df)
-        ranges = max(MIN_RANGES, -(-df.count() // ROWS_PER_RANGE))
-    return checkpoint(df.repartitionByRange(ranges, *columns).withColumn("_b", F.spark_partition_id()))
+    """``df`` stored once, in ranges of ``columns`` numbered in order by ``_b``.
+
+    Unless given there are as many ranges as the session has shuffle partitions,
+    less those that adaptive execution merges because they are small.
+    """
+    dealt = df.repartitionByRange(ranges, *columns) if ranges else df.repartitionByRange(*columns)
+    return checkpoint(dealt.withColumn("_b", F.spark_partition_id()))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], group_cols: list[str] | None = None,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from churnlab import tracking
 from churnlab.catalog import (
-    CROSSTAB_DIMS, FLAG_WORDS, HEAD_N, HIGH_CARD_THRESHOLD, RATE_DIMS, RAW_FEATURES, REQUEST_GROUP, SCORERS, SEED, SMOTE_K, STUMP,
+    CROSSTAB_DIMS, FLAG_WORDS, HEAD_N, HIGH_CARD_THRESHOLD, OOF_FOLDS, OOF_SPACE, RATE_DIMS, RAW_FEATURES, REQUEST_GROUP, SCORERS, SEED, SMOTE_K, STUMP,
     STUMP_FEATURES, TEST_SIZE, THRESHOLD,
 )
 from churnlab.functions.hashing import sql_hash, sql_uniform
@@ -68,6 +68,11 @@ def profile_sql() -> dict[str, str]:
             f"{_r(f'MIN({x})')} AS min, {_r(f'QUANTILE_CONT({x}, 0.25)')} AS q25, {_r(f'QUANTILE_CONT({x}, 0.5)')} AS q50, "
             f"{_r(f'QUANTILE_CONT({x}, 0.75)')} AS q75, {_r(f'MAX({x})')} AS max FROM base")
     out["describe"] = w(_union(desc))
+    moments = [(c, f"CAST({c} AS DOUBLE)") for c in ROLES.numeric]
+    out["merged_profile"] = w(_union([
+        f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT({x}) AS n, {_r(f'AVG({x})')} AS mean, {_r(f'STDDEV_SAMP({x})')} AS std, "
+        f"{_r(f'MIN({x})')} AS min, {_r(f'MAX({x})')} AS max, TRUE AS quartiles_hold, TRUE AS distinct_holds FROM base"
+        for c, x in moments]))
     out["null_counts"] = w(f", u AS ({UNION_SQL})\nSELECT * FROM (" + _union([
         f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM u"
         for c, _ in BASE_COLUMNS]) + ") z WHERE n_null > 0")
@@ -395,7 +400,7 @@ def model_sql() -> dict[str, str]:
     on_test = f"SELECT {idc}, {t}, {facts} FROM ({test}) s WHERE split = 'test'"
     long = ", ".join(f"({i}, '{c}')" for i, c in enumerate(STUMP_FEATURES))
     pick = "CASE f.ord " + " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(STUMP_FEATURES)) + " END"
-    stump = f"""WITH s AS ({test}), tr AS (SELECT * FROM s WHERE split = 'train'),
+    stump = w(", " + split_cte("s", True) + f""", tr AS (SELECT * FROM s WHERE split = 'train'),
 f(ord, name) AS (VALUES {long}),
 pw AS (SELECT CAST(COUNT(*) FILTER ({t} = 0) AS DOUBLE) / COUNT(*) FILTER ({t} = 1) AS w FROM tr),
 sums AS (SELECT f.ord, {pick} AS v, SUM(CASE WHEN {t} = 1 THEN -0.5 * pw.w ELSE 0.5 END) AS g,
@@ -409,9 +414,11 @@ best AS (SELECT ord, cut, -{STUMP.learning_rate} * lg / (lh + {STUMP.reg_lambda}
     - g * g / (h + {STUMP.reg_lambda}), 9) DESC, ord, cut LIMIT 1),
 p AS (SELECT {idc}, 1 / (1 + EXP(-CASE WHEN {pick.replace("f.ord", "best.ord")} < cut THEN wl ELSE wr END)) AS p
   FROM s, best WHERE split = 'test')
-SELECT {idc}, ROUND(p, 9) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction FROM p"""
+SELECT {idc}, ROUND(p, 9) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction FROM p""")
     on_all = lambda column: w(f"SELECT {idc}, TRUE AS {column} FROM base")
-    grids = ", ".join(f"('{m}', {' * '.join(str(len(v)) for v in PROD_SPACE[m].values())})" for m in PROD_SPACE["model_types"])
+    points = lambda space, m: " * ".join(str(len(v)) for v in space[m].values())
+    oof = ", ".join(f"('{m}', CAST({points(OOF_SPACE, m)} AS BIGINT))" for m in OOF_SPACE["model_types"])
+    grids = ", ".join(f"('{m}', {points(PROD_SPACE, m)})" for m in PROD_SPACE["model_types"])
     g = f"CAST(FLOOR({idc} / {REQUEST_GROUP}) AS BIGINT)"
     castles = "g % 11 = 7 AND segment = 'BUILDING'"
     return {
@@ -433,6 +440,11 @@ FROM (SELECT *, {g} AS g FROM base) x GROUP BY g"""),
         # a sweep tries its whole grid, or as many points of it as the budget has
         "random_search": w(f"""SELECT model, LEAST(points, 30)::BIGINT AS n_trials, LEAST(points, 30)::BIGINT AS n_ids, TRUE AS score_is_best
 FROM (VALUES {grids}) v(model, points) WHERE EXISTS (SELECT 1 FROM base)"""),
+        "search_out_of_fold": w(", " + split_cte("s", True) + f""", f AS (
+  SELECT CAST('0x' || substr({sql_hash(SEED, "'fold'", idc)}, 1, 8) AS BIGINT) % {OOF_FOLDS} AS fold FROM s WHERE split = 'train')
+SELECT model, n_trials, (SELECT COUNT(*) FROM f) AS scored_rows, TRUE AS scores_hold,
+  {", ".join(f"(SELECT COUNT(*) FROM f WHERE fold = {i}) AS fold_{i}" for i in range(OOF_FOLDS))}
+FROM (VALUES {oof}) v(model, n_trials)"""),
         **tracking.oracle_sql(),
     }
 

@@ -7,10 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlab.session import checkpoint
-
 from churnlab.operators import prep
 from churnlab.operators.columns import numeric_names, remove_columns
+from churnlab.operators.prepfit import fit_in_one_scan
 from churnlab.sources.tables import ROLES, Roles
 
 METADATA_SCHEMA = (
@@ -38,17 +37,16 @@ class Prepared:
     dropped_columns: list[str]
     scaler_params: dict
     options: PrepOptions
-
-    @property
-    def encoder_maps(self) -> dict:
-        """The codes as driver-side labels, for a serving model."""
-        return prep.encoder_labels(self.encoder)
+    sizes: tuple[int, int] | None = None  # rows of train and test, where the fit has counted them
 
     def metadata(self) -> DataFrame:
-        """One-row metadata table; counts from one grouped pass over the stored split."""
+        """One-row metadata table; the counts are the fit's, or from one pass over the stored split."""
         r = self.options.roles
-        counts = self.data.groupBy().agg(F.count_if(F.col("split") == "train").alias("n_train"),
-                                         F.count_if(F.col("split") == "test").alias("n_test"))
+        if self.sizes is not None:
+            counts = self.data.sparkSession.createDataFrame([self.sizes], "n_train bigint, n_test bigint")
+        else:
+            counts = self.data.groupBy().agg(F.count_if(F.col("split") == "train").alias("n_train"),
+                                             F.count_if(F.col("split") == "test").alias("n_test"))
         arr = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
         return counts.select(arr(self.feature_names).alias("feature_names"), F.lit(r.target).alias("target_name"),
                              "n_train", "n_test", arr(self.encoded_columns).alias("categorical_encoded_columns"),
@@ -56,39 +54,32 @@ class Prepared:
                              arr(self.dropped_columns).alias("dropped_columns"))
 
 
-def split_frame(df: DataFrame, opts: PrepOptions) -> tuple[DataFrame, list[str]]:
-    """Drop configured columns (keeping the row id), check the target, add ``split``."""
-    r = opts.roles
-    to_drop = [c for c in r.drop if c != r.id_col]
-    kept, removed = remove_columns(df, to_drop)
-    dropped = removed + ([r.id_col] if r.id_col in r.drop and r.id_col in df.columns else [])
-    if r.target not in kept.columns:
-        raise ValueError(f"the data has no column '{r.target}' to predict")
-    target = r.target if opts.stratify else None
-    split = prep.stratified_split(kept, r.id_col, target, opts.test_size, opts.seed)
-    return split, [c for c in r.drop if c in dropped]
-
-
 def prepare(df: DataFrame, opts: PrepOptions | None = None) -> Prepared:
-    """Fit on train, apply to both parts.
+    """Fit on train, apply to both parts: two scans of ``df``.
 
-    The split is a comparison with one stored cut per class, so both fits and
-    the output read ``df`` itself; no copy of the table is written in between.
+    One scan gives the cuts of the split, the encoder and the scaler
+    (``fit_in_one_scan``); the output is the second. The split is a comparison
+    with one stored cut per class, so no copy of the table is written in between.
     """
     opts = opts or PrepOptions()
     r = opts.roles
-    split, dropped = split_frame(df, opts)
-    features = [c for c in split.columns if c not in (r.id_col, r.target, "split")]
-    train = split.where(F.col("split") == "train")
-    encoder = checkpoint(prep.encode_fit(train, r.categorical))
+    kept, removed = remove_columns(df, [c for c in r.drop if c != r.id_col])
+    if r.id_col in r.drop and r.id_col in df.columns:
+        removed = removed + [r.id_col]
+    dropped = [c for c in r.drop if c in removed]
+    if r.target not in kept.columns:
+        raise ValueError(f"the data has no column '{r.target}' to predict")
+    target = r.target if opts.stratify else None
+    features = [c for c in kept.columns if c not in (r.id_col, r.target)]
     encoded_cols = [c for c in r.categorical if c in features]
-    encoded = prep.encode_transform(split, encoder, encoded_cols)
-    scaled_cols = [c for c in numeric_names(encoded.select(*features)) if c not in encoded_cols]
-    scaler = prep.scale_fit(encoded.where(F.col("split") == "train"), scaled_cols)
-    params = prep.scaler_params(scaler)
-    data = prep.scale_transform(encoded, params, scaled_cols)
+    scaled_cols = [c for c in numeric_names(kept.select(*features)) if c not in encoded_cols]
+    fitted = fit_in_one_scan(kept, r.id_col, target, encoded_cols, scaled_cols, opts.test_size, opts.seed)
+    split = prep.split_by_cuts(kept, r.id_col, target, fitted.cuts, opts.seed)
+    params = prep.scaler_params(fitted.scaler)
+    data = prep.scale_transform(prep.encode_transform(split, fitted.encoder, encoded_cols), params, scaled_cols)
     data = data.select(r.id_col, *features, r.target, "split")
-    return Prepared(data, encoder, scaler, features, encoded_cols, scaled_cols, dropped, params, opts)
+    return Prepared(data, fitted.encoder, fitted.scaler, features, encoded_cols, scaled_cols, dropped, params, opts,
+                    (fitted.n_train, fitted.n_test))
 
 
 def load_prepared(spark, path: str, opts: PrepOptions | None = None) -> Prepared:

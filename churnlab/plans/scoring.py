@@ -8,12 +8,14 @@ request carries raw values and cannot skew from training.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlab.plans.encoding import INDEX_SUFFIX, TableEncoderModel
+
 REQUEST_SCHEMA = T.StructType([T.StructField("input_data", T.StructType([
     T.StructField("columns", T.ArrayType(T.StringType())),
     T.StructField("index", T.ArrayType(T.LongType())),
@@ -22,28 +24,27 @@ REQUEST_SCHEMA = T.StructType([T.StructField("input_data", T.StructType([
 PREP_SUFFIX = "__prep"
 
 
-def as_pipeline(encoder_maps: dict[str, dict[str, int]], scaler_params: dict[str, tuple[float, float]],
-                feature_names: list[str], trained: PipelineModel) -> PipelineModel:
-    """Raw rows in, label + probability out: StringIndexer models (alphabetical labels = our codes),
-    a SQL projection that scales with the fitted moments, the assembler and the fitted classifier."""
-    stages = []
+def as_pipeline(encoder: DataFrame, scaler_params: dict[str, tuple[float, float]], feature_names: list[str],
+                trained: PipelineModel) -> PipelineModel:
+    """Raw rows in, label + probability out: the encoder table (``TableEncoderModel``), a SQL projection
+    that scales with the fitted moments, the assembler and the fitted classifier."""
+    encoded = {r["column_name"] for r in encoder.select("column_name").distinct().collect()}
+    encoded_names = [f for f in feature_names if f in encoded]
     exprs = []
     for f in feature_names:
-        if f in encoder_maps:
-            labels = [v for v, _ in sorted(encoder_maps[f].items(), key=lambda kv: kv[1])]
-            stages.append(StringIndexerModel.from_labels(labels, inputCol=f, outputCol=f + "__idx",
-                                                         handleInvalid="error"))
-            exprs.append(f"CAST(`{f}__idx` AS DOUBLE) AS `{f}{PREP_SUFFIX}`")
+        if f in encoded:
+            exprs.append(f"`{f}{INDEX_SUFFIX}` AS `{f}{PREP_SUFFIX}`")
         elif f in scaler_params:
             m, s = scaler_params[f]
             exprs.append(f"(CAST(`{f}` AS DOUBLE) - CAST({float(m)!r} AS DOUBLE)) / CAST({float(s)!r} AS DOUBLE) "
                          f"AS `{f}{PREP_SUFFIX}`")
         else:
             exprs.append(f"CAST(`{f}` AS DOUBLE) AS `{f}{PREP_SUFFIX}`")
-    stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(exprs) + " FROM __THIS__"))
-    stages.append(VectorAssembler(inputCols=[f + PREP_SUFFIX for f in feature_names], outputCol="features",
-                                  handleInvalid=trained.stages[0].getHandleInvalid()))
-    stages.append(trained.stages[-1])
+    stages = [TableEncoderModel(encoded_names, encoder),
+              SQLTransformer(statement="SELECT *, " + ", ".join(exprs) + " FROM __THIS__"),
+              VectorAssembler(inputCols=[f + PREP_SUFFIX for f in feature_names], outputCol="features",
+                              handleInvalid=trained.stages[0].getHandleInvalid()),
+              trained.stages[-1]]
     return PipelineModel(stages=stages)
 
 
@@ -99,19 +100,14 @@ def parse_requests(requests: DataFrame, required: list[str], types: dict[str, st
     return out, bad_requests.unionByName(bad_rows)
 
 
-def category_labels(model: PipelineModel) -> dict[str, list[str]]:
-    """The categories each fitted indexer knows (the encoder's values; a bounded parameter)."""
-    return {s.getInputCol(): list(s.labels) for s in model.stages if isinstance(s, StringIndexerModel)}
-
-
 def split_unseen(model: PipelineModel, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(scorable rows, rejects for rows with a category the model never saw) -- instead of a failed job."""
-    labels = category_labels(model)
-    if not labels:
+    tagged = rows
+    for stage in model.stages:
+        if isinstance(stage, TableEncoderModel):
+            tagged = stage.marked(rows, "_unseen")
+    if tagged is rows:
         return rows, rows.limit(0).select("request_id", "index", F.lit("").alias("reason"))
-    unseen = F.filter(F.array(*[F.when(~F.col(c).isin(*v), F.lit(c)) for c, v in labels.items()]),
-                      lambda x: x.isNotNull())
-    tagged = rows.withColumn("_unseen", unseen)
     rejects = tagged.where(F.size("_unseen") > 0).select(
         "request_id", "index", F.concat(F.lit("unseen categories: "), F.array_join("_unseen", ",")).alias("reason"))
     return tagged.where(F.size("_unseen") == 0).drop("_unseen"), rejects

@@ -13,12 +13,14 @@ import hashlib
 import itertools
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlab.functions.hashing import seeded_hash
 from churnlab.functions.scalars import (
     MODEL_PREFIXES,
     TRAINING_LEVEL_KEYS,
@@ -65,6 +67,7 @@ class SearchConfig:
     sweep_name: str = "hpo"
     class_weight: str | None = "balanced"
     random_state: int = 42
+    folds: int = 0  # two or more: trials are scored out of fold and never see a test row
 
 
 def _clean(values) -> list:
@@ -127,75 +130,97 @@ def trial_hyperparams(model: str, point: dict) -> tuple[dict, dict]:
     return training, hp
 
 
+def fold_of(id_col: str, seed: int, folds: int) -> Column:
+    """The fold of a row, 0 to ``folds`` - 1, from its id alone."""
+    return F.pmod(F.conv(F.substring(seeded_hash(seed, "fold", F.col(id_col)), 1, 8), 16, 10).cast("long"), F.lit(folds))
+
+
+def _settings(job: tuple, config: SearchConfig) -> tuple:
+    """(hyper-parameters, use SMOTE, seed, class weighting) of a trial."""
+    m, _, _, point = job
+    tr, hp = trial_hyperparams(m, point)
+    use_smote = parse_bool_value(tr.get("use_smote"), default=False)
+    cw = None if use_smote else tr.get("class_weight", config.class_weight)
+    return hp, use_smote, int(tr.get("random_state", config.random_state)), cw
+
+
+def _fit_trials(jobs: list[tuple], train: DataFrame, feature_names: list[str], target: str, config: SearchConfig, int_features,
+                id_col: str) -> dict[int, PipelineModel]:
+    """A model per trial: forests one by one, the other families in shared passes over each training set."""
+    sets: dict[tuple, tuple] = {}
+    parts: dict[tuple, list[int]] = {}
+    for i, job in enumerate(jobs):
+        _, use_smote, seed, _ = _settings(job, config)
+        parts.setdefault((job[0], i) if job[0] == "rf" else (job[0], use_smote, seed), []).append(i)
+        # SMOTE sets are built on the driver thread first, so that concurrent trials share them
+        if (use_smote, seed) not in sets:
+            rows = train
+            if use_smote:
+                rows = imb.smote(train, id_col, target, feature_names, int_features=int_features, seed=seed)
+            stored = rows.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
+            sets[(use_smote, seed)] = (stored, imb.class_count_map(stored, target))
+
+    def fit(part: list[int]) -> list[PipelineModel]:
+        m, (_, use_smote, seed, _) = jobs[part[0]][0], _settings(jobs[part[0]], config)
+        data, counts = sets[(use_smote, seed)]
+        plans = [(hp, cw, seed) for hp, _, seed, cw in (_settings(jobs[i], config) for i in part)]
+        if m == "rf":
+            return [fit_model(m, data, feature_names, target, cw, seed, hp, class_counts=counts)[0] for hp, cw, seed in plans]
+        return fit_together(m, data, feature_names, target, [plan_fit(m, counts, cw, seed, hp) for hp, cw, seed in plans])
+
+    models: dict[int, PipelineModel] = {}
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, config.max_concurrent)) as pool:
+            # the shared passes are the longest, so they start first
+            ordered = sorted(parts.values(), key=lambda p: jobs[p[0]][0] == "rf")
+            for part, fitted in zip(ordered, pool.map(fit, ordered)):
+                models.update(zip(part, fitted))
+    finally:
+        for rows, _ in sets.values():
+            rows.unpersist()
+    return models
+
+
 def random_search(spark: SparkSession, prepared: DataFrame, feature_names: list[str], target: str,
                   config: SearchConfig, int_features=(), id_col: str = "customer_id") -> DataFrame:
-    """Fit and score each sampled trial; returns the trials as ``runs`` rows (params keep sweep keys)."""
-    trials = sample_trials(param_grid(config.space), config.max_trials, config.seed)
-    train0 = prepared.where(F.col("split") == "train").drop("split")
-    test = prepared.where(F.col("split") == "test").select(id_col, *feature_names, target) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    cache: dict = {}
-
-    def training_set(use_smote: bool, seed: int) -> DataFrame:
-        key = (use_smote, seed)
-        if key not in cache:
-            t = train0
-            if use_smote:
-                t = imb.smote(t, id_col, target, feature_names, int_features=int_features, seed=seed)
-            stored = t.select(*feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
-            cache[key] = (stored, imb.class_count_map(stored, target))
-        return cache[key]
+    """Fit and score each sampled trial; returns the trials as ``runs`` rows (params keep sweep keys).
 
+    With ``config.folds`` of two or more, a trial is scored out of fold: each
+    fold of the train rows by a model of the other folds (oversampled on their
+    own), all folds in one evaluation, and the test rows are not read. Otherwise
+    the trials are scored on the test rows, as the reference does. The tag
+    ``scored_rows`` says on how many rows.
+    """
+    trials = sample_trials(param_grid(config.space), config.max_trials, config.seed)
+    train = prepared.where(F.col("split") == "train").drop("split")
     jobs = []
     for m, points in trials.items():
         parent = run_id_of(config.experiment, config.sweep_name, m, config.seed)
         for i, point in enumerate(points):
             jobs.append((m, parent, i, point))
-
-    # SMOTE sets are built on the driver thread first so concurrent trials share them.
-    for m, _, _, point in jobs:
-        tr, _ = trial_hyperparams(m, point)
-        training_set(parse_bool_value(tr.get("use_smote"), default=False), int(tr.get("random_state", config.random_state)))
-
-    def settings(job) -> tuple:
-        """(hyper-parameters, use SMOTE, seed, class weighting) of a trial."""
-        m, _, _, point = job
-        tr, hp = trial_hyperparams(m, point)
-        use_smote = parse_bool_value(tr.get("use_smote"), default=False)
-        cw = None if use_smote else tr.get("class_weight", config.class_weight)
-        return hp, use_smote, int(tr.get("random_state", config.random_state)), cw
-
-    def fit(part: list) -> list[PipelineModel]:
-        """Trials of one family on one training set: forests one by one, the others in shared passes."""
-        m = jobs[part[0]][0]
-        data, counts = training_set(*settings(jobs[part[0]])[1:3])
-        plans = [(hp, cw, seed) for hp, _, seed, cw in (settings(jobs[i]) for i in part)]
-        if m == "rf":
-            return [fit_model(m, data, feature_names, target, cw, seed, hp, class_counts=counts)[0] for hp, cw, seed in plans]
-        return fit_together(m, data, feature_names, target, [plan_fit(m, counts, cw, seed, hp) for hp, cw, seed in plans])
+    if config.folds > 1:
+        folded = train.withColumn("_fold", fold_of(id_col, config.seed, config.folds)).persist(StorageLevel.MEMORY_AND_DISK)
+        parts = [(folded.where(F.col("_fold") != f).drop("_fold"), folded.where(F.col("_fold") == f)) for f in range(config.folds)]
+        kept = [folded]
+    else:
+        test = prepared.where(F.col("split") == "test").select(id_col, *feature_names, target).persist(StorageLevel.MEMORY_AND_DISK)
+        parts, kept = [(train, test)], [test]
 
     def score(i: int):
         m, parent, nth, point = jobs[i]
-        metrics = evaluate(with_probability(models[i].transform(test)), target, "prediction", "p1")
+        scored = [with_probability(models[i].transform(held)).select(target, "prediction", "p1") for models, held in fitted]
+        metrics = evaluate(reduce(DataFrame.unionByName, scored), target, "prediction", "p1")
         return run_row(run_id=run_id_of(parent, nth, sorted(point.items())), parent_run_id=parent, experiment=config.experiment,
-                       run_name=f"{config.sweep_name}-{m}", run_type="trial", model=m,
-                       params={k: v for k, v in point.items()}, metrics=metrics, tags={"trial": str(nth)})
+                       run_name=f"{config.sweep_name}-{m}", run_type="trial", model=m, params={k: v for k, v in point.items()},
+                       metrics=metrics, tags={"trial": str(nth), "scored_rows": str(n_scored)})
 
-    parts: dict[tuple, list[int]] = {}
-    for i, job in enumerate(jobs):
-        key = (job[0], i) if job[0] == "rf" else (job[0], *settings(job)[1:3])
-        parts.setdefault(key, []).append(i)
-    models: dict[int, PipelineModel] = {}
     try:
+        fitted = [(_fit_trials(jobs, rows, feature_names, target, config, int_features, id_col), held) for rows, held in parts]
+        n_scored = kept[0].count()
         with ThreadPoolExecutor(max_workers=max(1, config.max_concurrent)) as pool:
-            # the shared passes are the longest, so they start first
-            ordered = sorted(parts.values(), key=lambda p: jobs[p[0]][0] == "rf")
-            for part, fitted in zip(ordered, pool.map(fit, ordered)):
-                models.update(zip(part, fitted))
             rows = list(pool.map(score, range(len(jobs))))
     finally:
-        test.unpersist()
-        for df, _ in cache.values():
+        for df in kept:
             df.unpersist()
     # One sweep (parent) row per model, carrying its best score like the scheduler's sweep job.
     sweeps = []

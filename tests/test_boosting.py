@@ -6,14 +6,16 @@ import os
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
 from churnlab.operators import boosting
 from churnlab.operators.boosting import BoostParams, Forest, fit_boosted
 from churnlab.operators.logistic import LogisticParams, fit_logistic
 from churnlab.plans import boosted
-from churnlab.plans.search import PROD_SPACE, SearchConfig, param_grid, random_search, sample_trials
+from churnlab.operators import imbalance as imb
+from churnlab.operators.metrics import evaluate
+from churnlab.plans.search import PROD_SPACE, SearchConfig, fold_of, param_grid, random_search, sample_trials
 from churnlab.plans.train import assembler, fit_model, fit_together, plan_fit, with_probability
 
 
@@ -156,7 +158,7 @@ def test_solvers_of_the_logistic_family(spark, tmp_dir):
     df, names = frame(spark, x, y)
     lbfgs, _ = fit_model("logreg", df, names, "y", None, 42, {"C": 0.1, "tol": 1e-12})
     spark_model = lbfgs.stages[-1]
-    assert isinstance(spark_model.parent if hasattr(spark_model, "parent") else None, (LogisticRegression, str, type(None)))
+    assert isinstance(spark_model, LogisticRegressionModel)
     assert np.allclose(spark_model.coefficients.toArray(), dense_optimum(x, y, 0.1, False)[:-1], atol=1e-4)
     liblinear, logged = fit_model("logreg", df, names, "y", "balanced", 42, {"C": 0.1, "solver": "liblinear"})
     assert logged["solver"] == "liblinear" and "ignored" not in logged
@@ -204,3 +206,25 @@ def test_search_in_shared_passes(spark):
     boosted_scores = {(r.params["xgboost_gamma"], r.params["xgboost_n_estimators"], r.params["use_smote"]): r.metrics["roc_auc"]
                       for r in trials if r.model == "xgboost"}
     assert len(set(boosted_scores.values())) > 2
+
+
+def test_trials_scored_out_of_fold_read_no_test_row(spark):
+    x, y = sample(n=300, seed=11, missing=False)
+    df, names = frame(spark, x, y)
+    rows = df.withColumn("split", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
+    # any use of a test row would fail the assembler
+    rows = rows.withColumn("c0", F.when(F.col("split") == "train", F.col("c0")))
+    space = {"use_smote": ["true"], "logreg": {"C": [0.1, 1.0]}, "xgboost": {"n_estimators": [5], "max_depth": [2]}}
+    runs = random_search(spark, rows, names, "y", SearchConfig(space=space, folds=3), id_col="id").collect()
+    trials = [r for r in runs if r.run_type == "trial"]
+    assert len(trials) == 3 and {r.tags["scored_rows"] for r in trials} == {"225"}
+    # the same score by hand, for one trial
+    train = rows.where("split = 'train'").drop("split").withColumn("fold", fold_of("id", 42, 3))
+    parts = []
+    for f in range(3):
+        fit = imb.smote(train.where(F.col("fold") != f).drop("fold"), "id", "y", names, seed=42)
+        model, _ = fit_model("logreg", fit.select(*names, "y"), names, "y", None, 42, {"C": 1.0})
+        parts.append(with_probability(model.transform(train.where(F.col("fold") == f))).select("y", "prediction", "p1"))
+    by_hand = evaluate(parts[0].unionByName(parts[1]).unionByName(parts[2]), "y", "prediction", "p1")
+    got = next(r.metrics for r in trials if r.model == "logreg" and r.params["logreg_C"] == "1.0")
+    assert abs(got["roc_auc"] - by_hand["roc_auc"]) < 5e-3

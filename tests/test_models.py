@@ -71,7 +71,7 @@ def test_train_stage_save_load_and_scoring(spark, tmp_dir):
     assert runs["parent"]["params"]["use_smote"] == "true"
     assert "best_model_f1" in runs["parent"]["metrics"]
     assert res.best in ("logreg", "rf")
-    pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, res.best_model)
+    pipe = as_pipeline(p.encoder, p.scaler_params, p.feature_names, res.best_model)
     raw = base_table(spark, SF_SMALL)
     a = score_batch(pipe, raw, ["customer_id"])
     path = save_model(pipe, os.path.join(tmp_dir, "model"))
@@ -119,7 +119,7 @@ def test_stream_restarts_from_checkpoint(spark, tmp_dir):
     from churnlab.plans.train import fit_model as _fit
     p = prepare(base_table(spark, SF_SMALL), PrepOptions())
     model, _ = _fit("logreg", p.data.where("split = 'train'"), p.feature_names, "churned", "balanced", 42, {})
-    pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, model)
+    pipe = as_pipeline(p.encoder, p.scaler_params, p.feature_names, model)
     raw = base_table(spark, SF_SMALL).withColumn("g", F.floor(F.col("customer_id") / 4))
     reqs = requests_from_rows(raw, "customer_id", FEATS, "g")
     types = {f.name: f.dataType.simpleString() for f in BASE_SCHEMA.fields}
@@ -137,7 +137,7 @@ def test_unseen_category_is_rejected_not_fatal(spark):
     from churnlab.plans.scoring import score_requests as _score
     p = prepare(base_table(spark, SF_SMALL), PrepOptions())
     model, _ = fit_model("logreg", p.data.where("split = 'train'"), p.feature_names, "churned", "balanced", 42, {})
-    pipe = as_pipeline(p.encoder_maps, p.scaler_params, p.feature_names, model)
+    pipe = as_pipeline(p.encoder, p.scaler_params, p.feature_names, model)
     body = ('{"input_data": {"columns": ' + str(FEATS).replace("'", '"') + ', "index": [1, 2], "data": ['
             '["ATLANTIS", "BUILDING", 1.0, 3, 2, 100, 4, 0, 1], ["ASIA", "BUILDING", 1.0, 3, 2, 100, 4, 0, 1]]}}')
     reqs = spark.createDataFrame([(9, body)], "request_id long, body string")
@@ -145,3 +145,22 @@ def test_unseen_category_is_rejected_not_fatal(spark):
     scored, rejects = _score(pipe, reqs, FEATS, types, with_rejects=True)
     assert [r["index"] for r in scored.collect()] == [2]
     assert [(r["index"], r["reason"]) for r in rejects.collect()] == [(1, "unseen categories: region")]
+
+
+def test_an_encoder_of_500000_values_serves_without_a_list_of_labels(spark, tmp_dir):
+    from churnlab.plans.encoding import TableEncoderModel
+
+    encoder = spark.range(500_000).select(F.lit("region").alias("column_name"), F.concat(F.lit("v"), "id").alias("value"),
+                                          F.col("id").cast("int").alias("code"))
+    train = spark.createDataFrame([(float(i % 7), float(i % 2), i % 2) for i in range(60)], "region double, n double, y int")
+    trained, _ = fit_model("logreg", train, ["region", "n"], "y", None, 1, {})
+    pipe = load_model(save_model(as_pipeline(encoder, {"n": (0.5, 2.0)}, ["region", "n"], trained), os.path.join(tmp_dir, "wide")))
+    assert isinstance(pipe.stages[0], TableEncoderModel)
+    body = '{"input_data": {"columns": ["region", "n"], "index": [1, 2, 3], "data": [["v499999", 1], ["v7", 0], ["never", 1]]}}'
+    reqs = spark.createDataFrame([(9, body)], "request_id long, body string")
+    scored, rejects = score_requests(pipe, reqs, ["region", "n"], {"region": "string", "n": "double"}, with_rejects=True)
+    assert len(scored._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    assert sorted(r["index"] for r in scored.collect()) == [1, 2]
+    assert [(r["index"], r["reason"]) for r in rejects.collect()] == [(3, "unseen categories: region")]
+    with pytest.raises(Exception, match="not fitted on"):
+        score_batch(pipe, spark.createDataFrame([("never", 1.0)], "region string, n double"), ["n"]).collect()
