@@ -129,18 +129,27 @@ def _moments(numeric: list[str]) -> list[str]:
 
 
 def _scaler(parts: DataFrame, numeric: list[str]) -> DataFrame:
-    """Scaler table from parts (count, mean, squared deviations): deviations are moved to the common mean part by part."""
+    """Scaler table from parts (count, mean, squared deviations), summed around the smallest part mean.
+
+    A deviation that the rounding of the means alone explains is zero: the column
+    never changes.
+    """
     spark = parts.sparkSession
     if not numeric:
         return spark.createDataFrame([], "column_name string, mean double, scale double")
-    parts = checkpoint(parts)
-    width = range(len(numeric))
-    sums = parts.agg(*[F.sum(f"n{i}") for i in width], *[F.sum(F.col(f"n{i}") * F.col(f"m{i}")) for i in width]).first()
-    counts, totals = sums[:len(numeric)], sums[len(numeric):]
-    means = [t / n if n else None for n, t in zip(counts, totals)]
-    moved = parts.agg(*[F.sum(F.col(f"d{i}") + F.col(f"n{i}") * F.pow(F.col(f"m{i}") - F.lit(means[i] or 0.0), 2)) for i in width]).first()
+    parts, width = checkpoint(parts), range(len(numeric))
+    least = parts.agg(*[F.min(f"m{i}") for i in width]).first()
+    away = [F.col(f"m{i}") - F.lit(least[i] or 0.0) for i in width]
+    n = [F.col(f"n{i}") for i in width]
+    sums = parts.agg(*[F.sum(x) for x in n], *[F.sum(n[i] * away[i]) for i in width],
+                     *[F.sum(F.col(f"d{i}") + n[i] * away[i] * away[i]) for i in width]).first()
     rows = []
-    for c, n, mean, d in zip(numeric, counts, means, moved):
-        deviation = (max(d, 0.0) / n) ** 0.5 if n else 0.0
-        rows.append((c, mean, deviation or 1.0))
+    for i, c in enumerate(numeric):
+        count, total, squares = sums[i], sums[len(numeric) + i], sums[2 * len(numeric) + i]
+        if count:
+            mean = least[i] + total / count
+            deviation = (max(squares - total * total / count, 0.0) / count) ** 0.5
+            rows.append((c, mean, deviation if deviation > 1e-13 * abs(mean) else 1.0))
+        else:
+            rows.append((c, None, 1.0))
     return spark.createDataFrame(rows, "column_name string, mean double, scale double")

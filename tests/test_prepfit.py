@@ -31,8 +31,7 @@ def counted(df, spark):
     return df.mapInPandas(count, df.schema), seen
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 40, 0])
-@pytest.mark.parametrize("digits,near", [(3, 8), (1, 1), (2, 0)])
+@pytest.mark.parametrize("small_bytes,digits,near", [(1 << 40, 3, 8), (0, 3, 8), (0, 1, 1), (0, 2, 0)])
 def test_equal_to_split_encoder_and_scaler(spark, monkeypatch, small_bytes, digits, near):
     monkeypatch.setattr(prepfit, "SMALL_BYTES", small_bytes)
     monkeypatch.setattr(prepfit, "DIGITS", digits)
@@ -62,8 +61,8 @@ def test_a_value_of_test_rows_only_gets_no_code(spark):
 
 
 def test_two_scans_of_the_table(spark, tmp_dir):
-    df = table(spark, 5000)
-    rows, seen = counted(df, spark)
+    table(spark, 5000).write.parquet(f"{tmp_dir}/table")
+    rows, seen = counted(spark.read.parquet(f"{tmp_dir}/table"), spark)
     p = prepare(rows, PrepOptions(roles=ROLES))
     p.data.write.parquet(f"{tmp_dir}/prepared")
     meta = p.metadata().first()
