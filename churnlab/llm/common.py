@@ -23,6 +23,7 @@ SHINGLE_WORDS = 5
 HASH_BITS = 52  # the other 12 bits of a sort key number the documents of a chunk
 MAX_CHUNK_DOCS = 1 << (64 - HASH_BITS)
 CHUNK_BYTES = 400_000
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 
 _NON_ASCII_GAP = re.compile(r"[^\x00-\x7f\w]")
 _TO_SPACE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -157,11 +158,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder of the shared checkpoint folder and read it again.
 
     The plan behind it ends here; the files outlive executors, and column
-    pruning and filters still reach them.
+    pruning and filters still reach them. Whole texts go to Python workers in
+    batches of ``BATCH_ROWS`` rows, which bounds what worker and JVM hold.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    rows = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, rows)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
