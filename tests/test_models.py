@@ -3,6 +3,7 @@ import os
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from churnlab.operators.metrics import roc_auc
@@ -62,6 +63,16 @@ def test_logreg_quality(spark, shuffle, lo, hi):
     assert lo < auc < hi
 
 
+@pytest.mark.parametrize("name", ["logreg", "rf"])
+def test_models_score_after_the_session_observed_something(spark, name):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    df = spark.range(0, 140, 1, 2).select((F.col("id") % 7).cast("double").alias("a"), ((F.col("id") % 7) > 3).cast("int").alias("y"))
+    model, _ = fit_model(name, df, ["a"], "y", "balanced", 42, {"n_estimators": 3} if name == "rf" else {})
+    assert all(r.prediction == r.y for r in with_probability(model.transform(df)).select("y", "prediction").collect())
+
+
 def test_train_stage_save_load_and_scoring(spark, tmp_dir):
     p = prepare(base_table(spark, SF_SMALL), PrepOptions())
     cfg = TrainConfig(models=["logreg", "rf"], use_smote="true",
