@@ -105,3 +105,23 @@ def test_tile_kernel_ring_path_equals_full():
                                            "dp": np.sqrt((probes ** 2).sum(1)), "r": r}), mdf)
     key = lambda d: sorted(zip(d["a"], d["b"], d["dist"]))
     assert key(full) == key(ring)
+
+
+def test_memory_of_a_tile_and_of_a_block_of_pivots_does_not_grow():
+    """Distances are held in blocks of about 1 MB, however many members a tile or pivots a search has."""
+    import tracemalloc
+
+    from churnlab.operators.knn import _pivot_dist, _row_chunk, _tile_topk
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1024, 4))
+    tile = pd.DataFrame({"pid": np.arange(1024, dtype="int64"), "vec": list(x), "d0": 0.0, "dp": 0.0, "r": np.inf})
+    tracemalloc.start()
+    got = _tile_topk(5, 4)(tile, tile)
+    for pivots in (100, 1_000, 10_000):
+        _pivot_dist(rng.normal(size=(_row_chunk(pivots), 4)), rng.normal(size=(pivots, 4)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12_000_000
+    want = _brute(np.arange(1024), x, 5)
+    assert {a: list(g["b"]) for a, g in got.groupby("a")} == want
