@@ -87,3 +87,14 @@ def test_split_quota_ends_in_any_bucket(spark):
     for size in (0.01, 0.5, 0.98):
         got = prep.stratified_split(df, "id", "y", size, digits=1) if size != 0.01 else prep.random_split(df, "id", size)
         assert got.where("split = 'test'").count() == -(-int(size * 500 * 1000) // 1000)
+
+
+def test_a_column_s_values_never_meet_the_profile_in_one_task(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = catalog._merged_profile(spark, SF_SMALL)
+        assert re.search(r"Exchange hashpartitioning\(column_name#\d+, (knownfloatingpointnormalized\(.*)?value#\d+", plan_of(out))
+        assert all(r.quartiles_hold and r.distinct_holds for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
