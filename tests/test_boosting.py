@@ -5,7 +5,7 @@ import os
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
@@ -102,6 +102,32 @@ def test_fits_in_one_scan_equal_single_fits_and_keys_matter(spark, monkeypatch):
     assert np.allclose(fitted(spark, x, y, [fits[2]])[0].margins(x), margins[2], atol=1e-12)
 
 
+def test_fits_grown_apart_equal_those_of_the_passes(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
+    summed, passes = boosting._summed, []
+    monkeypatch.setattr(boosting, "_summed", lambda parts: passes.append(1) or summed(parts))
+    x, y = sample(seed=12)
+    fits = [BoostParams(n_estimators=2, max_depth=2), BoostParams(n_estimators=0),
+            BoostParams(n_estimators=5, max_depth=4, subsample=0.7, colsample_bytree=0.5, seed=4, gamma=0.5)]
+    apart = [f.margins(x) for f in fitted(spark, x, y, fits)]
+    assert not passes  # a few rows are not worth a job per level of a tree
+    monkeypatch.setattr(boosting, "TASK_CELLS", 0, raising=False)
+    monkeypatch.setattr(boosting, "CHECKPOINT_TREES", 2)
+    assert np.allclose(apart, [f.margins(x) for f in fitted(spark, x, y, fits)], atol=1e-12) and len(passes) == 5 * 4
+    monkeypatch.setattr(boosting, "HISTOGRAM_BYTES", 1)  # a pass per node
+    assert np.allclose(apart, [f.margins(x) for f in fitted(spark, x, y, fits)], atol=1e-12)
+
+
+def test_a_forest_deals_few_rows_to_few_tasks(spark, monkeypatch):
+    x, y = sample(n=200, seed=13, missing=False)
+    df, names = frame(spark, x, y, parts=9)
+    fit, seen = Pipeline.fit, []
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data: seen.append(data.rdd.getNumPartitions()) or fit(self, data))
+    fit_model("rf", df, names, "y", "balanced", 42, {"n_estimators": 2})
+    fit_model("logreg", df, names, "y", "balanced", 42, {})
+    assert seen == [1, 9]
+
+
 def test_wide_columns_are_cut_at_quantiles_and_odd_tables_work(spark):
     rng = np.random.default_rng(1)
     x = np.column_stack([rng.normal(size=2000), np.ones(2000), np.full(2000, np.nan)])

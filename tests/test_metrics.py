@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from churnlab.operators.metrics import classification_metrics, evaluate, roc_auc
+from churnlab.operators.metrics import classification_metrics, evaluate, evaluate_each, roc_auc, score_counts
 
 
 def _df(spark, y, p, s):
@@ -43,3 +43,11 @@ def test_auc_ties_and_buckets(spark):
 def test_metrics_nulls_ansi_safe(spark):
     m = classification_metrics(_df(spark, [1, 1], [0, 0], [0.1, 0.2]), "y", "p").first()
     assert m["precision"] == 0.0 and m["accuracy"] == 0.0
+
+
+def test_keys_measured_at_once_equal_one_by_one(spark):
+    rows = [(k, i % 2 if k < 2 else 0, int((i * 7 + k) % 10 > 4), ((i * 7 + k) % 10) / 10) for k in range(3) for i in range(30 + k)]
+    df = spark.createDataFrame(rows, "k int, y int, p int, s double")
+    found = evaluate_each(score_counts(df, "y", "s", "k", "p"), "k", "p")
+    assert found == {k: evaluate(df.where(F.col("k") == k), "y", "p", "s") for k in range(3)}
+    assert found[2]["roc_auc"] == 0.5 and found[0] != found[1]
