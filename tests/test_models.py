@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from churnlab import catalog
 from churnlab.operators.metrics import roc_auc
 from churnlab.plans.models import apply_hyperparameters, get_model, models_to_train, without_effect
 from churnlab.plans.prepare import PrepOptions, prepare
@@ -73,6 +74,16 @@ def test_models_score_after_the_session_observed_something(spark, name):
     assert all(r.prediction == r.y for r in with_probability(model.transform(df)).select("y", "prediction").collect())
 
 
+def test_serving_queries_after_the_session_observed_something(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    for name, facts in {"predict": ["is_probability", "label_follows"], "as_pipeline": ["same"], "load_model": ["same_label"],
+                        "score_batch": ["is_probability", "label_follows"]}.items():
+        rows = catalog.queries()[name](spark, SF_SMALL).collect()
+        assert rows and all(r[f] for r in rows for f in facts), name
+
+
 def test_train_stage_save_load_and_scoring(spark, tmp_dir):
     p = prepare(base_table(spark, SF_SMALL), PrepOptions())
     cfg = TrainConfig(models=["logreg", "rf"], use_smote="true",
