@@ -74,14 +74,14 @@ def test_models_score_after_the_session_observed_something(spark, name):
     assert all(r.prediction == r.y for r in with_probability(model.transform(df)).select("y", "prediction").collect())
 
 
-def test_serving_queries_after_the_session_observed_something(spark):
+@pytest.mark.parametrize("name,facts", [("predict", ["is_probability", "label_follows"]), ("as_pipeline", ["same"]),
+                                        ("load_model", ["same_label"]), ("score_batch", ["is_probability", "label_follows"])])
+def test_serving_queries_after_the_session_observed_something(spark, name, facts):
     seen = Observation()
     spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
     assert seen.get == {"n": 3}
-    for name, facts in {"predict": ["is_probability", "label_follows"], "as_pipeline": ["same"], "load_model": ["same_label"],
-                        "score_batch": ["is_probability", "label_follows"]}.items():
-        rows = catalog.queries()[name](spark, SF_SMALL).collect()
-        assert rows and all(r[f] for r in rows for f in facts), name
+    rows = catalog.queries()[name](spark, SF_SMALL).collect()
+    assert rows and all(r[f] for r in rows for f in facts)
 
 
 def test_train_stage_save_load_and_scoring(spark, tmp_dir):
